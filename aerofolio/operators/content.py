@@ -51,13 +51,13 @@ def parsed(pages: DataFrame, html: str = "html", carry: list[str] | None = None)
 
 def container(events: Column, selectors=SELECTORS) -> Column:
     """Struct of the first selector that matches and the node's event range; null if none does."""
-    found = [
-        F.transform(
+    def hit(name: str, test) -> Column:
+        return F.transform(
             F.slice(F.filter(events, test), 1, 1),
-            lambda e, name=name: F.struct(F.lit(name).alias("selector"), e["i"].alias("i"), e["j"].alias("j")),
+            lambda e: F.struct(F.lit(name).alias("selector"), e["i"].alias("i"), e["j"].alias("j")),
         )
-        for name, test in selectors
-    ]
+
+    found = [hit(name, test) for name, test in selectors]
     return F.get(F.concat(*found), F.lit(0))
 
 

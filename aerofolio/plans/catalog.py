@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import portal  # noqa: F401
+from . import air, content, live, portal  # noqa: F401
 from .base import ORACLE, QUERIES  # noqa: F401

@@ -383,8 +383,8 @@ HEADED = """headed AS (SELECT doc_id, CASE lang WHEN 'en' THEN '### ' WHEN 'fr'
 
 
 @query("p34_heading_levels", HEADED.join(["WITH ", r""", lowest AS (SELECT *, list_min(list_transform(regexp_extract_all(body, '(?m)^(#{1,6}) \S', 1),
-  x -> length(x))) AS low FROM headed)
-  SELECT doc_id, array_to_string(list_transform(string_split(body, chr(10)), x -> CASE WHEN regexp_matches(x, '^#{1,6} \S')
+  lambda x: length(x))) AS low FROM headed)
+  SELECT doc_id, array_to_string(list_transform(string_split(body, chr(10)), lambda x: CASE WHEN regexp_matches(x, '^#{1,6} \S')
   THEN repeat('#', greatest(2, least(6, length(regexp_extract(x, '^#+')) + 2 - low))) || substr(x, length(regexp_extract(x, '^#+')) + 1)
   ELSE x END), chr(10)) AS body FROM lowest"""]))
 def p34(spark, d):
@@ -465,8 +465,8 @@ def p42(spark, d):
 
 
 @query("p43_category_names", """WITH i AS (SELECT c_custkey, unnest([c_nationkey, c_nationkey + 7, 20 - c_nationkey]) AS id,
-    unnest([1, 2, 3]) AS at FROM customer)
-  SELECT c_custkey, string_agg(coalesce(n_name, CAST(id AS VARCHAR)), '|' ORDER BY at) AS categories FROM i LEFT JOIN nation ON n_nationkey = id GROUP BY c_custkey""")
+    unnest([1, 2, 3]) AS ix FROM customer)
+  SELECT c_custkey, string_agg(coalesce(n_name, CAST(id AS VARCHAR)), '|' ORDER BY ix) AS categories FROM i LEFT JOIN nation ON n_nationkey = id GROUP BY c_custkey""")
 def p43(spark, d):
     k = F.col("c_nationkey")
     rows = table(spark, d, "customer").select("c_custkey", F.array(k, k + 7, 20 - k).alias("ids"))

@@ -6,13 +6,15 @@ query stops; started again on the same checkpoint it goes on from there.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ..operators.ordered import latest
 from ..session import fresh_path
 
 
-def landed(spark: SparkSession, folder: str, schema: StructType, glob: str = "*.parquet",
+def landed(spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet",
            files_per_batch: int | None = None) -> DataFrame:
     """File-drop source. Event time becomes TIMESTAMP, which watermarks require."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
@@ -62,10 +64,41 @@ def sessions(feed: DataFrame, keys: list[str], delay: str, gap: str) -> DataFram
     )
 
 
-def latest_per_key(feed: DataFrame, keys: list[str], by: list[str], columns: list[str]) -> DataFrame:
-    """Latest values, kept current (update mode)."""
-    state = F.max_by(F.struct(*columns), F.struct(*by)).alias("_row")
-    return feed.groupBy(*keys).agg(state, F.max(F.struct(*by)).alias("_by")).select(*keys, "_row.*", "_by")
+def latest_per_key(feed: DataFrame, keys: list[str], tie: str, value: str, salts: int = 16) -> DataFrame:
+    """Every batch's new latest values, in append mode, so that a file sink can take them exactly once.
+
+    A built-in aggregate would need update mode, which no file sink supports.
+    A busy key is spread over ``salts`` groups; each group keeps one row of
+    state, and ``current`` picks the winner among them.
+    """
+    fields = {f.name: f.dataType for f in feed.schema}
+    row = [(k, fields[k]) for k in keys] + [("ts", T.LongType()), (tie, fields[tie]), (value, fields[value])]
+    shape = T.StructType([T.StructField(n, t) for n, t in row])
+    state_shape = T.StructType([T.StructField(n, t) for n, t in row[len(keys):]])
+
+    def advance(key, batches, state):
+        held = state.get if state.exists else None
+        best = held
+        for rows in batches:
+            top = rows.sort_values(["ts", tie]).iloc[-1]
+            found = (int(top["ts"]), top[tie].item(), top[value].item())
+            if best is None or found[:2] > tuple(best)[:2]:
+                best = found
+        if best is not held:
+            state.update(tuple(best))
+            yield pd.DataFrame([[*key[: len(keys)], *best]], columns=[n for n, _ in row])
+
+    salted = feed.select(
+        *keys, F.unix_micros("ts").alias("ts"), tie, value, F.pmod(F.xxhash64(tie), F.lit(salts)).alias("_salt")
+    )
+    return salted.groupBy(*keys, "_salt").applyInPandasWithState(
+        advance, shape, state_shape, "append", GroupStateTimeout.NoTimeout
+    )
+
+
+def current(changes: DataFrame, keys: list[str], tie: str) -> DataFrame:
+    """The newest change per key of what ``latest_per_key`` has written."""
+    return latest(changes, keys, ["ts", tie]).withColumn("ts", F.timestamp_micros("ts"))
 
 
 def appended(stream: DataFrame, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
@@ -82,31 +115,3 @@ def appended(stream: DataFrame, path: str | None = None, checkpoint: str | None
     )
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
-
-
-def updated(stream: DataFrame, keys: list[str], path: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    """Run an update-mode stream; every batch of changes is one folder, written again if it is replayed.
-
-    The current table is the newest change per key.
-    """
-    spark = stream.sparkSession
-    path = path or fresh_path(spark, "feed")
-
-    def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    query = (
-        stream.writeStream.outputMode("update")
-        .foreachBatch(keep)
-        .option("checkpointLocation", checkpoint or fresh_path(spark, "feed-state"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    columns = [c for c in stream.columns if c not in (*keys, "_by")]
-    changes = spark.read.parquet(path)
-    return (
-        changes.groupBy(*keys)
-        .agg(F.max_by(F.struct(*columns), F.struct("batch", "_by")).alias("_row"))
-        .select(*keys, "_row.*")
-    )

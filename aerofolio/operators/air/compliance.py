@@ -6,8 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ...functions.numbers import exact
-
 
 def regimes_with_levels(zones: DataFrame, parts: dict[str, DataFrame], keys: list[str]) -> DataFrame:
     """A10: assessment regimes with the levels of each flow beside them.
@@ -43,9 +41,7 @@ def without_follow_up(exceedances: DataFrame, follow_up: DataFrame, keys: list[s
 
 def assessment_difference(assessed: DataFrame, reported: DataFrame, keys: list[str]) -> DataFrame:
     """Assessed minus reported value at the same key."""
-    return assessed.join(reported, keys).withColumn(
-        "difference", (exact(F.col("assessed")) - exact(F.col("reported"))).cast("double")
-    )
+    return assessed.join(reported, keys).withColumn("difference", F.col("assessed") - F.col("reported"))
 
 
 def attainment_filter(rows: DataFrame, least_difference: float | None = None, sources: list[str] | None = None,

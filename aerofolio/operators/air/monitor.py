@@ -11,11 +11,11 @@ from ..ordered import latest, ranks
 def verify(computed: DataFrame, reported: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
     """Recomputed against reported values, with what is on one side only."""
     both = computed.join(reported, keys, "full_outer")
-    gap = F.abs(exact(F.col("computed")) - exact(F.col("reported")))
+    gap = F.abs(F.col("computed") - F.col("reported"))
     status = (
         F.when(F.col("computed").isNull(), F.lit("only_reported"))
         .when(F.col("reported").isNull(), F.lit("only_computed"))
-        .when(gap <= F.lit(tolerance).cast("decimal(18,6)"), F.lit("match"))
+        .when(gap <= F.lit(tolerance), F.lit("match"))
         .otherwise(F.lit("differs"))
     )
     return both.withColumn("status", status)
@@ -104,4 +104,4 @@ def missing_years(years: DataFrame, keys: list[str], first: int, last: int, year
 def year_on_year(levels: DataFrame, keys: list[str], value: str = "level", year: str = "yr") -> DataFrame:
     """Change against the series' previous reported year; one row per series and year comes in."""
     before = F.lag(value).over(W.partitionBy(*keys).orderBy(year))
-    return levels.withColumn("change", (exact(F.col(value)) - exact(before)).cast("double"))
+    return levels.withColumn("change", F.col(value) - before)

@@ -90,7 +90,7 @@ def assessments(spark, d):
 
 ASSESSED = f"""assessed AS (SELECT l_orderkey AS zone, {dsum('l_extendedprice * (1 - l_discount) * (1 + l_tax)')} AS assessed FROM lineitem GROUP BY 1),
   diff AS (SELECT zone, assessed, o_totalprice AS reported, o_orderpriority AS adjustment_source, o_orderstatus AS exceedance_type,
-    CAST(CAST(assessed AS DECIMAL(18,6)) - CAST(o_totalprice AS DECIMAL(18,6)) AS DOUBLE) AS difference FROM assessed JOIN orders ON o_orderkey = zone)"""
+    assessed - o_totalprice AS difference FROM assessed JOIN orders ON o_orderkey = zone)"""
 
 
 @query("a05_attainment_filters", f"WITH {ASSESSED} SELECT zone, difference FROM diff WHERE abs(difference) >= 50000 AND adjustment_source IN ('1-URGENT', '5-LOW') AND exceedance_type = 'F'")
@@ -177,7 +177,7 @@ def a12(spark, d):
 
 @query("a13_verify_aggregations", f"""WITH {ASSESSED} SELECT coalesce(zone, o_orderkey) AS zone, assessed AS computed, o_totalprice AS reported,
   CASE WHEN zone IS NULL THEN 'only_reported' WHEN o_orderkey IS NULL THEN 'only_computed'
-   WHEN abs(CAST(assessed AS DECIMAL(18,6)) - CAST(o_totalprice AS DECIMAL(18,6))) <= 25000 THEN 'match' ELSE 'differs' END AS status
+   WHEN abs(assessed - o_totalprice) <= 25000 THEN 'match' ELSE 'differs' END AS status
   FROM assessed FULL OUTER JOIN orders ON zone = o_orderkey""")
 def a13(spark, d):
     computed, reported = assessments(spark, d)
@@ -294,9 +294,9 @@ def a29(spark, d):
     return st.distribution(observations(spark, d), ["pollutant"], "conc", 2.5)
 
 
-@query("a30_trend", f"WITH {LONG}, {ANNUAL} SELECT sampling_point, pollutant, CASE WHEN COUNT(*) > 1 THEN round(regr_slope(level, yr), 4) END AS slope, COUNT(*) AS n_years FROM annual GROUP BY ALL")
+@query("a30_trend", f"WITH {LONG}, {ANNUAL} SELECT sampling_point, pollutant, CASE WHEN COUNT(*) > 1 THEN round(regr_slope(level, yr), 6) END AS slope, COUNT(*) AS n_years FROM annual GROUP BY ALL")
 def a30(spark, d):
-    return st.trend(annual(spark, d), ["sampling_point", "pollutant"]).withColumn("slope", F.round("slope", 4))
+    return st.trend(annual(spark, d), ["sampling_point", "pollutant"]).withColumn("slope", F.round("slope", 6))
 
 
 @query("a31_correlation_pollutants", f"""WITH {LONG}, {ANNUAL} SELECT a.yr, round(corr(a.level, b.level), 6) AS correlation, COUNT(*) AS n_points FROM annual a JOIN annual b
@@ -475,7 +475,7 @@ def a53_missing(spark, d):
 
 
 @query("a54_year_on_year", f"""WITH {LONG}, {STATIONS}, {ANNUAL}, {ZONES} SELECT zone, pollutant, yr, level,
-  CAST(CAST(level AS DECIMAL(18,6)) - CAST(lag(level) OVER (PARTITION BY zone, pollutant ORDER BY yr) AS DECIMAL(18,6)) AS DOUBLE) AS change FROM zl""")
+  level - lag(level) OVER (PARTITION BY zone, pollutant ORDER BY yr) AS change FROM zl""")
 def a54(spark, d):
     return mo.year_on_year(zone_levels(spark, d), ["zone", "pollutant"])
 

@@ -49,8 +49,8 @@ def a72(spark, d):
 CLOSED = "(SELECT MAX(ts) - INTERVAL 2 HOUR FROM obs)"
 
 
-@query("a73_daily_means", f"""WITH {OBS} SELECT pollutant, date_trunc('day', ts)::TIMESTAMP AS window_start, COUNT(conc) AS n, {mean('conc')} AS mean FROM obs
-  GROUP BY ALL HAVING date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY <= {CLOSED}""")
+@query("a73_daily_means", f"""WITH {OBS}, w AS (SELECT pollutant, conc, date_trunc('day', ts)::TIMESTAMP AS window_start FROM obs)
+  SELECT pollutant, window_start, COUNT(conc) AS n, {mean('conc')} AS mean FROM w GROUP BY pollutant, window_start HAVING window_start + INTERVAL 1 DAY <= {CLOSED}""")
 def a73(spark, d):
     means = fd.window_means(feed(spark, d), ["pollutant"], "conc", "2 hours", "1 day")
     return ntz(fd.appended(means), "window_start").drop("window_end")

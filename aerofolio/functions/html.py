@@ -7,12 +7,22 @@ expression over the events, so a page is parsed once and never shuffled for it.
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import re
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import Column, functions as F, types as T
 from pyspark.sql.functions import arrow_udf
 
+# a comment or declaration, or a tag with quoted attribute values, or a tag with a broken quote
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
+    r"|<(/?)([A-Za-z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>"
+    r"|<(/?)([A-Za-z][^\s/>]*)([^>]*)>",
+    re.S,
+)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_RAW_END = {t: re.compile(rf"</{t}\b", re.I) for t in ("script", "style")}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 ENDS_PARAGRAPH = {
     "address", "article", "aside", "blockquote", "center", "div", "dl", "fieldset", "footer", "form",
@@ -28,113 +38,167 @@ ENDS_SIBLING = {
     "th": ({"td", "th"}, {"tr", "table"}),
 }
 COUNTED_IN = {"li": {"ul", "ol"}, "tr": {"table"}, "td": {"tr"}, "th": {"tr"}}
-SCOPE_TAGS = {
-    "a", "article", "b", "blockquote", "code", "em", "h1", "h2", "h3", "h4", "h5", "h6", "i", "iframe", "li",
-    "noscript", "object", "ol", "pre", "script", "strong", "style", "tableau-viz", "td", "th", "ul",
-}
 ATTRIBUTES = {
     "alt", "class", "data-elementor-type", "data-src", "data-widget_type", "href", "id", "name", "src", "title", "value",
 }
+SEP = "\x1f"
 
 EVENTS = T.ArrayType(
     T.StructType()
     .add("i", T.IntegerType()).add("j", T.IntegerType()).add("k", T.StringType()).add("tag", T.StringType())
-    .add("at", T.MapType(T.StringType(), T.StringType())).add("text", T.StringType())
-    .add("scope", T.ArrayType(T.StringType()))
+    .add("at", T.MapType(T.StringType(), T.StringType())).add("text", T.StringType()).add("scope", T.StringType())
 )
-_ARROW = pa.list_(
-    pa.struct([
-        ("i", pa.int32()), ("j", pa.int32()), ("k", pa.string()), ("tag", pa.string()),
-        ("at", pa.map_(pa.string(), pa.string())), ("text", pa.string()), ("scope", pa.list_(pa.string())),
-    ])
-)
-
-
-class _Tokens(HTMLParser):
-    """Balanced events with, on each, the marks of the elements around it (tag, classes, widget type)."""
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.out: list[dict] = []
-        self.stack: list[dict] = []
 
-    def _scope(self) -> list[str]:
-        return self.stack[-1]["inner"] if self.stack else []
 
-    def _emit(self, kind, tag, at, text, scope) -> int:
-        i = len(self.out)
-        self.out.append({"i": i, "j": i, "k": kind, "tag": tag, "at": at, "text": text, "scope": scope})
+class _Page:
+    """Appends one page's balanced events to the columns of a batch."""
+
+    def __init__(self, out: _Batch, marks: frozenset, link_marks: list) -> None:
+        self.out, self.marks, self.link_marks = out, marks, link_marks
+        self.base = len(out.k)
+        self.stack: list[list] = []  # [tag, event, counted children, scope inside, ordinal]
+
+    def emit(self, kind: str, tag: str, at: list, text: str | None, scope: str) -> int:
+        out, i = self.out, len(self.out.k) - self.base
+        out.i.append(i)
+        out.j.append(i)
+        out.k.append(kind)
+        out.tag.append(tag)
+        out.text.append(text)
+        out.scope.append(scope)
+        for name, value in at:
+            out.names.append(name)
+            out.values.append(value)
+        out.at_ends.append(len(out.names))
         return i
 
-    def _close_top(self) -> None:
-        top = self.stack.pop()
-        start = self.out[top["i"]]
-        end = self._emit("c", start["tag"], start["at"] + [("#items", str(top["items"]))], None, start["scope"])
-        start["j"], self.out[end]["j"] = end, top["i"]
+    def scope(self) -> str:
+        return self.stack[-1][3] if self.stack else ""
 
-    def _close_back_to(self, tags: set[str], stop: set[str]) -> None:
+    def close_top(self) -> None:
+        tag, start, items, _, extra = self.stack.pop()
+        outer = self.out.scope[self.base + start]
+        at = extra + [("#items", str(items))] if tag == "tr" else extra
+        end = self.emit("c", tag, at, None, outer)
+        self.out.j[self.base + start], self.out.j[self.base + end] = end, start
+
+    def close_back_to(self, tags: set, stop: set) -> None:
         for depth in range(len(self.stack) - 1, -1, -1):
-            tag = self.stack[depth]["tag"]
+            tag = self.stack[depth][0]
             if tag in tags:
                 while len(self.stack) > depth:
-                    self._close_top()
+                    self.close_top()
                 return
             if tag in stop:
                 return
 
-    def handle_starttag(self, tag, attrs):
+    def start(self, tag: str, raw: str) -> None:
         if tag in ENDS_PARAGRAPH:
-            self._close_back_to({"p"}, {"td", "th", "li", "div", "object", "button"})
+            self.close_back_to({"p"}, {"td", "th", "li", "div", "object", "button"})
         if tag in ENDS_SIBLING:
-            self._close_back_to(*ENDS_SIBLING[tag])
-        at = [(k, v or "") for k, v in dict(reversed(attrs)).items() if k in ATTRIBUTES]
+            self.close_back_to(*ENDS_SIBLING[tag])
+        at: dict[str, str] = {}
+        for name, double, single, bare in _ATTRIBUTE.findall(raw) if raw else ():
+            name = name.lower()
+            if name in ATTRIBUTES and name not in at:
+                value = double or single or bare
+                at[name] = unescape(value) if "&" in value else value
+        kept = [("href", at["href"])] if tag == "a" and "href" in at else []
         if tag in COUNTED_IN:
             for holder in reversed(self.stack):
-                if holder["tag"] in COUNTED_IN[tag]:
-                    holder["items"] += 1
-                    at.append(("#n", str(holder["items"])))
+                if holder[0] in COUNTED_IN[tag]:
+                    holder[2] += 1
+                    at["#n"] = str(holder[2])
+                    kept = [("#n", at["#n"])]
                     break
-        known = dict(at)
-        i = self._emit("o", tag, at, None, self._scope())
-        marks = [tag] if tag in SCOPE_TAGS else []
-        if known.get("id"):
-            marks.append(f"{tag}#{known['id']}")
-        marks += ["." + c for c in known.get("class", "").split()]
-        if known.get("data-widget_type"):
-            marks.append(known["data-widget_type"])
-        if tag == "a" and known.get("href"):
-            marks.append("href:" + known["href"])
-        inner = self._scope() + marks if marks else self._scope()
-        self.stack.append({"tag": tag, "i": i, "items": 0, "inner": inner})
+        i = self.emit("o", tag, list(at.items()), None, self.scope())
+        inner = self.scope()
+        for mark in self.marks_of(tag, at):
+            inner += SEP + mark + SEP
+        self.stack.append([tag, i, 0, inner, kept])
         if tag in VOID:
-            self._close_top()
+            self.close_top()
+
+    def marks_of(self, tag: str, at: dict):
+        found = [tag, at.get("data-widget_type"), f"{tag}#{at['id']}" if "id" in at else None]
+        if "class" in at:
+            found += ["." + c for c in at["class"].split()]
+        yield from (m for m in found if m in self.marks)
+        if tag == "a" and "href" in at:
+            yield from (mark for mark, pattern in self.link_marks if pattern.search(at["href"]))
+
+    def read(self, html: str) -> None:
+        pos, n = 0, len(html)
+        while pos < n:
+            hit = _TOKEN.search(html, pos)
+            upto = hit.start() if hit else n
+            if upto > pos:
+                text = html[pos:upto]
+                self.emit("t", "#text", (), unescape(text) if "&" in text else text, self.scope())
+            if hit is None:
+                break
+            pos = hit.end()
+            closes, tag, raw = hit.group(1, 2, 3) if hit.group(2) else hit.group(4, 5, 6)
+            if tag is None:
+                continue
+            tag = tag.lower()
+            if closes:
+                if tag not in VOID:
+                    self.close_back_to({tag}, set())
+                continue
+            self.start(tag, raw)
+            if tag in _RAW_END:
+                end = _RAW_END[tag].search(html, pos)
+                pos = end.start() if end else n
+        while self.stack:
+            self.close_top()
+
+
+class _Batch:
+    """Flat columns of many pages' events, assembled into one nested Arrow array at the end."""
+
+    def __init__(self) -> None:
+        self.i, self.j, self.k, self.tag, self.text, self.scope = [], [], [], [], [], []
+        self.names, self.values, self.at_ends = [], [], [0]
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
+    def array(self, ends: list) -> pa.Array:
+        at = pa.MapArray.from_arrays(
+            pa.array(self.at_ends, pa.int32()), pa.array(self.names, pa.string()), pa.array(self.values, pa.string())
+        )
+        flat = pa.StructArray.from_arrays(
+            [
+                pa.array(self.i, pa.int32()), pa.array(self.j, pa.int32()), pa.array(self.k, pa.string()),
+                pa.array(self.tag, pa.string()), at, pa.array(self.text, pa.string()), pa.array(self.scope, pa.string()),
+            ],
+            names=["i", "j", "k", "tag", "at", "text", "scope"],
+        )
+        # a null offset marks a null page
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
 
-    def handle_endtag(self, tag):
-        if tag not in VOID:
-            self._close_back_to({tag}, set())
 
-    def handle_data(self, data):
-        if not (self.stack and self.stack[-1]["tag"] in ("script", "style")):
-            self._emit("t", "#text", [], data, self._scope())
+def event_parser(marks: list[str] = (), link_marks: dict[str, str] | None = None):
+    """UDF from HTML to events whose ``scope`` names those of ``marks`` that are open around them.
 
+    A mark is a tag, ``.class``, ``tag#id`` or widget type; a link mark is given to links whose href
+    matches its pattern. Only marks asked for are kept, so deep pages do not carry long scopes.
+    """
+    wanted = frozenset(marks)
+    patterns = list((link_marks or {}).items())
 
-def tokenise(html: str | None) -> list[dict] | None:
-    if html is None:
-        return None
-    parser = _Tokens()
-    parser.feed(html)
-    parser.close()
-    while parser.stack:
-        parser._close_top()
-    return parser.out
+    @arrow_udf(EVENTS)
+    def parse(html: pa.Array) -> pa.Array:
+        compiled = [(mark, re.compile(p)) for mark, p in patterns]
+        batch, ends = _Batch(), []
+        for page in html.to_pylist():
+            ends.append(None if page is None else len(batch.k))
+            if page is not None:
+                _Page(batch, wanted, compiled).read(page)
+        return batch.array(ends + [len(batch.k)])
 
+    return parse
 
-@arrow_udf(EVENTS)
-def html_events(html: pa.Array) -> pa.Array:
-    return pa.array([tokenise(h) for h in html.to_pylist()], type=_ARROW)
+
+html_events = event_parser()
 
 
 def is_open(e: Column, *tags: str) -> Column:
@@ -150,8 +214,13 @@ def has_class(e: Column, name: str) -> Column:
     return F.array_contains(F.split(attr(e, "class"), r"\s+"), name)
 
 
+def scope_pattern(*marks: str) -> str:
+    return SEP + "(?:" + "|".join(re.escape(m) for m in marks) + ")" + SEP
+
+
 def within(e: Column, *marks: str) -> Column:
-    return F.arrays_overlap(e["scope"], F.array(*[F.lit(m) for m in marks]))
+    """Inside an element with one of the marks."""
+    return e["scope"].rlike(scope_pattern(*marks))
 
 
 def first(events: Column, test) -> Column:

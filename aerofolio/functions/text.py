@@ -3,10 +3,14 @@ whitespace plus the four ASCII separators), which is wider than Java's ``\\s``."
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 # Whitespace characters, as a regex class body.
 SPACE = r"\t\n\x0b\f\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACES = re.compile(f"[{SPACE}]")
+SPACES = "".join(chr(c) for c in range(0x3001) if SPACES.match(chr(c)))
 # What ends a line when a text is cut into lines.
 LINE_END = r"\r\n|[\n\r\x0b\f\x1c-\x1e\x85\u2028\u2029]"
 # Fixed value: a Markdown heading line, up to six levels, followed by text.
@@ -14,11 +18,11 @@ HEADING = rf"^(#{{1,6}}) (?=[^{SPACE}])"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def rstrip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"[{SPACE}]+\z", "")
+    return F.rtrim(text, F.lit(SPACES))
 
 
 def collapse(text: Column) -> Column:
@@ -95,7 +99,7 @@ def upsert_block(text: Column, block: Column, start: str, end: str) -> Column:
 
 def table_cells(line: Column) -> Column:
     """Cells of one Markdown table line: outer pipes go, every cell is stripped."""
-    bare = F.regexp_replace(strip(line), r"^\|+|\|+\z", "")
+    bare = F.btrim(strip(line), F.lit("|"))
     return F.transform(F.split(bare, r"\|"), strip)
 
 

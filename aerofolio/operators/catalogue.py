@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as tx
+from ..session import spread
 from .ordered import fill_forward, row_numbers
 
 # Heading of the id column, cells a row needs, smallest capture, smallest thumbnail.
@@ -17,11 +18,10 @@ MIN_THUMBNAIL = 12000
 def table_rows(texts: DataFrame) -> DataFrame:
     """The data rows of the Markdown tables in ``(source, value)``, with their cells."""
     first = F.col("cells")[0]
-    return (
-        texts.select("source", F.posexplode(tx.lines(F.col("value"))).alias("pos", "line"))
-        .where(F.col("line").startswith("|"))
-        .select("source", "pos", tx.table_cells(F.col("line")).alias("cells"))
-        .where((F.size("cells") >= CELLS) & (first != HEADER) & ~first.rlike(r"^[- ]*$"))
+    # cells are cut before the explode: a filter on them must not run the cutting again
+    cut = F.transform(tx.lines(F.col("value")), lambda line: F.when(line.startswith("|"), tx.table_cells(line)))
+    return spread(texts).select("source", F.posexplode(cut).alias("pos", "cells")).where(
+        (F.size("cells") >= CELLS) & (first != HEADER) & ~first.rlike(r"^[- ]*$")
     )
 
 

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as tx, urls
-from ..functions.html import attr, first, has_class, html_events, inside, is_open, let, text_of, within
+from ..session import spread
+from ..functions.html import SEP, attr, event_parser, first, has_class, inside, is_open, let, text_of, within
 
 # Content containers in the order they are tried.
 SELECTORS: list[tuple[str, Callable[[Column], Column]]] = [
@@ -44,9 +45,25 @@ PRUNABLE = ["div", "section", "span", "p", "u", "b", "strong", "em"]
 KEEPS = ["img", "a", "table", "hr", "br", "iframe"]
 
 
+DROPPED = ["script", "style", "noscript", "iframe", "tableau-viz", "." + LEGACY_CLASS, *NOISE, "pdf-control"]
+HEADINGS = ["h1", "h2", "h3", "h4", "h5", "h6"]
+MARKS_OF_INTEREST = [
+    *DROPPED, FLIP, BUTTON, "." + FLIP_IMAGE, *HEADINGS, "main#main", "article", "b", "strong", "em", "i", "code", "pre",
+    "blockquote", "ul", "ol", "li", "td", "th",
+]
+page_events = event_parser(MARKS_OF_INTEREST, {"pdf-control": PDF_CONTROL})
+
+
 def parsed(pages: DataFrame, html: str = "html", carry: list[str] | None = None) -> DataFrame:
-    """One parse per page; only the named columns go with it."""
-    return pages.select(*(carry or ["page_id", "url"]), html_events(F.col(html)).alias("events"))
+    """One parse per page; only the named columns go with it.
+
+    Parsing is bound by Python time. A source of fewer tasks than the session
+    has slots is spread first; one of many row groups is read as it is.
+    """
+    wanted = carry or ["page_id", "url"]
+    return spread(pages.select(*wanted, F.col(html).alias("_html"))).select(
+        *wanted, page_events(F.col("_html")).alias("events")
+    )
 
 
 def container(events: Column, selectors=SELECTORS) -> Column:
@@ -154,8 +171,7 @@ def embed_rows(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
 def _replaced(e: Column) -> Column:
     """Inside something that is removed, or replaced by a link."""
-    control = F.exists(e["scope"], lambda m: m.startswith("href:") & m.rlike(PDF_CONTROL))
-    return within(e, "script", "style", "noscript", "iframe", "tableau-viz", "." + LEGACY_CLASS, *NOISE) | control
+    return within(e, *DROPPED)
 
 
 def _is_widget(e: Column, name: str) -> Column:
@@ -330,7 +346,6 @@ BOLD, BOLD_END, ITALIC, ITALIC_END = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3"
 LINK, LINK_URL, LINK_END = "\ufdd4", "\ufdd5", "\ufdd6"
 HEAD, INDENT, QUOTE, KEPT_LINE, KEPT_BLANK = "\ufdd7", "\ufdd8", "\ufdd9", "\ufdda", "\ufddb"
 MARKS = "[\ufdd0-\ufddb]"
-HEADINGS = ["h1", "h2", "h3", "h4", "h5", "h6"]
 BLOCKS = [
     "address", "article", "aside", "center", "dd", "div", "dl", "dt", "fieldset", "figure", "footer", "form", "header",
     "main", "nav", "p", "section", "table",
@@ -381,7 +396,8 @@ def _piece(e: Column, swap: Column, to: Callable[[Column], Column], picture: Cal
     none = F.lit("")
     opens = e["k"] == "o"
     tight = within(e, "li", "td", "th", *HEADINGS)
-    lists = F.filter(e["scope"], lambda m: m.isin("ul", "ol"))
+    lists = F.regexp_count(e["scope"], F.lit(f"{SEP}(?:ul|ol){SEP}"))
+    innermost = F.regexp_extract(e["scope"], f"(?s).*{SEP}(ul|ol){SEP}", 1)
     gap = F.when(tight, F.lit(" ")).when(within(e, "blockquote") & opens, F.lit("\n\n" + QUOTE)).otherwise(F.lit("\n\n"))
 
     text = F.regexp_replace(e["text"], MARKS, "\ufffd")
@@ -389,11 +405,11 @@ def _piece(e: Column, swap: Column, to: Callable[[Column], Column], picture: Cal
     flowing = F.regexp_replace(text, r"[ \t\r\n]+", " ")
     item = F.concat(
         F.lit("\n"),
-        F.repeat(F.lit(INDENT), F.greatest(F.size(lists) - 1, F.lit(0))),
-        F.when(F.try_element_at(lists, F.lit(-1)) == "ol", F.concat(attr(e, "#n"), F.lit(". "))).otherwise(F.lit("- ")),
+        F.repeat(F.lit(INDENT), F.greatest(lists - 1, F.lit(0))),
+        F.when(innermost == "ol", F.concat(attr(e, "#n"), F.lit(". "))).otherwise(F.lit("- ")),
     )
     rule = F.concat(F.lit("\n|"), F.repeat(F.lit(" --- |"), attr(e, "#items").cast("int")))
-    nested_list = F.size(lists) > 0
+    nested_list = lists > 0
 
     def pair(start: str, end: str) -> Column:
         return F.when(opens, F.lit(start)).otherwise(F.lit(end))
@@ -402,7 +418,7 @@ def _piece(e: Column, swap: Column, to: Callable[[Column], Column], picture: Cal
     widget = attr(e, "data-widget_type")
     whole = tag.isin("iframe", "tableau-viz") | widget.isin(FLIP, BUTTON) | ((tag == "object") & has_class(e, LEGACY_CLASS))
     return (
-        F.when(_replaced(e) | within(e, FLIP, BUTTON), none)
+        F.when(within(e, *DROPPED, FLIP, BUTTON), none)
         .when(tag == "#text", F.when(within(e, "pre"), kept).otherwise(flowing))
         .when(widget.isin(*NOISE), none)
         .when(whole, F.when(opens, F.coalesce(swap[e["i"]], none)).otherwise(none))

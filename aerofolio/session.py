@@ -57,3 +57,12 @@ def settle(df: DataFrame) -> DataFrame:
     """
     work_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """More tasks for costly per-row work, but only where the source has fewer than there are slots.
+
+    At scale the source has many more row groups than slots and nothing is shuffled.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df

@@ -64,34 +64,35 @@ def sessions(feed: DataFrame, keys: list[str], delay: str, gap: str) -> DataFram
     )
 
 
-def latest_per_key(feed: DataFrame, keys: list[str], tie: str, value: str, salts: int = 16) -> DataFrame:
+def latest_per_key(feed: DataFrame, keys: list[str], tie: str, value: str) -> DataFrame:
     """Every batch's new latest values, in append mode, so that a file sink can take them exactly once.
 
     A built-in aggregate would need update mode, which no file sink supports.
-    A busy key is spread over ``salts`` groups; each group keeps one row of
-    state, and ``current`` picks the winner among them.
+    Each task keeps only its own latest row per key before the shuffle, so a
+    busy sampling point reaches its group as a few rows per task.
     """
     fields = {f.name: f.dataType for f in feed.schema}
     row = [(k, fields[k]) for k in keys] + [("ts", T.LongType()), (tie, fields[tie]), (value, fields[value])]
+    names = [n for n, _ in row]
     shape = T.StructType([T.StructField(n, t) for n, t in row])
     state_shape = T.StructType([T.StructField(n, t) for n, t in row[len(keys):]])
 
+    def reduce(batches):
+        for rows in batches:
+            yield rows.sort_values(["ts", tie]).drop_duplicates(keys, keep="last")
+
     def advance(key, batches, state):
-        held = state.get if state.exists else None
-        best = held
+        held = best = state.get if state.exists else None
         for rows in batches:
-            top = rows.sort_values(["ts", tie]).iloc[-1]
-            found = (int(top["ts"]), top[tie].item(), top[value].item())
-            if best is None or found[:2] > tuple(best)[:2]:
-                best = found
+            for found in rows[names[len(keys):]].itertuples(index=False, name=None):
+                if best is None or found[:2] > tuple(best)[:2]:
+                    best = found
         if best is not held:
             state.update(tuple(best))
-            yield pd.DataFrame([[*key[: len(keys)], *best]], columns=[n for n, _ in row])
+            yield pd.DataFrame([[*key, *best]], columns=names)
 
-    salted = feed.select(
-        *keys, F.unix_micros("ts").alias("ts"), tie, value, F.pmod(F.xxhash64(tie), F.lit(salts)).alias("_salt")
-    )
-    return salted.groupBy(*keys, "_salt").applyInPandasWithState(
+    narrow = feed.select(*keys, F.unix_micros("ts").alias("ts"), tie, value)
+    return narrow.mapInPandas(reduce, shape).groupBy(*keys).applyInPandasWithState(
         advance, shape, state_shape, "append", GroupStateTimeout.NoTimeout
     )
 

@@ -7,6 +7,8 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+from .html import let
+
 # Whitespace characters, as a regex class body.
 SPACE = r"\t\n\x0b\f\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACES = re.compile(f"[{SPACE}]")
@@ -59,17 +61,20 @@ def shifted_level(level: Column, lowest: Column) -> Column:
 
 def normalise_headings(body: Column) -> Column:
     """P34, inside one row: no shuffle, one pass over the lines."""
-    lowest = F.array_min(heading_levels(body))
 
-    def one(line: Column) -> Column:
-        marks = F.regexp_extract(line, HEADING, 1)
-        level = shifted_level(F.length(marks), lowest)
-        return F.when(marks == "", line).otherwise(
-            F.concat(F.repeat(F.lit("#"), level), F.substring(line, F.length(marks) + 1, F.length(line)))
-        )
+    def moved(lowest: Column) -> Column:
+        def one(line: Column) -> Column:
+            marks = F.regexp_extract(line, HEADING, 1)
+            level = shifted_level(F.length(marks), lowest)
+            return F.when(
+                line.startswith("#") & (marks != ""),
+                F.concat(F.repeat(F.lit("#"), level), F.substring(line, F.length(marks) + 1, F.length(line))),
+            ).otherwise(line)
+
+        shifted = F.array_join(F.transform(F.split(body, "\n"), one), "\n")
+        return F.when(lowest.isNull() | (lowest == 2), body).otherwise(shifted)
 
-    moved = F.array_join(F.transform(F.split(body, "\n"), one), "\n")
-    return F.when(lowest.isNull() | (lowest == 2), body).otherwise(moved)
+    return let(F.array_min(heading_levels(body)), moved)
 
 
 def render_document(title: Column, url: Column, kind: Column, date: Column, body: Column) -> Column:

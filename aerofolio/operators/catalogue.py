@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import text as tx
 from ..session import spread
-from .ordered import fill_forward, row_numbers
+from .ordered import row_numbers
 
 # Heading of the id column, cells a row needs, smallest capture, smallest thumbnail.
 HEADER = "Serial number"
@@ -18,9 +18,10 @@ MIN_THUMBNAIL = 12000
 def table_rows(texts: DataFrame) -> DataFrame:
     """The data rows of the Markdown tables in ``(source, value)``, with their cells."""
     first = F.col("cells")[0]
-    # cells are cut before the explode: a filter on them must not run the cutting again
+    # cells are cut before the explode, and the explode is an outer one, so that neither the filter
+    # below nor an inferred "array is not empty" filter runs the cutting again
     cut = F.transform(tx.lines(F.col("value")), lambda line: F.when(line.startswith("|"), tx.table_cells(line)))
-    return spread(texts).select("source", F.posexplode(cut).alias("pos", "cells")).where(
+    return spread(texts).select("source", F.posexplode_outer(cut).alias("pos", "cells")).where(
         (F.size("cells") >= CELLS) & (first != HEADER) & ~first.rlike(r"^[- ]*$")
     )
 
@@ -29,11 +30,13 @@ def applications(texts: DataFrame) -> DataFrame:
     """The applications of a Markdown catalogue, in table order.
 
     The group is carried down before rows without a URL are dropped: such a
-    row still names the group of the rows under it.
+    row still names the group of the rows under it. ``source`` names one text,
+    so a window over it is never longer than a text that was one row before.
     """
     cells = F.col("cells")
     rows = table_rows(texts).withColumn("_box", tx.blank_to_null(tx.without_bold(cells[1])))
-    filled = fill_forward(rows, ["source"], [F.asc("pos")], "_box", "box")
+    above = W.partitionBy("source").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    filled = rows.withColumn("box", F.last("_box", ignorenulls=True).over(above))
     return filled.select(
         "source",
         "pos",

@@ -160,10 +160,18 @@ def embeds(content: Column, site: Column | str) -> Column:
     return F.concat(frames, views, legacy)
 
 
+def _rows(pages: DataFrame, key: str, items: Column, *fields: str) -> DataFrame:
+    """One row per array item with its position.
+
+    ``inline`` takes the array as a whole; picking fields after an explode would let the optimizer
+    compute it once per field. The outer form keeps it from computing it for a "not empty" filter.
+    """
+    numbered = F.transform(items, lambda x, i: F.struct(i.alias("pos"), *[x[f].alias(f) for f in fields]))
+    return pages.select(key, F.inline_outer(numbered)).where(F.col("pos").isNotNull())
+
+
 def embed_rows(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    return pages.select(key, F.posexplode("embeds").alias("pos", "embed")).select(
-        key, "pos", "embed.kind", "embed.label", "embed.href"
-    )
+    return _rows(pages, key, F.col("embeds"), "kind", "label", "href")
 
 
 # ---------------------------------------------------------------- widgets
@@ -254,9 +262,7 @@ def widget_blocks(boxes: Column, buttons: Column) -> Column:
 
 def widget_rows(pages: DataFrame, key: str = "page_id") -> DataFrame:
     blocks = widget_blocks(F.col("boxes"), F.col("buttons"))
-    return pages.select(key, F.posexplode(blocks).alias("pos", "block")).select(
-        key, "pos", "block.type", "block.level", "block.text", "block.href"
-    )
+    return _rows(pages, key, blocks, "type", "level", "text", "href")
 
 
 # ---------------------------------------------------------------- images, links
@@ -277,9 +283,9 @@ def images(content: Column, boxes: Column) -> Column:
 
 
 def image_rows(pages: DataFrame, site: Column | str, key: str = "page_id") -> DataFrame:
-    found = pages.select(key, F.posexplode(images(F.col("content"), F.col("boxes"))).alias("pos", "image"))
-    absolute = found.withColumn("url", urls.absolutise(site, F.col("image.src")))
-    return absolute.select(key, "pos", "url", urls.asset_name(F.col("url")).alias("name"), F.col("image.alt").alias("alt"))
+    found = _rows(pages, key, images(F.col("content"), F.col("boxes")), "src", "alt")
+    absolute = found.withColumn("url", urls.absolutise(site, F.col("src")))
+    return absolute.select(key, "pos", "url", urls.asset_name(F.col("url")).alias("name"), "alt")
 
 
 def name_collisions(image_table: DataFrame) -> DataFrame:
@@ -304,7 +310,7 @@ def link_rows(pages: DataFrame, column: str = "content", key: str = "page_id", w
             F.filter(F.col(column), lambda e: is_open(e, "a") & e["at"]["href"].isNotNull()),
             lambda e: F.struct(tx.strip(attr(e, "href")).alias("href")),
         )
-    return pages.select(key, F.posexplode(found).alias("pos", "link")).select(key, "pos", "link.*")
+    return _rows(pages, key, found, "href", *(["text"] if with_text else []))
 
 
 def hrefs(pages: DataFrame, key: str = "page_id") -> DataFrame:
@@ -313,8 +319,8 @@ def hrefs(pages: DataFrame, key: str = "page_id") -> DataFrame:
         F.filter("content", lambda e: is_open(e, "a") & e["at"]["href"].isNotNull()), lambda e: attr(e, "href")
     )
     swapped = [F.transform(F.col(c), lambda x: x["href"]) for c in ("embeds", "boxes", "buttons")]
-    found = F.filter(F.array_distinct(F.concat(own, *swapped)), lambda h: h.isNotNull())
-    return pages.select(key, F.explode(found).alias("href"))
+    found = F.array_distinct(F.concat(own, *swapped))
+    return pages.select(key, F.explode_outer(found).alias("href")).where(F.col("href").isNotNull())
 
 
 # ---------------------------------------------------------------- pruning
@@ -336,7 +342,8 @@ def prunable(content: Column) -> Column:
 
 def prune_rows(pages: DataFrame, key: str = "page_id") -> DataFrame:
     gone = F.transform(prunable(F.col("content")), lambda e: e["tag"])
-    return pages.select(key, F.explode(gone).alias("tag")).groupBy(key, "tag").agg(F.count("*").alias("n_pruned"))
+    tags = pages.select(key, F.explode_outer(gone).alias("tag")).where(F.col("tag").isNotNull())
+    return tags.groupBy(key, "tag").agg(F.count("*").alias("n_pruned"))
 
 
 # ---------------------------------------------------------------- Markdown

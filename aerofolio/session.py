@@ -20,6 +20,7 @@ def local_session(cpus: int | str = "*", app: str = "aerofolio") -> SparkSession
         .config("spark.driver.memory", "12g")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )

@@ -34,19 +34,19 @@ def applications(texts: DataFrame) -> DataFrame:
     so a window over it is never longer than a text that was one row before.
     """
     cells = F.col("cells")
-    rows = table_rows(texts).withColumn("_box", tx.blank_to_null(tx.without_bold(cells[1])))
-    above = W.partitionBy("source").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    filled = rows.withColumn("box", F.last("_box", ignorenulls=True).over(above))
-    return filled.select(
+    rows = table_rows(texts).select(
         "source",
         "pos",
         cells[0].alias("id"),
-        F.coalesce("box", F.lit("")).alias("box"),
+        tx.blank_to_null(tx.without_bold(cells[1])).alias("box"),
         clean_name(cells[2]).alias("name"),
         is_discontinued(cells[2]).alias("discontinued"),
         tx.without_bold(cells[3]).alias("previously"),
         tx.cell_url(cells[4]).alias("url"),
-    ).where(F.col("url").isNotNull())
+    )
+    above = W.partitionBy("source").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    filled = F.coalesce(F.last("box", ignorenulls=True).over(above), F.lit(""))
+    return rows.withColumn("box", filled).where(F.col("url").isNotNull())
 
 
 def clean_name(raw: Column) -> Column:

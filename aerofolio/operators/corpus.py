@@ -126,20 +126,28 @@ def alphabetical(slugs: DataFrame, slug: str = "slug", name: str = "ord") -> Dat
     return row_numbers(slugs, [], [F.asc(slug)], name)
 
 
-def place_in_sections(present: DataFrame, sections: DataFrame, reference: str) -> DataFrame:
+def place_in_sections(present: DataFrame, sections: list[tuple[str, list[str]]], reference: str,
+                      pinned: set[str] = frozenset()) -> DataFrame:
     """Each page in its section, the unplaced ones at the end of ``reference``.
 
-    ``sections`` is ``(section_ord, caption, ord, slug, pinned)``; pinned
-    entries stand for generated pages and need no document.
+    ``sections`` are captions with their slugs in order; pinned entries stand
+    for generated pages and need no document.
     """
-    have = present.select("slug").distinct()
-    listed = sections.where(~F.col("pinned")).join(have, "slug", "left_semi")
-    fixed = listed.unionByName(sections.where("pinned"))
-    tail = sections.where(F.col("caption") == reference).groupBy("section_ord", "caption").agg(
-        F.max("ord").alias("_last")
+    listed = [
+        (i, caption, j, slug, slug in pinned)
+        for i, (caption, slugs) in enumerate(sections, 1)
+        for j, slug in enumerate(slugs, 1)
+    ]
+    wanted = present.sparkSession.createDataFrame(
+        listed, "section_ord int, caption string, ord long, slug string, pinned boolean"
     )
-    rest = alphabetical(leftovers(have, sections), "slug", "_nth").withColumn("caption", F.lit(reference))
-    moved = rest.join(tail, "caption").select(
-        "section_ord", "caption", (F.col("_last") + F.col("_nth")).cast("long").alias("ord"), "slug"
+    have = present.select("slug").distinct()
+    placed = wanted.where(~F.col("pinned")).join(have, "slug", "left_semi").unionByName(wanted.where("pinned"))
+    at = [caption for caption, _ in sections].index(reference)
+    moved = alphabetical(leftovers(have, wanted), "slug", "_nth").select(
+        F.lit(at + 1).alias("section_ord"),
+        F.lit(reference).alias("caption"),
+        (F.col("_nth") + len(sections[at][1])).alias("ord"),
+        "slug",
     )
-    return fixed.select("section_ord", "caption", F.col("ord").cast("long").alias("ord"), "slug").unionByName(moved)
+    return placed.select("section_ord", "caption", "ord", "slug").unionByName(moved)

@@ -29,9 +29,13 @@ def with_follow_up(exceedances: DataFrame, follow_up: DataFrame, keys: list[str]
     """Each exceedance zone with its plans (flow H) or measures (flow K); zones without any stay.
 
     There is one exceedance row per key, so a zone with many plans adds one
-    row per plan and no more.
+    row per plan and no more. The outer join is written as inner plus anti:
+    an inner join may broadcast the exceedances or split a busy zone's plans,
+    which an outer join may not.
     """
-    return exceedances.join(follow_up, keys, "left")
+    found = exceedances.join(follow_up, keys)
+    bare = without_follow_up(exceedances, follow_up.select(*keys).distinct(), keys)
+    return found.unionByName(bare, allowMissingColumns=True)
 
 
 def without_follow_up(exceedances: DataFrame, follow_up: DataFrame, keys: list[str]) -> DataFrame:

@@ -313,16 +313,6 @@ def link_rows(pages: DataFrame, column: str = "content", key: str = "page_id", w
     return _rows(pages, key, found, "href", *(["text"] if with_text else []))
 
 
-def hrefs(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """Every href a page's Markdown will hold, once per page: anchors, embeds and widgets."""
-    own = F.transform(
-        F.filter("content", lambda e: is_open(e, "a") & e["at"]["href"].isNotNull()), lambda e: attr(e, "href")
-    )
-    swapped = [F.transform(F.col(c), lambda x: x["href"]) for c in ("embeds", "boxes", "buttons")]
-    found = F.array_distinct(F.concat(own, *swapped))
-    return pages.select(key, F.explode_outer(found).alias("href")).where(F.col("href").isNotNull())
-
-
 # ---------------------------------------------------------------- pruning
 
 
@@ -371,26 +361,26 @@ def _paragraph(*parts: Column) -> Column:
     return F.concat(F.lit("\n\n"), *parts, F.lit("\n\n"))
 
 
-def swaps(to: Callable[[Column], Column], picture: Callable[[Column], Column]) -> Column:
+def swaps(picture: Callable[[Column], Column]) -> Column:
     """``map<event index, Markdown>`` for the nodes that are replaced as a whole."""
     none = F.lit("")
 
     def embed(x: Column) -> Column:
         note = F.concat(F.lit(ITALIC), x["note"], F.lit(ITALIC_END))
-        return F.struct(x["i"], F.concat(_paragraph(note), _paragraph(_link(x["label"], to(x["href"])))).alias("md"))
+        return F.struct(x["i"], F.concat(_paragraph(note), _paragraph(_link(x["label"], x["href"]))).alias("md"))
 
     def box(b: Column) -> Column:
         md = F.concat(
             F.coalesce(_paragraph(_image(b["src"], b["alt"], picture)), none),
             F.lit("\n\n" + HEAD + "### "),
-            F.coalesce(_link(b["title"], to(b["href"])), b["title"]),
+            F.coalesce(_link(b["title"], b["href"]), b["title"]),
             F.lit("\n\n"),
             F.coalesce(_paragraph(b["text"]), none),
         )
         return F.struct(b["i"], md.alias("md"))
 
     def knob(b: Column) -> Column:
-        return F.struct(b["i"], _paragraph(_link(b["text"], to(b["href"]))).alias("md"))
+        return F.struct(b["i"], _paragraph(_link(b["text"], b["href"])).alias("md"))
 
     pairs = F.concat(
         F.transform("embeds", embed), F.transform("boxes", box), F.transform("buttons", knob)
@@ -398,7 +388,7 @@ def swaps(to: Callable[[Column], Column], picture: Callable[[Column], Column]) -
     return F.map_from_entries(pairs)
 
 
-def _piece(e: Column, swap: Column, to: Callable[[Column], Column], picture: Callable[[Column], Column]) -> Column:
+def _piece(e: Column, swap: Column, picture: Callable[[Column], Column]) -> Column:
     """Markdown of one event; blank for what is dropped."""
     none = F.lit("")
     opens = e["k"] == "o"
@@ -431,7 +421,7 @@ def _piece(e: Column, swap: Column, to: Callable[[Column], Column], picture: Cal
         .when(whole, F.when(opens, F.coalesce(swap[e["i"]], none)).otherwise(none))
         .when(tag == "a", F.when(attr(e, "href").rlike(PDF_CONTROL) | (attr(e, "href") == ""), none)
               .when(opens, F.lit(LINK))
-              .otherwise(F.concat(F.lit(LINK_URL), to(attr(e, "href")), F.lit(LINK_END))))
+              .otherwise(F.concat(F.lit(LINK_URL), F.regexp_replace(attr(e, "href"), MARKS, ""), F.lit(LINK_END))))
         .when(tag == "img", F.when(opens & _usable(_src(e)), _image(_src(e), attr(e, "alt"), picture)).otherwise(none))
         .when(tag.isin("b", "strong"),
               F.when(within(e, "b", "strong", "pre", "code"), none).otherwise(pair(BOLD, BOLD_END)))
@@ -455,18 +445,22 @@ def _piece(e: Column, swap: Column, to: Callable[[Column], Column], picture: Cal
 
 
 def _settled(raw: Column) -> Column:
-    """Whitespace moved out of markup, empty markup dropped, marks turned into Markdown."""
+    """Whitespace moved out of markup, empty markup dropped."""
     out = raw
     for _ in range(2):
         out = F.regexp_replace(out, f"([{BOLD}{ITALIC}{LINK}]+)([ \n]+)", "$2$1")
         out = F.regexp_replace(out, f"([ \n]+)([{BOLD_END}{ITALIC_END}]+)", "$2$1")
         out = F.regexp_replace(out, f"([ \n]+)({LINK_URL}[^{LINK_END}]*{LINK_END})", "$2$1")
         out = F.regexp_replace(out, f"{BOLD}{BOLD_END}|{ITALIC}{ITALIC_END}|{LINK}{LINK_URL}[^{LINK_END}]*{LINK_END}", "")
-    out = F.regexp_replace(out, f"{LINK}([^{LINK_URL}]+){LINK_URL}\\1{LINK_END}", "<$1>")
     out = F.regexp_replace(out, "[ \t]*\n[ \t]*", "\n")
     out = F.regexp_replace(out, " {2,}", " ")
     out = F.regexp_replace(out, f"{HEAD}#+ *(?=\n|\\z)", "")
-    out = F.regexp_replace(out, f"(\n\n{QUOTE})+(?=\n|\\z)", "")
+    return F.regexp_replace(out, f"(\n\n{QUOTE})+(?=\n|\\z)", "")
+
+
+def _plain(draft: Column) -> Column:
+    """Marks turned into Markdown; a link that shows its own target becomes ``<target>``."""
+    out = F.regexp_replace(draft, f"{LINK}([^{LINK_URL}]+){LINK_URL}\\1{LINK_END}", "<$1>")
     for mark, plain in (
         (BOLD, "**"), (BOLD_END, "**"), (ITALIC, "*"), (ITALIC_END, "*"), (LINK, "["), (LINK_URL, "]("), (LINK_END, ")"),
         (HEAD, ""), (INDENT, "  "), (QUOTE, "> "), (KEPT_LINE, "\n"), (KEPT_BLANK, " "),
@@ -475,28 +469,49 @@ def _settled(raw: Column) -> Column:
     return out
 
 
-def with_markdown(pages: DataFrame, site: Column | str, targets: str | None = None,
-                  picture: Callable[[Column], Column] | None = None, name: str = "body") -> DataFrame:
-    """A prepared page's content as Markdown, in ``name``.
+def drafted(pages: DataFrame, site: Column | str, picture: Callable[[Column], Column] | None = None) -> DataFrame:
+    """A prepared page's content as marked text, in ``draft``, in place of the parsed columns.
 
-    ``targets`` names a map column from href to its rewritten form (P40);
     ``picture`` gives the source an image is shown under. Blocks inside list
-    items and table cells are joined by a space.
+    items and table cells are joined by a space. A draft still holds the
+    page's own hrefs; it is far smaller than the events, so it is what travels
+    to the join with the link map.
     """
-
-    def to(href: Column) -> Column:
-        return href if targets is None else F.coalesce(F.col(targets)[href], href)
-
     show = picture or (lambda src: urls.absolutise(site, src))
-    pieces = F.transform("content", lambda e: _piece(e, F.col("_swaps"), to, show))
+    pieces = F.transform("content", lambda e: _piece(e, F.col("_swaps"), show))
     return (
-        pages.withColumn("_swaps", swaps(to, show))
-        .withColumn(name, tx.clean_markdown(_settled(F.array_join(pieces, ""))))
-        .withColumn(name, tx.normalise_headings(F.col(name)))
-        .drop("_swaps")
+        pages.withColumn("_swaps", swaps(show))
+        .withColumn("draft", _settled(F.array_join(pieces, "")))
+        .drop("_swaps", "content", "embeds", "boxes", "buttons")
     )
 
 
+def hrefs(drafts: DataFrame, key: str = "page_id") -> DataFrame:
+    """Every href of a page's draft, once per page."""
+    found = F.regexp_extract_all("draft", F.lit(f"{LINK_URL}([^{LINK_END}]*){LINK_END}"), F.lit(1))
+    return drafts.select(key, F.explode_outer(F.array_distinct(found)).alias("href")).where(F.col("href").isNotNull())
+
+
+def finished(drafts: DataFrame, targets: str | None = None, name: str = "body") -> DataFrame:
+    """Drafts to Markdown (P34, P35). ``targets`` names a map column from href to its rewritten form."""
+    text = F.col("draft")
+    if targets is not None:
+        # text and href take turns between the two marks
+        parts = F.split("draft", f"{LINK_URL}|{LINK_END}")
+
+        def put(part: Column, i: Column) -> Column:
+            to = F.coalesce(F.col(targets)[part], part)
+            return F.when(i % 2 == 1, F.concat(F.lit(LINK_URL), to, F.lit(LINK_END))).otherwise(part)
+
+        text = F.array_join(F.transform(parts, put), "")
+    return drafts.withColumn(name, tx.normalise_headings(tx.clean_markdown(_plain(text)))).drop("draft")
+
+
+def with_markdown(pages: DataFrame, site: Column | str, picture: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Prepared pages to Markdown in ``body``, links left as they are."""
+    return finished(drafted(pages, site, picture))
+
+
 def static_picture(depth_prefix: Column, site: Column | str) -> Callable[[Column], Column]:
     """Image sources as the files they were landed under (P28), relative to the document."""
     return lambda src: F.concat(depth_prefix, F.lit("_static/images/"), urls.asset_name(urls.absolutise(site, src)))

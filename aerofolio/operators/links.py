@@ -48,15 +48,17 @@ def resolve(
     href = F.col("_href")
     rows = links.withColumn("_href", tx.strip(F.col("href")))
     inside = urls.eligible(href) & urls.internal(href, internal_hosts)
-    # a link that cannot hit gets no key, and so takes no part in the join
-    rows = rows.withColumn("_key", F.when(inside, urls.path_key(href)))
+    # a link that cannot hit gets a key no path can have, spread by link and page: null keys would all
+    # meet in one task
+    elsewhere = F.concat(F.lit("#"), F.xxhash64(href, F.col(source)).cast("string"))
+    rows = rows.withColumn("_key", F.when(inside, urls.path_key(href)).otherwise(elsewhere))
     hit = rows.join(targets.withColumnRenamed("path_key", "_key"), "_key", "left")
     anchor = urls.fragment(href)
     hash_part = F.when(anchor != "", F.concat(F.lit("#"), anchor)).otherwise(F.lit(""))
     bare = urls.host(href) == ""
     outcome = (
         F.when(~urls.eligible(href), F.lit("not_eligible"))
-        .when(F.col("_key").isNull(), F.lit("external"))
+        .when(F.col("_key").startswith("#"), F.lit("external"))
         .when(F.col("_key") == news_key, F.lit("news_index"))
         .when(F.col("target").isNotNull(), F.lit("document"))
         .when(bare & href.startswith("/"), F.lit("site_absolute"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import text as tx, urls
 from ..functions.html import is_open, text_of
 from ..operators import content as ct, corpus, links as lk
+from ..session import settle
 from ..sources.files import table
 from .base import query
 from .portal import PARTS, SITE, page_docs
@@ -142,16 +143,18 @@ def p86(spark, d):
 
 
 def export(spark, d) -> DataFrame:
-    """All steps in order: parse, embeds and widgets, images, links rewritten by join, Markdown, page."""
+    """All steps in order: parse, embeds and widgets, images, links rewritten by join, Markdown, page.
+
+    Pages are parsed once; their drafts are settled, since both the link join and the texts come from them.
+    """
     docs = page_docs(spark, d)
     pages = ct.extract(ct.parsed(derived(spark, d).join(docs.drop("url"), "page_id"), carry=[
         "page_id", "url", "docname", "kind", "slug", "date"]))
-    ready = ct.prepared(pages, SITE)
-    refs = ct.hrefs(ready).join(docs.select("page_id", "docname"), "page_id")
+    drafts = settle(ct.drafted(ct.prepared(pages, SITE), SITE, ct.static_picture(F.lit("../"), SITE)))
+    refs = ct.hrefs(drafts).join(docs.select("page_id", "docname"), "page_id")
     found = lk.resolve(refs, lk.link_map(docs), SITE, []).select("page_id", "href", "resolved")
-    linked = ready.join(ct.href_targets(found, "page_id"), "page_id", "left")
-    picture = ct.static_picture(F.lit("../"), SITE)
-    bodies = ct.with_markdown(linked, SITE, "targets", picture)
+    linked = drafts.join(ct.href_targets(found, "page_id"), "page_id", "left")
+    bodies = ct.finished(linked, "targets")
     notice = F.concat(F.lit("No content of its own: "), "url")
     kept = corpus.with_placeholder(bodies, "body", notice)
     page = tx.render_document(F.col("slug"), F.col("url"), F.col("kind"), F.col("date"), F.col("body"))

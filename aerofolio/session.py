@@ -54,10 +54,13 @@ def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written rows.
 
     Used where a later step must see the same rows and the same partition
-    numbers even if an executor is lost and stages are run again.
+    numbers even if an executor is lost and stages are run again. A table is
+    written rather than a checkpoint: later steps read only the columns they
+    need, and joins see its true size.
     """
-    work_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = fresh_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

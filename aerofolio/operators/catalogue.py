@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import text as tx
-from ..session import spread
 from .ordered import row_numbers
 
 # Heading of the id column, cells a row needs, smallest capture, smallest thumbnail.
@@ -21,7 +20,7 @@ def table_rows(texts: DataFrame) -> DataFrame:
     # cells are cut before the explode, and the explode is an outer one, so that neither the filter
     # below nor an inferred "array is not empty" filter runs the cutting again
     cut = F.transform(tx.lines(F.col("value")), lambda line: F.when(line.startswith("|"), tx.table_cells(line)))
-    return spread(texts).select("source", F.posexplode_outer(cut).alias("pos", "cells")).where(
+    return texts.select("source", F.posexplode_outer(cut).alias("pos", "cells")).where(
         (F.size("cells") >= CELLS) & (first != HEADER) & ~first.rlike(r"^[- ]*$")
     )
 

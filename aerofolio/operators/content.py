@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as tx, urls
-from ..session import spread
 from ..functions.html import SEP, attr, event_parser, first, has_class, inside, is_open, let, text_of, within
 
 # Content containers in the order they are tried.
@@ -55,15 +54,8 @@ page_events = event_parser(MARKS_OF_INTEREST, {"pdf-control": PDF_CONTROL})
 
 
 def parsed(pages: DataFrame, html: str = "html", carry: list[str] | None = None) -> DataFrame:
-    """One parse per page; only the named columns go with it.
-
-    Parsing is bound by Python time. A source of fewer tasks than the session
-    has slots is spread first; one of many row groups is read as it is.
-    """
-    wanted = carry or ["page_id", "url"]
-    return spread(pages.select(*wanted, F.col(html).alias("_html"))).select(
-        *wanted, page_events(F.col("_html")).alias("events")
-    )
+    """One parse per page; only the named columns go with it. Bound by Python time: see ``session.spread``."""
+    return pages.select(*(carry or ["page_id", "url"]), page_events(F.col(html)).alias("events"))
 
 
 def container(events: Column, selectors=SELECTORS) -> Column:
@@ -486,10 +478,10 @@ def drafted(pages: DataFrame, site: Column | str, picture: Callable[[Column], Co
     )
 
 
-def hrefs(drafts: DataFrame, key: str = "page_id") -> DataFrame:
-    """Every href of a page's draft, once per page."""
+def hrefs(drafts: DataFrame, *carry: str) -> DataFrame:
+    """Every href of a page's draft, once per page, beside the columns named."""
     found = F.regexp_extract_all("draft", F.lit(f"{LINK_URL}([^{LINK_END}]*){LINK_END}"), F.lit(1))
-    return drafts.select(key, F.explode_outer(F.array_distinct(found)).alias("href")).where(F.col("href").isNotNull())
+    return drafts.select(*carry, F.explode_outer(F.array_distinct(found)).alias("href")).where(F.col("href").isNotNull())
 
 
 def finished(drafts: DataFrame, targets: str | None = None, name: str = "body") -> DataFrame:

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import text as tx, urls
 from ..functions.html import is_open, text_of
 from ..operators import content as ct, corpus, links as lk
-from ..session import settle
+from ..session import settle, spread
 from ..sources.files import table
 from .base import query
-from .portal import PARTS, SITE, page_docs
+from .portal import PARTS, SITE, as_docs, page_docs
 
 ARTICLE = [("article", lambda e: is_open(e, "article"))]
 BASE = f"base AS (SELECT *, {PARTS} FROM pages)"
@@ -48,7 +48,7 @@ def derived(spark, d) -> DataFrame:
         '<noscript><img src="/none.png"></noscript><img src="/a/', h, '/pic.jpg">',
     )
     html = c("<html><body><nav><a href='/n'>n</a></nav>", opening, body, "</div></main></body></html>")
-    return table(spark, d, "pages").select("page_id", "url", html.alias("html"))
+    return spread(table(spark, d, "pages").select("page_id", "url")).select("page_id", "url", html.alias("html"))
 
 
 def prepared(spark, d) -> DataFrame:
@@ -69,7 +69,7 @@ def p80(spark, d):
   s AS (SELECT page_id, array_to_string(list_filter(list_transform(parts, lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> ''), ' ') AS t FROM t)
   SELECT page_id, replace(replace(t, '&quot;', chr(34)), '&amp;', '&') AS content FROM s""")
 def p80_article(spark, d):
-    found = ct.extract(ct.parsed(table(spark, d, "pages")), ARTICLE)
+    found = ct.extract(ct.parsed(spread(table(spark, d, "pages"))), ARTICLE)
     return found.select("page_id", text_of(F.col("content")).alias("content"))
 
 
@@ -110,7 +110,7 @@ def p83_collisions(spark, d):
 
 @query("p84_links", r"""SELECT page_id, unnest(range(len(h))) AS pos, unnest(h) AS href FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS h FROM pages)""")
 def p84(spark, d):
-    return ct.link_rows(ct.parsed(table(spark, d, "pages")), "events", with_text=False)
+    return ct.link_rows(ct.parsed(spread(table(spark, d, "pages"))), "events", with_text=False)
 
 
 def with_body(rows: DataFrame) -> DataFrame:
@@ -125,7 +125,7 @@ def p85(spark, d):
         F.lit("<article><p><em>"), "p_name", F.lit(" <i>(<em>"), "p_brand", F.lit("</em>)</i> </em><b><strong>"), "p_type",
         F.lit(" </strong></b>"), F.col("p_size").cast("string"), F.lit("<u></u><b> </b></p></article>"),
     )
-    return with_body(table(spark, d, "part").select(F.col("p_partkey").alias("doc_id"), html.alias("html")))
+    return with_body(spread(table(spark, d, "part")).select(F.col("p_partkey").alias("doc_id"), html.alias("html")))
 
 
 @query("p86_markdown", r"""WITH l AS (SELECT doc_id, source, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '[ \t\r\n]+', ' ', 'g'))), lambda x: x <> '') AS ls FROM documents)
@@ -139,7 +139,7 @@ def p86(spark, d):
         F.lit(" </a><ul><li><img src='i.png'></ul></ul><table><tr><th>k<th>v</tr><tr><td>id</td><td> "), F.col("doc_id").cast("string"),
         F.lit("</td></tr></table><p>"), F.replace(safe, F.lit("\n"), F.lit("</p>\n<p>")), F.lit("</p></article>"),
     )
-    return with_body(table(spark, d, "documents").select("doc_id", html.alias("html")))
+    return with_body(spread(table(spark, d, "documents").select("doc_id", "source", "text")).select("doc_id", html.alias("html")))
 
 
 def export(spark, d) -> DataFrame:
@@ -147,12 +147,11 @@ def export(spark, d) -> DataFrame:
 
     Pages are parsed once; their drafts are settled, since both the link join and the texts come from them.
     """
-    docs = page_docs(spark, d)
-    pages = ct.extract(ct.parsed(derived(spark, d).join(docs.drop("url"), "page_id"), carry=[
-        "page_id", "url", "docname", "kind", "slug", "date"]))
-    drafts = settle(ct.drafted(ct.prepared(pages, SITE), SITE, ct.static_picture(F.lit("../"), SITE)))
-    refs = ct.hrefs(drafts).join(docs.select("page_id", "docname"), "page_id")
-    found = lk.resolve(refs, lk.link_map(docs), SITE, []).select("page_id", "href", "resolved")
+    pages = ct.parsed(as_docs(derived(spark, d), "html"), carry=["page_id", "url", "docname", "kind", "slug", "date"])
+    ready = ct.prepared(ct.extract(pages), SITE)
+    drafts = settle(ct.drafted(ready, SITE, ct.static_picture(F.lit("../"), SITE)))
+    targets = lk.link_map(page_docs(spark, d))
+    found = lk.resolve(ct.hrefs(drafts, "page_id", "docname"), targets, SITE, []).select("page_id", "href", "resolved")
     linked = drafts.join(ct.href_targets(found, "page_id"), "page_id", "left")
     bodies = ct.finished(linked, "targets")
     notice = F.concat(F.lit("No content of its own: "), "url")

@@ -8,7 +8,7 @@ from ..functions import text as tx, urls
 from ..operators import catalogue as cat, corpus, links as lk, ordered
 from ..operators import content
 from ..operators.deadlines import deadline_status
-from ..session import fresh_path
+from ..session import fresh_path, spread
 from ..sources import files
 from ..sources.files import table
 from .base import query
@@ -16,16 +16,19 @@ from .base import query
 SITE = "https://portal.example"
 
 
-def page_docs(spark, d) -> DataFrame:
+def as_docs(pages: DataFrame, *more: str) -> DataFrame:
     """Every page as a document: https pages are pages, the others posts."""
-    p = table(spark, d, "pages").select("page_id", "url")
     kind = F.when(F.col("url").startswith("https:"), F.lit("page")).otherwise(F.lit("post"))
-    return p.select(
+    return pages.select(
         "page_id", "url", kind.alias("kind"), F.concat(F.lit("doc"), "page_id").alias("slug"),
-        F.lit("2024-05-06T07:08:09").alias("date"), F.col("page_id").alias("pos"),
+        F.lit("2024-05-06T07:08:09").alias("date"), F.col("page_id").alias("pos"), *more,
     ).withColumn("docname", urls.docname(F.col("kind"), F.col("slug"), F.col("date")))
 
 
+def page_docs(spark, d) -> DataFrame:
+    return as_docs(table(spark, d, "pages"))
+
+
 DOCS = """docs AS (SELECT page_id, url, CASE WHEN url LIKE 'https:%' THEN 'page' ELSE 'post' END AS kind,
   CASE WHEN url LIKE 'https:%' THEN 'pages/doc' || page_id ELSE 'news/2024-05-06-doc' || page_id END AS docname,
   page_id AS pos FROM pages)"""
@@ -87,7 +90,7 @@ def p01(spark, d):
 def catalogue_texts(spark, d) -> DataFrame:
     """One five-column Markdown table per order."""
     key, group = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
-    return table(spark, d, "orders").select(
+    return spread(table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")).select(
         key.alias("source"),
         F.concat_ws(
             "\n",
@@ -447,11 +450,9 @@ def p40(spark, d):
   FROM all_links LEFT JOIN keys ON rtrim(href, '/') = k GROUP BY 1""")
 def p40_outcomes(spark, d):
     """Every link of every page, through the parser, to its outcome."""
-    pages = content.parsed(table(spark, d, "pages"))
-    found = content.link_rows(pages, "events", with_text=False)
-    docs = page_docs(spark, d)
-    named = found.join(docs.select("page_id", "docname"), "page_id")
-    return lk.outcome_counts(lk.resolve(named, lk.link_map(docs), SITE, []))
+    pages = as_docs(spread(table(spark, d, "pages").select("page_id", "url", "html")), "html")
+    found = content.link_rows(content.parsed(pages, carry=["docname"]), "events", "docname", with_text=False)
+    return lk.outcome_counts(lk.resolve(found, lk.link_map(page_docs(spark, d)), SITE, []))
 
 
 @query("p41_missing_assets", "SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")

@@ -21,7 +21,6 @@ def local_session(cpus: int | str = "*", app: str = "aerofolio") -> SparkSession
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -29,20 +28,19 @@ def local_session(cpus: int | str = "*", app: str = "aerofolio") -> SparkSession
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
     Only a local session, where driver and executors share one disk, may fall
     back to a temporary folder of this machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        if not named:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-            named = tempfile.mkdtemp(prefix="aerofolio-")
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        named = tempfile.mkdtemp(prefix="aerofolio-")
         sc.setCheckpointDir(named)
-    return named or sc.getCheckpointDir()
+    return named
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -63,10 +61,12 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """More tasks for costly per-row work, but only where the source has fewer than there are slots.
+def spread(scan: DataFrame) -> DataFrame:
+    """More tasks for costly per-row work on a plain scan, where it has fewer row groups than there are slots.
 
-    At scale the source has many more row groups than slots and nothing is shuffled.
+    At scale a scan has many more row groups than slots, and nothing is
+    shuffled. Only for scans: asking a plan with shuffles for its partitions
+    would run them.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    slots = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(slots) if scan.rdd.getNumPartitions() < slots else scan

@@ -470,12 +470,12 @@ def drafted(pages: DataFrame, site: Column | str, picture: Callable[[Column], Co
     to the join with the link map.
     """
     show = picture or (lambda src: urls.absolutise(site, src))
-    pieces = F.transform("content", lambda e: _piece(e, F.col("_swaps"), show))
-    return (
-        pages.withColumn("_swaps", swaps(show))
-        .withColumn("draft", _settled(F.array_join(pieces, "")))
-        .drop("_swaps", "content", "embeds", "boxes", "buttons")
-    )
+
+    def joined(swap: Column) -> Column:
+        return F.array_join(F.transform("content", lambda e: _piece(e, swap, show)), "")
+
+    # bound by let: as a plain column the optimizer would move it into the loop over events
+    return pages.withColumn("draft", _settled(let(swaps(show), joined))).drop("content", "embeds", "boxes", "buttons")
 
 
 def hrefs(drafts: DataFrame, *carry: str) -> DataFrame:

@@ -24,15 +24,15 @@ ITEMS = (
 
 def paged_items(batches: DataFrame, size: int = BATCH, schema: str = ITEMS) -> DataFrame:
     """Items of ``(kind, page_no, body)`` batches up to the first non-list, empty or short one."""
-    parsed = batches.withColumn(
-        "items", F.when(F.col("body").rlike(r"^\s*\["), F.from_json("body", schema))
-    ).withColumn("n", F.coalesce(F.size("items"), F.lit(0)))
-    ends = parsed.groupBy("kind").agg(F.min(F.when(F.col("n") < size, F.col("page_no"))).alias("end"))
-    return (
-        parsed.join(ends, "kind")
-        .where(F.col("end").isNull() | (F.col("page_no") <= F.col("end")))
-        .select("kind", "page_no", F.posexplode("items").alias("at", "item"))
-        .select("kind", ((F.col("page_no") - 1) * size + F.col("at")).cast("long").alias("pos"), "item.*")
+    # counting needs no parse; null for what is no list
+    counted = batches.withColumn("n", F.coalesce(F.json_array_length("body"), F.lit(0)))
+    ends = counted.groupBy("kind").agg(F.min(F.when(F.col("n") < size, F.col("page_no"))).alias("end"))
+    kept = counted.join(ends, "kind").where(
+        (F.col("end").isNull() | (F.col("page_no") <= F.col("end"))) & (F.col("n") > 0)
+    )
+    items = kept.select("kind", "page_no", F.posexplode_outer(F.from_json("body", schema)).alias("at", "item"))
+    return items.where(F.col("at").isNotNull()).select(
+        "kind", ((F.col("page_no") - 1) * size + F.col("at")).cast("long").alias("pos"), "item.*"
     )
 
 

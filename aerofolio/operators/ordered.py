@@ -25,6 +25,17 @@ def match(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left")
     return left.join(other, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def with_carry(part: DataFrame, carry: DataFrame, keys: list[str], state: str) -> DataFrame:
+    """Join to each slice's rows the state its key brings from earlier slices; null where there is none.
+
+    Slices follow each other in key order, so only a slice's first key can
+    come from an earlier slice: what is joined has at most one row per slice,
+    however many keys there are, and is broadcast on that ground. The rows
+    themselves do not move again.
+    """
+    return match(part, F.broadcast(carry.where(F.col(state).isNotNull())), [*keys, SLICE])
+
+
 def sliced(df: DataFrame, keys: list[str], order: list[Column], slices: int | None = None) -> DataFrame:
     """Rows range-partitioned by (keys, order) with their slice number; smaller slices come first."""
     by = [F.col(k) for k in keys] + order
@@ -45,13 +56,14 @@ def running_sum(
     carry = (
         cut.groupBy(*keys, SLICE)
         .agg(F.sum(value).alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .withColumn("_before", F.sum("_n").over(before))
         .drop("_n")
     )
     inside = W.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     part = cut.withColumn("_inside", F.sum(value).over(inside))
-    out = match(part, carry, [*keys, SLICE])
-    return out.withColumn(name, F.col("_inside") + F.col("_before")).drop("_inside", "_before", SLICE)
+    out = with_carry(part, carry, keys, "_before")
+    total = F.col("_inside") + F.coalesce("_before", F.lit(0))
+    return out.withColumn(name, total).drop("_inside", "_before", SLICE)
 
 
 def row_numbers(
@@ -83,17 +95,17 @@ def ranks(
     carry = steps.select(
         *keys,
         SLICE,
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
-        F.coalesce(F.sum("_d").over(before), F.lit(0)).alias("_d_before"),
+        F.sum("_n").over(before).alias("_n_before"),
+        F.sum("_d").over(before).alias("_d_before"),
     )
     inside = W.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     part = cut.withColumn("_n_in", F.sum("_rows").over(inside)).withColumn("_d_in", F.sum("_one").over(inside))
-    placed = match(part, carry, [*keys, SLICE])
+    placed = with_carry(part, carry, keys, "_n_before")
     cols = []
     if rank:
-        cols.append((F.col("_n_before") + F.col("_n_in") - F.col("_rows") + 1).alias(rank))
+        cols.append((F.coalesce("_n_before", F.lit(0)) + F.col("_n_in") - F.col("_rows") + 1).alias(rank))
     if dense:
-        cols.append((F.col("_d_before") + F.col("_d_in")).alias(dense))
+        cols.append((F.coalesce("_d_before", F.lit(0)) + F.col("_d_in")).alias(dense))
     return match(df, placed.select(*keys, by, *cols), [*keys, by])
 
 
@@ -114,7 +126,7 @@ def fill_forward(
         .withColumn("_before", F.last("_last", ignorenulls=True).over(before))
         .drop("_last")
     )
-    out = match(part, carry, [*keys, SLICE])
+    out = with_carry(part, carry, keys, "_before")
     return out.withColumn(name, F.coalesce("_inside", "_before")).drop("_inside", "_before", "_nth", SLICE)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.files import table
-from . import decontaminate, mixing, quality, simhash, substrings
+from . import decontaminate, language_models, licences, mixing, quality, simhash, substrings, warc
 
 
 def simhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -18,15 +18,32 @@ def decontamination(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def lm_scoring(spark: SparkSession, d: str) -> DataFrame:
+    """Documents against the model of those labelled good."""
+    good = table(spark, d, "labels").where("quality = 1").select("doc_id")
+    found = language_models.cross_entropy_difference(table(spark, d, "documents"), good)
+    return found.select(F.col("id").alias("doc_id"), "n_words", "score")
+
+
 def substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, d, "documents").select("doc_id", "text"), size=13).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def warc_archives(spark: SparkSession, d: str) -> DataFrame:
+    found = warc.archived(table(spark, d, "pages"), min_bytes=0)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")
+
+
 def mixing_sources(spark: SparkSession, d: str) -> DataFrame:
     found = mixing.rated(table(spark, d, "documents").select("doc_id", "text", "source"))
     return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def licence_scan(spark: SparkSession, d: str) -> DataFrame:
+    found = licences.scan(table(spark, d, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def quality_classifier(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     return quality.scored(docs, quality.train(docs, table(spark, d, "labels"))).select("doc_id", "held_out", "score", "predicted")
@@ -50,8 +67,11 @@ SELECT doc_id, size, source_size, target, size * (CAST(floor(r) AS BIGINT) + CAS
 QUERIES = {
     "op3_simhash_near_dedup": simhash_near_dedup,
     "op4_benchmark_decontamination": decontamination,
+    "op5_lm_scoring": lm_scoring,
     "op6_substring_dedup": substring_dedup,
+    "op7_warc_archives": warc_archives,
     "op8_mixing_sources": mixing_sources,
+    "op9_licence_scan": licence_scan,
     "op10_quality_classifier": quality_classifier,
 }
 ORACLE = {"op8_mixing_sources": MIXING_SQL}

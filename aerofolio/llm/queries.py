@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.files import table
-from . import decontaminate, language_models, licences, mixing, quality, simhash, substrings, warc
+from . import decontaminate, html_text, language_models, licences, mixing, neighbours, quality, simhash, substrings, warc
+
+
+def embedding_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    found = neighbours.near_duplicates(table(spark, d, "embeddings"), threshold=0.95)
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
+def html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    return html_text.extract(table(spark, d, "pages")).select("page_id", "url", "text", "n_chars")
 
 
 def simhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -65,6 +74,8 @@ SELECT doc_id, size, source_size, target, size * (CAST(floor(r) AS BIGINT) + CAS
 """
 
 QUERIES = {
+    "op1_embedding_near_dedup": embedding_near_dedup,
+    "op2_html_extraction": html_extraction,
     "op3_simhash_near_dedup": simhash_near_dedup,
     "op4_benchmark_decontamination": decontamination,
     "op5_lm_scoring": lm_scoring,

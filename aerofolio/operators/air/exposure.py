@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ...functions.numbers import exact_sum
+from ...functions.numbers import exact, exact_sum, inexact, total
+from ..ordered import ranks
 
 
 def exposed_share(cities: DataFrame, targets: DataFrame) -> DataFrame:
@@ -25,8 +26,8 @@ def weighted_levels(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def city_ranking(weighted: DataFrame, keys: list[str]) -> DataFrame:
-    """A52 over A37. One row per city is left here, a dimension, so a plain window does."""
-    return weighted.withColumn("place", F.rank().over(W.partitionBy(*keys).orderBy(F.desc("weighted_level"))))
+    """A52 over A37: cities ranked by level within ``keys``, ties sharing a place."""
+    return ranks(weighted, keys, "weighted_level", descending=True, rank="place")
 
 
 def attributable(level: Column, population: Column, beta: Column, threshold: Column) -> Column:
@@ -47,15 +48,13 @@ def burden(rows: DataFrame, scenarios: DataFrame) -> DataFrame:
     The finest level is summed first; the rollup expands those few rows only.
     """
     fine = _cases(rows, scenarios).groupBy("scenario", "country", "region").agg(
-        F.sum(F.col("cases").cast("decimal(18,6)")).alias("_c"),
-        F.sum(F.col("years_lost").cast("decimal(18,6)")).alias("_y"),
+        *[F.sum(part(F.col(c))).alias(f"_{n}_{c}") for c in ("cases", "years_lost") for n, part in (("in", exact), ("out", inexact))],
     )
     return (
         fine.rollup("scenario", "country", "region")
         .agg(
             F.grouping_id().cast("int").alias("level_id"),
-            F.sum("_c").cast("double").alias("cases"),
-            F.sum("_y").cast("double").alias("years_lost"),
+            *[total(F.sum(f"_in_{c}"), F.sum(f"_out_{c}")).alias(c) for c in ("cases", "years_lost")],
         )
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ...functions.numbers import exact
+from ...functions.numbers import exact, inexact, total
 from ..ordered import latest, ranks
 
 
@@ -28,12 +28,12 @@ def explorer(rows: DataFrame, dims: list[str], value: str) -> DataFrame:
     one row per combination instead of every input row.
     """
     fine = rows.groupBy(*dims).agg(
-        F.count("*").alias("_rows"), F.count(value).alias("_n"), F.sum(exact(F.col(value))).alias("_sum")
+        F.count("*").alias("_rows"), F.count(value).alias("_n"), F.sum(exact(F.col(value))).alias("_sum"), F.sum(inexact(F.col(value))).alias("_rest")
     )
     return fine.cube(*dims).agg(
         F.grouping_id().cast("int").alias("level_id"),
         F.sum("_rows").alias("n"),
-        (F.sum("_sum").cast("double") / F.sum("_n")).alias("mean"),
+        (total(F.sum("_sum"), F.sum("_rest")) / F.sum("_n")).alias("mean"),
     )
 
 
@@ -56,15 +56,15 @@ def status_overview(submissions: DataFrame, flows: list[str], tie: str) -> DataF
 def time_lag(rows: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
     """Days from measurement to availability; negative lags are counted apart.
 
-    Lags are whole days, so a histogram carries the quantiles exactly.
+    Lags are whole days, so a histogram carries the quantiles exactly. A key without a known lag has nulls and ``n`` 0.
     """
     lag = F.datediff("available", "measured")
     histogram = rows.groupBy(*keys, lag.alias("lag")).agg(F.count("*").alias("_n"))
-    valid = histogram.where(F.col("lag").isNotNull())
-    return valid.groupBy(*keys).agg(
-        F.sum("_n").alias("n"),
+    known = F.when(F.col("lag").isNotNull(), F.col("_n"))
+    return histogram.groupBy(*keys).agg(
+        F.coalesce(F.sum(known), F.lit(0)).alias("n"),
         F.sum(F.when(F.col("lag") < 0, F.col("_n")).otherwise(F.lit(0))).alias("n_negative"),
-        (F.sum(F.col("lag").cast("long") * F.col("_n")).cast("double") / F.sum("_n")).alias("mean_lag"),
+        (F.sum(F.col("lag").cast("long") * F.col("_n")).cast("double") / F.sum(known)).alias("mean_lag"),
         *[F.percentile("lag", F.lit(p), F.col("_n")).alias(name) for name, p in probs.items()],
     )
 
@@ -96,9 +96,14 @@ def unbroken_runs(years: DataFrame, keys: list[str], year: str = "yr") -> DataFr
 
 
 def missing_years(years: DataFrame, keys: list[str], first: int, last: int, year: str = "yr") -> DataFrame:
-    """Reporting years of the period a series has no data for."""
-    wanted = years.select(*keys).distinct().withColumn(year, F.explode(F.sequence(F.lit(first), F.lit(last))))
-    return wanted.join(years.select(*keys, year), [*keys, year], "left_anti")
+    """Reporting years of the period a series has no data for.
+
+    Observations are aggregated to one row per series, with the years it has; these are at most the period's.
+    """
+    there = F.collect_set(F.when(F.col(year).between(first, last), F.col(year)))
+    wanted = F.sequence(F.lit(first), F.lit(last))
+    series = years.groupBy(*keys).agg(there.alias("_there"))
+    return series.select(*keys, F.explode(F.array_except(wanted, "_there")).alias(year))
 
 
 def year_on_year(levels: DataFrame, keys: list[str], value: str = "level", year: str = "yr") -> DataFrame:

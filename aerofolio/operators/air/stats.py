@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ...functions.numbers import exact_mean
+from ...functions.numbers import exact, exact_mean, inexact, total
 from ..ordered import quantiles, ranks
 
 FIVE = {"minimum": 0.0, "lower_quartile": 0.25, "median": 0.5, "upper_quartile": 0.75, "maximum": 1.0}
@@ -29,6 +29,20 @@ def station_means(obs: DataFrame, unit: str, value: str = "conc", name: str = "l
     )
 
 
+def station_means_of(obs: DataFrame, units: list[str], value: str = "conc", name: str = "level") -> DataFrame:
+    """A25 for several units at once, with the unit in ``unit``.
+
+    The observations are read and added up by day once; days are what is added up to longer units.
+    """
+    days = obs.groupBy("sampling_point", "pollutant", period(F.col("ts"), "day").alias("_day")).agg(
+        F.sum(exact(F.col(value))).alias("_in"), F.sum(inexact(F.col(value))).alias("_out"), F.count(value).alias("_n"))
+    spans = F.array(*[F.struct(F.lit(u).alias("unit"), period(F.col("_day"), u).alias("period")) for u in units])
+    return (
+        days.select("*", F.explode(spans).alias("_span")).groupBy("sampling_point", "pollutant", F.col("_span.unit").alias("unit"), F.col("_span.period").alias("period"))
+        .agg((total(F.sum("_in"), F.sum("_out")) / F.sum("_n")).alias(name), F.sum("_n").alias("n_values"))
+    )
+
+
 def annual_levels(obs: DataFrame, value: str = "conc") -> DataFrame:
     """A22."""
     return (
@@ -54,7 +68,7 @@ def area_means(levels: DataFrame, stations: DataFrame, area: list[str], when: st
 
 
 def box_plot(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Minimum, quartiles and maximum, exact, by linear interpolation."""
+    """Minimum, quartiles and maximum, exact, by linear interpolation; a key without values has nulls."""
     return quantiles(rows, keys, value, FIVE)
 
 

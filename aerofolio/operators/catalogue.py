@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as tx
+from ..functions.html import let
 from .ordered import row_numbers
 
 # Heading of the id column, cells a row needs, smallest capture, smallest thumbnail.
@@ -12,6 +13,8 @@ HEADER = "Serial number"
 CELLS = 5
 MIN_CAPTURE = 5000
 MIN_THUMBNAIL = 12000
+# What a capture's message says.
+TIMED_OUT, NO_IMAGE, SIZE_UNIT = "timed out", "no image produced", " KB"
 
 
 def table_rows(texts: DataFrame) -> DataFrame:
@@ -25,27 +28,42 @@ def table_rows(texts: DataFrame) -> DataFrame:
     )
 
 
+def _grouped(rows: Column) -> Column:
+    """Rows of one text, each with the group named last above it; one slice for each group, so an array is cut once."""
+    named = F.filter(F.transform(rows, lambda r, i: F.when(r["box"].isNotNull(), i)), lambda i: i.isNotNull())
+    starts = F.array_distinct(F.concat(F.array(F.lit(0)), named))
+
+    def of(starts: Column) -> Column:
+        def part(start: Column, k: Column) -> Column:
+            end = F.coalesce(F.get(starts, k + 1), F.size(rows))
+            box = F.coalesce(F.get(rows, start)["box"], F.lit(""))
+            return F.transform(F.slice(rows, start + 1, end - start), lambda r: r.withField("box", box))
+
+        return F.flatten(F.transform(starts, part))
+
+    return F.when(F.size(rows) > 0, let(starts, of))
+
+
 def applications(texts: DataFrame) -> DataFrame:
     """The applications of a Markdown catalogue, in table order.
 
     The group is carried down before rows without a URL are dropped: such a
-    row still names the group of the rows under it. ``source`` names one text,
-    so a window over it is never longer than a text that was one row before.
+    row still names the group of the rows under it. All of it happens in the
+    text's own row, so nothing is shuffled.
     """
-    cells = F.col("cells")
-    rows = table_rows(texts).select(
-        "source",
-        "pos",
-        cells[0].alias("id"),
-        tx.blank_to_null(tx.without_bold(cells[1])).alias("box"),
-        clean_name(cells[2]).alias("name"),
-        is_discontinued(cells[2]).alias("discontinued"),
-        tx.without_bold(cells[3]).alias("previously"),
-        tx.cell_url(cells[4]).alias("url"),
-    )
-    above = W.partitionBy("source").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    filled = F.coalesce(F.last("box", ignorenulls=True).over(above), F.lit(""))
-    return rows.withColumn("box", filled).where(F.col("url").isNotNull())
+
+    def row(line: Column, pos: Column) -> Column:
+        return let(F.when(line.startswith("|"), tx.table_cells(line)), lambda cells: F.when(
+            (F.size(cells) >= CELLS) & (cells[0] != HEADER) & ~cells[0].rlike(r"^[- ]*$"),
+            F.struct(
+                pos.alias("pos"), cells[0].alias("id"), tx.blank_to_null(tx.without_bold(cells[1])).alias("box"), clean_name(cells[2]).alias("name"),
+                is_discontinued(cells[2]).alias("discontinued"), tx.without_bold(cells[3]).alias("previously"), tx.cell_url(cells[4]).alias("url"))))
+
+    rows = F.filter(F.transform(tx.lines(F.col("value")), row), lambda r: r.isNotNull())
+    # without a value there are no rows: an empty array would do, but the outer form keeps the work from being repeated in a filter
+    kept = let(rows, lambda r: F.filter(_grouped(r), lambda x: x["url"].isNotNull()))
+    out = texts.select("source", F.inline_outer(kept)).where(F.col("pos").isNotNull())
+    return out.select("source", "pos", "id", "box", "name", "discontinued", "previously", "url")
 
 
 def clean_name(raw: Column) -> Column:
@@ -70,13 +88,14 @@ def too_small(size: Column, least: int, strict: bool = False) -> Column:
 def capture_status(captures: DataFrame, least: int = MIN_CAPTURE, strict: bool = False,
                    least_thumbnail: int = MIN_THUMBNAIL) -> DataFrame:
     """P14 over ``(id, bytes, timed_out, thumbnail_bytes)``: ok, message, blank."""
+    late = F.coalesce("timed_out", F.lit(False))
     no_image = F.col("bytes").isNull() | too_small(F.col("bytes"), least, strict)
     message = (
-        F.when(F.col("timed_out"), F.lit("timed out"))
-        .when(no_image, F.lit("no image produced"))
-        .otherwise(F.concat(F.floor(F.col("bytes") / 1024).cast("string"), F.lit(" KB")))
+        F.when(late, F.lit(TIMED_OUT))
+        .when(no_image, F.lit(NO_IMAGE))
+        .otherwise(F.concat(F.floor(F.col("bytes") / 1024).cast("string"), F.lit(SIZE_UNIT)))
     )
-    ok = ~F.col("timed_out") & ~no_image
+    ok = ~late & ~no_image
     blank = ok & F.coalesce(F.col("thumbnail_bytes") < least_thumbnail, F.lit(False))
     return captures.withColumn("ok", ok).withColumn("message", message).withColumn("blank", blank)
 

@@ -510,6 +510,10 @@ def static_picture(depth_prefix: Column, site: Column | str) -> Callable[[Column
 
 
 def href_targets(resolved: DataFrame, key: str) -> DataFrame:
-    """One ``map<href, resolved>`` per page; it is as long as the page's own list of distinct hrefs."""
+    """One ``map<href, resolved>`` per page; it is as long as the page's own list of distinct hrefs.
+
+    A key that stands on several rows gets one map with the hrefs of all.
+    """
     pairs = F.collect_list(F.struct("href", "resolved"))
+    resolved = resolved.groupBy(key, "href").agg(F.min("resolved").alias("resolved"))
     return resolved.groupBy(key).agg(F.map_from_entries(pairs).alias("targets"))

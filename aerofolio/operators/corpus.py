@@ -13,6 +13,10 @@ DRAFT_SLUGS = ["test", "testing"]
 REPLACED_SLUGS = ["news"]
 # Fixed value: items per landed batch; a shorter batch is the last one.
 BATCH = 100
+# Notes on documents that have no text of their own.
+NO_CONTAINER, EMPTY = "no content container found", "empty document"
+# Why a page is left out.
+SCRATCH, BY_INDEX = "scratch page", "replaced by index"
 # Fixed value: how a file-sync client marks a copy ("name 2.md").
 COPY = r" \d+(\.[^.]+)$"
 
@@ -23,16 +27,20 @@ ITEMS = (
 
 
 def paged_items(batches: DataFrame, size: int = BATCH, schema: str = ITEMS) -> DataFrame:
-    """Items of ``(kind, page_no, body)`` batches up to the first non-list, empty or short one."""
+    """Items of ``(kind, page_no, body)`` batches up to the first non-list, empty or short one.
+
+    ``pos`` numbers a kind's items; batches longer than ``size`` leave gaps after the shorter ones, never equal numbers.
+    """
     # counting needs no parse; null for what is no list
     counted = batches.withColumn("n", F.coalesce(F.json_array_length("body"), F.lit(0)))
-    ends = counted.groupBy("kind").agg(F.min(F.when(F.col("n") < size, F.col("page_no"))).alias("end"))
+    ends = counted.groupBy("kind").agg(
+        F.min(F.when(F.col("n") < size, F.col("page_no"))).alias("end"), F.greatest(F.max("n"), F.lit(size)).alias("stride"))
     kept = counted.join(ends, "kind").where(
         (F.col("end").isNull() | (F.col("page_no") <= F.col("end"))) & (F.col("n") > 0)
     )
-    items = kept.select("kind", "page_no", F.posexplode_outer(F.from_json("body", schema)).alias("at", "item"))
+    items = kept.select("kind", "page_no", "stride", F.posexplode_outer(F.from_json("body", schema)).alias("at", "item"))
     return items.where(F.col("at").isNotNull()).select(
-        "kind", ((F.col("page_no") - 1) * size + F.col("at")).cast("long").alias("pos"), "item.*"
+        "kind", ((F.col("page_no") - 1).cast("long") * F.col("stride") + F.col("at")).alias("pos"), "item.*"
     )
 
 
@@ -42,7 +50,7 @@ def skip_reason(kind: Column, slug: Column, include_drafts: bool = False,
     draft = F.lit(not include_drafts) & slug.isin(drafts)
     return F.when(
         kind == "page",
-        F.when(draft, F.lit("scratch page")).when(slug.isin(replaced), F.lit("replaced by index")),
+        F.when(draft, F.lit(SCRATCH)).when(slug.isin(replaced), F.lit(BY_INDEX)),
     )
 
 
@@ -59,18 +67,19 @@ def plain_title(raw: Column) -> Column:
     return tx.strip(tx.collapse(plain_text(raw)))
 
 
-def named_ids(df: DataFrame, key: str, ids: str, names: DataFrame, out: str) -> DataFrame:
+def named_ids(df: DataFrame, ids: str, names: DataFrame, out: str) -> DataFrame:
     """Every id of an array to its name, or to the id as text; the order is kept.
 
-    ``names`` is ``(id, name)``. Only ids travel through the join, and each
-    regrouped array is as long as the array it came from.
+    ``names`` is ``(id, name)``, one row per id. Each different array is looked up once, so rows need no key, and each
+    regrouped array is as long as the array it came from. A null array gives an empty one.
     """
-    single = df.select(key, F.posexplode(ids).alias("_at", "_id"))
+    lists = df.select(F.col(ids).alias("_ids")).where("_ids is not null").distinct()
+    single = lists.select("_ids", F.posexplode("_ids").alias("_at", "_id"))
     looked_up = single.join(names.select(F.col("id").alias("_id"), "name"), "_id", "left")
     item = F.struct("_at", F.coalesce("name", F.col("_id").cast("string")).alias("text"))
-    back = looked_up.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("_items"))
+    back = looked_up.groupBy("_ids").agg(F.array_sort(F.collect_list(item)).alias("_items"))
     return (
-        df.join(back, key, "left")
+        df.join(back, F.col(ids) == F.col("_ids"), "left").drop("_ids")
         .withColumn(out, F.coalesce(F.transform("_items", lambda i: i["text"]), F.array().cast("array<string>")))
         .drop("_items")
     )
@@ -86,10 +95,26 @@ def with_placeholder(df: DataFrame, body: str, notice: Column) -> DataFrame:
     blank = tx.strip(F.col(body)) == ""
     return df.withColumn(
         "note",
-        F.when(F.col(body).isNull(), F.lit("no content container found")).when(blank, F.lit("empty document")),
+        F.when(F.col(body).isNull(), F.lit(NO_CONTAINER)).when(blank, F.lit(EMPTY)),
     ).withColumn(body, F.when(F.col("note").isNull(), F.col(body)).otherwise(notice))
 
 
+def embed_notes(pages: DataFrame) -> DataFrame:
+    """A note for each embed of prepared pages, with where its link goes."""
+    one = pages.select("docname", F.inline(F.transform("embeds", lambda e: F.struct(e["kind"].alias("kind"), e["href"].alias("detail")))))
+    return one.select("docname", "kind", "detail")
+
+
+def empty_notes(noted: DataFrame) -> DataFrame:
+    """A note for each document that ``with_placeholder`` has given the notice."""
+    return noted.where(F.col("note").isNotNull()).select("docname", F.lit("empty").alias("kind"), F.col("note").alias("detail"))
+
+
+def skipped(items: DataFrame, reason: Column) -> DataFrame:
+    """P10: the pages left out, with why; a list of its own beside the report."""
+    return items.withColumn("reason", reason).where(F.col("reason").isNotNull()).select("slug", "reason")
+
+
 def report(*notes: DataFrame) -> DataFrame:
     """The notes ``(docname, kind, detail)`` of all steps, in one table."""
     out = notes[0]

@@ -133,11 +133,11 @@ def fill_forward(
 def quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Exact quantiles by linear interpolation, one column per entry of ``probs``.
 
-    Equal values are counted first; a key is never gathered in one task.
+    Equal values are counted first; a key is never gathered in one task. A
+    key without values gets nulls.
     """
-    counted = (
-        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_rows"))
-    )
+    # a null value counts for nothing, but its row keeps the key
+    counted = df.groupBy(*keys, value).agg(F.count(value).alias("_rows"))
     placed = running_sum(counted, keys, [F.asc(value)], "_rows", "_upto")
     total = placed.groupBy(*keys).agg(F.max("_upto").alias("_total"))
     spots = match(placed, total, keys, "inner")
@@ -154,7 +154,7 @@ def quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float
         at = (F.col("_total") - 1) * F.lit(p)
         part = at - F.floor(at)
         lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        out.append(F.when(lo == hi, lo).otherwise((1 - part) * lo + part * hi).alias(name))
+        out.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * part).alias(name))
     return found.select(*keys, *out)
 
 

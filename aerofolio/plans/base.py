@@ -23,7 +23,8 @@ def query(name: str, sql: str | None = None):
 
 
 def dsum(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,6))) AS DOUBLE)"
+    """The library's exact sum. By way of text, as both engines round to a decimal and back correctly from there."""
+    return f"CAST(CAST(SUM(CAST(CAST({x} AS VARCHAR) AS DECIMAL(28,12))) AS VARCHAR) AS DOUBLE)"
 
 
 def mean(x: str) -> str:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import fresh_path
 from ..sources.files import table
 from ..streaming import feed as fd
 from .base import OBS, mean, query
@@ -35,7 +36,7 @@ def a70(spark, d):
 @query("a71_latest_values", f"""WITH {OBS} SELECT sampling_point, pollutant, ts, event_id, conc FROM (SELECT *, row_number() OVER (PARTITION BY sampling_point, pollutant
   ORDER BY ts DESC, event_id DESC) AS rn FROM obs) WHERE rn = 1""")
 def a71(spark, d):
-    changes = fd.appended(fd.latest_per_key(feed(spark, d), KEYS, "event_id", "conc"))
+    changes = fd.latest_per_key(feed(spark, d), KEYS, "event_id", fresh_path(spark, "latest"))
     return ntz(fd.current(changes, KEYS, "event_id"), "ts")
 
 

@@ -144,6 +144,16 @@ def p03(spark, d):
     return files.read_catalogue(spark, path, one_array_per_file=False)
 
 
+@query("p03_array_files", PART_APPS)
+def p03_files(spark, d):
+    """Each file one array over several lines, a file for each brand."""
+    path = fresh_path(spark, "catalogue-files")
+    arrays = part_apps(spark, d).groupBy("box").agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
+    lines = arrays.select(F.regexp_replace("value", r"\},\{", "},\n{").alias("value"), F.regexp_replace("box", "#", "").alias("brand"))
+    lines.write.partitionBy("brand").text(path)
+    return files.read_catalogue(spark, f"{path}/*")
+
+
 @query("p04_write_catalogue", PART_APPS)
 def p04(spark, d):
     path = fresh_path(spark, "catalogue")
@@ -444,6 +454,16 @@ def p40(spark, d):
     return resolved_links(spark, d).select("page_id", "n", "outcome", "resolved")
 
 
+FRONT = RESOLVED.replace("WHERE rn = 1),", "WHERE rn = 1 AND k <> '/' UNION ALL SELECT '/', docname FROM docs WHERE page_id = 7),", 1)
+
+
+@query("p40_front_page", f"WITH {DOCS}, {HREFS}, {FRONT} SELECT page_id, n, outcome, resolved FROM resolved")
+def p40_front(spark, d):
+    """With a document that answers for the site's root."""
+    links = lk.resolve(hrefs(spark, d), lk.link_map(page_docs(spark, d), front_slug="doc7"), SITE, internal_hosts(spark, d))
+    return links.select("page_id", "n", "outcome", "resolved")
+
+
 @query("p40_link_outcomes", f"""WITH {DOCS}, all_links AS (SELECT p.page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS href FROM pages p),
   parts AS (SELECT *, {PARTS} FROM docs), keys AS (SELECT DISTINCT rtrim(path, '/') AS k FROM parts)
   SELECT CASE WHEN k IS NULL THEN 'site_absolute' ELSE 'document' END AS outcome, COUNT(*) AS n_links
@@ -472,18 +492,21 @@ def p43(spark, d):
     k = F.col("c_nationkey")
     rows = table(spark, d, "customer").select("c_custkey", F.array(k, k + 7, 20 - k).alias("ids"))
     names = table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
-    return corpus.named_ids(rows, "c_custkey", "ids", names, "names").select("c_custkey", F.array_join("names", "|").alias("categories"))
+    return corpus.named_ids(rows, "ids", names, "names").select("c_custkey", F.array_join("names", "|").alias("categories"))
 
 
 @query("p44_group_pairing", """SELECT n_name AS box, lower(n_name) AS slug, coalesce(s.n, 0) AS n,
   CASE WHEN s.n IS NULL THEN 'no applications' WHEN c.k IS NULL THEN 'no page' END AS skip_reason FROM nation
-  LEFT JOIN (SELECT s_nationkey AS k, COUNT(*) AS n FROM supplier WHERE s_acctbal > 5000 GROUP BY 1) s ON s.k = n_nationkey
-  LEFT JOIN (SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_acctbal > 9900) c ON c.k = n_nationkey""")
+  LEFT JOIN (SELECT s_nationkey AS k, COUNT(*) AS n FROM supplier GROUP BY 1) s ON s.k = n_nationkey AND n_nationkey % 5 <> 3
+  LEFT JOIN (SELECT DISTINCT c_nationkey AS k FROM customer) c ON c.k = n_nationkey AND n_nationkey % 4 <> 1""")
 def p44(spark, d):
     nation = table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("box"), F.lower("n_name").alias("slug"))
-    apps = table(spark, d, "supplier").where("s_acctbal > 5000").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    pages = table(spark, d, "customer").where("c_acctbal > 9900").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    return cat.page_pairing(nation.select("box", "slug"), apps.select("box"), pages.select("slug"))
+    apps = table(spark, d, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    pages = table(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    # some groups and pages go by another name than the one they are looked for under
+    box = F.when(F.col("n_nationkey") % 5 == 3, F.concat(F.lit("old "), "box")).otherwise(F.col("box"))
+    slug = F.when(F.col("n_nationkey") % 4 == 1, F.concat(F.lit("old-"), "slug")).otherwise(F.col("slug"))
+    return cat.page_pairing(nation.select("box", "slug"), apps.select(box.alias("box")), pages.select(slug.alias("slug")))
 
 
 SECTIONS = [("Start", ["page 3", "page 1", "page none"]), ("Viewers", ["viewers/index", "page 20"]), ("Reference", ["page 8", "page 7"])]

@@ -6,10 +6,9 @@ query stops; started again on the same checkpoint it goes on from there.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ..functions.numbers import exact_sum
 from ..operators.ordered import latest
 from ..session import fresh_path
 
@@ -36,13 +35,13 @@ def window_means(feed: DataFrame, keys: list[str], value: str, delay: str, lengt
     return (
         feed.withWatermark("ts", delay)
         .groupBy(*keys, span.alias("span"))
-        .agg(F.count(value).alias("n"), F.sum(F.col(value).cast("decimal(18,6)")).alias("_sum"))
+        .agg(F.count(value).alias("n"), exact_sum(F.col(value)).alias("_sum"))
         .select(
             *keys,
             F.col("span.start").alias("window_start"),
             F.col("span.end").alias("window_end"),
             "n",
-            (F.col("_sum").cast("double") / F.col("n")).alias("mean"),
+            (F.col("_sum") / F.col("n")).alias("mean"),
         )
     )
 
@@ -50,10 +49,9 @@ def window_means(feed: DataFrame, keys: list[str], value: str, delay: str, lengt
 def sessions(feed: DataFrame, keys: list[str], delay: str, gap: str) -> DataFrame:
     """Spells of reporting per key, ended by a silence of ``gap``.
 
-    Sessions are merged inside each input task before the shuffle, so a busy
-    sampling point travels as sessions and not as rows.
+    With ``spark.sql.sessionWindow.merge.sessions.in.local.partition``, which the session's owner sets, sessions are
+    merged inside each input task before the shuffle, and a busy sampling point travels as sessions and not as rows.
     """
-    feed.sparkSession.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
     return (
         feed.withWatermark("ts", delay)
         .groupBy(*keys, F.session_window("ts", gap).alias("span"))
@@ -64,42 +62,25 @@ def sessions(feed: DataFrame, keys: list[str], delay: str, gap: str) -> DataFram
     )
 
 
-def latest_per_key(feed: DataFrame, keys: list[str], tie: str, value: str) -> DataFrame:
-    """Every batch's new latest values, in append mode, so that a file sink can take them exactly once.
+def latest_per_key(feed: DataFrame, keys: list[str], tie: str, path: str, checkpoint: str | None = None) -> DataFrame:
+    """Run the feed to the end of what has landed, keeping each batch's latest row per key below ``path``.
 
-    A built-in aggregate would need update mode, which no file sink supports.
-    Each task keeps only its own latest row per key before the shuffle, so a
-    busy sampling point reaches its group as a few rows per task.
+    A batch is reduced by the same mergeable aggregate as a table and written to a folder named by its number, so a
+    batch that is run again replaces what it wrote. ``current`` merges the folders.
     """
-    fields = {f.name: f.dataType for f in feed.schema}
-    row = [(k, fields[k]) for k in keys] + [("ts", T.LongType()), (tie, fields[tie]), (value, fields[value])]
-    names = [n for n, _ in row]
-    shape = T.StructType([T.StructField(n, t) for n, t in row])
-    state_shape = T.StructType([T.StructField(n, t) for n, t in row[len(keys):]])
-
-    def reduce(batches):
-        for rows in batches:
-            yield rows.sort_values(["ts", tie]).drop_duplicates(keys, keep="last")
-
-    def advance(key, batches, state):
-        held = best = state.get if state.exists else None
-        for rows in batches:
-            for found in rows[names[len(keys):]].itertuples(index=False, name=None):
-                if best is None or found[:2] > tuple(best)[:2]:
-                    best = found
-        if best is not held:
-            state.update(tuple(best))
-            yield pd.DataFrame([[*key, *best]], columns=names)
-
-    narrow = feed.select(*keys, F.unix_micros("ts").alias("ts"), tie, value)
-    return narrow.mapInPandas(reduce, shape).groupBy(*keys).applyInPandasWithState(
-        advance, shape, state_shape, "append", GroupStateTimeout.NoTimeout
-    )
+
+    def keep(rows: DataFrame, batch: int) -> None:
+        latest(rows.where(F.col("ts").isNotNull()), keys, ["ts", tie]).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    spark = feed.sparkSession
+    query = feed.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint or fresh_path(spark, "feed-state")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(feed.schema).option("recursiveFileLookup", "true").parquet(path)
 
 
 def current(changes: DataFrame, keys: list[str], tie: str) -> DataFrame:
-    """The newest change per key of what ``latest_per_key`` has written."""
-    return latest(changes, keys, ["ts", tie]).withColumn("ts", F.timestamp_micros("ts"))
+    """The newest row per key of what ``latest_per_key`` has written. Rows without a time are never the latest."""
+    return latest(changes.where(F.col("ts").isNotNull()), keys, ["ts", tie])
 
 
 def appended(stream: DataFrame, path: str | None = None, checkpoint: str | None = None) -> DataFrame:

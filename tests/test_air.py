@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from aerofolio.functions.numbers import exact_mean, exact_sum
 from aerofolio.operators.air import compliance as cp, exposure as ex, monitor as mo, now as nw, observations as ob, stats as st
 
 
@@ -52,14 +53,56 @@ def test_ranks_and_top(spark):
     assert [r.sampling_point for r in st.most_polluted(levels, 2).collect()] == [2, 3]
 
 
-@pytest.mark.parametrize("rows", [10_000, 0])
-def test_bands(spark, rows):
+@pytest.mark.parametrize("find", [nw.banded, nw.banded_by_order])
+def test_bands(spark, find):
     bands = spark.createDataFrame([("x", 0.0, 1.0, 1), ("x", 1.0, 2.0, 2), ("x", 5.0, 6.0, 3), ("y", 0.0, 9.0, 4)], "pollutant string, lo double, hi double, band int")
     values = [("x", -1.0), ("x", 0.0), ("x", 0.999), ("x", 1.0), ("x", 2.0), ("x", 5.5), ("x", None), ("y", 5.0), ("z", 1.0), ("x", 1.0)]
-    got = nw.banded(spark.createDataFrame([(p, v, i) for i, (p, v) in enumerate(values)], "pollutant string, conc double, i int"), bands, broadcast_rows=rows)
+    got = nw.banded(spark.createDataFrame([(p, v, i) for i, (p, v) in enumerate(values)], "pollutant string, conc double, i int"), bands)
     assert {r.i: r.band for r in got.collect()} == dict(enumerate([None, 1, 1, 2, None, 3, None, 4, None, 2]))
 
 
+@pytest.mark.parametrize("find", [nw.banded, nw.banded_by_order])
+def test_open_ended_and_null_bands(spark, find):
+    shape = "pollutant string, lo double, hi double, band int"
+    bands = spark.createDataFrame([("a", None, 10.0, 1), ("a", 10.0, 20.0, 2), (None, 0.0, 9.0, 7), ("b", 5.0, None, 3), ("c", 4.0, 4.0, 9)], shape)
+    inf = float("inf")
+    values = [("a", 1.0), ("a", -inf), ("a", 10.0), ("a", 20.0), (None, 3.0), ("b", 4.0), ("b", inf), ("b", float("nan")), ("b", None), ("c", 4.0)]
+    df = spark.createDataFrame([(p, v, i) for i, (p, v) in enumerate(values)], "pollutant string, conc double, i int")
+    assert {r.i: r.band for r in find(df, bands).collect()} == dict(enumerate([1, 1, 2, None, None, None, 3, None, None, None]))
+    overlapping = bands.union(spark.createDataFrame([("a", 15.0, 30.0, 4)], shape))
+    with pytest.raises(Exception, match="bands overlap: a"):
+        find(df, overlapping).collect()
+
+
+@pytest.mark.parametrize("values, total, mean", [
+    ([1e-7, 2e-7], 3e-7, 1.5e-7), ([2e12], 2e12, 2e12), ([1e300, 1.0], 1e300, 5e299), ([float("nan"), 1.0], None, None), ([float("inf"), 1.0], float("inf"), float("inf")),
+    ([None, 4.0], 4.0, 4.0), ([0.1] * 10, 1.0, 0.1), ([0.0, 1e-20], 1e-20, 5e-21)])
+def test_sums_of_any_size(spark, values, total, mean):
+    r = spark.createDataFrame([(v,) for v in values], "v double").agg(exact_sum(F.col("v")).alias("s"), exact_mean(F.col("v")).alias("m")).first()
+    if total is None:
+        assert r.s != r.s and r.m != r.m
+    else:
+        assert (r.s, r.m) == pytest.approx((total, mean), rel=1e-15)
+
+
+def test_sums_over_nothing(spark):
+    none = spark.createDataFrame([(None,)], "v double")
+    assert tuple(none.agg(exact_sum(F.col("v")), exact_mean(F.col("v"))).first()) == (None, None)
+
+
+def test_groups_without_values_stay(spark):
+    df = spark.createDataFrame([("a", None), ("b", 1.0), ("b", None)], "g string, v double")
+    assert {r.g: tuple(r)[1:] for r in st.box_plot(df, ["g"], "v").collect()} == {"a": (None,) * 5, "b": (1.0,) * 5}
+    lags = spark.createDataFrame([("f", None, None)], "flow string, measured timestamp_ntz, available timestamp_ntz")
+    assert tuple(mo.time_lag(lags, ["flow"], {"median": 0.5}).first()) == ("f", 0, 0, None, None)
+
+
+def test_several_periods_in_one_scan(spark):
+    obs = spark.createDataFrame([(1, "x", ts(1), 1.0), (1, "x", ts(1, 5), 2.0), (1, "x", ts(9), 6.0), (1, "x", ts(9), None)], OBS)
+    got = {(r.unit, r.period.day): (r.level, r.n_values) for r in st.station_means_of(obs, ["day", "week", "month"]).collect()}
+    assert got == {("day", 1): (1.5, 2), ("day", 9): (6.0, 1), ("week", 1): (1.5, 2), ("week", 8): (6.0, 1), ("month", 1): (3.0, 3)}
+
+
 def test_verify(spark):
     a = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, 3.0)], "k int, computed double")
     b = spark.createDataFrame([(2, 2.05), (3, 4.0), (4, 4.0)], "k int, reported double")

@@ -38,49 +38,62 @@ ENDS_SIBLING = {
     "th": ({"td", "th"}, {"tr", "table"}),
 }
 COUNTED_IN = {"li": {"ul", "ol"}, "tr": {"table"}, "td": {"tr"}, "th": {"tr"}}
+# what shows without text
+SHOWING = {"img", "iframe", "tableau-viz", "object"}
 ATTRIBUTES = {
-    "alt", "class", "data-elementor-type", "data-src", "data-widget_type", "href", "id", "name", "src", "title", "value",
+    "alt", "colspan", "class", "data-elementor-type", "data-src", "data-widget_type", "href", "id", "name", "src", "start", "title", "value",
 }
-SEP = "\x1f"
+#: One column of indent, and one level of quoting, in ``lead``; noncharacters, so no text has them.
+INDENT, QUOTE = "\ufdd8", "\ufdd9"
 
 EVENTS = T.ArrayType(
     T.StructType()
     .add("i", T.IntegerType()).add("j", T.IntegerType()).add("k", T.StringType()).add("tag", T.StringType())
-    .add("at", T.MapType(T.StringType(), T.StringType())).add("text", T.StringType()).add("scope", T.StringType())
+    .add("at", T.MapType(T.StringType(), T.StringType())).add("text", T.StringType()).add("scope", T.LongType())
+    .add("lead", T.StringType()).add("full", T.BooleanType())
 )
 
 
 class _Page:
     """Appends one page's balanced events to the columns of a batch."""
 
-    def __init__(self, out: _Batch, marks: frozenset, link_marks: list) -> None:
-        self.out, self.marks, self.link_marks = out, marks, link_marks
-        self.base = len(out.k)
-        self.stack: list[list] = []  # [tag, event, counted children, scope inside, ordinal]
+    def __init__(self, out: _Batch, marks: Marks, only: frozenset | None) -> None:
+        self.out, self.marks, self.only = out, marks, only
+        self.base, self.shown = len(out.k), 0
+        # tag, event, counted children, scope and lead inside, attributes of the end, what had been shown at the start,
+        # whether no list item has come yet
+        self.stack: list[list] = []
 
-    def emit(self, kind: str, tag: str, at: list, text: str | None, scope: str) -> int:
+    def emit(self, kind: str, tag: str, at: list, text: str | None) -> int:
+        if self.only is not None and (tag not in self.only or kind != "o"):
+            return -1
         out, i = self.out, len(self.out.k) - self.base
+        scope, lead = self.stack[-1][3:5] if self.stack else (0, "")
         out.i.append(i)
         out.j.append(i)
         out.k.append(kind)
         out.tag.append(tag)
         out.text.append(text)
         out.scope.append(scope)
+        out.lead.append(lead)
+        out.full.append(text is not None)
         for name, value in at:
             out.names.append(name)
             out.values.append(value)
         out.at_ends.append(len(out.names))
         return i
 
-    def scope(self) -> str:
-        return self.stack[-1][3] if self.stack else ""
+    def show(self) -> None:
+        if not (self.stack and self.stack[-1][3] & self.marks.hidden):
+            self.shown += 1
 
     def close_top(self) -> None:
-        tag, start, items, _, extra = self.stack.pop()
-        outer = self.out.scope[self.base + start]
+        tag, start, items, _, _, extra, shown, _ = self.stack.pop()
         at = extra + [("#items", str(items))] if tag == "tr" else extra
-        end = self.emit("c", tag, at, None, outer)
-        self.out.j[self.base + start], self.out.j[self.base + end] = end, start
+        end = self.emit("c", tag, at, None)
+        if start >= 0 and end >= 0:
+            self.out.j[self.base + start], self.out.j[self.base + end] = end, start
+            self.out.full[self.base + start] = self.out.full[self.base + end] = self.shown > shown
 
     def close_back_to(self, tags: set, stop: set) -> None:
         for depth in range(len(self.stack) - 1, -1, -1):
@@ -103,30 +116,29 @@ class _Page:
             if name in ATTRIBUTES and name not in at:
                 value = double or single or bare
                 at[name] = unescape(value) if "&" in value else value
-        kept = [("href", at["href"])] if tag == "a" and "href" in at else []
+        kept = [(n, at[n]) for n in ("href", "title") if n in at] if tag == "a" and "href" in at else []
         if tag in COUNTED_IN:
-            for holder in reversed(self.stack):
-                if holder[0] in COUNTED_IN[tag]:
-                    holder[2] += 1
-                    at["#n"] = str(holder[2])
-                    kept = [("#n", at["#n"])]
-                    break
-        i = self.emit("o", tag, list(at.items()), None, self.scope())
-        inner = self.scope()
-        for mark in self.marks_of(tag, at):
-            inner += SEP + mark + SEP
-        self.stack.append([tag, i, 0, inner, kept])
+            holder = next((h for h in reversed(self.stack) if h[0] in COUNTED_IN[tag]), None)
+            if holder is not None:
+                if tag == "li" and holder[7]:
+                    holder[7], at["#first"] = False, ""
+                holder[2] += _span(at) if tag in ("td", "th") else 1
+                at["#n"], at["#in"] = str(holder[2]), holder[0]
+                kept = [("#n", at["#n"])] + [("#span", str(_span(at)))] * (tag in ("td", "th"))
+        i, shown = self.emit("o", tag, list(at.items()), None), self.shown
+        scope, lead = self.stack[-1][3:5] if self.stack else (0, "")
+        if tag in SHOWING:
+            self.show()
+        if tag == "li":
+            lead += INDENT * (len(at["#n"]) + 2 if at.get("#in") == "ol" else 2)
+        elif tag == "blockquote":
+            lead += QUOTE
+        begin = at.get("start", "") if tag == "ol" else ""
+        count = int(begin) - 1 if begin.isascii() and begin.isdigit() and len(begin) < 10 else 0
+        self.stack.append([tag, i, count, scope | self.marks.bits(tag, at), lead, kept, shown, True])
         if tag in VOID:
             self.close_top()
 
-    def marks_of(self, tag: str, at: dict):
-        found = [tag, at.get("data-widget_type"), f"{tag}#{at['id']}" if "id" in at else None]
-        if "class" in at:
-            found += ["." + c for c in at["class"].split()]
-        yield from (m for m in found if m in self.marks)
-        if tag == "a" and "href" in at:
-            yield from (mark for mark, pattern in self.link_marks if pattern.search(at["href"]))
-
     def read(self, html: str) -> None:
         pos, n = 0, len(html)
         while pos < n:
@@ -134,7 +146,10 @@ class _Page:
             upto = hit.start() if hit else n
             if upto > pos:
                 text = html[pos:upto]
-                self.emit("t", "#text", (), unescape(text) if "&" in text else text, self.scope())
+                text = unescape(text) if "&" in text else text
+                if not text.isspace():
+                    self.show()
+                self.emit("t", "#text", (), text)
             if hit is None:
                 break
             pos = hit.end()
@@ -158,7 +173,7 @@ class _Batch:
     """Flat columns of many pages' events, assembled into one nested Arrow array at the end."""
 
     def __init__(self) -> None:
-        self.i, self.j, self.k, self.tag, self.text, self.scope = [], [], [], [], [], []
+        self.i, self.j, self.k, self.tag, self.text, self.scope, self.lead, self.full = [], [], [], [], [], [], [], []
         self.names, self.values, self.at_ends = [], [], [0]
 
     def array(self, ends: list) -> pa.Array:
@@ -168,31 +183,75 @@ class _Batch:
         flat = pa.StructArray.from_arrays(
             [
                 pa.array(self.i, pa.int32()), pa.array(self.j, pa.int32()), pa.array(self.k, pa.string()),
-                pa.array(self.tag, pa.string()), at, pa.array(self.text, pa.string()), pa.array(self.scope, pa.string()),
+                pa.array(self.tag, pa.string()), at, pa.array(self.text, pa.string()), pa.array(self.scope, pa.int64()),
+                pa.array(self.lead, pa.string()), pa.array(self.full, pa.bool_()),
             ],
-            names=["i", "j", "k", "tag", "at", "text", "scope"],
+            names=["i", "j", "k", "tag", "at", "text", "scope", "lead", "full"],
         )
         # a null offset marks a null page
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
 
 
-def event_parser(marks: list[str] = (), link_marks: dict[str, str] | None = None):
-    """UDF from HTML to events whose ``scope`` names those of ``marks`` that are open around them.
+class Marks:
+    """Names that events are marked with while an element of that kind is open around them, as bits of ``scope``.
 
     A mark is a tag, ``.class``, ``tag#id`` or widget type; a link mark is given to links whose href
-    matches its pattern. Only marks asked for are kept, so deep pages do not carry long scopes.
+    matches its pattern. What stands within one of ``hidden`` doesn't show.
+    """
+
+    def __init__(self, names: list[str] = (), links: dict[str, str] | None = None, hidden: list[str] = ()) -> None:
+        self.bit = {n: 1 << i for i, n in enumerate(dict.fromkeys([*names, *(links or {})]))}
+        if len(self.bit) > 63:
+            raise ValueError("a scope holds 63 marks")
+        self.links = [(self.bit[n], re.compile(p)) for n, p in (links or {}).items()]
+        self.hidden = self.mask(*hidden)
+
+    def mask(self, *names: str) -> int:
+        return sum({self.bit[n] for n in names})
+
+    def bits(self, tag: str, at: dict) -> int:
+        bit = self.bit
+        out = bit.get(tag, 0)
+        if at:
+            if "data-widget_type" in at:
+                out |= bit.get(at["data-widget_type"], 0)
+            if "id" in at:
+                out |= bit.get(f"{tag}#{at['id']}", 0)
+            for c in at["class"].split() if "class" in at else ():
+                out |= bit.get("." + c, 0)
+            if tag == "a" and "href" in at:
+                for mark, pattern in self.links:
+                    if pattern.search(at["href"]):
+                        out |= mark
+        return out
+
+    def within(self, e: Column, *names: str) -> Column:
+        """Inside an element with one of the marks."""
+        return e["scope"].bitwiseAND(F.lit(self.mask(*names))) != 0
+
+
+def _span(at: dict) -> int:
+    """Columns of a table cell."""
+    value = at.get("colspan", "")
+    return min(max(int(value), 1), 1000) if value.isascii() and value.isdigit() and len(value) < 10 else 1
+
+
+def event_parser(marks: Marks | None = None, only: list[str] | None = None):
+    """UDF from HTML to events.
+
+    ``scope`` has the bits of the marks that are open around an event; ``lead`` is what its lines are led in with, for the list items and
+    quotes around it; ``full`` tells of an element whether anything in it shows. With ``only``, nothing but the start events
+    of these tags comes out.
     """
-    wanted = frozenset(marks)
-    patterns = list((link_marks or {}).items())
+    marks, tags = marks or Marks(), frozenset(only) if only is not None else None
 
     @arrow_udf(EVENTS)
     def parse(html: pa.Array) -> pa.Array:
-        compiled = [(mark, re.compile(p)) for mark, p in patterns]
         batch, ends = _Batch(), []
         for page in html.to_pylist():
             ends.append(None if page is None else len(batch.k))
             if page is not None:
-                _Page(batch, wanted, compiled).read(page)
+                _Page(batch, marks, tags).read(page)
         return batch.array(ends + [len(batch.k)])
 
     return parse
@@ -214,15 +273,6 @@ def has_class(e: Column, name: str) -> Column:
     return F.array_contains(F.split(attr(e, "class"), r"\s+"), name)
 
 
-def scope_pattern(*marks: str) -> str:
-    return SEP + "(?:" + "|".join(re.escape(m) for m in marks) + ")" + SEP
-
-
-def within(e: Column, *marks: str) -> Column:
-    """Inside an element with one of the marks."""
-    return e["scope"].rlike(scope_pattern(*marks))
-
-
 def first(events: Column, test) -> Column:
     return F.get(F.filter(events, test), F.lit(0))
 

@@ -11,16 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as tx, urls
-from ..functions.html import SEP, attr, event_parser, first, has_class, inside, is_open, let, text_of, within
+from ..functions.html import INDENT, QUOTE, Marks, attr, event_parser, first, has_class, inside, is_open, let, text_of
 
-# Content containers in the order they are tried.
-SELECTORS: list[tuple[str, Callable[[Column], Column]]] = [
-    ('div[data-elementor-type="wp-page"]', lambda e: is_open(e, "div") & (attr(e, "data-elementor-type") == "wp-page")),
-    ('div[data-elementor-type="wp-post"]', lambda e: is_open(e, "div") & (attr(e, "data-elementor-type") == "wp-post")),
-    ("main#main .entry-content", lambda e: (e["k"] == "o") & has_class(e, "entry-content") & within(e, "main#main")),
-    ("article .entry-content", lambda e: (e["k"] == "o") & has_class(e, "entry-content") & within(e, "article")),
-    (".entry-content", lambda e: (e["k"] == "o") & has_class(e, "entry-content")),
-]
 # Widgets without content, and the widgets and classes that carry some.
 NOISE = ["spacer.default", "divider.default", "countdown.default"]
 FLIP, BUTTON = "flip-box.default", "button.default"
@@ -31,6 +23,24 @@ FLIP_BACK = "elementor-flip-box__back"
 LEGACY_CLASS = "tableauViz"
 PDF_VIEWER = "pdfjs-viewer-shortcode"
 PDF_CONTROL = "#pdfjs-viewer-skip|pdfjs-viewer-shortcode"
+
+DROPPED = ["script", "style", "noscript", "iframe", "tableau-viz", "." + LEGACY_CLASS, *NOISE, "pdf-control"]
+HEADINGS = ["h1", "h2", "h3", "h4", "h5", "h6"]
+MARKS = Marks(
+    [*DROPPED[:-1], FLIP, BUTTON, "." + FLIP_IMAGE, *HEADINGS, "main#main", "article", "b", "strong", "em", "i", "code", "pre", "li", "td", "th", "s", "del"],
+    {"pdf-control": PDF_CONTROL}, hidden=DROPPED)
+within = MARKS.within
+page_events = event_parser(MARKS)
+link_events = event_parser(only=["a"])
+
+# Content containers in the order they are tried.
+SELECTORS: list[tuple[str, Callable[[Column], Column]]] = [
+    ('div[data-elementor-type="wp-page"]', lambda e: is_open(e, "div") & (attr(e, "data-elementor-type") == "wp-page")),
+    ('div[data-elementor-type="wp-post"]', lambda e: is_open(e, "div") & (attr(e, "data-elementor-type") == "wp-post")),
+    ("main#main .entry-content", lambda e: (e["k"] == "o") & has_class(e, "entry-content") & within(e, "main#main")),
+    ("article .entry-content", lambda e: (e["k"] == "o") & has_class(e, "entry-content") & within(e, "article")),
+    (".entry-content", lambda e: (e["k"] == "o") & has_class(e, "entry-content")),
+]
 # Labels and notes of the links that stand for embedded viewers.
 PDF_LABEL, PDF_LEAF = "Open the PDF: ", "Open PDF"
 FRAME_LABEL = "Open the embedded content"
@@ -44,18 +54,10 @@ PRUNABLE = ["div", "section", "span", "p", "u", "b", "strong", "em"]
 KEEPS = ["img", "a", "table", "hr", "br", "iframe"]
 
 
-DROPPED = ["script", "style", "noscript", "iframe", "tableau-viz", "." + LEGACY_CLASS, *NOISE, "pdf-control"]
-HEADINGS = ["h1", "h2", "h3", "h4", "h5", "h6"]
-MARKS_OF_INTEREST = [
-    *DROPPED, FLIP, BUTTON, "." + FLIP_IMAGE, *HEADINGS, "main#main", "article", "b", "strong", "em", "i", "code", "pre",
-    "blockquote", "ul", "ol", "li", "td", "th",
-]
-page_events = event_parser(MARKS_OF_INTEREST, {"pdf-control": PDF_CONTROL})
-
-
-def parsed(pages: DataFrame, html: str = "html", carry: list[str] | None = None) -> DataFrame:
-    """One parse per page; only the named columns go with it. Bound by Python time: see ``session.spread``."""
-    return pages.select(*(carry or ["page_id", "url"]), page_events(F.col(html)).alias("events"))
+def parsed(pages: DataFrame, html: str = "html", carry: list[str] | None = None, only_links: bool = False) -> DataFrame:
+    """One parse per page; only the named columns go with it. With ``only_links`` nothing but the starts of links comes out."""
+    parse = link_events if only_links else page_events
+    return pages.select(*(carry or ["page_id", "url"]), parse(F.col(html)).alias("events"))
 
 
 def container(events: Column, selectors=SELECTORS) -> Column:
@@ -332,9 +334,12 @@ def prune_rows(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
 # Noncharacters stand for markup until whitespace is settled; they cannot occur in page text.
 BOLD, BOLD_END, ITALIC, ITALIC_END = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3"
-LINK, LINK_URL, LINK_END = "\ufdd4", "\ufdd5", "\ufdd6"
-HEAD, INDENT, QUOTE, KEPT_LINE, KEPT_BLANK = "\ufdd7", "\ufdd8", "\ufdd9", "\ufdda", "\ufddb"
-MARKS = "[\ufdd0-\ufddb]"
+LINK, LINK_URL, LINK_END, LINK_CLOSE = "\ufdd4", "\ufdd5", "\ufdd6", "\ufddc"
+STRIKE, STRIKE_END = "\ufddd", "\ufdde"
+HEAD, KEPT_LINE, KEPT_BLANK = "\ufdd7", "\ufdda", "\ufddb"
+# a line that has a blank one above it; no such line here; a list item's marker ends; a list item ends
+APART, CLOSE_UP, ITEM, ITEM_END = "\ufddf", "\ufde0", "\ufde1", "\ufde2"
+MARK_CHARS = "[\ufdd0-\ufde2]"
 BLOCKS = [
     "address", "article", "aside", "center", "dd", "div", "dl", "dt", "fieldset", "figure", "footer", "form", "header",
     "main", "nav", "p", "section", "table",
@@ -342,7 +347,7 @@ BLOCKS = [
 
 
 def _link(text: Column, href: Column) -> Column:
-    return F.concat(F.lit(LINK), text, F.lit(LINK_URL), href, F.lit(LINK_END))
+    return F.concat(F.lit(LINK), text, F.lit(LINK_URL), href, F.lit(LINK_END + LINK_CLOSE))
 
 
 def _image(src: Column, alt: Column, picture: Callable[[Column], Column]) -> Column:
@@ -350,7 +355,8 @@ def _image(src: Column, alt: Column, picture: Callable[[Column], Column]) -> Col
 
 
 def _paragraph(*parts: Column) -> Column:
-    return F.concat(F.lit("\n\n"), *parts, F.lit("\n\n"))
+    """A paragraph of its own; ``_piece`` adds what its lines are led in with."""
+    return F.concat(F.lit("\n" + APART), *parts, F.lit("\n" + APART))
 
 
 def swaps(picture: Callable[[Column], Column]) -> Column:
@@ -364,9 +370,9 @@ def swaps(picture: Callable[[Column], Column]) -> Column:
     def box(b: Column) -> Column:
         md = F.concat(
             F.coalesce(_paragraph(_image(b["src"], b["alt"], picture)), none),
-            F.lit("\n\n" + HEAD + "### "),
+            F.lit("\n" + APART + HEAD + "### "),
             F.coalesce(_link(b["title"], b["href"]), b["title"]),
-            F.lit("\n\n"),
+            F.lit("\n" + APART),
             F.coalesce(_paragraph(b["text"]), none),
         )
         return F.struct(b["i"], md.alias("md"))
@@ -381,81 +387,104 @@ def swaps(picture: Callable[[Column], Column]) -> Column:
 
 
 def _piece(e: Column, swap: Column, picture: Callable[[Column], Column]) -> Column:
-    """Markdown of one event; blank for what is dropped."""
+    """Markdown of one event; blank for what is dropped. Every new line brings the event's ``lead``."""
     none = F.lit("")
     opens = e["k"] == "o"
-    tight = within(e, "li", "td", "th", *HEADINGS)
-    lists = F.regexp_count(e["scope"], F.lit(f"{SEP}(?:ul|ol){SEP}"))
-    innermost = F.regexp_extract(e["scope"], f"(?s).*{SEP}(ul|ol){SEP}", 1)
-    gap = F.when(tight, F.lit(" ")).when(within(e, "blockquote") & opens, F.lit("\n\n" + QUOTE)).otherwise(F.lit("\n\n"))
-
-    text = F.regexp_replace(e["text"], MARKS, "\ufffd")
-    kept = F.translate(text, "\n ", KEPT_LINE + KEPT_BLANK)
+    tight = within(e, "td", "th", *HEADINGS)
+    lead = e["lead"]
+    line = F.concat(F.lit("\n"), lead)
+    apart = F.concat(F.lit("\n" + APART), lead)
+    gap = F.when(tight, F.lit(" ")).otherwise(apart)
+
+    text = F.regexp_replace(e["text"], MARK_CHARS, "\ufffd")
+    kept = F.replace(F.translate(text, "\n ", KEPT_LINE + KEPT_BLANK), F.lit(KEPT_LINE), F.concat(F.lit(KEPT_LINE), lead))
     flowing = F.regexp_replace(text, r"[ \t\r\n]+", " ")
-    item = F.concat(
-        F.lit("\n"),
-        F.repeat(F.lit(INDENT), F.greatest(lists - 1, F.lit(0))),
-        F.when(innermost == "ol", F.concat(attr(e, "#n"), F.lit(". "))).otherwise(F.lit("- ")),
-    )
-    rule = F.concat(F.lit("\n|"), F.repeat(F.lit(" --- |"), attr(e, "#items").cast("int")))
-    nested_list = lists > 0
+    marker = F.when(attr(e, "#in") == "ol", F.concat(attr(e, "#n"), F.lit(". "))).otherwise(F.lit("- "))
+    item = F.concat(F.when(e["at"]["#first"].isNull(), F.lit(CLOSE_UP)).otherwise(none), line, marker, F.lit(ITEM))
+    rule = F.concat(line, F.lit("|"), F.repeat(F.lit(" --- |"), attr(e, "#items").cast("int")))
+    inner_list = within(e, "li")
 
-    def pair(start: str, end: str) -> Column:
-        return F.when(opens, F.lit(start)).otherwise(F.lit(end))
+    def pair(start: str, end: str, *same: str) -> Column:
+        shows = e["full"] & ~within(e, *same, "pre", "code")
+        return F.when(~shows, none).when(opens, F.lit(start)).otherwise(F.lit(end))
 
     tag = e["tag"]
     widget = attr(e, "data-widget_type")
     whole = tag.isin("iframe", "tableau-viz") | widget.isin(FLIP, BUTTON) | ((tag == "object") & has_class(e, LEGACY_CLASS))
+    no_link = attr(e, "href").rlike(PDF_CONTROL) | (attr(e, "href") == "") | ~e["full"]
+    title = F.replace(F.regexp_replace(attr(e, "title"), MARK_CHARS + r"|\s+", " "), F.lit('"'), F.lit('\\"'))
+    shown_title = F.when(attr(e, "title") == "", none).otherwise(F.concat(F.lit(' "'), title, F.lit('"')))
     return (
         F.when(within(e, *DROPPED, FLIP, BUTTON), none)
         .when(tag == "#text", F.when(within(e, "pre"), kept).otherwise(flowing))
         .when(widget.isin(*NOISE), none)
-        .when(whole, F.when(opens, F.coalesce(swap[e["i"]], none)).otherwise(none))
-        .when(tag == "a", F.when(attr(e, "href").rlike(PDF_CONTROL) | (attr(e, "href") == ""), none)
-              .when(opens, F.lit(LINK))
-              .otherwise(F.concat(F.lit(LINK_URL), F.regexp_replace(attr(e, "href"), MARKS, ""), F.lit(LINK_END))))
+        .when(whole, F.when(opens, F.replace(F.coalesce(swap[e["i"]], none), F.lit("\n" + APART), apart)).otherwise(none))
+        .when(tag == "a", F.when(no_link, none).when(opens, F.lit(LINK)).otherwise(
+            F.concat(F.lit(LINK_URL), F.regexp_replace(attr(e, "href"), MARK_CHARS, ""), F.lit(LINK_END), shown_title, F.lit(LINK_CLOSE))))
         .when(tag == "img", F.when(opens & _usable(_src(e)), _image(_src(e), attr(e, "alt"), picture)).otherwise(none))
-        .when(tag.isin("b", "strong"),
-              F.when(within(e, "b", "strong", "pre", "code"), none).otherwise(pair(BOLD, BOLD_END)))
-        .when(tag.isin("em", "i"),
-              F.when(within(e, "em", "i", "pre", "code"), none).otherwise(pair(ITALIC, ITALIC_END)))
-        .when(tag == "br", F.when(~opens, none).when(tight, F.lit(" ")).otherwise(F.lit("\n")))
-        .when(tag == "hr", F.when(opens, F.lit("\n\n---\n\n")).otherwise(none))
-        .when(tag.isin(*HEADINGS), F.when(tight, F.lit(" ")).when(~opens, F.lit("\n\n")).otherwise(
-            F.concat(F.lit("\n\n" + HEAD), F.repeat(F.lit("#"), F.substring(tag, 2, 1).cast("int")), F.lit(" "))))
-        .when(tag.isin("ul", "ol"), F.when(nested_list, none).otherwise(F.lit("\n\n")))
-        .when(tag == "li", F.when(opens, item).otherwise(none))
-        .when(tag == "pre", pair("\n\n```" + KEPT_LINE, KEPT_LINE + "```\n\n"))
-        .when(tag == "code", F.when(within(e, "pre"), none).otherwise(F.lit("`")))
-        .when(tag.isin("s", "del"), F.lit("~~"))
-        .when(tag == "tr", F.when(opens, F.lit("\n|")).when(attr(e, "#n") == "1", rule).otherwise(none))
-        .when(tag.isin("td", "th"), pair(" ", " |"))
-        .when(tag == "blockquote", gap)
+        .when(tag.isin("b", "strong"), pair(BOLD, BOLD_END, "b", "strong"))
+        .when(tag.isin("em", "i"), pair(ITALIC, ITALIC_END, "em", "i"))
+        .when(tag.isin("s", "del"), pair(STRIKE, STRIKE_END, "s", "del"))
+        .when(tag == "br", F.when(~opens, none).when(tight, F.lit(" ")).otherwise(line))
+        .when(tag == "hr", F.when(opens, F.concat(apart, F.lit("---"), apart)).otherwise(none))
+        .when(tag.isin(*HEADINGS), F.when(tight, F.lit(" ")).when(~opens, apart).otherwise(
+            F.concat(apart, F.lit(HEAD), F.repeat(F.lit("#"), F.substring(tag, 2, 1).cast("int")), F.lit(" "))))
+        .when(tag.isin("ul", "ol"), F.when(tight, F.lit(" ")).when(inner_list, line).otherwise(apart))
+        .when(tag == "li", F.when(tight, F.lit(" ")).when(opens, item).otherwise(F.lit(ITEM_END)))
+        .when(tag == "pre", F.when(opens, F.concat(apart, F.lit("```" + KEPT_LINE), lead)).otherwise(
+            F.concat(F.lit(KEPT_LINE), lead, F.lit("```"), apart)))
+        .when(tag == "code", F.when(within(e, "pre") | ~e["full"], none).otherwise(F.lit("`")))
+        .when(tag == "tr", F.when(opens, F.concat(line, F.lit("|"))).when(attr(e, "#n") == "1", rule).otherwise(none))
+        .when(tag.isin("td", "th"), F.when(opens, F.lit(" ")).otherwise(F.repeat(F.lit(" |"), F.coalesce(attr(e, "#span").try_cast("int"), F.lit(1)))))
+        .when(tag == "blockquote", F.when(opens & ~tight, F.concat(apart, F.lit(QUOTE))).otherwise(gap))
         .when(tag.isin(*BLOCKS), gap)
         .otherwise(none)
     )
 
 
 def _settled(raw: Column) -> Column:
-    """Whitespace moved out of markup, empty markup dropped."""
-    out = raw
-    for _ in range(2):
-        out = F.regexp_replace(out, f"([{BOLD}{ITALIC}{LINK}]+)([ \n]+)", "$2$1")
-        out = F.regexp_replace(out, f"([ \n]+)([{BOLD_END}{ITALIC_END}]+)", "$2$1")
-        out = F.regexp_replace(out, f"([ \n]+)({LINK_URL}[^{LINK_END}]*{LINK_END})", "$2$1")
-        out = F.regexp_replace(out, f"{BOLD}{BOLD_END}|{ITALIC}{ITALIC_END}|{LINK}{LINK_URL}[^{LINK_END}]*{LINK_END}", "")
-    out = F.regexp_replace(out, "[ \t]*\n[ \t]*", "\n")
+    """Whitespace moved out of markup, runs of it made one space, one line or one blank line."""
+    ws = f"[ \n{APART}{INDENT}{QUOTE}]"
+    begin, end = f"[{BOLD}{ITALIC}{STRIKE}{LINK}]", f"(?:[{BOLD_END}{ITALIC_END}{STRIKE_END}]|{LINK_URL}[^{LINK_CLOSE}]*{LINK_CLOSE})"
+    # what stands after any of some starts goes before the first of them, whatever their number; the same for ends
+    out = F.regexp_replace(raw, f"((?:{begin}{ws}*)*{begin})({ws}+)", "$2$1$2")
+    out = F.regexp_replace(out, f"(?<={begin}){ws}+", "")
+    out = F.regexp_replace(out, f"({ws}+)({end}(?:{ws}*{end})*)", "$1$2$1")
+    out = F.regexp_replace(out, f"{ws}+(?={end})", "")
+    # an item begins beside its marker, and has no blank line between it and the one before
+    out = F.regexp_replace(out, f"{ITEM}{ws}+", ITEM)
+    out = F.regexp_replace(out, f"[ \n{APART}{INDENT}{QUOTE}{ITEM_END}]*{CLOSE_UP}", "")
+    out = F.regexp_replace(out, f"[{ITEM}{ITEM_END}]", "")
+    # of a run of line ends, the last one's lead stays, and whether there was a blank line
+    out = F.regexp_replace(out, f"{ws}*{APART}{ws}*?([{INDENT}{QUOTE}]*) *(?!{ws})", f"\n{APART}$1")
+    out = F.regexp_replace(out, f" *\n(?!{APART})[ \n{INDENT}{QUOTE}]*?([{INDENT}{QUOTE}]*) *(?![ \n{INDENT}{QUOTE}])", "\n$1")
     out = F.regexp_replace(out, " {2,}", " ")
-    out = F.regexp_replace(out, f"{HEAD}#+ *(?=\n|\\z)", "")
-    return F.regexp_replace(out, f"(\n\n{QUOTE})+(?=\n|\\z)", "")
+    return F.regexp_replace(out, f"{HEAD}#+ *(?=\n|\\z)", "")
+
+
+def _spaced(text: Column) -> Column:
+    """Blank lines put in, each led in with what the lines above and below have in common."""
+
+    def lead(line: Column) -> Column:
+        return F.regexp_extract(line, f"^{APART}?([{INDENT}{QUOTE}]*)", 1)
+
+    def joined(lines: Column) -> Column:
+        def one(line: Column, i: Column) -> Column:
+            here, above = lead(line), lead(F.coalesce(F.get(lines, i - 1), F.lit("")))
+            common = F.when(here.startswith(above), above).when(above.startswith(here), here).otherwise(F.lit(""))
+            return F.when(line.startswith(APART), F.concat(common, F.lit("\n"), F.substring(line, 2, 1 << 30))).otherwise(line)
+
+        return F.array_join(F.transform(lines, one), "\n")
+
+    return let(F.split(text, "\n"), joined)
 
 
 def _plain(draft: Column) -> Column:
     """Marks turned into Markdown; a link that shows its own target becomes ``<target>``."""
-    out = F.regexp_replace(draft, f"{LINK}([^{LINK_URL}]+){LINK_URL}\\1{LINK_END}", "<$1>")
+    out = F.regexp_replace(_spaced(draft), f"{LINK}([^{LINK_URL}]+){LINK_URL}\\1{LINK_END}{LINK_CLOSE}", "<$1>")
     for mark, plain in (
-        (BOLD, "**"), (BOLD_END, "**"), (ITALIC, "*"), (ITALIC_END, "*"), (LINK, "["), (LINK_URL, "]("), (LINK_END, ")"),
-        (HEAD, ""), (INDENT, "  "), (QUOTE, "> "), (KEPT_LINE, "\n"), (KEPT_BLANK, " "),
+        (BOLD, "**"), (BOLD_END, "**"), (ITALIC, "*"), (ITALIC_END, "*"), (STRIKE, "~~"), (STRIKE_END, "~~"), (LINK, "["), (LINK_URL, "]("), (LINK_END, ""),
+        (LINK_CLOSE, ")"), (HEAD, ""), (INDENT, " "), (QUOTE, "> "), (KEPT_LINE, "\n"), (KEPT_BLANK, " "),
     ):
         out = F.replace(out, F.lit(mark), F.lit(plain))
     return out
@@ -464,8 +493,8 @@ def _plain(draft: Column) -> Column:
 def drafted(pages: DataFrame, site: Column | str, picture: Callable[[Column], Column] | None = None) -> DataFrame:
     """A prepared page's content as marked text, in ``draft``, in place of the parsed columns.
 
-    ``picture`` gives the source an image is shown under. Blocks inside list
-    items and table cells are joined by a space. A draft still holds the
+    ``picture`` gives the source an image is shown under. Blocks inside table
+    cells and headings are joined by a space. A draft still holds the
     page's own hrefs; it is far smaller than the events, so it is what travels
     to the join with the link map.
     """

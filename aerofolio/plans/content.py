@@ -110,7 +110,7 @@ def p83_collisions(spark, d):
 
 @query("p84_links", r"""SELECT page_id, unnest(range(len(h))) AS pos, unnest(h) AS href FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS h FROM pages)""")
 def p84(spark, d):
-    return ct.link_rows(ct.parsed(spread(table(spark, d, "pages"))), "events", with_text=False)
+    return ct.link_rows(ct.parsed(table(spark, d, "pages"), only_links=True), "events", with_text=False)
 
 
 def with_body(rows: DataFrame) -> DataFrame:

@@ -470,8 +470,8 @@ def p40_front(spark, d):
   FROM all_links LEFT JOIN keys ON rtrim(href, '/') = k GROUP BY 1""")
 def p40_outcomes(spark, d):
     """Every link of every page, through the parser, to its outcome."""
-    pages = as_docs(spread(table(spark, d, "pages").select("page_id", "url", "html")), "html")
-    found = content.link_rows(content.parsed(pages, carry=["docname"]), "events", "docname", with_text=False)
+    pages = as_docs(table(spark, d, "pages").select("page_id", "url", "html"), "html")
+    found = content.link_rows(content.parsed(pages, carry=["docname"], only_links=True), "events", "docname", with_text=False)
     return lk.outcome_counts(lk.resolve(found, lk.link_map(page_docs(spark, d)), SITE, []))
 
 

@@ -105,6 +105,26 @@ MARKDOWN = [
     ("<p>a<p data-x='>'>b", "a\n\nb"),
     ("<iframe src='/f' title='T'></iframe>", f"*{ct.FRAME_NOTE}*\n\n[T]({SITE}/f)"),
     ("<a href='#pdfjs-viewer-skip'>skip</a>", ""),
+    # any depth of empty markup
+    ("<p>x<b><i><a href='u'> </a></i></b>y</p>", "x y"),
+    ("<p>x<b><i><s><b><em><a href='u'><del></del></a></em></b></s></i></b>y</p>", "xy"),
+    ("<p>a <s></s><del> </del>b <s>c</s></p>", "a b ~~c~~"),
+    ("<p>a<b> <i> <s> b</s> </i> </b>c</p>", "a ***~~b~~*** c"),
+    # items of several lines
+    ("<ul><li><p>one</p><p>two</p></li><li>three<br>four</li></ul><p>end</p>", "- one\n\n  two\n- three\n  four\n\nend"),
+    ("<ol><li><strong>Add</strong><br>This ensures</li><li>b</li></ol>", "1. **Add**\n   This ensures\n2. b"),
+    ("<ul><li>a<pre>x\n  y</pre></li><li>b</li></ul>", "- a\n\n  ```\n  x\n    y\n  ```\n- b"),
+    ("<ul><li>a<ol><li>b<br>c</li></ol>tail</li></ul>", "- a\n  1. b\n     c\n  tail"),
+    ("<ol start='9'><li>a</li><li>b<p>c</p></li></ol>", "9. a\n10. b\n\n    c"),
+    ("<ul><li></li><li>b</li></ul>x", "-\n- b\n\nx"),
+    # quotes
+    ("<blockquote><p>a</p><p>b<br>c</p></blockquote>", "> a\n>\n> b\n> c"),
+    ("z<blockquote><h2>H</h2><ul><li>a<li>b</ul></blockquote><p>y", "z\n\n> ## H\n>\n> - a\n> - b\n\ny"),
+    ("<blockquote>a<blockquote>b</blockquote>c</blockquote>", "> a\n>\n> > b\n>\n> c"),
+    ("<ul><li>a<blockquote>q<br>r</blockquote></li></ul>", "- a\n\n  > q\n  > r"),
+    # tables and links
+    ("<table><tr><th colspan=2>a</tr><tr><td>1<td>2</tr></table>", "| a | |\n| --- | --- |\n| 1 | 2 |"),
+    ("<a href='/x' title='T \"q\"'>y</a> <a href='/z' title='T'>/z</a>", '[y](/x "T \\"q\\"") [/z](/z "T")'),
 ]
 
 

@@ -490,12 +490,12 @@ def _plain(draft: Column) -> Column:
     return out
 
 
-def drafted(pages: DataFrame, site: Column | str, picture: Callable[[Column], Column] | None = None) -> DataFrame:
+def drafted(pages: DataFrame, site: Column | str, picture: Callable[[Column], Column] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """A prepared page's content as marked text, in ``draft``, in place of the parsed columns.
 
     ``picture`` gives the source an image is shown under. Blocks inside table
     cells and headings are joined by a space. A draft still holds the
-    page's own hrefs; it is far smaller than the events, so it is what travels
+    page's own hrefs; ``keep`` names parsed columns to stay beside it. It is far smaller than the events, so it is what travels
     to the join with the link map.
     """
     show = picture or (lambda src: urls.absolutise(site, src))
@@ -504,7 +504,7 @@ def drafted(pages: DataFrame, site: Column | str, picture: Callable[[Column], Co
         return F.array_join(F.transform("content", lambda e: _piece(e, swap, show)), "")
 
     # bound by let: as a plain column the optimizer would move it into the loop over events
-    return pages.withColumn("draft", _settled(let(swaps(show), joined))).drop("content", "embeds", "boxes", "buttons")
+    return pages.withColumn("draft", _settled(let(swaps(show), joined))).drop(*{"content", "embeds", "boxes", "buttons"} - set(keep))
 
 
 def hrefs(drafts: DataFrame, *carry: str) -> DataFrame:

@@ -99,15 +99,15 @@ def with_placeholder(df: DataFrame, body: str, notice: Column) -> DataFrame:
     ).withColumn(body, F.when(F.col("note").isNull(), F.col(body)).otherwise(notice))
 
 
-def embed_notes(pages: DataFrame) -> DataFrame:
-    """A note for each embed of prepared pages, with where its link goes."""
-    one = pages.select("docname", F.inline(F.transform("embeds", lambda e: F.struct(e["kind"].alias("kind"), e["href"].alias("detail")))))
-    return one.select("docname", "kind", "detail")
+def notes(pages: DataFrame) -> DataFrame:
+    """``(docname, kind, detail)``, a note for each of a page's ``embeds`` and for its ``note`` if it has one.
 
-
-def empty_notes(noted: DataFrame) -> DataFrame:
-    """A note for each document that ``with_placeholder`` has given the notice."""
-    return noted.where(F.col("note").isNotNull()).select("docname", F.lit("empty").alias("kind"), F.col("note").alias("detail"))
+    All of a page's notes come out of its own row, so the page is parsed once.
+    """
+    embeds = F.transform(F.coalesce("embeds", F.array().cast(pages.schema["embeds"].dataType)), lambda e: F.struct(e["kind"].alias("kind"), e["href"].alias("detail")))
+    own = F.array(F.when(F.col("note").isNotNull(), F.struct(F.lit("empty").alias("kind"), F.col("note").alias("detail"))))
+    found = F.filter(F.concat(embeds, own), lambda n: n.isNotNull())
+    return pages.select("docname", F.inline_outer(found)).where(F.col("kind").isNotNull())
 
 
 def skipped(items: DataFrame, reason: Column) -> DataFrame:

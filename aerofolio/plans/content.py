@@ -6,15 +6,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text as tx, urls
-from ..functions.html import is_open, text_of
+from ..functions.html import first, inside, is_open, let, text_of
 from ..operators import content as ct, corpus, links as lk
 from ..session import settle, spread
 from ..sources.files import table
 from .base import query
-from .portal import PARTS, SITE, as_docs, page_docs
+from .portal import DOCS, PARTS, SITE, as_docs, page_docs
 
 ARTICLE = [("article", lambda e: is_open(e, "article"))]
-BASE = f"base AS (SELECT *, {PARTS} FROM pages)"
+
+
+def _decoded(x: str) -> str:
+    for entity, c in (("&quot;", "chr(34)"), ("&#x27;", "chr(39)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&amp;", "'&'")):
+        x = f"replace({x}, '{entity}', {c})"
+    return x
+
+
+# ``head`` as an attribute has it, ``title`` as text; ``own`` are the article's blocks as Markdown
+BASE = f"""base AS (SELECT *, trim(head, ' ' || chr(10) || chr(9) || chr(13)) AS title FROM (SELECT * EXCLUDE (html), {PARTS}, {_decoded("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")} AS head,
+  list_filter(list_transform(regexp_extract_all(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '(?s)<(?:h1|p)>.*?(?:</h1>|</p>|<br>)', 0),
+    lambda b: struct_pack(md := CASE WHEN b LIKE '<h1>%' THEN '## ' WHEN b LIKE '<p><b>%' THEN '**' ELSE '' END, tail := CASE WHEN b LIKE '<p><b>%' THEN '**' ELSE '' END,
+      t := trim(regexp_replace({_decoded("regexp_replace(b, '<[^>]*>', '', 'g')")}, '[ \t\r\n]+', ' ', 'g')))), lambda x: x.t <> '') AS own FROM pages))"""
 
 
 def derived(spark, d) -> DataFrame:
@@ -31,24 +43,27 @@ def derived(spark, d) -> DataFrame:
         .when(h.endswith(".net"), F.lit('<main id="main"><div class="entry-content">'))
         .otherwise(F.lit('<article><div class="a entry-content b">'))
     )
+    # the given page's heading and article stand among the constructs
+    head = F.regexp_extract("html", "(?s)<h1>(.*?)</h1>", 1)
+    own = F.regexp_extract("html", "(?s)<article>(.*)</article>", 1)
     body = c(
-        '<h1>Head</h1><div> <span></span><p>', h, ' <b>bold <strong>in</strong> </b>end</p></div><style>x{}</style>',
+        '<h1>', head, '</h1><div> <span></span><p>', h, ' <b>bold <strong>in</strong> </b>end</p></div><style>x{}</style>',
         '<iframe src="/x/pdfjs-viewer-shortcode/v.html?file=', p, '.pdf&amp;z=1"></iframe><iframe></iframe>',
-        '<iframe src="/embed', p, '" title="Frame"></iframe><iframe src="https://', h, '/e"></iframe>',
+        '<iframe src="/embed', p, '" title="', head, '"></iframe><iframe src="https://', h, '/e"></iframe>',
         '<tableau-viz src="https://', h, '/views/Book', p, '"></tableau-viz>',
         '<object class="x tableauViz"><param name="host_url" value="https%3A%2F%2F', h, '%2F"><param name="name" value="W', p, '"></object>',
         '<object class="tableauViz"><param name="name" value="lost"></object>',
         '<div data-widget_type="spacer.default"><a href="/gone">gone</a><img src="/gone.png"></div>',
         '<div data-widget_type="flip-box.default"><div class="elementor-flip-box__image"><img src="/up', p, '.png"></div>',
-        '<h3 class="elementor-flip-box__layer__title">Title <i>of</i></h3><a class="elementor-flip-box__back" href="', p,
+        '<h3 class="elementor-flip-box__layer__title">', head, '</h3><a class="elementor-flip-box__back" href="', p,
         '"><div class="elementor-flip-box__layer__description">About ', h, '</div></a></div>',
         '<div data-widget_type="button.default"><a href="/go', p, '"><span>Push</span></a></div>',
         '<div data-widget_type="button.default"><span>no link</span></div>',
-        '<p><a href="#pdfjs-viewer-skip">skip</a><img data-src="', u, '/pic.jpg" src="data:x" alt="Pic"><img src="data:y"></p>',
-        '<noscript><img src="/none.png"></noscript><img src="/a/', h, '/pic.jpg">',
+        '<p><a href="#pdfjs-viewer-skip">skip</a><img data-src="', u, '/pic.jpg" src="data:x" alt="', head, '"><img src="data:y"></p>',
+        '<noscript><img src="/none.png"></noscript><img src="/a/', h, '/pic.jpg"><div class="own">', own, '</div>',
     )
     html = c("<html><body><nav><a href='/n'>n</a></nav>", opening, body, "</div></main></body></html>")
-    return spread(table(spark, d, "pages").select("page_id", "url")).select("page_id", "url", html.alias("html"))
+    return spread(table(spark, d, "pages").select("page_id", "url", "html")).select("page_id", "url", html.alias("html"))
 
 
 def prepared(spark, d) -> DataFrame:
@@ -60,9 +75,13 @@ SELECTED = """CASE WHEN url LIKE '%#top' THEN NULL WHEN host LIKE '%.com' THEN '
 KEPT = f"{BASE}, kept AS (SELECT * FROM base WHERE url NOT LIKE '%#top')"
 
 
-@query("p80_content_selector", f"WITH {BASE} SELECT page_id, {SELECTED} AS matched_selector FROM base")
+@query("p80_content_selector", f"WITH {BASE} SELECT page_id, {SELECTED} AS matched_selector, CASE WHEN url NOT LIKE '%#top' THEN title END AS heading FROM base")
 def p80(spark, d):
-    return ct.extract(ct.parsed(derived(spark, d))).select("page_id", "matched_selector")
+    """With the text of the first heading in the container."""
+    found = ct.extract(ct.parsed(derived(spark, d)))
+    content = F.col("content")
+    heading = let(first(content, lambda e: is_open(e, "h1")), lambda h: F.when(h.isNotNull(), text_of(inside(content, h))))
+    return found.select("page_id", "matched_selector", heading.alias("heading"))
 
 
 @query("p80_content_article", r"""WITH t AS (SELECT page_id, string_split(regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<[^>]*>', chr(1), 'g'), chr(1)) AS parts FROM pages),
@@ -74,7 +93,7 @@ def p80_article(spark, d):
 
 
 @query("p81_embeds", f"""WITH {KEPT} SELECT page_id, pos, CASE pos WHEN 0 THEN 'pdf' WHEN 1 THEN 'frame' WHEN 2 THEN 'frame' WHEN 3 THEN 'dashboard' ELSE 'legacy_dashboard' END AS kind,
-  CASE pos WHEN 0 THEN 'Open the PDF: ' || string_split(path || '.pdf', '/')[-1] WHEN 1 THEN 'Frame' WHEN 2 THEN 'Open the embedded content'
+  CASE pos WHEN 0 THEN 'Open the PDF: ' || string_split(path || '.pdf', '/')[-1] WHEN 1 THEN coalesce(nullif(head, ''), 'Open the embedded content') WHEN 2 THEN 'Open the embedded content'
    ELSE 'Open the interactive dashboard: ' || CASE WHEN len(string_split(rtrim(path, '/'), '/')) < 3 THEN '' ELSE
      CASE WHEN pos = 4 AND len(string_split(rtrim(path, '/'), '/')) < 3 THEN 'W' ELSE split_part(path, '/', 2) || ' / ' || split_part(path, '/', 3) END END END AS label,
   CASE pos WHEN 0 THEN '{SITE}' || path || '.pdf' WHEN 1 THEN '{SITE}/embed' || path WHEN 2 THEN 'https://' || host || '/e'
@@ -85,7 +104,7 @@ def p81(spark, d):
 
 
 @query("p82_widgets", f"""WITH {KEPT} SELECT page_id, pos, ['image', 'heading', 'paragraph', 'link'][pos + 1] AS type, CASE pos WHEN 1 THEN 3 ELSE 0 END AS level,
-  CASE pos WHEN 2 THEN 'About ' || host WHEN 3 THEN 'Push' ELSE 'Title of' END AS text,
+  CASE pos WHEN 2 THEN 'About ' || host WHEN 3 THEN 'Push' ELSE title END AS text,
   CASE pos WHEN 0 THEN '/up' || path || '.png' WHEN 1 THEN path WHEN 3 THEN '/go' || path END AS href
   FROM kept, (SELECT unnest(range(4)) AS pos)""")
 def p82(spark, d):
@@ -95,7 +114,7 @@ def p82(spark, d):
 IMAGES = f"""images AS (SELECT page_id, pos, CASE pos WHEN 0 THEN '{SITE}/up' || path || '.png' WHEN 1 THEN url || '/pic.jpg' ELSE '{SITE}/a/' || host || '/pic.jpg' END AS url,
   CASE pos WHEN 0 THEN CASE WHEN path LIKE '%/' THEN '.png' ELSE split_part(path, '/', 3) || '.png' END
     WHEN 1 THEN CASE WHEN contains(url, '?') THEN CASE WHEN path LIKE '%/' THEN 'image.png' ELSE split_part(path, '/', 3) END ELSE 'pic.jpg' END ELSE 'pic.jpg' END AS name,
-  CASE pos WHEN 0 THEN 'Title of' WHEN 1 THEN 'Pic' ELSE '' END AS alt FROM kept, (SELECT unnest(range(3)) AS pos))"""
+  CASE pos WHEN 0 THEN title WHEN 1 THEN head ELSE '' END AS alt FROM kept, (SELECT unnest(range(3)) AS pos))"""
 
 
 @query("p83_images", f"WITH {KEPT}, {IMAGES} SELECT page_id, pos, url, name, alt FROM images")
@@ -173,15 +192,15 @@ def _rel(target: str) -> str:
   map AS (SELECT rtrim(path, '/') AS k, arg_max(docname, page_id) AS target FROM docs GROUP BY 1),
   own AS (SELECT docs.*, target FROM docs LEFT JOIN map ON k = rtrim(path, '/')),
   leaf AS (SELECT *, CASE WHEN path LIKE '%/' THEN '' ELSE split_part(path, '/', 3) END AS l FROM own),
-  parts AS (SELECT *, '## Head' || {_P} || host || ' **bold in** end' || {_P} ||
+  parts AS (SELECT *, '## ' || regexp_replace(title, ' +', ' ', 'g') || {_P} || host || ' **bold in** end' || {_P} ||
     '*This document is embedded in a PDF viewer on the original site.*' || {_P} || '[Open the PDF: ' || l || '.pdf]({SITE}' || path || '.pdf)' || {_P} ||
-    '*This content is embedded in a frame on the original site.*' || {_P} || '[Frame]({SITE}/embed' || path || ')' || {_P} ||
+    '*This content is embedded in a frame on the original site.*' || {_P} || '[' || trim(regexp_replace(head, ' +', ' ', 'g')) || ']({SITE}/embed' || path || ')' || {_P} ||
     '*This content is embedded in a frame on the original site.*' || {_P} || '[Open the embedded content](https://' || host || '/e)' || {_P} ||
     '*This Tableau dashboard is embedded on the original site.*' || {_P} || '[Open the interactive dashboard: ' || split_part(path, '/', 2) || ' / ' || split_part(path, '/', 3) || '](https://' || host || '/views/Book' || path || ')' || {_P} ||
     '*This Tableau dashboard is embedded on the original site.*' || {_P} || '[Open the interactive dashboard: ' || split_part(path, '/', 2) || ' / ' || split_part(path, '/', 3) || '](https://' || host || '/views/W' || path || ')' || {_P} ||
-    '![Title of](../_static/images/' || l || '.png)' || {_P} || '#### [Title of](' || {_rel('target')} || ')' || {_P} || 'About ' || host || {_P} ||
-    '[Push]({SITE}/go' || path || ')' || {_P} || '![Pic](../_static/images/' || CASE WHEN contains(url, '?') THEN CASE WHEN l = '' THEN 'image.png' ELSE l END ELSE 'pic.jpg' END || ')' || {_P} ||
-    '![](../_static/images/pic.jpg)' AS body FROM leaf)
+    '![' || title || '](../_static/images/' || l || '.png)' || {_P} || '#### [' || title || '](' || {_rel('target')} || ')' || {_P} || 'About ' || host || {_P} ||
+    '[Push]({SITE}/go' || path || ')' || {_P} || '![' || regexp_replace(head, '[[:space:]]+', ' ', 'g') || '](../_static/images/' || CASE WHEN contains(url, '?') THEN CASE WHEN l = '' THEN 'image.png' ELSE l END ELSE 'pic.jpg' END || ')' || {_P} ||
+    '![](../_static/images/pic.jpg)' || array_to_string(list_transform(own, lambda x: {_P} || x.md || x.t || x.tail), '') AS body FROM leaf)
   SELECT page_id, docname, CASE WHEN url LIKE '%#top' THEN 'no content container found' END AS note,
   '# doc' || page_id || {_P} || CASE WHEN docname LIKE 'news/%' THEN '*Published: 2024-05-06*  ' || {_NL} ELSE '' END || '*Source: [' || url || '](' || url || ')*' || {_P} ||
   CASE WHEN url LIKE '%#top' THEN 'No content of its own: ' || url ELSE body END || {_NL} AS page FROM parts""")
@@ -189,6 +208,16 @@ def p86_export(spark, d):
     return export(spark, d)
 
 
+@query("p53_conversion_report", f"""WITH {DOCS}, kinds AS (SELECT * FROM (VALUES ('pdf', 1), ('frame', 2), ('dashboard', 1), ('legacy_dashboard', 1)) t(kind, n))
+  SELECT docname, kinds.kind, CAST(n AS BIGINT) AS n FROM docs, kinds WHERE url NOT LIKE '%#top' UNION ALL SELECT docname, 'empty', 1 FROM docs WHERE url LIKE '%#top'""")
+def p53(spark, d):
+    """Notes on every embed of every page, and on pages that have no content."""
+    pages = ct.parsed(as_docs(derived(spark, d), "html"), carry=["page_id", "url", "docname"])
+    ready = ct.prepared(ct.extract(pages), SITE)
+    bodies = ct.finished(ct.drafted(ready, SITE, keep=("embeds",)))
+    return corpus.report_counts(corpus.notes(corpus.with_placeholder(bodies, "body", F.lit("nothing here"))))
+
+
 @query("p87_pruned_nodes", f"WITH {KEPT} SELECT page_id, 'span' AS tag, 1 AS n_pruned FROM kept")
 def p87(spark, d):
     return ct.prune_rows(prepared(spark, d))

@@ -225,6 +225,15 @@ def p10(spark, d):
     return doc_apps(spark, d).select("doc_id", reason.alias("skip_reason"))
 
 
+@query("p10_skipped_pages", """SELECT source || doc_id AS slug, CASE WHEN source IN ('src1', 'src2') THEN 'scratch page' ELSE 'replaced by index' END AS reason
+  FROM documents WHERE lang = 'en' AND source IN ('src1', 'src2', 'src3')""")
+def p10_skipped(spark, d):
+    """The list of pages left out, apart from the conversion report."""
+    kind = F.when(F.col("lang") == "en", F.lit("page")).otherwise(F.lit("post"))
+    reason = corpus.skip_reason(kind, F.col("source"), drafts=["src1", "src2"], replaced=["src3"])
+    return corpus.skipped(table(spark, d, "documents").withColumn("slug", F.concat("source", F.col("doc_id").cast("string"))), reason)
+
+
 @query("p11_chosen_ids", "SELECT p_partkey, p_brand FROM part WHERE p_brand IN ('Brand#2', 'Brand#17')")
 def p11(spark, d):
     rows = table(spark, d, "part").select("p_partkey", F.col("p_brand").alias("id"))
@@ -570,19 +579,6 @@ def p52_problems(spark, d):
     return cat.capture_problems(capture_status(spark, d))
 
 
-@query("p53_conversion_report", """SELECT lang AS docname, kind, COUNT(*) AS n FROM (
-  SELECT lang, 'skipped' AS kind FROM documents WHERE lang = 'en' AND source = 'src3'
-  UNION ALL SELECT lang, 'empty' FROM documents WHERE n_chars < 100) GROUP BY ALL""")
-def p53(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "lang", "source", F.when(F.col("n_chars") >= 100, F.col("text")).alias("body"))
-    kind = F.when(F.col("lang") == "en", F.lit("page")).otherwise(F.lit("post"))
-    reason = corpus.skip_reason(kind, F.col("source"), replaced=["src3"])
-    skipped = docs.select(F.col("lang").alias("docname"), F.lit("skipped").alias("kind"), reason.alias("detail"))
-    noted = corpus.with_placeholder(docs, "body", F.lit("nothing here"))
-    empty = noted.select(F.col("lang").alias("docname"), F.lit("empty").alias("kind"), F.col("note").alias("detail"))
-    return corpus.report_counts(corpus.report(*[n.where(F.col("detail").isNotNull()) for n in (skipped, empty)]))
-
-
 # ---------------------------------------------------------------- 2.6 to 2.8 windows, order, sets
 
 

@@ -62,11 +62,10 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """More tasks for costly per-row work on a plain scan, where it has fewer row groups than there are slots.
+    """As many tasks as the session's ``spark.aerofolio.spread`` says, for costly per-row work on a plain scan; else as it is.
 
-    At scale a scan has many more row groups than slots, and nothing is
-    shuffled. Only for scans: asking a plan with shuffles for its partitions
-    would run them.
+    For files of few row groups, as in tests and the bench; tables at scale have more row groups than there are slots.
+    Nothing but the caller decides on the shuffle that it costs.
     """
-    slots = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(slots) if scan.rdd.getNumPartitions() < slots else scan
+    tasks = scan.sparkSession.conf.get("spark.aerofolio.spread", None)
+    return scan.repartition(int(tasks)) if tasks else scan

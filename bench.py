@@ -31,6 +31,8 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     names = sys.argv[1:] or HEADLINE
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "bench")
+    spark.conf.set("spark.aerofolio.spread", os.environ.get("BENCH_CPUS", "8"))  # the test files have one row group each
+    spark.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
     spark.range(1000).selectExpr("sum(id)").collect()  # start executors before the clock
     times = {}
     for name in names:

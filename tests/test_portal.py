@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from aerofolio.operators import catalogue as cat, corpus, links as lk
+from aerofolio.operators import catalogue as cat, content, corpus, links as lk
 from aerofolio.operators.deadlines import deadline_status
 from aerofolio.session import fresh_path
 from aerofolio.sources import files
@@ -41,10 +41,43 @@ def test_skip_reason(spark):
     assert reasons(include_drafts=True) == [None, "replaced by index", None, None, None]
 
 
+def test_category_names_of_repeated_keys(spark):
+    df = spark.createDataFrame([(1, [1, 2]), (1, [3]), (1, [3])], "d int, ids array<bigint>")
+    names = spark.createDataFrame([(1, "one")], "id long, name string")
+    got = sorted(r.names for r in corpus.named_ids(df, "ids", names, "names").collect())
+    assert got == [["3"], ["3"], ["one", "2"]]
+
+
+def test_link_targets_of_repeated_keys(spark):
+    rows = spark.createDataFrame([(1, "/a", "x.md"), (1, "/a", "x.md"), (1, "/b", "y.md")], "page_id long, href string, resolved string")
+    assert content.href_targets(rows, "page_id").first().targets == {"/a": "x.md", "/b": "y.md"}
+
+
+def test_positions_of_long_batches(spark):
+    item = '{{"id": {}, "slug": "s"}}'
+    bodies = ["[" + ",".join(item.format(i) for i in ids) + "]" for ids in ([1, 2, 3], [4, 5], [6])]
+    df = spark.createDataFrame([("pages", i + 1, b) for i, b in enumerate(bodies)], "kind string, page_no int, body string")
+    got = sorted((r.pos, r.id) for r in corpus.paged_items(df, size=2).collect())
+    assert [i for _, i in got] == [1, 2, 3, 4, 5, 6] and len({p for p, _ in got}) == 6
+
+
+def test_unknown_timeouts_count_as_none(spark):
+    df = spark.createDataFrame([("a", 9000, None, 20000), ("b", None, None, None), ("c", 9000, True, None)], "id string, bytes long, timed_out boolean, thumbnail_bytes long")
+    status = cat.capture_status(df)
+    assert {r.id: (r.ok, r.message) for r in status.collect()} == {"a": (True, "8 KB"), "b": (False, "no image produced"), "c": (False, "timed out")}
+    assert tuple(cat.capture_summary(status).first()) == (1, 3, 2, 0)
+
+
+def test_groups_carried_down(spark):
+    text = "\n".join(["| a1 | | first | | <http://u/1> |", "| 2 | G | x | | <http://u/2> |", "| 3 | | no link | | none |", "| 4 | | y | | <http://u/4> |", "| 5 | **H** | no link | | |", "| 6 | | z | | <http://u/6> |"])
+    df = spark.createDataFrame([("s", text), ("none", "no table"), ("null", None)], "source string, value string")
+    assert [(r.id, r.box) for r in cat.applications(df).orderBy("pos").collect()] == [("a1", ""), ("2", "G"), ("4", "G"), ("6", "H")]
+
+
 def test_category_names_keep_order(spark):
     df = spark.createDataFrame([(1, [3, 9, 1, 3]), (2, []), (3, None)], "d int, ids array<bigint>")
     names = spark.createDataFrame([(1, "a"), (3, "c")], "id long, name string")
-    got = {r.d: r.names for r in corpus.named_ids(df, "d", "ids", names, "names").collect()}
+    got = {r.d: r.names for r in corpus.named_ids(df, "ids", names, "names").collect()}
     assert got == {1: ["c", "9", "a", "c"], 2: [], 3: []}
 
 

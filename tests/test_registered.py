@@ -44,6 +44,23 @@ def test_heavy_sides_are_aggregated_before_they_meet(spark):
     assert text.index("Join") < text.rindex("HashAggregate")
 
 
+def test_groups_are_carried_down_in_the_row(spark):
+    assert "Exchange" not in plan(spark, "p33_catalogue_applications")
+
+
+def test_missing_years_shuffle_series_not_observations(spark):
+    text = plan(spark, "a53_missing_years")
+    assert text.count("FileScan") == 1 and "partial_collect_set" in text and "Join" not in text
+
+
+def test_periods_come_from_one_scan(spark):
+    assert plan(spark, "a25_station_periods").count("FileScan") == 1
+
+
+def test_links_ship_links_only(spark):
+    assert "html" in plan(spark, "p84_links") and "Exchange" not in plan(spark, "p84_links")
+
+
 @pytest.mark.parametrize("name", [n for n in sorted(catalog.QUERIES) if not n.startswith("a7")])
 def test_no_cartesian_products(spark, name):
     text = plan(spark, name)

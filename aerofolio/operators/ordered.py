@@ -86,7 +86,10 @@ def ranks(
 
     Ties are counted before anything is ordered, so a value shared by many
     rows travels as one row; the ranks are then joined back to the rows.
+    The rows are settled first, as what they come from, an aggregation often,
+    would else run once for the levels and once more for the join.
     """
+    df = settle(df)
     levels = df.groupBy(*keys, by).agg(F.count("*").alias("_rows")).withColumn("_one", F.lit(1).cast("long"))
     order = [F.desc(by) if descending else F.asc(by)]
     cut = sliced(levels, keys, order)

@@ -20,7 +20,7 @@ from ..session import settle
 from .tokens import MIX_A, PLAIN_LOWER, Words, mixed, pieces
 
 #: Pairs a task holds before it sends them on; mean pairs of a bucket; mean bytes of text of a shard.
-FLUSH, PER_BUCKET, PER_SHARD = 2 << 20, 2 << 20, 12 << 20
+FLUSH, PER_BUCKET, PER_SHARD = 1 << 20, 1 << 20, 8 << 20
 LEAST = 64
 #: Ids to be broadcast at most; more are joined by a shuffle.
 FEW_IDS = 2_000_000

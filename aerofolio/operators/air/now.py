@@ -49,7 +49,7 @@ def banded_by_order(obs: DataFrame, bands: DataFrame, value: str = "conc") -> Da
         F.xxhash64(*obs.columns).alias("_id"), F.lit(None).cast(marks.schema["_band"].dataType).alias("_band"),
         F.struct("*").alias("_row"),
     )
-    order = [F.asc("_at"), F.asc("_side"), F.asc("_id")]
+    order = ["_at", "_side", "_id"]
     filled = fill_forward(marks.unionByName(rows), ["pollutant"], order, "_band", "_found")
     reached = (F.col("_at") < F.col("_found.hi")) | ((F.col("_at") == F.col("_found.hi")) & (F.col("_at") == F.lit(float("inf"))))
     return filled.where(F.col("_side") == 1).select(

@@ -148,7 +148,7 @@ def gallery(apps: DataFrame, groups: DataFrame, pos: str = "pos") -> DataFrame:
     be any size, so it is not collected into an array.
     """
     sizes = groups.join(group_sizes(apps), "box")
-    numbered = row_numbers(apps, ["box"], [F.asc(pos)], "member_ord")
+    numbered = row_numbers(apps, ["box"], [pos], "member_ord")
     return numbered.join(sizes, "box")
 
 

@@ -138,7 +138,7 @@ def numbered_copies(files: DataFrame) -> DataFrame:
 
 def newest_first(posts: DataFrame, date: str, pos: str, name: str = "ord") -> DataFrame:
     """Posts numbered newest first; equal dates keep their source order."""
-    return row_numbers(posts, [], [F.desc(date), F.asc(pos)], name)
+    return row_numbers(posts, [], [f"{date} desc", pos], name)
 
 
 def leftovers(present: DataFrame, placed: DataFrame, slug: str = "slug") -> DataFrame:
@@ -148,7 +148,7 @@ def leftovers(present: DataFrame, placed: DataFrame, slug: str = "slug") -> Data
 
 def alphabetical(slugs: DataFrame, slug: str = "slug", name: str = "ord") -> DataFrame:
     """Distinct slugs numbered in code-point order."""
-    return row_numbers(slugs, [], [F.asc(slug)], name)
+    return row_numbers(slugs, [], [slug], name)
 
 
 def place_in_sections(present: DataFrame, sections: list[tuple[str, list[str]]], reference: str,

@@ -564,7 +564,7 @@ def p50_totals(spark, d):
 def p51(spark, d):
     apps = part_apps(spark, d).withColumn("pos", F.regexp_extract("id", r"\d+", 0).cast("long"))
     brands = apps.select("box").distinct()
-    groups = corpus.row_numbers(brands, [], [F.desc("box")], "group_ord").withColumn("slug", F.lower("box"))
+    groups = corpus.row_numbers(brands, [], ["box desc"], "group_ord").withColumn("slug", F.lower("box"))
     return cat.gallery(apps, groups).select("group_ord", "box", "member_ord", "name", "n")
 
 
@@ -585,7 +585,7 @@ def p52_problems(spark, d):
 @query("p60_fill_forward", """SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS box FROM conversations""")
 def p60(spark, d):
     rows = table(spark, d, "conversations").select("conv_id", "turn", F.when(F.col("role") == "user", F.col("text")).alias("cell"))
-    return ordered.fill_forward(rows, ["conv_id"], [F.asc("turn")], "cell", "box").select("conv_id", "turn", "box")
+    return ordered.fill_forward(rows, ["conv_id"], ["turn"], "cell", "box").select("conv_id", "turn", "box")
 
 
 @query("p61_last_wins", f"""WITH {DOCS}, base AS (SELECT *, {PARTS} FROM docs) SELECT path_key, docname FROM (SELECT rtrim(path, '/') AS path_key, docname,

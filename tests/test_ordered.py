@@ -32,7 +32,7 @@ def groups(rows):
 
 @pytest.mark.parametrize("slices", [1, 13])
 def test_fill_forward(table, rows, slices):
-    got = {r.n: r.f for r in o.fill_forward(table, ["k"], [F.asc("n")], "v", "f", slices).collect()}
+    got = {r.n: r.f for r in o.fill_forward(table, ["k"], ["n"], "v", "f", slices).collect()}
     want = {}
     for members in groups(rows).values():
         last = None
@@ -44,7 +44,7 @@ def test_fill_forward(table, rows, slices):
 
 @pytest.mark.parametrize("slices", [1, 13])
 def test_row_numbers(table, rows, slices):
-    got = {r.n: r.i for r in o.row_numbers(table, ["k"], [F.desc("x"), F.asc("n")], "i", slices).collect()}
+    got = {r.n: r.i for r in o.row_numbers(table, ["k"], ["x desc", "n"], "i", slices).collect()}
     want = {}
     for members in groups(rows).values():
         for i, r in enumerate(sorted(members, key=lambda r: (-r[3], r[1])), 1):
@@ -53,7 +53,7 @@ def test_row_numbers(table, rows, slices):
 
 
 def test_row_numbers_over_everything(table, rows):
-    got = sorted((r.n, r.i) for r in o.row_numbers(table, [], [F.asc("n")], "i", 9).collect())
+    got = sorted((r.n, r.i) for r in o.row_numbers(table, [], ["n"], "i", 9).collect())
     assert got == [(n, n + 1) for n in range(len(rows))]
 
 
@@ -80,3 +80,37 @@ def test_quantiles(table, rows):
 def test_latest(table, rows):
     got = {r.k: r.n for r in o.latest(table, ["k"], ["x", "n"]).collect()}
     assert got == {k: max(m, key=lambda r: (r[3], r[1]))[1] for k, m in groups(rows).items()}
+
+
+def test_text_order_with_nulls_and_ties(spark):
+    values = ["b", None, "a", "c", "a", "", "é", None, "b"]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "s string, i int")
+    up = sorted(range(len(values)), key=lambda i: (values[i] is not None, (values[i] or "").encode(), i))
+    down = sorted(range(len(values)), key=lambda i: (values[i] is None, [-b for b in (values[i] or "").encode()] + [1], i))
+    for order, want in ((["s", "i"], up), (["s desc", "i"], down)):
+        got = {r.i: r.n for r in o.row_numbers(df, [], order, "n", 4).collect()}
+        assert [i for i, _ in sorted(got.items(), key=lambda x: x[1])] == want, order
+
+
+def test_no_rows(spark):
+    none = spark.createDataFrame([], "k string, n int, v string")
+    assert o.row_numbers(none, ["k"], ["n"], "i").count() == 0 and o.fill_forward(none, ["k"], ["n"], "v", "f").count() == 0
+
+
+def exchanges(df):
+    """Of whole rows: what is carried from slice to slice is aggregated before it moves."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return sum("Exchange hashpartitioning" in line or "Exchange range" in line for line in text.splitlines())
+
+
+def test_one_exchange_of_rows_and_no_write(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(2000).selectExpr("id % 3 as k", "id as n", "repeat('x', 50) as pad").write.parquet(path)
+    df = spark.read.parquet(path)
+    plan = o.row_numbers(df, ["k"], ["n desc"], "i", 6)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in text.splitlines() if "FileScan" in line]
+    assert all(path in line for line in scans) and sum("pad" in line for line in scans) == 1
+    # the window's own exchange; two more move the aggregated states
+    assert exchanges(plan) == 3
+    assert sorted(r.i for r in plan.where("k = 1").collect()) == list(range(1, 668))

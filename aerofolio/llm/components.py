@@ -25,10 +25,17 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return settle(hung.union(least.select("u", F.col("m").alias("v"))).where("u > v").distinct())
 
 
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether each vertex is either a centre or hangs on one."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("hangs"), F.lit(0).alias("centre")).union(edges.select("v", F.lit(0), F.lit(1)))
+    seen = ends.groupBy("id").agg(F.sum("hangs").alias("hangs"), F.max("centre").alias("centre"))
+    return seen.where("hangs + centre > 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``(id, component)`` for every vertex of ``links(src, dst)`` with a link to another; component is the smallest id.
 
-    Alternates large and small stars till nothing changes (a number of rounds that grows with the logarithm of
+    Alternates large and small stars till only stars are left (a number of rounds that grows with the logarithm of
     the longest path). Each round is a table in the shared folder, so a lost executor costs one round. Null ends
     and self-links count for nothing; repeated links count once. No vertex list is ever gathered.
     """
@@ -36,12 +43,7 @@ def components(links: DataFrame) -> DataFrame:
         links.where("src is not null and dst is not null and src != dst")
         .select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct()
     )
-    state = None
-    while True:
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
+    while not _only_stars(edges):
         edges = _stars(_stars(edges, True), False)
     roots = edges.select(F.col("v").alias("id")).distinct().withColumn("component", F.col("id"))
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)

@@ -1,8 +1,8 @@
 """Near-duplicate embeddings by NN-descent.
 
 A graph of each vector's nearest neighbours starts from leaves of random hyperplanes and is refined: the neighbours of one vector
-(and those that have it as neighbour) meet, compare themselves, and keep who is nearer than the last of their list, until lists
-hardly change. Lists that hold nothing but links are saturated and may hide more, so they are enlarged to all members of their
+(and those that have it as neighbour) meet, compare themselves, and keep who is nearer than the last of their list, until hardly
+any link is new. Lists that hold nothing but links are saturated and may hide more, so they are enlarged to all members of their
 group of links, which is compared in blocks. A bounded sample is compared with all vectors; while the links found for it fall
 short, lists are made longer and the descent goes on.
 """
@@ -133,24 +133,34 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tup
         yield held.combine_chunks(), np.flatnonzero(np.append(True, (np.diff(k) != 0).any(0)))
 
 
-def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _local_join(size: int):
     """Members around one vector compare themselves; a pair without a fresh member has met before."""
-    for t, begin in _grouped(batches, ["around"]):
-        ids, fresh, last = t["id"].to_numpy(), t["fresh"].to_numpy(), t["last"].to_numpy()
-        raw = t["small"].combine_chunks() if isinstance(t["small"], pa.ChunkedArray) else t["small"]
-        out: list[tuple[np.ndarray, ...]] = []
-        for lo, hi in zip(begin, np.append(begin[1:], len(ids))):
-            if hi - lo < 2 or not fresh[lo:hi].any():
-                continue
-            i, f, w = ids[lo:hi], fresh[lo:hi], last[lo:hi]
-            sim = _similar(raw.slice(lo, hi - lo))
-            better = (f[:, None] | f[None, :]) & (i[:, None] != i[None, :]) & (sim > w[:, None])
-            a, b = np.nonzero(better)
-            if len(a):
-                out.append((i[a], i[b], sim[a, b]))
-        if out:
-            a, b, s = (np.concatenate(x) for x in zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s), pa.array(np.ones(len(a), bool))], names=["id", "to", "sim", "fresh"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, begin in _grouped(batches, ["around"]):
+            ids, fresh, last = t["id"].to_numpy(), t["fresh"].to_numpy(), t["last"].to_numpy()
+            raw = t["small"].combine_chunks() if isinstance(t["small"], pa.ChunkedArray) else t["small"]
+            out: list[tuple[np.ndarray, ...]] = []
+            for lo, hi in zip(begin, np.append(begin[1:], len(ids))):
+                if hi - lo < 2 or not fresh[lo:hi].any():
+                    continue
+                i, f, w = ids[lo:hi], fresh[lo:hi], last[lo:hi]
+                sim = _similar(raw.slice(lo, hi - lo))
+                better = (f[:, None] | f[None, :]) & (i[:, None] != i[None, :]) & (sim > w[:, None])
+                if hi - lo > size:  # no list has room for more
+                    sim = np.where(better, sim, -2)
+                    top = np.argpartition(-sim, size - 1, axis=1)[:, :size]
+                    a, k = np.nonzero(np.take_along_axis(better, top, 1))
+                    b = top[a, k]
+                else:
+                    a, b = np.nonzero(better)
+                if len(a):
+                    out.append((i[a], i[b], sim[a, b]))
+            if out:
+                a, b, s = (np.concatenate(x) for x in zip(*out))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s, pa.float32()), pa.array(np.ones(len(a), bool))], names=["id", "to", "sim", "fresh"])
+
+    return run
 
 
 def _top(edges: DataFrame, size: int) -> DataFrame:
@@ -160,20 +170,29 @@ def _top(edges: DataFrame, size: int) -> DataFrame:
     return lists.select("id", F.explode("l").alias("e")).select("id", "e.to", (-F.col("e.far")).cast("float").alias("sim"), "e.fresh")
 
 
-def _descend(graph: DataFrame, small: DataFrame, size: int, n: int, rounds: int, settled: float) -> DataFrame:
-    """Rounds of neighbours-of-neighbours joins, until fewer than ``settled`` of all entries are new."""
+def _new_links(graph: DataFrame, size: int, least: float) -> tuple[int, int]:
+    """Links and new links in lists that aren't saturated; the others are enlarged to whole groups anyhow, whatever changes in them."""
+    link = F.col("sim") >= least
+    lists = graph.groupBy("id").agg(F.count_if(link).alias("links"), F.count_if(link & F.col("fresh")).alias("new"))
+    r = lists.where(F.col("links") < size).agg(F.coalesce(F.sum("links"), F.lit(0)).alias("links"), F.coalesce(F.sum("new"), F.lit(0)).alias("new")).first()
+    return r["links"], r["new"]
+
+
+def _descend(graph: DataFrame, small: DataFrame, size: int, least: float, rounds: int, settled: float) -> DataFrame:
+    """Rounds of neighbours-of-neighbours joins, until no more than ``settled`` of the links of at least ``least`` are new."""
     for k in range(rounds):
-        nodes = settle(graph.groupBy("id").agg(F.min("sim").alias("sim"), F.count("*").alias("n")).select("id", F.when(F.col("n") < size, F.lit(-2.0)).otherwise(F.col("sim")).cast("float").alias("last")))
-        known = settle(small.join(nodes, "id", "left").select("id", "small", F.coalesce("last", F.lit(-2.0).cast("float")).alias("last")))
+        nodes = graph.groupBy("id").agg(F.min("sim").alias("sim"), F.count("*").alias("n")).select("id", F.when(F.col("n") < size, F.lit(-2.0)).otherwise(F.col("sim")).cast("float").alias("last"))
+        known = small.join(nodes, "id", "left").select("id", "small", F.coalesce("last", F.lit(-2.0).cast("float")).alias("last"))
         # who has very many that list it meets a part of them, another one each round, so no group grows with its fame
         fame = settle(graph.groupBy("to").agg(F.count("*").alias("fame")))
         back = graph.join(fame, "to").where(F.pmod(F.xxhash64("id", "to", F.lit(k)), F.lit(1 << 30)) < F.lit(float(1 << 30)) * size / F.col("fame"))
         around = graph.select(F.col("id").alias("around"), F.col("to").alias("id"), "fresh").union(back.select(F.col("to").alias("around"), "id", "fresh"))
         met = around.groupBy("around", "id").agg(F.max("fresh").alias("fresh"))
-        fields = settle(met).join(known, "id").select("around", "id", "fresh", "last", "small")
-        found = fields.repartition("around").sortWithinPartitions("around").mapInArrow(_local_join, GRAPH)
+        fields = met.join(known, "id").select("around", "id", "fresh", "last", "small")
+        found = fields.repartition("around").sortWithinPartitions("around").mapInArrow(_local_join(size), GRAPH)
         graph = settle(_top(graph.withColumn("fresh", F.lit(False)).union(found), size))
-        if graph.where("fresh").count() <= settled * n * size:
+        links, new = _new_links(graph, size, least)
+        if new <= settled * links:
             break
     return graph
 
@@ -211,7 +230,7 @@ def _links(graph: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     """``(id, n, root)`` parts of exact links, from all members of each group that the graph's links connect."""
     groups = settle(components(graph.where(F.col("sim") >= threshold - MARGIN).select(F.col("id").alias("src"), F.col("to").alias("dst"))))
     sizes = settle(groups.groupBy("component").agg(F.count("*").alias("size")))
-    members = settle(groups.join(sizes, "component").select("id", F.col("component").alias("group"), F.ceil(F.col("size") / BLOCK_ROWS).alias("blocks")))
+    members = groups.join(sizes, "component").select("id", F.col("component").alias("group"), F.ceil(F.col("size") / BLOCK_ROWS).alias("blocks"))
     rows = members.join(classes.select("id", "unit", "copies"), "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select("group", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "id", "copies", "unit")
@@ -266,7 +285,7 @@ def near_duplicates(
     sent = spark.sparkContext.broadcast((np.array([r["id"] for r in picked], np.int64), [bytes(r["unit"]) for r in picked]))
     truth = {r["id"]: r["n"] for r in classes.select("id", "unit", "copies").mapInArrow(_audit(sent, threshold), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()}
     for k in range(longer + 1):
-        graph = _descend(graph, small, size << k, n, rounds, settled)
+        graph = _descend(graph, small, size << k, threshold - MARGIN, rounds, settled)
         parts_found = _links(graph, classes, threshold)
         counts = settle(parts_found.groupBy("id").agg(F.sum("n").alias("n")))
         got = {r["id"]: r["n"] for r in counts.where(F.col("id").isin(list(truth)) & (F.col("n") > 0)).collect()} if truth else {}

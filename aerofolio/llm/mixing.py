@@ -55,15 +55,16 @@ def rated(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col:
     results = ["size", "source_size", "target", "copies"]
     sized = docs.drop(*results).withColumn("size", n_words(F.col(text_col)))
     sizes = docs.select(F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
-    found = settle(targets(sizes, **options)).select(F.col("source").alias("_source"), "source_size", "target")
+    found = settle(targets(sizes, **options)).select(F.col("source").alias("_mix_source"), "source_size", "target")
     # one row per source; AQE broadcasts it while it is small and splits a hot source beyond
-    joined = sized.join(found, sized[source_col].eqNullSafe(found["_source"]), "left").drop("_source")
+    joined = sized.join(found, F.col(source_col).eqNullSafe(F.col("_mix_source")), "left").drop("_mix_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     extra = (draw(F.col(id_col), seed) < rate - F.floor(rate)).cast("long")
     return joined.withColumn("copies", F.floor(rate) + extra)
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """Each row of ``docs`` as often as its copies say, with ``copy`` (from 0) beside the columns of ``docs``."""
-    out = rated(docs, **options).where("copies > 0")
-    return out.select(*docs.drop("copy").columns, F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """Each row of ``docs`` as often as its copies say, with ``copy`` (from 0) beside the columns of ``docs``; only a column ``copy`` is replaced."""
+    whole = docs.select(F.struct("*").alias("_doc"))
+    out = rated(whole, id_col=f"_doc.`{id_col}`", text_col=f"_doc.`{text_col}`", source_col=f"_doc.`{source_col}`", **options).where("copies > 0")
+    return out.select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.drop("copy").columns], F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))

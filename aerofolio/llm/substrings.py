@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from .tokens import MIX_A, PLAIN, Words, mixed, pieces, runs, window_hashes
 
 #: Windows that a task holds before it sends them on; mean windows of a bucket; mean bytes of text of a shard.
-FLUSH, PER_BUCKET, PER_SHARD = 3 << 20, 2 << 20, 12 << 20
+FLUSH, PER_BUCKET, PER_SHARD = 1 << 20, 2 << 20, 8 << 20
 #: Least buckets and shards, so that small inputs spread over the cluster too.
 LEAST = 64
 NO_ID = np.iinfo(np.int64).max

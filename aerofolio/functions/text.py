@@ -77,10 +77,14 @@ def normalise_headings(body: Column) -> Column:
     return let(F.array_min(heading_levels(body)), moved)
 
 
+# The labels of a page's meta lines.
+PUBLISHED, SOURCE = "*Published: ", "*Source: ["
+
+
 def render_document(title: Column, url: Column, kind: Column, date: Column, body: Column) -> Column:
     """Title, blank line, meta lines, blank line, body, closing newline."""
-    source = F.concat(F.lit("*Source: ["), url, F.lit("]("), url, F.lit(")*"))
-    published = F.concat(F.lit("*Published: "), F.substring(date, 1, 10), F.lit("*"))
+    source = F.concat(F.lit(SOURCE), url, F.lit("]("), url, F.lit(")*"))
+    published = F.concat(F.lit(PUBLISHED), F.substring(date, 1, 10), F.lit("*"))
     meta = F.when(kind == "post", F.concat(published, F.lit("  \n"), source)).otherwise(source)
     return F.concat_ws("\n", F.concat(F.lit("# "), title), F.lit(""), meta, F.lit(""), body, F.lit(""))
 

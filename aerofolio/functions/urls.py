@@ -149,10 +149,14 @@ def legacy_dashboard_url(host_url: Column, name: Column) -> Column:
     return F.concat(base, F.lit("/views/"), blank_to_null(name))
 
 
+# What may stand in an image's file name, and the name of an image without one.
+ASSET_OTHER, ASSET_DEFAULT = r"[^A-Za-z0-9._-]+", "image.png"
+
+
 def asset_name(url: Column) -> Column:
     """File name for an image URL."""
     leaf = unquote(F.substring_index(path(url), "/", -1))
-    return F.coalesce(blank_to_null(F.regexp_replace(leaf, r"[^A-Za-z0-9._-]+", "_")), F.lit("image.png"))
+    return F.coalesce(blank_to_null(F.regexp_replace(leaf, ASSET_OTHER, "_")), F.lit(ASSET_DEFAULT))
 
 
 def browser_host(url: Column) -> Column:

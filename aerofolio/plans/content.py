@@ -161,6 +161,19 @@ def p86(spark, d):
     return with_body(spread(table(spark, d, "documents").select("doc_id", "source", "text")).select("doc_id", html.alias("html")))
 
 
+@query("p86_markdown_blocks", r"""SELECT p_partkey AS doc_id, array_to_string(['3. ' || p_name, '', '   ' || p_brand, '4. ' || p_type, '   x', '', '> ' || p_name, '>', '> ' || p_brand, '> ' || p_type, '',
+  '| ' || p_name || ' | |', '| --- | --- |', '| 1 | ' || p_brand || ' |', '', '[' || p_name || '](/x "' || p_type || '")', '', '- a', '', '  ```', '  ' || p_brand, '   y', '  ```', '- b', '  - c'], chr(10)) AS body FROM part""")
+def p86_blocks(spark, d):
+    """Items and quotes of several lines, list starts, spans, titles, code in items, empty markup."""
+    name, brand, kind = F.col("p_name"), F.col("p_brand"), F.col("p_type")
+    html = F.concat(
+        F.lit('<article><ol start="3"><li><p>'), name, F.lit("</p><p>"), brand, F.lit("</p></li><li>"), kind, F.lit("<br>x</li></ol><blockquote><p>"), name, F.lit("</p><p>"), brand,
+        F.lit("<br>"), kind, F.lit('</p></blockquote><table><tr><th colspan="2">'), name, F.lit("</tr><tr><td>1<td>"), brand, F.lit('</tr></table><p><a href="/x" title="'), kind, F.lit('">'), name,
+        F.lit("</a><s></s><b><i><a href='u'> </a></i></b></p><ul><li>a<pre>"), brand, F.lit("\n y</pre></li><li>b<ul><li>c</ul></ul></article>"),
+    )
+    return with_body(spread(table(spark, d, "part")).select(F.col("p_partkey").alias("doc_id"), html.alias("html")))
+
+
 def export(spark, d) -> DataFrame:
     """All steps in order: parse, embeds and widgets, images, links rewritten by join, Markdown, page.
 

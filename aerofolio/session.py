@@ -44,8 +44,9 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new path under the shared work folder."""
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path under the shared work folder; below ``spark.aerofolio.run`` there, if the caller names a run, to be removed as a whole."""
+    run = spark.conf.get("spark.aerofolio.run", None)
+    return f"{work_dir(spark)}/{f'{run}/' if run else ''}{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:

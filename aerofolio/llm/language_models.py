@@ -59,13 +59,14 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Vocabulary:
     """Word hashes with their counts, most frequent first; then one number for all other words, and one for a text's beginning."""
 
-    def __init__(self, rows: list, totals: tuple, docs: tuple[int, int]):
-        rows = sorted(rows, key=lambda r: (-r[1], r[0]))
-        h = np.array([r[0] for r in rows], np.int64).view(np.uint64)
+    def __init__(self, known: np.ndarray, totals: tuple, docs: tuple[int, int]):
+        """``known``: rows of a word's hash, its number in all texts and in the target's, and both as last word."""
+        known = known[np.lexsort((known[:, 0], -known[:, 1]))]
+        h = known[:, 0].view(np.uint64)
         order = np.argsort(h)
         self.sorted, self.number = h[order], order
         self.size = len(h)
-        counts = np.array([r[1:] for r in rows], np.int64).reshape(-1, 4)
+        counts = known[:, 1:]
         rest = np.array(totals, np.int64) - counts.sum(0)
         counts = np.vstack([counts, rest, [0, 0, 0, 0]])
         self.unigram = counts[:, :2].T.astype(float)  # background, target
@@ -236,6 +237,12 @@ def _add_up(key: tuple, group: pa.Table) -> pa.Table:
     return pa.table({"key": pa.array(distinct.view(np.int64)), "n_words": pa.array(n), "score": pa.array(score)})
 
 
+def _numbers(few: DataFrame) -> np.ndarray:
+    """A small table of longs on the driver, as columns of numbers rather than as rows of objects."""
+    t = few.toArrow()
+    return np.stack([c.to_numpy() for c in t.columns], axis=1) if len(t) else np.zeros((0, t.num_columns), np.int64)
+
+
 def cross_entropy_difference(docs: DataFrame, targets: DataFrame, vocabulary: int = 1 << 17, hot: int = 1024, weight: float = 0.7, add: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_words, score)`` for every row of ``docs``.
 
@@ -268,11 +275,12 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, vocabulary: in
             break
         least = r["level"]
     totals = tuple(sum(r[c] for r in classes) for c in ("n", "n_t", "last", "last_t"))
-    known = [] if least is None else [tuple(r) for r in counted.where(level >= least).select("h", "n", "n_t", "last", "last_t").collect()]
+    known = _numbers(counted.where(level >= least if least is not None else F.lit(False)).select("h", "n", "n_t", "last", "last_t"))
     model = Vocabulary(known, totals, (totals[2], totals[3]))
     sent = spark.sparkContext.broadcast(model)
-    pairs = rows.select("text", "target").mapInArrow(_count_hot(sent, hot), "at long, n long, n_t long").groupBy("at").agg(F.sum("n").alias("n"), F.sum("n_t").alias("n_t")).orderBy("at").collect()
-    table = tuple(np.array([r[i] for r in pairs], np.int64) for i in range(3))
+    pairs = rows.select("text", "target").mapInArrow(_count_hot(sent, hot), "at long, n long, n_t long").groupBy("at").agg(F.sum("n").alias("n"), F.sum("n_t").alias("n_t"))
+    table = _numbers(pairs)
+    table = tuple(np.ascontiguousarray(table[np.argsort(table[:, 0])].T))
     both = spark.sparkContext.broadcast((model, table))
 
     key = F.xxhash64("_id", "text")

@@ -78,7 +78,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray,
     return beta, mean, spread
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 1500, longest: int = 1 << 18, dict_size: int = 1 << 16, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = 1500, longest: int = 1 << 16, dict_size: int = 1 << 16, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
     """Fit on a bounded sample of the labelled rows that aren't held out.
 
     Of each label at most ``sample`` rows, the first by a hash of the id, texts of more than ``longest`` bytes left out; half of them

@@ -196,7 +196,10 @@ def _pack(sent, date: str, level: int, most: int):
 def train_dictionary(pages: DataFrame, sample: int = 256, longest: int = 1 << 16, size: int = 1 << 15, date: str = "2024-01-01T00:00:00Z", html_col: str = "html") -> bytes:
     """A dictionary trained on at most ``sample`` payloads of at most ``longest`` bytes, the first by hash; empty if they are too few."""
     html = F.col(html_col)
-    rows = pages.select(html.alias("html")).where(html.isNotNull() & (F.octet_length(html) <= longest)).orderBy(F.xxhash64("html")).limit(sample).collect()
+    short = pages.select(html.alias("html")).where(html.isNotNull() & (F.octet_length(html) <= longest)).withColumn("h", F.xxhash64("html"))
+    # hashes are chosen first: every task sends its own smallest, and they are small
+    picked = [r["h"] for r in short.select("h").distinct().orderBy("h").limit(sample).collect()]
+    rows = sorted(short.where(F.col("h").isin(picked)).groupBy("h").agg(F.min("html").alias("html")).collect()) if picked else []
     texts = [record(1, "http://site.example/", r["html"].encode(), None, date) for r in rows]
     try:
         return zstandard.train_dictionary(size, texts).as_bytes()

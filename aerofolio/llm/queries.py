@@ -73,6 +73,28 @@ rate AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THE
 SELECT doc_id, size, source_size, target, size * (CAST(floor(r) AS BIGINT) + CASE WHEN u < r - floor(r) THEN 1 ELSE 0 END) AS taken FROM rate
 """
 
+SUBSTRING_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS least FROM win) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS p FROM hit, range(13) t(k)),
+word AS (SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS p FROM w),
+kept AS (SELECT doc_id, count(gone.p) AS n_removed, string_agg(x, ' ' ORDER BY p) FILTER (gone.p IS NULL) AS rest FROM word LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+CONTAMINATION_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM documents),
+b AS (SELECT item_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM benchmark),
+pat AS (SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM (SELECT item_id, ws, least(13, len(ws)) AS n, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS i FROM b WHERE len(ws) > 0)),
+win AS (SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS g FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM pat))),
+hit AS (SELECT doc_id, item_id, n, i FROM win JOIN pat USING (n, g)),
+words AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM (SELECT DISTINCT doc_id, n, i FROM hit), range(13) t(k) WHERE k < n GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 QUERIES = {
     "op1_embedding_near_dedup": embedding_near_dedup,
     "op2_html_extraction": html_extraction,
@@ -85,4 +107,4 @@ QUERIES = {
     "op9_licence_scan": licence_scan,
     "op10_quality_classifier": quality_classifier,
 }
-ORACLE = {"op8_mixing_sources": MIXING_SQL}
+ORACLE = {"op4_benchmark_decontamination": CONTAMINATION_SQL, "op6_substring_dedup": SUBSTRING_SQL, "op8_mixing_sources": MIXING_SQL}

@@ -281,7 +281,9 @@ def near_duplicates(
     parts = max(1, trees * n // (8 * LEAF))
     sorted_leaves = leaves.repartitionByRange(parts, "tree", "code", "along").sortWithinPartitions("tree", "code", "along")
     graph = settle(_top(sorted_leaves.mapInArrow(_leaf_neighbours(size), GRAPH), size))
-    picked = classes.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample).select("id", "unit").collect()
+    # ids are chosen first: every task sends its own smallest, and they are small
+    ids = [r["id"] for r in classes.select("id").orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample).collect()]
+    picked = sorted(classes.where(F.col("id").isin(ids)).select("id", "unit").collect()) if ids else []
     sent = spark.sparkContext.broadcast((np.array([r["id"] for r in picked], np.int64), [bytes(r["unit"]) for r in picked]))
     truth = {r["id"]: r["n"] for r in classes.select("id", "unit", "copies").mapInArrow(_audit(sent, threshold), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()}
     for k in range(longer + 1):

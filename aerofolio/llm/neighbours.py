@@ -1,8 +1,8 @@
 """Near-duplicate embeddings by NN-descent.
 
 A graph of each vector's nearest neighbours starts from leaves of random hyperplanes and is refined: the neighbours of one vector
-(and those that have it as neighbour) meet, compare themselves, and keep who is nearer than the last of their list, until hardly
-any link is new. Lists that hold nothing but links are saturated and may hide more, so they are enlarged to all members of their
+(and those that have it as neighbour) meet, compare themselves, and keep who is nearer than the last of their list, until no
+link is new. Lists that hold nothing but links are saturated and may hide more, so they are enlarged to all members of their
 group of links, which is compared in blocks. A bounded sample is compared with all vectors; while the links found for it fall
 short, lists are made longer and the descent goes on.
 """
@@ -257,7 +257,7 @@ def _audit(sample, threshold: float):
 
 
 def near_duplicates(
-    vectors: DataFrame, threshold: float = 0.95, size: int = 12, trees: int = 4, rounds: int = 6, settled: float = 0.005, recall: float = 0.99, sample: int = 2048,
+    vectors: DataFrame, threshold: float = 0.95, size: int = 12, trees: int = 4, rounds: int = 6, settled: float = 0.0, recall: float = 0.99, sample: int = 2048,
     longer: int = 3, seed: int = 1, id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """``(id, n_links, component, kept, recall)`` for every row of ``vectors``.

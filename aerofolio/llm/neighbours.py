@@ -3,7 +3,8 @@
 A graph of each vector's nearest neighbours starts from leaves of random hyperplanes and is refined: the neighbours of one vector
 (and those that have it as neighbour) meet, compare themselves, and keep who is nearer than the last of their list, until no
 link is new. Lists that hold nothing but links are saturated and may hide more, so they are enlarged to all members of their
-group of links, which is compared in blocks. A bounded sample is compared with all vectors; while the links found for it fall
+group of links, which is compared in blocks; and their vectors search again, among those of other groups only, until no two
+groups are found linked. A bounded sample is compared with all vectors; while the links found for it fall
 short, lists are made longer and the descent goes on.
 """
 
@@ -19,6 +20,8 @@ from ..session import settle
 from .components import components
 
 LEAF, BLOCK_ROWS = 1024, 128
+#: Members of one group that a search between groups begins from, about; its rounds at most, and the share of entries that changed when it ends.
+ENVOYS, ACROSS_ROUNDS, ACROSS_SETTLED = 64, 16, 0.01
 #: Compared with one byte for each component, cosines are off by less than this.
 MARGIN = 0.02
 GRAPH = "id long, to long, sim float, fresh boolean"
@@ -60,19 +63,19 @@ def _by_length(column: pa.Array) -> list[np.ndarray]:
 
 
 def _leaves(rounds: int, levels: int, seed: int):
-    """Each vector once a round, with its side of some random hyperplanes, its place along another direction, and its bytes."""
+    """Each vector ``(id, unit, group)`` once a round, with its side of some random hyperplanes, its place along another direction, and its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for rows in _by_length(b.column(1)):
-                x, ids = _matrix(b.column(1).take(pa.array(rows))), b.column(0).take(pa.array(rows))
+                x, ids, groups = _matrix(b.column(1).take(pa.array(rows))), b.column(0).take(pa.array(rows)), b.column(2).take(pa.array(rows))
                 small = pa.array([r.tobytes() for r in np.rint(x * 127).astype(np.int8)], pa.binary())
                 for r in range(rounds):
                     g = np.random.default_rng([seed, r, x.shape[1]]).standard_normal((x.shape[1], levels + 1))
                     p = x @ g
                     code = (p[:, :levels] > 0) @ (1 << np.arange(levels, dtype=np.int64))
                     yield pa.RecordBatch.from_arrays(
-                        [ids, small, pa.array(np.full(len(x), r * (1 << 20) + x.shape[1])), pa.array(code), pa.array(p[:, levels])], names=["id", "small", "tree", "code", "along"])
+                        [ids, groups, small, pa.array(np.full(len(x), r * (1 << 20) + x.shape[1])), pa.array(code), pa.array(p[:, levels])], names=["id", "group", "small", "tree", "code", "along"])
 
     return run
 
@@ -87,13 +90,14 @@ def _leaf_neighbours(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def near(t: pa.Table) -> pa.RecordBatch:
             sim = _similar(t["small"].combine_chunks())
-            np.fill_diagonal(sim, -2)
+            ids, group = t["id"].to_numpy(), t["group"].to_numpy()
+            sim[group[:, None] == group[None, :]] = -2
             k = min(size, len(sim) - 1)
             top = np.argpartition(-sim, k - 1, axis=1)[:, :k]
-            ids = t["id"].to_numpy()
-            n = len(ids)
+            near = np.take_along_axis(sim, top, 1)
+            a, b = np.nonzero(near > -2)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(ids, k)), pa.array(ids[top].ravel()), pa.array(np.take_along_axis(sim, top, 1).ravel()), pa.array(np.ones(n * k, bool))], names=["id", "to", "sim", "fresh"])
+                [pa.array(ids[a]), pa.array(ids[top[a, b]]), pa.array(near[a, b]), pa.array(np.ones(len(a), bool))], names=["id", "to", "sim", "fresh"])
 
         held = None
         for b in batches:
@@ -134,19 +138,19 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tup
 
 
 def _local_join(size: int):
-    """Members around one vector compare themselves; a pair without a fresh member has met before."""
+    """Members around one vector compare themselves, but those of one group; a pair without a fresh member has met before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, begin in _grouped(batches, ["around"]):
-            ids, fresh, last = t["id"].to_numpy(), t["fresh"].to_numpy(), t["last"].to_numpy()
+            ids, group, fresh, last = (t[c].to_numpy() for c in ("id", "group", "fresh", "last"))
             raw = t["small"].combine_chunks() if isinstance(t["small"], pa.ChunkedArray) else t["small"]
             out: list[tuple[np.ndarray, ...]] = []
             for lo, hi in zip(begin, np.append(begin[1:], len(ids))):
                 if hi - lo < 2 or not fresh[lo:hi].any():
                     continue
-                i, f, w = ids[lo:hi], fresh[lo:hi], last[lo:hi]
+                i, g, f, w = ids[lo:hi], group[lo:hi], fresh[lo:hi], last[lo:hi]
                 sim = _similar(raw.slice(lo, hi - lo))
-                better = (f[:, None] | f[None, :]) & (i[:, None] != i[None, :]) & (sim > w[:, None])
+                better = (f[:, None] | f[None, :]) & (g[:, None] != g[None, :]) & (sim > w[:, None])
                 if hi - lo > size:  # no list has room for more
                     sim = np.where(better, sim, -2)
                     top = np.argpartition(-sim, size - 1, axis=1)[:, :size]
@@ -178,25 +182,70 @@ def _new_links(graph: DataFrame, size: int, least: float) -> tuple[int, int]:
     return r["links"], r["new"]
 
 
-def _descend(graph: DataFrame, small: DataFrame, size: int, least: float, rounds: int, settled: float) -> DataFrame:
-    """Rounds of neighbours-of-neighbours joins, until no more than ``settled`` of the links of at least ``least`` are new."""
+def _descend(graph: DataFrame, small: DataFrame, size: int, least: float, rounds: int, settled: float, walk: DataFrame | None = None) -> DataFrame:
+    """Rounds of neighbours-of-neighbours joins, until no more than ``settled`` of the links of at least ``least`` are new.
+
+    With ``walk(id, to)``, the links within groups, ``graph`` holds entries between groups: the walk leads to nearer
+    ones but enters no list, and entries of any nearness count as links do, since a nearer one may lie behind each.
+    """
     for k in range(rounds):
         nodes = graph.groupBy("id").agg(F.min("sim").alias("sim"), F.count("*").alias("n")).select("id", F.when(F.col("n") < size, F.lit(-2.0)).otherwise(F.col("sim")).cast("float").alias("last"))
-        known = small.join(nodes, "id", "left").select("id", "small", F.coalesce("last", F.lit(-2.0).cast("float")).alias("last"))
+        known = small.join(nodes, "id", "left").select("id", "group", "small", F.coalesce("last", F.lit(-2.0).cast("float")).alias("last"))
         # who has very many that list it meets a part of them, another one each round, so no group grows with its fame
-        fame = settle(graph.groupBy("to").agg(F.count("*").alias("fame")))
-        back = graph.join(fame, "to").where(F.pmod(F.xxhash64("id", "to", F.lit(k)), F.lit(1 << 30)) < F.lit(float(1 << 30)) * size / F.col("fame"))
-        around = graph.select(F.col("id").alias("around"), F.col("to").alias("id"), "fresh").union(back.select(F.col("to").alias("around"), "id", "fresh"))
+        ways = graph.select("id", "to", "fresh")
+        if walk is not None:
+            ways = ways.union(walk.select("id", "to", F.lit(False)))
+        fame = settle(ways.groupBy("to").agg(F.count("*").alias("fame")))
+        back = ways.join(fame, "to").where(F.pmod(F.xxhash64("id", "to", F.lit(k)), F.lit(1 << 30)) < F.lit(float(1 << 30)) * size / F.col("fame"))
+        around = ways.select(F.col("id").alias("around"), F.col("to").alias("id"), "fresh").union(back.select(F.col("to").alias("around"), "id", "fresh"))
         met = around.groupBy("around", "id").agg(F.max("fresh").alias("fresh"))
-        fields = met.join(known, "id").select("around", "id", "fresh", "last", "small")
+        fields = met.join(known, "id").select("around", "id", "group", "fresh", "last", "small")
         found = fields.repartition("around").sortWithinPartitions("around").mapInArrow(_local_join(size), GRAPH)
         graph = settle(_top(graph.withColumn("fresh", F.lit(False)).union(found), size))
-        links, new = _new_links(graph, size, least)
+        links, new = _new_links(graph, size, least) if walk is None else graph.agg(F.count("*"), F.count_if("fresh")).first()
         if new <= settled * links:
             break
     return graph
 
 
+def _start(vectors: DataFrame, trees: int, size: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """``(id, group, small)`` of all ``vectors(id, unit, group)``, and the first lists, from leaves of random hyperplanes."""
+    n = vectors.count()
+    levels = max(0, int(np.ceil(np.log2(max(n, 1) / (LEAF / 2)))))
+    leaves = settle(vectors.select("id", "unit", "group").mapInArrow(_leaves(trees, min(levels, 40), seed), "id long, group long, small binary, tree long, code long, along double"))
+    parts = max(1, trees * n // (8 * LEAF))
+    sorted_leaves = leaves.repartitionByRange(parts, "tree", "code", "along").sortWithinPartitions("tree", "code", "along")
+    return leaves.where(F.col("tree") < 1 << 20).select("id", "group", "small"), settle(_top(sorted_leaves.mapInArrow(_leaf_neighbours(size), GRAPH), size))
+
+
+def _across(graph: DataFrame, classes: DataFrame, small: DataFrame, size: int, least: float, trees: int, seed: int) -> DataFrame:
+    """``(src, dst)``: the graph's links, and those between its groups that saturated lists had no room for.
+
+    A link is in the list of one of its ends unless both lists are saturated. So only vectors with saturated lists search
+    again, for their nearest outside of their group: from some envoys of each group, along the lists of all. Groups found
+    linked are one, whose members look further, until no link is found.
+    """
+    near = graph.where(F.col("sim") >= least)
+    edges = settle(near.select(F.col("id").alias("src"), F.col("to").alias("dst")))
+    full = settle(near.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") >= size).select("id"))
+    walk = settle(near.join(full, "id").join(full.withColumnRenamed("id", "to"), "to").select("id", "to"))
+    while True:
+        groups = components(edges)
+        mine = settle(full.join(groups, "id").select("id", F.col("component").alias("group")))
+        sizes = settle(mine.groupBy("group").agg(F.count("*").alias("size")))
+        if sizes.limit(2).count() < 2:
+            return edges
+        envoy = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) < F.lit(float(1 << 30)) * ENVOYS / F.col("size")
+        envoys = settle(mine.join(sizes, "group").where(envoy).join(classes.select("id", "unit"), "id").select("id", "unit", "group"))
+        _, first = _start(envoys, trees, size, seed)
+        bytes_of = settle(small.select("id", "small").join(mine, "id").select("id", "group", "small"))
+        found = _descend(first, bytes_of, size, least, ACROSS_ROUNDS, ACROSS_SETTLED, walk).where(F.col("sim") >= least)
+        found = settle(found.select(F.col("id").alias("src"), F.col("to").alias("dst")))
+        if found.isEmpty():
+            return edges
+        edges = settle(edges.union(found))
+
+
 def _count_links(threshold: float):
     """Exact cosines within one pair of blocks: each member's links there, and a link to the smallest member it is connected with."""
 
@@ -226,9 +275,9 @@ def _count_links(threshold: float):
     return run
 
 
-def _links(graph: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """``(id, n, root)`` parts of exact links, from all members of each group that the graph's links connect."""
-    groups = settle(components(graph.where(F.col("sim") >= threshold - MARGIN).select(F.col("id").alias("src"), F.col("to").alias("dst"))))
+def _links(edges: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """``(id, n, root)`` parts of exact links, from all members of each group that ``edges(src, dst)`` connect."""
+    groups = settle(components(edges))
     sizes = settle(groups.groupBy("component").agg(F.count("*").alias("size")))
     members = groups.join(sizes, "component").select("id", F.col("component").alias("group"), F.ceil(F.col("size") / BLOCK_ROWS).alias("blocks"))
     rows = members.join(classes.select("id", "unit", "copies"), "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
@@ -274,13 +323,7 @@ def near_duplicates(
     rows = settle(vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v")).mapInArrow(_normalised, f"id {kind}, unit binary"))
     classes = rows.where("unit is not null").groupBy("unit").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
     classes = settle(classes.withColumn("id", F.monotonically_increasing_id()))
-    n = classes.count()
-    levels = max(0, int(np.ceil(np.log2(max(n, 1) / (LEAF / 2)))))
-    leaves = settle(classes.select("id", "unit").mapInArrow(_leaves(trees, min(levels, 40), seed), "id long, small binary, tree long, code long, along double"))
-    small = leaves.where(F.col("tree") < 1 << 20).select("id", "small")
-    parts = max(1, trees * n // (8 * LEAF))
-    sorted_leaves = leaves.repartitionByRange(parts, "tree", "code", "along").sortWithinPartitions("tree", "code", "along")
-    graph = settle(_top(sorted_leaves.mapInArrow(_leaf_neighbours(size), GRAPH), size))
+    small, graph = _start(classes.withColumn("group", F.col("id")), trees, size, seed)
     # ids are chosen first: every task sends its own smallest, and they are small
     ids = [r["id"] for r in classes.select("id").orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample).collect()]
     picked = sorted(classes.where(F.col("id").isin(ids)).select("id", "unit").collect()) if ids else []
@@ -288,7 +331,7 @@ def near_duplicates(
     truth = {r["id"]: r["n"] for r in classes.select("id", "unit", "copies").mapInArrow(_audit(sent, threshold), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()}
     for k in range(longer + 1):
         graph = _descend(graph, small, size << k, threshold - MARGIN, rounds, settled)
-        parts_found = _links(graph, classes, threshold)
+        parts_found = _links(_across(graph, classes, small, size << k, threshold - MARGIN, trees, seed), classes, threshold)
         counts = settle(parts_found.groupBy("id").agg(F.sum("n").alias("n")))
         got = {r["id"]: r["n"] for r in counts.where(F.col("id").isin(list(truth)) & (F.col("n") > 0)).collect()} if truth else {}
         reached = sum(got.get(i, 0) for i in truth) / sum(truth.values()) if truth else 1.0

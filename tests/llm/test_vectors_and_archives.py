@@ -34,6 +34,22 @@ def test_dense_group_larger_than_lists_and_blocks(spark):
     assert got[0]["recall"] >= 0.99
 
 
+def test_groups_larger_than_lists_that_link_across(spark):
+    """Lists hold their own cluster only; in the second pair of clusters but few of the members link across."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for cosine in (0.97, 0.945):
+        a, b = np.linalg.qr(rng.standard_normal((64, 2)))[0].T
+        for centre in (a, cosine * a + np.sqrt(1 - cosine**2) * b):
+            rows += [centre + 0.0125 * rng.standard_normal(64) for _ in range(200)]
+    rows += list(rng.standard_normal((400, 64)))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rows)]
+    got = neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    want = brute.vectors(rows)
+    assert {c for i, _, c, _ in want if i < 800} == {0, 400} and 0 < sum(k >= 200 for i, k, _, _ in want if 400 <= i < 800) < 400
+    assert sorted((tuple(r)[:4] for r in got), key=brute.key) == want
+
+
 COLUMNS = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
 PAGES = [
     (5, "u", "abc"), (3, "u\r\n x: y%41é", "abc"), (3, "z", "abc"), (None, "q", "abc"), (None, None, None), (7, None, ""), (8, "", ""), (9, "x", "é" * 100000),

@@ -21,11 +21,18 @@ RAW = frozenset("script style textarea title noscript iframe template svg math o
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
-ASIDE = frozenset("nav footer aside form dialog menu button head".split())
+NEVER = frozenset("nav footer dialog menu button head".split())
+ASIDE = frozenset("aside form".split())
 ASIDE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar nav navbar navigation menu breadcrumb breadcrumbs "
     "footer masthead cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe signup login share sharing social related "
     "recommended comment comments disqus reply replies pagination pager toolbar search contentinfo complementary".split())
+#: Words that may stand beside those names in a class or id; with any other word ("has-sidebar", "related-work") it says something else.
+BESIDE = frozenset("area bar block box button buttons container form icons inner links list main outer panel section site top bottom widget wrap wrapper".split())
+#: Only elements that hold blocks go by their names, never headings, paragraphs or articles.
+CONTAINERS = frozenset("div section ul ol dl table details fieldset center".split())
+#: An element with this share of the page's selected text or more is the page, whatever its tag or name.
+PAGE_SHARE = 0.75
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "option": {"option"}}
 LISTS = frozenset("ul ol dl table menu".split())
 MAIN = frozenset(["article", "main"])
@@ -34,15 +41,15 @@ PUNCTUATION = re.compile("[.,;:!?…¡¿。、，！？；：]")
 # a quoted value doesn't go over a "<", so a stray quote ends at the next tag
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
-NAMES = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
 WORD = re.compile(r"[A-Za-z]+")
 
 
 class Block:
-    __slots__ = ("path", "parts", "link", "holders", "main", "heading", "text")
+    __slots__ = ("path", "parts", "link", "holders", "main", "heading", "aside", "text")
 
-    def __init__(self, path: int, holders: int, main: bool, heading: bool):
-        self.path, self.holders, self.main, self.heading = path, holders, main, heading
+    def __init__(self, path: int, holders: int, main: bool, heading: bool, aside: int):
+        self.path, self.holders, self.main, self.heading, self.aside = path, holders, main, heading, aside
         self.parts: list[str] = []
         self.link, self.text = 0, ""
 
@@ -50,15 +57,22 @@ class Block:
 def _is_aside(tag: str, attributes: str, in_main: bool) -> bool:
     if tag in ASIDE or (tag == "header" and not in_main):
         return True
-    if tag in ("body", "html", "main") or not attributes:
+    if tag not in CONTAINERS or not attributes:
         return False
-    return any(w.lower() in ASIDE_NAMES for m in NAMES.finditer(attributes) for w in WORD.findall(m[1]))
+    for m in ATTRIBUTE.finditer(attributes):
+        if m[1].lower() in ("class", "id", "role"):
+            for token in m[2].strip("\"'").split():
+                words = [w.lower() for w in WORD.findall(token)]
+                if any(w in ASIDE_NAMES for w in words) and all(w in ASIDE_NAMES or w in BESIDE for w in words):
+                    return True
+    return False
 
 
-def blocks(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
-    """Blocks of text outside of menus and the like; and all elements that hold blocks, as ``(parent, tag)``."""
-    # of an open element: tag, path, number of the nearest block element, within something aside, article or main, link
-    stack: list[tuple[str, int, int, bool, bool, bool]] = [("", 0, 0, False, False, False)]
+def blocks(page: str) -> tuple[list[Block], list[tuple[int, str]], list[int]]:
+    """Blocks of text; all elements that hold blocks, as ``(parent, tag)``; and of menus and the like, the next one around each (0: none)."""
+    # of an open element: tag, path, number of the nearest block element, number of the nearest one aside (-1: no text), article or main, link
+    stack: list[tuple[str, int, int, int, bool, bool]] = [("", 0, 0, 0, False, False)]
+    asides: list[int] = [0]
     paths: dict[tuple[int, str], int] = {}
     holders: list[tuple[int, str]] = [(-1, "")]
     found: list[Block] = []
@@ -69,12 +83,12 @@ def blocks(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
     def add(raw: str) -> None:
         nonlocal current
         tag, path, holder, aside, main, link = stack[-1]
-        if aside or not raw:
+        if aside < 0 or not raw:
             return
         if current is None:
             if raw.isspace():
                 return
-            current = Block(path_of_block(), holder, main, holders[holder][1] in HEADINGS)
+            current = Block(path_of_block(), holder, main, holders[holder][1] in HEADINGS, aside)
             found.append(current)
         current.parts.append(raw)
         if link:
@@ -137,16 +151,19 @@ def blocks(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
             continue
         _, path, holder, aside, main, link = stack[-1]
         path = paths.setdefault((path, tag), len(paths) + 1)
-        if not aside:
-            aside = _is_aside(tag, attributes, main)
-        if tag in BLOCK and not aside:
+        if tag in NEVER or (tag == "article" and main and _in_article(stack)):
+            aside = -1
+        elif aside >= 0 and _is_aside(tag, attributes, main):
+            asides.append(aside)
+            aside = len(asides) - 1
+        if tag in BLOCK and aside >= 0:
             holders.append((holder, tag))
             holder = len(holders) - 1
-        stack.append((tag, path, holder, aside or (tag == "article" and main and _in_article(stack)), main or tag in MAIN, link or tag == "a"))
+        stack.append((tag, path, holder, aside, main or tag in MAIN, link or tag == "a"))
         open_count[tag] = open_count.get(tag, 0) + 1
     for b in found:
         b.text = " ".join(html.unescape("".join(b.parts)).split())
-    return [b for b in found if b.text], holders
+    return [b for b in found if b.text], holders, asides
 
 
 def _in_article(stack: list) -> bool:
@@ -183,9 +200,26 @@ def selected(found: list[Block], share: float) -> list[bool]:
     return [f >= share * mean for f in fused]
 
 
+def _without_asides(found: list[Block], asides: list[int], share: float) -> list[Block]:
+    """Blocks outside of menus and the like, but an element that holds most of the selected text is none."""
+    if not any(b.aside for b in found):
+        return found
+    weight = [0] * len(asides)
+    for b, c in zip(found, selected(found, share)):
+        weight[b.aside] += len(b.text) * c
+    whole = sum(weight)
+    for i in range(len(asides) - 1, 0, -1):
+        weight[asides[i]] += weight[i] if asides[i] else 0
+    gone = [False] * len(asides)
+    for i in range(1, len(asides)):
+        gone[i] = gone[asides[i]] or weight[i] < PAGE_SHARE * whole
+    return [b for b in found if not gone[b.aside]]
+
+
 def main_text(page: str, share: float = 0.3, most: float = 0.9) -> str:
     """The text of the page's article, blocks joined by two line ends; empty if there is none."""
-    found, holders = blocks(page)
+    found, holders, asides = blocks(page)
+    found = _without_asides(found, asides, share)
     if not found:
         return ""
     content = selected(found, share)
@@ -225,8 +259,8 @@ def _run(share: float, most: float):
 def extract(pages: DataFrame, share: float = 0.3, most: float = 0.9, html_col: str = "html") -> DataFrame:
     """The rows of ``pages`` (but the html) with ``text, n_chars``.
 
-    Null and empty pages give an empty text. White space in a block becomes one space, character references are decoded, nothing within the
-    article is dropped or capped. Rows don't depend on each other; columns named as a result are replaced.
+    Null and empty pages give an empty text. White space in a block becomes one space, character references are decoded. Within the
+    article, menus, forms, comments and the like go, by tag or by a class, id or role of a container (``NEVER``, ``ASIDE``, ``ASIDE_NAMES``); nothing else is dropped or capped. Rows don't depend on each other; columns named as a result are replaced.
     """
     others = [c for c in pages.columns if c not in ("text", "n_chars", html_col)]
     schema = ", ".join([f"c{i} {pages.schema[c].dataType.simpleString()}" for i, c in enumerate(others)] + ["text string"])

@@ -220,6 +220,20 @@ def test_pages(spark):
     assert [(r["text"], r["n_chars"]) for r in got[len(PAGES) :]] == [("", 0), ("x" * 300000, 300000)]
 
 
+PROSE = "<p>Prose goes on, and on. It ends.</p>"
+NAMED = {
+    f"<article>{PROSE}<h2 id='how-to-share-code'>Share</h2>{PROSE}<section id=related-work data-id=menu title='a class=ad'>{PROSE}</section><p class=notice>Note.</p></article>": 5,
+    f"<article class='post comments-open'>{PROSE}</article>": 1,
+    f"<div class='layout has-sidebar'><article>{PROSE}{PROSE}</article></div>": 2,
+    f"<body><form action=x><nav><a href=1>Home</a></nav><div>{PROSE * 3}</div></form></body>": 3,
+    f"<div class=sidebar>{PROSE * 3}</div><footer>f</footer>": 3,
+}
+
+
+def test_names_of_elements_do_not_remove_the_article():
+    assert [html_text.main_text(h).count("\n\n") + 1 if html_text.main_text(h) else 0 for h in NAMED] == list(NAMED.values())
+
+
 @tables
 def test_pages_of_the_test_table(spark):
     """Each page's article, cut out and stripped by hand."""

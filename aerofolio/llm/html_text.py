@@ -230,13 +230,12 @@ def main_text(page: str, share: float = 0.3, most: float = 0.9) -> str:
     for i in range(len(holders) - 1, 0, -1):
         weight[holders[i][0]] += weight[i]
         children.setdefault(holders[i][0], []).append(i)
-    # down to the element that holds nearly all selected text, an article at the latest
-    here = 0
-    while holders[here][1] != "article":
+    # an article or main element that holds nearly all selected text, else the innermost element that holds all of it
+    marked = (i for tag in ("article", "main") for i, h in enumerate(holders) if h[1] == tag and weight[i] > 0 and weight[i] >= most * weight[0])
+    here = next(marked, 0)
+    while not here or holders[here][1] not in MAIN:
         inner = max(children.get(here, ()), key=lambda i: (weight[i], -i), default=None)
-        if inner is None or weight[inner] < most * weight[here] or weight[inner] == 0 or holders[inner][1] in ("p", "ul", "ol", "dl", "table", "blockquote", "pre", *HEADINGS):
-            break
-        if holders[here][1] == "main" and holders[inner][1] != "article":
+        if inner is None or weight[inner] < weight[here] or weight[inner] == 0 or holders[inner][1] in ("p", "ul", "ol", "dl", "table", "blockquote", "pre", *HEADINGS):
             break
         here = inner
     inside = [False] * len(holders)

@@ -234,6 +234,17 @@ def test_names_of_elements_do_not_remove_the_article():
     assert [html_text.main_text(h).count("\n\n") + 1 if html_text.main_text(h) else 0 for h in NAMED] == list(NAMED.values())
 
 
+SPREAD_OUT = {
+    f"<div id=content><div class=intro>{PROSE}</div><div class=body>{PROSE * 40}</div><div class=end>{PROSE}</div></div>": 42,
+    f"<div><div>{PROSE}</div><div><div>{PROSE}</div><div>{PROSE * 12}</div></div></div>": 14,
+    f"<div><p>Before, it.</p></div><main>{PROSE * 40}</main>": 40,
+}
+
+
+def test_the_walk_loses_no_selected_text():
+    assert [html_text.main_text(h).count("\n\n") + 1 for h in SPREAD_OUT] == list(SPREAD_OUT.values())
+
+
 @tables
 def test_pages_of_the_test_table(spark):
     """Each page's article, cut out and stripped by hand."""

@@ -22,7 +22,7 @@ from .components import components
 LEAF, BLOCK_ROWS = 1024, 128
 #: Members of one group that a search between groups begins from, about; its rounds at most, and the share of entries that changed when it ends.
 ENVOYS, ACROSS_ROUNDS, ACROSS_SETTLED = 64, 16, 0.01
-#: Compared with one byte for each component, cosines are off by less than this.
+#: Compared with one byte for each component, scaled by the vector's largest, cosines are off by less than this, unless a few components outweigh thousands of others.
 MARGIN = 0.02
 GRAPH = "id long, to long, sim float, fresh boolean"
 
@@ -69,7 +69,7 @@ def _leaves(rounds: int, levels: int, seed: int):
         for b in batches:
             for rows in _by_length(b.column(1)):
                 x, ids, groups = _matrix(b.column(1).take(pa.array(rows))), b.column(0).take(pa.array(rows)), b.column(2).take(pa.array(rows))
-                small = pa.array([r.tobytes() for r in np.rint(x * 127).astype(np.int8)], pa.binary())
+                small = pa.array([r.tobytes() for r in np.rint(x * (127 / np.abs(x).max(1, keepdims=True))).astype(np.int8)], pa.binary())
                 for r in range(rounds):
                     g = np.random.default_rng([seed, r, x.shape[1]]).standard_normal((x.shape[1], levels + 1))
                     p = x @ g

@@ -3,6 +3,7 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 
@@ -50,6 +51,18 @@ def test_groups_larger_than_lists_that_link_across(spark):
     assert sorted((tuple(r)[:4] for r in got), key=brute.key) == want
 
 
+@pytest.mark.parametrize("width", [64, 4096, 8192])
+def test_bytes_of_wide_vectors_keep_the_margin(width):
+    rng = np.random.default_rng(6)
+    a = rng.standard_normal((8, width))
+    x = np.concatenate([a, 0.95 * a + np.sqrt(1 - 0.95**2) * rng.standard_normal((8, width))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = pa.array(range(16))
+    batch = pa.RecordBatch.from_arrays([ids, pa.array([r.tobytes() for r in x], pa.binary()), ids], names=["id", "unit", "group"])
+    small = next(neighbours._leaves(1, 0, 1)(iter([batch])))["small"]
+    assert np.abs(neighbours._similar(small) - x @ x.T).max() < neighbours.MARGIN
+
+
 COLUMNS = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
 PAGES = [
     (5, "u", "abc"), (3, "u\r\n x: y%41é", "abc"), (3, "z", "abc"), (None, "q", "abc"), (None, None, None), (7, None, ""), (8, "", ""), (9, "x", "é" * 100000),

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.files import table
-from . import decontaminate, html_text, language_models, licences, mixing, neighbours, quality, simhash, substrings, warc
+from . import decontaminate, filter_audit, html_text, language_models, licences, merkle, mixing, neighbours, quality, simhash, substrings, token_counts, warc
 
 
 def embedding_near_dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -58,6 +59,19 @@ def quality_classifier(spark: SparkSession, d: str) -> DataFrame:
     return quality.scored(docs, quality.train(docs, table(spark, d, "labels"))).select("doc_id", "held_out", "score", "predicted")
 
 
+def filter_interactions(spark: SparkSession, d: str) -> DataFrame:
+    return filter_audit.audit(table(spark, d, "documents").select("doc_id", "text", "source"), table(spark, d, "labels"))
+
+
+def token_counting(spark: SparkSession, d: str) -> DataFrame:
+    return token_counts.counted(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
+def merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    found = merkle.manifest(table(spark, d, "documents").select("doc_id", "source", "lang", "n_chars", "text"))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 MIXING_SQL = r"""
 WITH sized AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS nr FROM sized GROUP BY source),
@@ -95,6 +109,68 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+AUDIT_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+lab AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+  CASE WHEN len(ws) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 2 ELSE 0 END
+  + CASE WHEN 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * len(t) THEN 4 ELSE 0 END
+  + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > least THEN 16 ELSE 0 END AS mask
+  FROM w LEFT JOIN lab USING (doc_id)),
+s AS (SELECT part, CAST(k AS INTEGER) AS k, count(*) FILTER ((mask & k) = 0) AS n, count(*) FILTER ((mask & k) = 0 AND good = 1) AS g, count(*) FILTER ((mask & k) = 0 AND toxic = 1) AS x
+  FROM m, range(32) r(k) GROUP BY part, k),
+f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(l, b)),
+p AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits FROM f a, f b, f c, f d, f e WHERE a.b + b.b + c.b + d.b + e.b = 31 AND (a.b | b.b | c.b | d.b | e.b) = 31),
+turn AS (SELECT filter_order, CAST(i AS INTEGER) AS step, CAST(bits[i] AS INTEGER) AS b, CAST(coalesce(list_sum(bits[:i - 1]), 0) AS INTEGER) AS before FROM p, range(1, 6) r(i)),
+o AS (SELECT s.part, turn.filter_order, turn.step, turn.b, y.n AS kept, s.n - y.n AS removed, z.n - o.n AS fails, u.n - v.n AS unique_fails, s.g - y.g AS good_lost, s.x - y.x AS toxic_lost
+  FROM turn JOIN s ON s.k = turn.before JOIN s y ON y.part = s.part AND y.k = turn.before + turn.b JOIN s z ON z.part = s.part AND z.k = 0 JOIN s o ON o.part = s.part AND o.k = turn.b
+  JOIN s u ON u.part = s.part AND u.k = 31 - turn.b JOIN s v ON v.part = s.part AND v.k = 31)
+SELECT part, filter_order, step, kept, removed, fails - removed AS redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, b) AS BIGINT) AS shapley FROM o
+"""
+
+
+def merkle_sql(levels: int = 10) -> str:
+    """Level by level, as far as ``8 ** levels`` leaves of a key: each node with the brothers to its left and right."""
+
+    def tree(name: str, leaves: str) -> list[str]:
+        parts = [f"{name}0 AS ({leaves})"]
+        for k in range(levels):
+            parts.append(f"""{name}s{k} AS (SELECT key, idx, digest, count(*) OVER (PARTITION BY key) AS n,
+              coalesce(string_agg(digest, '') OVER (PARTITION BY key, idx // 8 ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+              coalesce(string_agg(digest, '') OVER (PARTITION BY key, idx // 8 ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})""")
+            parts.append(f"""{name}{k + 1} AS (SELECT key, idx // 8 AS idx, CASE WHEN any_value(n) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY idx)) END AS digest FROM {name}s{k} GROUP BY key, idx // 8)""")
+        return parts
+
+    def up(name: str, before: str, place: str, key: str) -> list[str]:
+        parts, last = [], before
+        for k in range(levels):
+            parts.append(f"""{name}p{k} AS (SELECT a.* EXCLUDE (proof, folded), a.proof || CASE WHEN t.n > 1 THEN t.l || t.r ELSE '' END AS proof,
+              CASE WHEN t.n > 1 THEN sha256(t.l || a.folded || t.r) ELSE a.folded END AS folded FROM {last} a JOIN {name}s{k} t ON t.key = a.{key} AND t.idx = a.{place} // {8 ** k})""")
+            last = f"{name}p{k}"
+        return parts
+
+    def field(column: str) -> str:
+        return f"coalesce(octet_length(encode(CAST({column} AS VARCHAR))) || ':' || CAST({column} AS VARCHAR), '-')"
+
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bit = "list_reduce([xor(c, ascii(b))] || [1::BIGINT, 2, 3, 4, 5, 6, 7, 8], lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1)))"
+    crc = f"xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda b: ascii(b)::BIGINT), lambda c, b: {bit.replace('ascii(b)', 'b')}), 4294967295::BIGINT)"
+    parts = [
+        f"lf AS (SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS key, sha256({head} || {field('text')}) AS leaf, CASE WHEN {crc} % 3 = 0 THEN sha256({head} || {field(low)}) END AS changed FROM documents)",
+        "pos AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, coalesce(changed, leaf) AS folded, '' AS proof FROM lf)",
+        *tree("a", "SELECT key, place AS idx, leaf AS digest FROM pos"),
+        f"sub AS (SELECT '' AS one, key, digest, row_number() OVER (ORDER BY key) - 1 AS rank FROM a{levels})",
+        *tree("b", "SELECT one AS key, rank AS idx, digest FROM sub"),
+        *up("a", "pos", "place", "key"),
+        f"mid AS (SELECT a.*, sub.digest AS subroot, sub.rank, '' AS one FROM ap{levels - 1} a JOIN sub ON sub.key = a.key)",
+        *up("b", "mid", "rank", "one"),
+    ]
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, b.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = b.digest AS verified FROM bp{levels - 1} a, b{levels} b"""
+
+
 QUERIES = {
     "op1_embedding_near_dedup": embedding_near_dedup,
     "op2_html_extraction": html_extraction,
@@ -106,5 +182,8 @@ QUERIES = {
     "op8_mixing_sources": mixing_sources,
     "op9_licence_scan": licence_scan,
     "op10_quality_classifier": quality_classifier,
+    "op11_filter_interactions": filter_interactions,
+    "op12_token_counts": token_counting,
+    "op13_merkle_manifest": merkle_manifest,
 }
-ORACLE = {"op4_benchmark_decontamination": CONTAMINATION_SQL, "op6_substring_dedup": SUBSTRING_SQL, "op8_mixing_sources": MIXING_SQL}
+ORACLE = {"op11_filter_interactions": AUDIT_SQL, "op13_merkle_manifest": merkle_sql(), "op4_benchmark_decontamination": CONTAMINATION_SQL, "op6_substring_dedup": SUBSTRING_SQL, "op8_mixing_sources": MIXING_SQL}

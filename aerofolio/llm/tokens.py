@@ -12,8 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 4 << 20
-BLOCK = 1 << 20
+PIECE = 1 << 20
+BLOCK = 1 << 18
 MASK = (1 << 64) - 1
 
 # Odd multipliers of the running sums (bytes of a word; words of a window) and of the bit mixer.
@@ -42,16 +42,19 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """``base ** i`` and its inverse modulo 2**64, for i below ``n``."""
     had = _powers.get(base)
-    if had is None or len(had[0]) < n:
-        n = max(n, 1 << 16, 2 * len(had[0]) if had else 0)
-
-        def run(b: int) -> np.ndarray:
-            out = np.full(n, b, np.uint64)
-            out[0] = 1
-            return np.multiply.accumulate(out)
-
-        had = _powers[base] = (run(base), run(pow(base, -1, 1 << 64)))
-    return had
+    if had is not None and len(had[0]) >= n:
+        return had
+    size = max(n, 2 * BLOCK)
+
+    def run(b: int) -> np.ndarray:
+        out = np.full(size, b, np.uint64)
+        out[0] = 1
+        return np.multiply.accumulate(out)
+
+    found = run(base), run(pow(base, -1, 1 << 64))
+    if size == 2 * BLOCK:  # what a block needs is kept; the powers for a single word of more bytes are not
+        _powers[base] = found
+    return found
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

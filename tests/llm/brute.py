@@ -9,6 +9,7 @@ from itertools import combinations
 
 import numpy as np
 import xxhash
+import zstandard
 
 SPACED, ALNUM = r"[^\x20\x09-\x0D]+", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -173,3 +174,25 @@ def extra(spark, rows, columns):
     more = {k: v for k, v in clash.items() if k not in names}
     kinds = {"id": "long", "text_": "string", "n_words": "string", "score": "string", "component": "int", "key": "int", "size": "double", "spans": "string"}
     return spark.createDataFrame([(*r, *more.values()) for r in rows], columns + "".join(f", {k} {kinds[k]}" for k in more))
+
+
+def compressed_features(text, good, bad):
+    """Features of the quality score, block by block, with a fresh compressor for each."""
+    raw = text.encode()
+    blocks = [raw[i : i + 512] for i in range(0, len(raw), 512)]
+    if not blocks:
+        return 0.0, 0.0, 0.0, 0.0, 0.0
+
+    def sizes(dictionary):
+        d = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+        return [len(zstandard.ZstdCompressor(level=3, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress(b)) for b in blocks]
+
+    g, b = sizes(good), sizes(bad)
+    each = [(y - x) / (y + x) for x, y in zip(g, b)]
+    return (sum(b) - sum(g)) / (sum(b) + sum(g)), min(each), max(each), sum(g) / len(raw), math.log1p(len(raw))
+
+
+def compressed_score(text, model):
+    inside = [min(max(x, lo), hi) for x, lo, hi in zip(compressed_features(text, model.good, model.bad), *model.seen)]
+    z = model.weights[0] + sum(w * (x - m) / s for w, x, m, s in zip(model.weights[1:], inside, model.mean, model.spread))
+    return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))

@@ -191,10 +191,40 @@ def test_quality(spark):
     assert len(held) > 60 and all(r["predicted"] == 1 - r["doc_id"] % 2 for r in held)
     assert len({r["score"] for r in rows if r["doc_id"] in (1000, 1001)}) == 1
     nothing = quality.train(docs, labels.limit(0))
-    assert {r["score"] for r in quality.scored(docs, nothing).collect()} == {0.5}
+    assert not nothing.fitted and {r["score"] for r in quality.scored(docs, nothing).collect()} == {0.5}
+    assert not quality.train(docs, labels.where("quality = 1")).fitted
     assert quality.scored(docs.limit(0), model).count() == 0
 
 
+def test_quality_scores_equal_a_plain_version(spark):
+    """Scores from features computed plainly with the same dictionaries, of very long texts too."""
+
+    rng = __import__("random").Random(1)
+    rows = [(i, " ".join(rng.choice(["calm", "words", "go", "on"] if i % 2 else ["###", "BUY", "now", "go"]) for _ in range(rng.choice([1, 5, 90, 900])))) for i in range(300)]
+    rows += [(301, "calm words go on " * 40000), (302, "### BUY now " * 30000), (303, None), (304, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    model = quality.train(docs, labels, sample=1000, blocks=4)
+    got = {r["doc_id"]: r["score"] for r in quality.scored(docs, model).collect()}
+    for i, text in rows:
+        assert abs(got[i] - brute.compressed_score(text or "", model)) < 1e-12
+    assert model.fitted and got[301] > 0.9 > 0.1 > got[302]
+
+
+def test_quality_fit_is_flat_at_its_weights():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    x, y, w = rng.normal(size=(200, 5)), rng.integers(0, 2, 200), rng.random(200) + 0.5
+    beta, mean, spread = quality._logistic(x, y, w)
+
+    def loss(b):
+        z = np.c_[np.ones(200), (x - mean) / spread] @ b
+        return (w * (np.logaddexp(0, z) - y * z)).sum() + 0.5e-2 * (b @ b)
+
+    assert all(loss(beta) <= loss(beta + d) for d in np.r_[np.eye(6), -np.eye(6)] * 1e-3)
+
+
 def test_quality_learns_nothing_from_held_out_rows(spark):
     docs = spark.createDataFrame([(i, f"text {i} " * 9) for i in range(80)], "doc_id long, text string")
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))

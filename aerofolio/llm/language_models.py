@@ -1,10 +1,13 @@
-"""Cross-entropy difference: bigram models of target and background text over one vocabulary.
+"""Cross-entropy difference: bigram models of target and background text, matched in size, over all words of the corpus.
 
-The background is every document, the target those with a label. Counts cover all words of all documents. A document's pairs of words
-travel, once each with their number, to the bucket of the pair, packed in arrays; a bucket sees every document that
-has its pairs, so it has both counts and answers with what its pairs add to each document's loss difference. Pairs of
-the most frequent words, which any large part of the rows may hold, are counted in a table of bounded size and scored
-where the text is, so no bucket is hot.
+The target is the rows with a label, the background all others; the background's counts are scaled to the target's total, so both models have
+one total, one smoothing and one vocabulary: every word and pair that either has, however many there are. The loss of a word after the one
+before it is the pair's less the first word's, mixed with the word's own, so a text's loss is a sum over its words and pairs, each
+of which needs nothing but its own two counts. A text isn't scored by its own counts: they are taken off those of its side.
+
+Words and pairs travel, once a text each with their number, to buckets by their hash, packed in arrays; a bucket has every text that holds its
+words and pairs, so it has their counts, and answers with what they add to each text. Those that many texts hold, as a bounded sample of texts tells, are
+counted in a table of bounded size and scored where the text is, so that no bucket is hot; this only decides on the way that counts take.
 """
 
 from __future__ import annotations
@@ -17,162 +20,140 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import settle
-from .tokens import MIX_A, PLAIN_LOWER, Words, mixed, pieces
+from .tokens import MIX_A, MIX_B, PLAIN_LOWER, Words, mixed, pieces
 
-#: Pairs a task holds before it sends them on; mean pairs of a bucket; mean bytes of text of a shard.
+#: Entries a task holds before it sends them on; mean entries of a bucket; mean bytes of text of a shard.
 FLUSH, PER_BUCKET, PER_SHARD = 1 << 20, 1 << 20, 8 << 20
 LEAST = 64
+#: Bytes of text of the sample that tells which words and pairs are common.
+SAMPLE = 32 << 20
 #: Ids to be broadcast at most; more are joined by a shuffle.
 FEW_IDS = 2_000_000
 #: Losses are added as whole multiples of this, so sums don't depend on their order.
 UNIT = 2.0**-32
+# Fixed value: what stands for the end of a text, as a word's hash.
+END = np.uint64(0x94D049BB133111EB)
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task: each word's hash with its number, and its number as last word, in all documents and in the target's."""
-
-    def flush(held):
-        h, kind = (np.concatenate(x) for x in zip(*held))
-        keys, at = np.unique(h, return_inverse=True)
-        n = np.bincount(at * 4 + kind, minlength=4 * len(keys)).reshape(-1, 4)  # background or target, last or not
-        cols = [n.sum(1), n[:, 2:].sum(1), n[:, 1] + n[:, 3], n[:, 3]]
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *[pa.array(c) for c in cols]], names=["h", "n", "n_t", "last", "last_t"])
+def _keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit key of each word, and of each word with the next one or with the end of its text.
 
-    held, count = [], 0
+    Two of all words and pairs whose keys are equal count together; of a thousand million, less than one pair is to be expected.
+    """
+    h = words.hashes()
+    after = np.append(h[1:], END)
+    after[words.first[1:][words.counts > 0] - 1] = END
+    return mixed(h ^ MIX_A), mixed(h * MIX_B + mixed(after))
+
+
+def _entries(words: Words, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, key, times and kind (1: a pair) of every different word and pair of each row, rows in order."""
+    row = np.repeat(np.arange(rows), words.counts)
+    out = []
+    for kind, key in enumerate(_keys(words)):
+        order = np.lexsort((key, row))
+        r, k = row[order], key[order]
+        first = np.flatnonzero((np.diff(r, prepend=-1) != 0) | np.append(True, k[1:] != k[:-1])[: len(k)])
+        out.append((r[first], k[first], np.diff(np.append(first, len(k))), np.full(len(first), kind)))
+    r, k, t, kind = (np.concatenate(x) for x in zip(*out))
+    order = np.argsort(r, kind="stable")
+    return r[order], k[order], t[order], kind[order]
+
+
+def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many texts of a task's sample each word and pair is."""
     for b in batches:
-        flags = b.column(1).to_numpy(zero_copy_only=False)
         for lo, hi, data, bounds in pieces(b.column(0)):
-            words = Words(data, bounds, PLAIN_LOWER)
-            if not len(words):
-                continue
-            kind = np.repeat(flags[lo:hi].astype(np.int64) * 2, words.counts)
-            kind[words.first[1:][words.counts > 0] - 1] += 1
-            held.append((words.hashes(), kind))
-            count += len(words)
-            if count >= FLUSH:
-                yield flush(held)
-                held, count = [], 0
-    if held:
-        yield flush(held)
-
-
-class Vocabulary:
-    """Word hashes with their counts, most frequent first; then one number for all other words, and one for a text's beginning."""
-
-    def __init__(self, known: np.ndarray, totals: tuple, docs: tuple[int, int]):
-        """``known``: rows of a word's hash, its number in all texts and in the target's, and both as last word."""
-        known = known[np.lexsort((known[:, 0], -known[:, 1]))]
-        h = known[:, 0].view(np.uint64)
-        order = np.argsort(h)
-        self.sorted, self.number = h[order], order
-        self.size = len(h)
-        counts = known[:, 1:]
-        rest = np.array(totals, np.int64) - counts.sum(0)
-        counts = np.vstack([counts, rest, [0, 0, 0, 0]])
-        self.unigram = counts[:, :2].T.astype(float)  # background, target
-        self.context = self.unigram - counts[:, 2:].T
-        self.context[:, -1] = docs
-        self.total = np.array(totals[:2], float)
-
-    def numbers(self, h: np.ndarray) -> np.ndarray:
-        if not self.size:
-            return np.zeros(len(h), np.int64)
-        at = np.minimum(np.searchsorted(self.sorted, h), self.size - 1)
-        return np.where(self.sorted[at] == h, self.number[at], self.size)
-
-    def pairs(self, words: Words) -> np.ndarray:
-        """Code of each word with the one before."""
-        w = self.numbers(words.hashes())
-        before = np.roll(w, 1)
-        before[words.first[:-1][words.counts > 0]] = self.size + 1
-        return before * (self.size + 2) + w
-
-    def gain(self, code: np.ndarray, n_b: np.ndarray, n_t: np.ndarray, weight: float, add: float) -> np.ndarray:
-        """Loss in the target's model less loss in the background's, for pairs with these counts, in units."""
-        v, w = code // (self.size + 2), code % (self.size + 2)
-        out = np.zeros(len(code))
-        for sign, m, n in ((1, 0, n_b), (-1, 1, n_t)):
-            uni = (self.unigram[m, w] + add) / (self.total[m] + add * (self.size + 1))
-            c = self.context[m, v]
-            out += sign * np.log(np.where(c > 0, weight * n / np.maximum(c, 1) + (1 - weight) * uni, uni))
-        return np.rint(out / UNIT).astype(np.int64)
-
-
-def _count_hot(sent, hot: int):
-    """Per task: pairs of two of the ``hot`` most frequent words with their numbers; their table has a fixed size."""
+            _, key, _, _ = _entries(Words(data, bounds, PLAIN_LOWER), hi - lo)
+            key, n = np.unique(key, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
+
+
+def _count(sent):
+    """Per task: how often each common key is in the background and in the target; key null: words of either."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = sent.value
-        table = np.zeros((2, (hot + 2) ** 2), np.int64)
+        hot = sent.value
+        table, total = np.zeros((2, len(hot)), np.int64), [0, 0]
         for b in batches:
-            flags = b.column(1).to_numpy(zero_copy_only=False)
+            flags = b.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             for lo, hi, data, bounds in pieces(b.column(0)):
                 words = Words(data, bounds, PLAIN_LOWER)
-                at = _hot_at(vocabulary, vocabulary.pairs(words), hot)
-                target = np.repeat(flags[lo:hi], words.counts)
-                table[0] += np.bincount(at[at >= 0], minlength=table.shape[1])
-                table[1] += np.bincount(at[(at >= 0) & target], minlength=table.shape[1])
-        k = np.flatnonzero(table[0])
-        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(table[0][k]), pa.array(table[1][k])], names=["at", "n", "n_t"])
+                side = np.repeat(flags[lo:hi], words.counts)
+                for s in (0, 1):
+                    total[s] += int((side == s).sum())
+                if not len(hot):
+                    continue
+                for key in _keys(words):
+                    at = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
+                    there = hot[at] == key
+                    for s in (0, 1):
+                        table[s] += np.bincount(at[there & (side == s)], minlength=len(hot))
+        some = np.flatnonzero(table.sum(0))
+        keys = pa.concat_arrays([pa.array(hot[some].view(np.int64)), pa.nulls(1, pa.int64())])
+        yield pa.RecordBatch.from_arrays([keys, *(pa.array(np.append(table[s][some], total[s])) for s in (0, 1))], names=["key", "n_b", "n_t"])
 
     return run
 
 
-def _hot_at(vocabulary: Vocabulary, code: np.ndarray, hot: int) -> np.ndarray:
-    """Place in the table of hot pairs (-1: not in it). The unknown word and a text's beginning are hot too."""
-    place = np.full(vocabulary.size + 2, -1)
-    place[:hot] = np.arange(min(hot, len(place)))
-    place[vocabulary.size :] = hot, hot + 1
-    v, w = place[code // (vocabulary.size + 2)], place[code % (vocabulary.size + 2)]
-    return np.where((v >= 0) & (w >= 0), v * (hot + 2) + w, -1)
+class Gain:
+    """What an occurrence adds to a text's score, in units."""
+
+    def __init__(self, totals: tuple[int, int], weight: float, add: float):
+        background, target = totals
+        self.scale = target / background if background else 0.0
+        self.weight, self.add, self.none = weight, add, not target
+
+    def __call__(self, n_b: np.ndarray, n_t: np.ndarray, own: np.ndarray, in_target: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Loss in the target's model less loss in the background's, times the weight of words or pairs; a text's ``own`` number is left out."""
+        if self.none:
+            return np.zeros(len(own), np.int64)
+        b = self.scale * (n_b - np.where(in_target, 0, own)) + self.add
+        t = n_t - np.where(in_target, own, 0) + self.add
+        each = np.log(b / t) * np.where(kind == 1, self.weight, 1 - 2 * self.weight)
+        return np.rint(each / UNIT).astype(np.int64)
 
 
-def _send(sent, buckets: int, hot: int, weight: float, add: float):
-    """Rows ``(bucket, body)``: runs of one document's pairs, or what documents have got already."""
+def _send(sent, buckets: int):
+    """Rows ``(bucket, body)``: runs of one text's words and pairs, or what texts have got already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, table = sent.value
-        held, count = [], 0
+        hot, n_b, n_t, gain = sent.value
+        held, count, rows = [], 0, 0
 
         def flush() -> pa.RecordBatch:
-            keys, shards, flags, row, code, times, own, n_words = (np.concatenate(x) for x in zip(*held))
-            bucket = ((mixed(code.astype(np.uint64) ^ MIX_A) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+            texts, shards, flags, row, key, times, own, n_words = (np.concatenate(x) for x in zip(*held))
+            bucket = ((mixed(key ^ MIX_B) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
-            row, code, times, bucket = row[order], code[order], times[order], bucket[order]
+            row, key, times, bucket = row[order], key[order], times[order], bucket[order]
             begin = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(bucket, prepend=-1) != 0))
-            length = np.diff(np.append(begin, len(code)))
+            length = np.diff(np.append(begin, len(key)))
             cut = np.flatnonzero(np.diff(bucket[begin], prepend=-1))
-            # what documents have so far goes through a bucket of its own choice
-            out_b, out = [int(keys[0] % np.uint64(buckets))], [struct.pack("<qq", -1, len(keys)) + keys.tobytes() + shards.astype(np.int32).tobytes() + own.tobytes() + n_words.tobytes()]
+            # what texts have so far goes through a bucket of its own choice
+            out_b, out = [int(texts[0] % np.uint64(buckets))], [struct.pack("<qq", -1, len(texts)) + texts.tobytes() + shards.astype(np.int32).tobytes() + own.tobytes() + n_words.tobytes()]
             for lo, hi in zip(cut, np.append(cut[1:], len(begin))):
-                docs, upto = row[begin[lo:hi]], begin[hi] if hi < len(begin) else len(code)
-                c = code[begin[lo] : upto]
+                mine, upto = row[begin[lo:hi]], begin[hi] if hi < len(begin) else len(key)
                 out_b.append(int(bucket[begin[lo]]))
-                out.append(struct.pack("<qq", hi - lo, len(c)) + keys[docs].tobytes() + (shards[docs] * 2 + flags[docs]).astype(np.int32).tobytes() + length[lo:hi].astype(np.int32).tobytes()
-                           + (c & 0xFFFFFFFF).astype(np.uint32).tobytes() + (c >> 32).astype(np.uint16).tobytes() + times[begin[lo] : upto].astype(np.uint32).tobytes())
+                out.append(struct.pack("<qq", hi - lo, upto - begin[lo]) + texts[mine].tobytes() + (shards[mine] * 2 + flags[mine]).astype(np.int32).tobytes() + length[lo:hi].astype(np.int32).tobytes()
+                           + key[begin[lo] : upto].tobytes() + times[begin[lo] : upto].astype(np.uint32).tobytes())
             return pa.RecordBatch.from_arrays([pa.array(out_b, pa.int64()), pa.array(out, pa.binary())], names=["bucket", "body"])
 
-        rows = 0
         for b in batches:
-            all_keys, all_shards = b.column(2).to_numpy().view(np.uint64), b.column(3).to_numpy().astype(np.int64)
+            all_texts, all_shards = b.column(2).to_numpy().view(np.uint64), b.column(3).to_numpy().astype(np.int64)
             flags = b.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             for lo, hi, data, bounds in pieces(b.column(0)):
                 words = Words(data, bounds, PLAIN_LOWER)
-                code, row = vocabulary.pairs(words), np.repeat(np.arange(hi - lo), words.counts)
-                at = _hot_at(vocabulary, code, hot)
-                own = np.zeros(hi - lo, np.int64)
-                is_hot = at >= 0
-                if is_hot.any():
-                    place = np.searchsorted(table[0], at[is_hot])
-                    np.add.at(own, row[is_hot], vocabulary.gain(code[is_hot], table[1][place], table[2][place], weight, add))
-                code, row = code[~is_hot], row[~is_hot]
-                order = np.lexsort((code, row))
-                code, row = code[order], row[order]
-                first = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(code, prepend=-1) != 0))
-                times = np.diff(np.append(first, len(code)))
-                held.append((all_keys[lo:hi], all_shards[lo:hi], flags[lo:hi], row[first] + rows, code[first], times, own, words.counts.astype(np.int64)))
+                row, key, times, kind = _entries(words, hi - lo)
+                own, far = np.zeros(hi - lo, np.int64), np.ones(len(key), bool)
+                if len(hot):
+                    at = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
+                    near = np.flatnonzero(hot[at] == key)
+                    far[near] = False
+                    at, n, k = at[near], times[near], kind[near]
+                    np.add.at(own, row[near], gain(n_b[at], n_t[at], n, flags[lo:hi][row[near]] == 1, k) * n)
+                held.append((all_texts[lo:hi], all_shards[lo:hi], flags[lo:hi], row[far] + rows, key[far], times[far] * 2 + kind[far], own, words.counts.astype(np.int64)))
                 rows += hi - lo
-                count += len(first) + hi - lo
+                count += int(far.sum()) + hi - lo
                 if count >= FLUSH:
                     yield flush()
                     held, count, rows = [], 0, 0
@@ -182,30 +163,30 @@ def _send(sent, buckets: int, hot: int, weight: float, add: float):
     return run
 
 
-def _answer(sent, weight: float, add: float):
+def _answer(sent):
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        vocabulary, _ = sent.value
+        gain = sent.value[3]
         parts, out_s, out = [], [], []
         for body in (x.as_buffer() for x in group["body"]):
             n, k = struct.unpack_from("<qq", body)
-            kinds = ((np.uint64, k), (np.int32, k), (np.int64, k), (np.int64, k)) if n < 0 else ((np.uint64, n), (np.int32, n), (np.int32, n), (np.uint32, k), (np.uint16, k), (np.uint32, k))
+            kinds = ((np.uint64, k), (np.int32, k), (np.int64, k), (np.int64, k)) if n < 0 else ((np.uint64, n), (np.int32, n), (np.int32, n), (np.uint64, k), (np.uint32, k))
             at, got = 16, []
             for t, m in kinds:
                 got.append(np.frombuffer(body, t, m, at))
                 at += m * np.dtype(t).itemsize
             if n < 0:
                 _to_shards(got[1], (got[0], got[2], got[3]), 1, out_s, out)
-            else:
+            elif k:
                 parts.append(got)
         if parts:
-            keys, shards, length, low, high, times = (np.concatenate(x) for x in zip(*parts))
-            code = low.astype(np.int64) | (high.astype(np.int64) << 32)
-            target = np.repeat(shards & 1, length)
-            distinct, at = np.unique(code, return_inverse=True)
-            n_b = np.bincount(at, weights=times, minlength=len(distinct))
+            texts, shards, length, keys, times = (np.concatenate(x) for x in zip(*parts))
+            target = np.repeat(shards & 1, length) == 1
+            kind, times = times & 1, (times >> 1).astype(np.int64)
+            distinct, at = np.unique(keys, return_inverse=True)
             n_t = np.bincount(at, weights=times * target, minlength=len(distinct))
-            gain = vocabulary.gain(distinct, n_b, n_t, weight, add)[at] * times
-            _to_shards(shards >> 1, (keys, np.add.reduceat(gain, np.cumsum(length) - length)), 0, out_s, out)
+            n_b = np.bincount(at, weights=times, minlength=len(distinct)) - n_t
+            each = gain(n_b[at], n_t[at], times, target, kind) * times
+            _to_shards(shards >> 1, (texts, np.add.reduceat(each, np.cumsum(length) - length)), 0, out_s, out)
         return pa.table({"shard": pa.array(out_s, pa.int32()), "answer": pa.array(out, pa.binary())})
 
     return run
@@ -237,23 +218,24 @@ def _add_up(key: tuple, group: pa.Table) -> pa.Table:
     return pa.table({"key": pa.array(distinct.view(np.int64)), "n_words": pa.array(n), "score": pa.array(score)})
 
 
-def _numbers(few: DataFrame) -> np.ndarray:
+def _columns(few: DataFrame) -> list[np.ndarray]:
     """A small table of longs on the driver, as columns of numbers rather than as rows of objects."""
     t = few.toArrow()
-    return np.stack([c.to_numpy() for c in t.columns], axis=1) if len(t) else np.zeros((0, t.num_columns), np.int64)
+    return [c.combine_chunks().to_numpy(zero_copy_only=False) for c in t.columns]
 
 
-def cross_entropy_difference(docs: DataFrame, targets: DataFrame, vocabulary: int = 1 << 17, hot: int = 1024, weight: float = 0.7, add: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, targets: DataFrame, hot: int = 1 << 16, weight: float = 0.7, add: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_words, score)`` for every row of ``docs``.
 
-    ``score`` is the mean, over a text's words, of the loss in the target's model less the loss in the background's (natural logarithm): the lower, the more like the
-    target. The background is all rows of ``docs``, the target those whose id is in ``targets(id)``. Words are runs without ASCII white space,
-    A-Z lower-cased. Both models are ``weight`` times the bigram's share of its first word plus ``1 - weight`` times the word's own
-    share, ``add`` counts added to each word; after a first word that a model hasn't seen, the word's own share. They share the vocabulary: the words in the largest
-    classes of frequency that hold at most ``vocabulary`` words together (a parameter of the models; it bounds what is broadcast), all others being one unknown word.
+    ``score`` is the mean, over a text's words, of the loss in the target's model less the loss in the background's (natural logarithm): the lower, the more
+    like the target. The target is the rows whose id is in ``targets(id)``, the background the others. Words are runs without ASCII white space, A-Z lower-cased.
+    A word or pair (a word and the next, or the end of the text) that occurs n times in the target and m times in the background has the shares n + ``add`` and
+    m * s + ``add`` of the models' common total, s being the target's words per word of the background; the text's own occurrences are not among n and m.
+    A word's loss is ``weight`` times that of its pair given its first word, and ``1 - weight`` times its own. No word is left out, and other texts bear on
+    a score by their counts alone. ``hot`` words and pairs at most are counted apart, without any difference in the result.
 
-    Null and empty texts have 0 words and score 0. Repeated rows come back as often as they came, each counted. A null id
-    is in no target. Without target rows the target's model knows only the vocabulary's size. Other columns are ignored; an empty table gives no rows.
+    Null and empty texts have 0 words and score 0. Repeated rows come back as often as they came, each counted. A null id is in no target. Without target rows all
+    scores are 0; without background its counts are 0. Other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
     ids = settle(targets.select(F.col(targets.columns[0]).alias("_id")).where("_id is not null").distinct().withColumn("target", F.lit(True)))
@@ -265,26 +247,20 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, vocabulary: in
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     buckets, shards = max(LEAST, size // 6 // PER_BUCKET), max(LEAST, size // PER_SHARD)
 
-    counted = settle(rows.select("text", "target").mapInArrow(_count_words, "h long, n long, n_t long, last long, last_t long").groupBy("h").agg(*[F.sum(c).alias(c) for c in ("n", "n_t", "last", "last_t")]))
-    level = F.floor(F.log2("n") * 8)  # a few hundred classes of frequency
-    classes = sorted(counted.groupBy(level.alias("level")).agg(F.count("*").alias("words"), *[F.sum(c).alias(c) for c in ("n", "n_t", "last", "last_t")]).collect(), reverse=True)
-    least, many = None, 0
-    for r in classes:
-        many += r["words"]
-        if many > vocabulary:
-            break
-        least = r["level"]
-    totals = tuple(sum(r[c] for r in classes) for c in ("n", "n_t", "last", "last_t"))
-    known = _numbers(counted.where(level >= least if least is not None else F.lit(False)).select("h", "n", "n_t", "last", "last_t"))
-    model = Vocabulary(known, totals, (totals[2], totals[3]))
-    sent = spark.sparkContext.broadcast(model)
-    pairs = rows.select("text", "target").mapInArrow(_count_hot(sent, hot), "at long, n long, n_t long").groupBy("at").agg(F.sum("n").alias("n"), F.sum("n_t").alias("n_t"))
-    table = _numbers(pairs)
-    table = tuple(np.ascontiguousarray(table[np.argsort(table[:, 0])].T))
-    both = spark.sparkContext.broadcast((model, table))
-
     key = F.xxhash64("_id", "text")
+    # by a hash of the row, so copies of a text are sampled each for itself
+    part = rows.where(F.pmod(F.xxhash64("text", "_id"), F.lit(1 << 20)) < F.lit(int(min(1.0, SAMPLE / max(size, 1)) * (1 << 20)))).select("text")
+    common = part.mapInArrow(_common, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "key").limit(hot)
+    names = np.sort(_columns(common.select("key"))[0].astype(np.int64).view(np.uint64))
+    counts = rows.select("text", "target").mapInArrow(_count(spark.sparkContext.broadcast(names)), "key long, n_b long, n_t long").groupBy("key").agg(F.sum("n_b").alias("n_b"), F.sum("n_t").alias("n_t"))
+    counts = settle(counts)
+    totals = counts.where("key is null").select("n_b", "n_t").first()
+    found, n_b, n_t = _columns(counts.where("key is not null"))
+    found = found.astype(np.int64).view(np.uint64)
+    order = np.argsort(found)
+    sent = spark.sparkContext.broadcast((found[order], n_b[order], n_t[order], Gain(tuple(totals) if totals else (0, 0), weight, add)))
+
     keyed = rows.select("text", "target", key.alias("key"), F.pmod(F.hash("_id", "text"), F.lit(shards)).cast("int").alias("shard"))
-    sums = keyed.mapInArrow(_send(both, buckets, hot, weight, add), "bucket long, body binary").groupBy("bucket").applyInArrow(_answer(both, weight, add), "shard int, answer binary")
+    sums = keyed.mapInArrow(_send(sent, buckets), "bucket long, body binary").groupBy("bucket").applyInArrow(_answer(sent), "shard int, answer binary")
     scores = sums.groupBy("shard").applyInArrow(_add_up, "key long, n_words long, score double")
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("key")).join(settle(scores), "key").select("id", "n_words", "score")

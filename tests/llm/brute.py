@@ -124,33 +124,25 @@ def archived(rows, least=0):
     return Counter(out)
 
 
-def losses(rows, target, vocabulary, weight=0.7, add=0.5):
-    texts = [(i, spaced(lower(t))) for i, t in rows]
-    levels = defaultdict(list)
-    for w, n in Counter(w for _, x in texts for w in x).items():
-        levels[math.floor(math.log2(n) * 8)].append(w)
-    known = set()
-    for k in sorted(levels, reverse=True):
-        if len(known) + len(levels[k]) > vocabulary:
-            break
-        known |= set(levels[k])
-    texts = [(i, [w if w in known else "" for w in x]) for i, x in texts]
-    models = []
-    for chosen in (lambda i: True, lambda i: i in target):
-        one, two, context = Counter(), Counter(), Counter()
-        for i, x in texts:
-            if chosen(i):
-                one.update(x)
-                two.update(zip([None, *x], x))
-                context.update([None, *x][: len(x)])
-        models.append((one, two, context))
-
-    def p(m, v, w):
-        one, two, context = m
-        q = (one[w] + add) / (one.total() + add * (len(known) + 1))
-        return weight * two[v, w] / context[v] + (1 - weight) * q if context[v] else q
-
-    return sorted(((i, len(x), sum(math.log(p(models[0], v, w) / p(models[1], v, w)) for v, w in zip([None, *x], x)) / len(x) if x else 0.0) for i, x in texts), key=lambda r: (str(r[0]), r[1:]))
+def losses(rows, target, weight=0.7, add=0.5):
+    texts = [(i, spaced(lower(t)), i in target) for i, t in rows]
+    counts = {side: Counter(k for _, x, mine in texts if mine == side for k in [*x, *zip(x, [*x[1:], None])]) for side in (True, False)}
+    words = {side: sum(len(x) for _, x, mine in texts if mine == side) for side in (True, False)}
+    scale = words[True] / words[False] if words[False] else 0.0
+    out = []
+    for i, x, mine in texts:
+        own = Counter([*x, *zip(x, [*x[1:], None])])
+
+        def loss(k, side):
+            n = counts[side][k] - (own[k] if mine == side else 0)
+            return -math.log(n + add if side else scale * n + add)
+
+        def step(w, after, side):
+            return weight * (loss((w, after), side) - loss(w, side)) + (1 - weight) * loss(w, side)
+
+        total = sum(step(w, v, True) - step(w, v, False) for w, v in zip(x, [*x[1:], None])) if words[True] else 0.0
+        out.append((i, len(x), total / len(x) if x else 0.0))
+    return sorted(out, key=lambda r: (str(r[0]), r[1:]))
 
 
 def vectors(rows, threshold=0.95):

@@ -3,6 +3,7 @@
 import os
 
 import brute
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,6 +112,25 @@ def test_contamination(spark, texts, monkeypatch, block):
     assert decontaminate.contamination(df.limit(0), items).count() == 0
 
 
+def test_a_passage_that_many_items_share_costs_no_more(spark):
+    """A passage of 60 words in 1,600 items, and in one item: the same windows, searched for as often, found as fast."""
+    import time
+
+    passage = " ".join(f"w{i}" for i in range(60))
+    docs = [f"{passage} tail {i}" for i in range(300)]
+    took = {}
+    for k in (1, 1600):
+        p = decontaminate.Patterns([f"{passage} item{i}" for i in range(k)] + ["short one"], [f"i{i}" for i in range(k)] + [None], 13)
+        assert sum(len(x.first) for x in p.searches) == 48 + k + 1 and max(map(len, p.lists)) == k
+        (_, _, data, bounds), = tokens.pieces(pa.array(docs))
+        words = tokens.Words(data, bounds, tokens.ALNUM_LOWER)
+        start = time.perf_counter()
+        found = p.found(words)
+        took[k] = time.perf_counter() - start
+        assert len(found[0]) == 48 * 300
+    assert took[1600] < 3 * took[1] + 0.2
+
+
 @tables
 def test_contamination_on_documents(spark):
     items = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
@@ -147,19 +167,28 @@ def test_automaton_knows_every_run():
                 assert set(a.ends[a.find(t[i:j])]) == want and len(a.ends[a.find(t[i:j])]) == len(want)
 
 
-@pytest.mark.parametrize("vocabulary, hot, flush", [(1000, 1024, 1 << 20), (4, 2, 30)])
-def test_losses(spark, texts, monkeypatch, vocabulary, hot, flush):
+@pytest.mark.parametrize("hot, flush, sample", [(1 << 16, 1 << 20, 1 << 30), (3, 30, 1 << 30), (0, 1 << 20, 1)])
+def test_losses(spark, texts, monkeypatch, hot, flush, sample):
+    """However many words and pairs are counted apart, none of them included."""
     monkeypatch.setattr(language_models, "FLUSH", flush)
+    monkeypatch.setattr(language_models, "SAMPLE", sample)
     df = brute.extra(spark, texts, "doc_id long, text string")
-    for target in ({1, 2, 8}, set()):
+    for target in ({1, 2, 8}, set(), {1, 2, 3, 4, 5, 6, 7, 8, 9, 20, 100}):
         ids = spark.createDataFrame([(i,) for i in [*target, *target]] + [(None,)], "doc_id long")
-        got = sorted((tuple(r) for r in language_models.cross_entropy_difference(df, ids, vocabulary, hot).collect()), key=lambda r: (str(r[0]), r[1:]))
-        want = brute.losses(texts, target, vocabulary)
-        got, want = (sorted(((str(r[0]), r[1], round(r[2], 6)) for r in x)) for x in (got, want))
+        got = sorted((tuple(r) for r in language_models.cross_entropy_difference(df, ids, hot).collect()), key=lambda r: (str(r[0]), r[1:]))
+        got, want = (sorted(((str(r[0]), r[1], round(r[2], 6)) for r in x)) for x in (got, brute.losses(texts, target)))
         assert [r[:2] for r in got] == [r[:2] for r in want] and all(abs(a[2] - b[2]) < 2e-6 for a, b in zip(got, want))
     assert language_models.cross_entropy_difference(df.limit(0), ids).count() == 0
 
 
+def test_every_rare_word_counts(spark):
+    """More words than are counted apart, each in two texts of one kind: texts of the target's words score below the others."""
+    rows = [(i, " ".join(f"{'good' if i % 2 else 'bad'}{(i // 4) * 40 + k}" for k in range(40))) for i in range(400)]
+    ids = spark.createDataFrame([(i,) for i in range(1, 400, 4)], "doc_id long")
+    got = {r["id"]: r["score"] for r in language_models.cross_entropy_difference(spark.createDataFrame(rows, "doc_id long, text string"), ids, hot=100).collect()}
+    assert max(got[i] for i in range(3, 400, 4)) < min(got[i] for i in range(0, 400, 2))
+
+
 def test_mix(spark, texts):
     df = brute.extra(spark, [(i, t, None if i is None else f"s{i % 4}") for i, t in texts], "doc_id long, text string, source string")
     rows = mixing.rated(df).collect()

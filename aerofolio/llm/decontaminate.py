@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import settle
 from .tokens import ALNUM_LOWER, MIX_A, Words, mixed, pieces, runs
@@ -72,36 +72,50 @@ class Search:
         for j in range(self.length):
             same = h[start + j] == own[first + j]
             start, first = start[same], first[same]
-        equal: dict[tuple[int, int], bool] = {}
-        text: dict[int, bytes] = {}
-        keep = np.ones(len(start), bool)
+        # the last word on it has the text itself: a stretch is put together once, and one window at most is equal to it
+        keep, text, at = np.ones(len(start), bool), b"", -1
         for i, (s, f) in enumerate(zip(start.tolist(), first.tolist())):
-            if s not in text:
-                text = {s: words.text(s, s + self.length)}
-            equal[s, f] = keep[i] = text[s] == texts.text(f, f + self.length)
+            if s != at:
+                text, at = words.text(s, s + self.length), s
+            keep[i] = text == texts.text(f, f + self.length)
         return start[keep], first[keep]
 
 
 class Patterns:
-    """Windows of some items: ``size`` words, or the whole item if it has fewer."""
+    """The different windows of some items, ``size`` words each, or the whole item if it has fewer; and which items have each.
+
+    A window that many items share is one pattern. Windows with the same items share one list of them, numbered, so what a document costs
+    doesn't depend on how many items have its passages.
+    """
 
     def __init__(self, texts: list[str], ids: list[str | None], size: int):
         whole = pa.array(texts, pa.string())
         (_, _, data, bounds), = pieces(whole, 1 << 40) if texts else [(0, 0, np.zeros(0, np.uint8), np.zeros(1, np.int64))]
-        self.words, self.ids = Words(data, bounds, ALNUM_LOWER), ids
-        self.h = self.words.hashes()
-        n = self.words.counts
-        self.item = np.repeat(np.arange(len(n)), n)  # of each word
+        self.words, self.h = (w := Words(data, bounds, ALNUM_LOWER)), w.hashes()
+        n, start = self.words.counts, self.words.first[:-1]
         self.searches = []
+        #: Of a pattern's first word: the number of its list of items. The lists: ids, sorted, without those that have none.
+        self.list_of, self.lists = np.zeros(len(self.words), np.int32), []
+        numbers: dict[tuple[int, ...], int] = {}
         for length in np.unique(np.minimum(n[n > 0], size)).tolist():
             rows = np.flatnonzero(np.minimum(n, size) == length)
-            first = runs(self.words.first[:-1][rows], n[rows] - length + 1)
-            self.searches.append(Search(self.h, first, length))
+            having: dict[bytes, list[int]] = {}
+            for row in rows.tolist():
+                for f in range(start[row], start[row] + n[row] - length + 1):
+                    had = having.setdefault(self.words.text(f, f + length), [f])
+                    if had[-1] != row or len(had) == 1:  # rows in order, so a row that is there is the last one
+                        had.append(row)
+            for first, *items in having.values():
+                if (number := numbers.get(tuple(items))) is None:
+                    number = numbers[tuple(items)] = len(self.lists)
+                    self.lists.append(sorted({ids[i] for i in items} - {None}))
+                self.list_of[first] = number
+            self.searches.append(Search(self.h, np.array([x[0] for x in having.values()], np.int64), length))
 
     def found(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First word, length and item of every occurrence in ``words``."""
+        """First word, length and list of items of every occurrence in ``words``."""
         h, row = words.hashes(), np.repeat(np.arange(len(words.counts)), words.counts)
-        out = [(s, np.full(len(s), x.length), self.item[f]) for x in self.searches for s, f in [x.occurrences(h, words, row, self.h, self.words)]]
+        out = [(s, np.full(len(s), x.length), self.list_of[f]) for x in self.searches for s, f in [x.occurrences(h, words, row, self.h, self.words)]]
         if not out:
             return (np.zeros(0, np.int64),) * 3
         a, b, c = zip(*out)
@@ -119,7 +133,7 @@ def _pass(patterns):
             had_spans, had_items = b.column(at + 1), b.column(at + 2)
             for lo, hi, data, bounds in pieces(b.column(at)):
                 words = Words(data, bounds, ALNUM_LOWER)
-                start, length, item = p.found(words)
+                start, length, of = p.found(words)
                 row = np.searchsorted(words.first, start, side="right") - 1
                 step = np.zeros(len(words) + 1, np.int32)
                 np.add.at(step, start, 1)
@@ -132,10 +146,10 @@ def _pass(patterns):
                 hit = np.cumsum(step[:-1]) > 0
                 n_words += words.counts.tolist()
                 n_hit += np.diff(np.concatenate([[0], np.cumsum(hit)])[words.first]).tolist()
-                pair = np.unique(np.stack([row, item]), axis=1) if len(row) else np.zeros((2, 0), int)
+                pair = np.unique(np.stack([row, of]), axis=1) if len(row) else np.zeros((2, 0), int)
                 cut = np.searchsorted(pair[0], np.arange(hi - lo + 1))
                 for i in range(hi - lo):
-                    mine = {p.ids[j] for j in pair[1, cut[i] : cut[i + 1]].tolist()} - {None} | set(had_items[lo + i].as_py() or ())
+                    mine = {x for j in pair[1, cut[i] : cut[i + 1]].tolist() for x in p.lists[j]} | set(had_items[lo + i].as_py() or ())
                     items.append(sorted(mine))
                     own = hit[words.first[i] : words.first[i + 1]].astype(np.int8)
                     edge = np.flatnonzero(np.diff(own, prepend=0, append=0))
@@ -163,12 +177,11 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 13, one_in: int
     named = items.where(F.col(item_text).isNotNull()).select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text"))
     total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = int(total // BLOCK_BYTES) + 1
-    schema = ", ".join([f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(others)] + ["text string", "spans binary", "items array<string>"])
     state = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others) if keep_text or c != text_col], F.col(text_col).alias("text"), F.lit(None).cast("binary").alias("spans"), F.lit(None).cast("array<string>").alias("items"))
     if not keep_text:
         others = [c for c in others if c != text_col]
         state = state.toDF(*[f"c{i}" for i in range(len(others))], "text", "spans", "items")
-        schema = ", ".join([f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(others)] + ["text string", "spans binary", "items array<string>"])
+    kind = T.StructType([*state.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType())])
     spark = docs.sparkSession
     for k in range(blocks):
         rows = named.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).collect()
@@ -176,7 +189,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 13, one_in: int
         if k:
             state = state.drop("n_words", "n_hit")
             state = settle(state) if k % CHAIN == 0 else state
-        state = state.mapInArrow(_pass(sent), schema + ", n_words long, n_hit long")
+        state = state.mapInArrow(_pass(sent), kind)
     out = state.select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(others)], "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "spans",
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), ((F.col("n_hit") > 0) & (F.col("n_hit") * one_in >= F.col("n_words"))).alias("contaminated"))

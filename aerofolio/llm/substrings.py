@@ -4,8 +4,8 @@ The windows are far more than the rows, so they travel as packed arrays. A task
 and deals them to buckets by hash; a bucket, which holds all windows of its hashes, finds each one's smallest
 document and answers, per document, which of the windows it got are repeats; the answers go to shards of documents
 by document, where the windows are hashed again, the marks of a document merge into maximal intervals, and its
-words are cut. Buckets and shards grow in number with the input, not in size. A window that very many documents share is
-sent once for each task, and documents, however many are alike, spread over all shards.
+words are cut. Buckets and shards grow in number with the input, not in size; documents, however many are alike, spread over all shards. Each
+document sends each of its windows, so the bucket of a window that a third of all documents share gets as many entries of some ten bytes.
 """
 
 from __future__ import annotations
@@ -16,9 +16,9 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from .tokens import MIX_A, PLAIN, Words, mixed, pieces, runs, window_hashes
+from .tokens import MIX_A, OTHER_BASE, PLAIN, Words, mixed, pieces, runs, window_hashes
 
 #: Windows that a task holds before it sends them on; mean windows of a bucket; mean bytes of text of a shard.
 FLUSH, PER_BUCKET, PER_SHARD = 1 << 20, 2 << 20, 8 << 20
@@ -28,10 +28,11 @@ NO_ID = np.iinfo(np.int64).max
 
 
 def _windows(words: Words, size: int, buckets: int) -> tuple[np.ndarray, ...]:
-    """First word, 64-bit key, bucket and row of each window; bucket and key are independent bits."""
+    """First word, 64-bit key, bucket and row of each window; the bucket comes from a hash with another base, over words mixed anew."""
     first, n = words.windows(size)
-    keys = window_hashes(words.hashes(), first, size)
-    bucket = (mixed(keys ^ MIX_A) >> np.uint64(33)) % np.uint64(buckets)
+    h = words.hashes()
+    keys = window_hashes(h, first, size)
+    bucket = (window_hashes(mixed(h ^ MIX_A), first, size, OTHER_BASE) >> np.uint64(33)) % np.uint64(buckets)
     return first, keys, bucket.astype(np.int64), np.repeat(np.arange(len(n)), n)
 
 
@@ -178,8 +179,9 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
     equal ids don't remove from each other. A null id counts as larger than all others. Repeated rows, empty texts and empty
     tables are fine. Columns named as a result are replaced. Ids are integers.
 
-    Hashes are equal if 64 bits of the key and the bucket's number are, which grows with the input by itself: at 10**13
-    windows less than one false repeat is to be expected.
+    Windows count as equal if 64 bits of the key and the bucket's number, a hash of its own, are; the number of buckets grows with the
+    input, so at 10**13 windows in five million buckets less than one pair of different windows is to be expected to meet. Words are
+    64-bit hashes in both.
     """
     results = ["n_words", "n_removed", "kept_sha256", *["kept"] * with_text]
     size_of = docs.agg(F.sum(F.octet_length(text_col)), F.count("*")).first()
@@ -194,6 +196,7 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
     fields = [docs.schema[c] for c in others]
     plain = docs.select(ident.alias("id"), shard.alias("shard"), text.alias("text"), F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)]).alias("rest"))
     plain = plain.select("id", "shard", "text", *[F.col(f"rest.c{i}").alias(f"c{i}") for i in range(len(others))])
-    schema = ", ".join([f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(fields)] + ["n_words long", "n_removed long", "kept_sha256 string", *["kept string"] * with_text])
+    found = [T.StructField(c, T.LongType() if c.startswith("n_") else T.StringType()) for c in results]
+    schema = T.StructType([*(T.StructField(f"c{i}", f.dataType) for i, f in enumerate(fields)), *found])
     cut = plain.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_cut(size, buckets, with_text), schema)
     return cut.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(others)], *results)

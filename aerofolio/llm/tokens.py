@@ -19,6 +19,7 @@ MASK = (1 << 64) - 1
 # Odd multipliers of the running sums (bytes of a word; words of a window) and of the bit mixer.
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD6E8FEB86659FD93
+OTHER_BASE = 0xC2B2AE3D27D4EB4F
 MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 MIX_B = np.uint64(0x94D049BB133111EB)
 
@@ -146,14 +147,14 @@ def runs(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(first - before, n) + np.arange(total)
 
 
-def window_hashes(words: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+def window_hashes(words: np.ndarray, at: np.ndarray, size: int, base_of: int = WORD_BASE) -> np.ndarray:
     """Rabin-Karp hash of ``size`` word hashes from each of ``at`` on: running sums, so no window is hashed anew."""
     out = np.empty(len(at), np.uint64)
     for i in range(0, len(at), BLOCK):
         part = at[i : i + BLOCK]
         if len(part):
             base = part[0]
-            out[i : i + BLOCK] = mixed(_differences(words[base : part[-1] + size], part - base, part - base + size, WORD_BASE))
+            out[i : i + BLOCK] = mixed(_differences(words[base : part[-1] + size], part - base, part - base + size, base_of))
     return out
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ...functions.numbers import exact, inexact, total
 from ..ordered import latest, ranks
@@ -69,9 +69,20 @@ def time_lag(rows: DataFrame, keys: list[str], probs: dict[str, float]) -> DataF
     )
 
 
-def calendar(rows: DataFrame) -> DataFrame:
-    """Deliveries by flow and month."""
-    return rows.groupBy("flow", F.date_trunc("month", "submitted").alias("month")).agg(F.count("*").alias("n"))
+def calendar(rows: DataFrame, first: Column | None = None, last: Column | None = None) -> DataFrame:
+    """Deliveries by flow and month, months without one included, with 0.
+
+    The reporting period is given by days in its first and last month; without them it is, for each flow, from its first delivery to its
+    last. Deliveries are counted first; a flow's months are then as many as the period has. Rows without a date are in no month.
+    """
+    month = F.date_trunc("month", "submitted")
+    counted = rows.where(F.col("submitted").isNotNull()).groupBy("flow", month.alias("month")).agg(F.count("*").alias("n"))
+    flows = counted.groupBy("flow").agg(
+        F.map_from_entries(F.collect_list(F.struct("month", "n"))).alias("_n"),
+        (F.min("month") if first is None else F.date_trunc("month", first)).alias("_first"),
+        (F.max("month") if last is None else F.date_trunc("month", last)).alias("_last"))
+    months = flows.where("_first <= _last").select("flow", "_n", F.explode(F.sequence("_first", "_last", F.expr("interval 1 month"))).alias("month"))
+    return months.select("flow", "month", F.coalesce(F.col("_n")[F.col("month")], F.lit(0).cast("long")).alias("n"))
 
 
 def submission_ranks(rows: DataFrame) -> DataFrame:

@@ -4,9 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ...sources import versions
 from ..ordered import latest
 
 
+def lay_out(rows: DataFrame, stations: DataFrame, path: str, files: int = 4) -> None:
+    """Observations as a versioned table in folders by country and year, sorted by station, pollutant and time within files.
+
+    A country's year is dealt to at most ``files`` tasks by station, so a large one is no single task's. Rows of unknown
+    stations go to the folder of no country, rows without a time to that of no year.
+    """
+    placed = rows.join(stations.select("sampling_point", "country"), "sampling_point", "left").withColumn("yr", F.year("ts"))
+    dealt = placed.repartition("country", "yr", F.pmod(F.xxhash64("sampling_point"), F.lit(files)))
+    versions.replace(dealt.sortWithinPartitions("country", "yr", "sampling_point", "pollutant", "ts"), path, ("country", "yr"))
+
+
 def download(
     flows: dict[str, DataFrame],
     stations: DataFrame | None = None,
@@ -18,9 +30,11 @@ def download(
 ) -> DataFrame:
     """Observations of several flows, filtered by country, station, pollutant and period.
 
-    Filters are written on each flow, so they reach its scan; the country
-    filter is a semi join against the stations of those countries.
+    Filters are written on each flow, so they reach its scan; the country filter, or the choice that ``stations`` are, is a semi join. Of a
+    flow that ``lay_out`` has written only the folders of the period's years are read, and of the chosen stations' countries, which Spark
+    learns as it runs.
     """
+    local = stations.where(F.col("country").isin(countries)) if countries else stations
     out = None
     for flow, rows in flows.items():
         part = rows
@@ -32,11 +46,14 @@ def download(
             part = part.where(F.col("ts") >= F.lit(start))
         if end is not None:
             part = part.where(F.col("ts") < F.lit(end))
-        if countries:
-            local = stations.where(F.col("country").isin(countries)).select("sampling_point")
-            part = part.join(local, "sampling_point", "left_semi")
+        if {"country", "yr"} <= set(rows.columns):
+            part = part.where(F.col("yr") >= F.year(F.lit(start))) if start is not None else part
+            part = part.where(F.col("yr") <= F.year(F.lit(end))) if end is not None else part
+        if local is not None:
+            on = [c for c in ("country", "sampling_point") if c in rows.columns]
+            part = part.join(local.select(*on), on, "left_semi")
         part = part.withColumn("flow", F.lit(flow))
-        out = part if out is None else out.unionByName(part)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 

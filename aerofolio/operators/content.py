@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as tx, urls
-from ..functions.html import INDENT, QUOTE, Marks, attr, event_parser, first, has_class, inside, is_open, let, text_of
+from ..functions.html import INDENT, QUOTE, Marks, attr, event_parser, first, has_class, inside, is_open, let, selected, text_of
 
 # Widgets without content, and the widgets and classes that carry some.
 NOISE = ["spacer.default", "divider.default", "countdown.default"]
@@ -26,21 +26,27 @@ PDF_CONTROL = "#pdfjs-viewer-skip|pdfjs-viewer-shortcode"
 
 DROPPED = ["script", "style", "noscript", "iframe", "tableau-viz", "." + LEGACY_CLASS, *NOISE, "pdf-control"]
 HEADINGS = ["h1", "h2", "h3", "h4", "h5", "h6"]
-MARKS = Marks(
-    [*DROPPED[:-1], FLIP, BUTTON, "." + FLIP_IMAGE, *HEADINGS, "main#main", "article", "b", "strong", "em", "i", "code", "pre", "li", "td", "th", "s", "del"],
-    {"pdf-control": PDF_CONTROL}, hidden=DROPPED)
+# Content containers in the order they are tried.
+SELECTORS = [
+    'div[data-elementor-type="wp-page"]',
+    'div[data-elementor-type="wp-post"]',
+    "main#main .entry-content",
+    "article .entry-content",
+    ".entry-content",
+]
+
+
+def _marks(selectors: list[str]) -> Marks:
+    return Marks(
+        [*DROPPED[:-1], FLIP, BUTTON, "." + FLIP_IMAGE, *HEADINGS, "b", "strong", "em", "i", "code", "pre", "li", "td", "th", "s", "del"],
+        {"pdf-control": PDF_CONTROL}, hidden=DROPPED, selectors=selectors)
+
+
+# the bits of names don't depend on the selectors, so expressions hold for pages parsed with any
+MARKS = _marks(SELECTORS)
 within = MARKS.within
-page_events = event_parser(MARKS)
 link_events = event_parser(only=["a"])
 
-# Content containers in the order they are tried.
-SELECTORS: list[tuple[str, Callable[[Column], Column]]] = [
-    ('div[data-elementor-type="wp-page"]', lambda e: is_open(e, "div") & (attr(e, "data-elementor-type") == "wp-page")),
-    ('div[data-elementor-type="wp-post"]', lambda e: is_open(e, "div") & (attr(e, "data-elementor-type") == "wp-post")),
-    ("main#main .entry-content", lambda e: (e["k"] == "o") & has_class(e, "entry-content") & within(e, "main#main")),
-    ("article .entry-content", lambda e: (e["k"] == "o") & has_class(e, "entry-content") & within(e, "article")),
-    (".entry-content", lambda e: (e["k"] == "o") & has_class(e, "entry-content")),
-]
 # Labels and notes of the links that stand for embedded viewers.
 PDF_LABEL, PDF_LEAF = "Open the PDF: ", "Open PDF"
 FRAME_LABEL = "Open the embedded content"
@@ -54,26 +60,28 @@ PRUNABLE = ["div", "section", "span", "p", "u", "b", "strong", "em"]
 KEEPS = ["img", "a", "table", "hr", "br", "iframe"]
 
 
-def parsed(pages: DataFrame, html: str = "html", carry: list[str] | None = None, only_links: bool = False) -> DataFrame:
-    """One parse per page; only the named columns go with it. With ``only_links`` nothing but the starts of links comes out."""
-    parse = link_events if only_links else page_events
+def parsed(pages: DataFrame, html: str = "html", carry: list[str] | None = None, only_links: bool = False, selectors: list[str] = SELECTORS) -> DataFrame:
+    """One parse per page; only the named columns go with it. With ``only_links`` nothing but the starts of links comes out.
+
+    ``selectors`` are what ``extract`` may look for afterwards.
+    """
+    parse = link_events if only_links else event_parser(_marks(selectors))
     return pages.select(*(carry or ["page_id", "url"]), parse(F.col(html)).alias("events"))
 
 
-def container(events: Column, selectors=SELECTORS) -> Column:
+def container(events: Column, selectors: list[str] = SELECTORS) -> Column:
     """Struct of the first selector that matches and the node's event range; null if none does."""
-    def hit(name: str, test) -> Column:
+    def hit(selector: str) -> Column:
         return F.transform(
-            F.slice(F.filter(events, test), 1, 1),
-            lambda e: F.struct(F.lit(name).alias("selector"), e["i"].alias("i"), e["j"].alias("j")),
+            F.slice(F.filter(events, lambda e: selected(e, selector)), 1, 1),
+            lambda e: F.struct(F.lit(selector).alias("selector"), e["i"].alias("i"), e["j"].alias("j")),
         )
 
-    found = [hit(name, test) for name, test in selectors]
-    return F.get(F.concat(*found), F.lit(0))
+    return F.get(F.concat(*[hit(s) for s in selectors]), F.lit(0))
 
 
-def extract(pages: DataFrame, selectors=SELECTORS) -> DataFrame:
-    """``matched_selector`` and the container's inner events; both null when nothing matches."""
+def extract(pages: DataFrame, selectors: list[str] = SELECTORS) -> DataFrame:
+    """``matched_selector`` and the container's inner events; both null when nothing matches. Pages were parsed with these selectors."""
     hit = pages.withColumn("_hit", container(F.col("events"), selectors))
     return (
         hit.withColumn("content", inside(F.col("events"), F.col("_hit")))
@@ -437,6 +445,7 @@ def _piece(e: Column, swap: Column, picture: Callable[[Column], Column]) -> Colu
         .when(tag == "tr", F.when(opens, F.concat(line, F.lit("|"))).when(attr(e, "#n") == "1", rule).otherwise(none))
         .when(tag.isin("td", "th"), F.when(opens, F.lit(" ")).otherwise(F.repeat(F.lit(" |"), F.coalesce(attr(e, "#span").try_cast("int"), F.lit(1)))))
         .when(tag == "blockquote", F.when(opens & ~tight, F.concat(apart, F.lit(QUOTE))).otherwise(gap))
+        .when(tag.isin("div", "section", "p") & e["bare"], none)
         .when(tag.isin(*BLOCKS), gap)
         .otherwise(none)
     )

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import exact_mean, exact_sum
 from ..operators.air import compliance as cp, exposure as ex, monitor as mo, now as nw, observations as ob, stats as st
+from ..session import fresh_path
+from ..sources import versions
 from ..sources.files import ask, register_flows, table
 from .base import (
     ANNUAL, LIMITS, LONG, OBS, STATIONS, SUBMISSIONS, dsum, limits, long_observations, mean, observations, query,
@@ -37,6 +39,18 @@ def a01(spark, d):
     ).select(*cols, "flow")
 
 
+@query("a01_download_pruned", f"""WITH {LONG}, {STATIONS} SELECT sampling_point, pollutant, ts, conc, country, CAST(year(ts) AS INT) AS yr FROM lng JOIN stations USING (sampling_point)
+  WHERE region = 'ASIA' AND population > 3000 AND pollutant IN ('2-HIGH', '5-LOW') AND ts >= TIMESTAMP '1996-03-01' AND ts < TIMESTAMP '1998-02-01'""")
+def a01_pruned(spark, d):
+    """The long flow laid out by country and year, then the stations of one region that have people around."""
+    path = fresh_path(spark, "laid-out")
+    ob.lay_out(long_observations(spark, d), stations(spark, d), path)
+    chosen = stations(spark, d).where("region = 'ASIA' and population > 3000")
+    found = ob.download({"E1a": versions.read(spark, path)}, chosen, pollutants=["2-HIGH", "5-LOW"],
+                        start=F.lit("1996-03-01").cast("timestamp_ntz"), end=F.lit("1998-02-01").cast("timestamp_ntz"))
+    return found.select("sampling_point", "pollutant", "ts", "conc", "country", "yr")
+
+
 def zone_levels(spark, d):
     """Level per zone, pollutant and year; the zone is the station's country."""
     return st.area_means(annual(spark, d), stations(spark, d), ["country"]).select(
@@ -99,10 +113,11 @@ def a05(spark, d):
     return cp.attainment_filter(rows, 50000.0, ["1-URGENT", "5-LOW"], ["F"]).select("zone", "difference")
 
 
-@query("a06_country_code", f"WITH {STATIONS} SELECT sampling_point, country, CASE WHEN region <> 'ASIA' THEN upper(substr(country, 1, 2)) END AS iso FROM stations")
+@query("a06_country_code", f"WITH {STATIONS} SELECT sampling_point, country, CASE WHEN country NOT LIKE '%A' THEN upper(substr(country, 1, 2)) END AS iso FROM stations")
 def a06(spark, d):
-    nation = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    codes = nation.where("r_name <> 'ASIA'").select(F.col("n_name").alias("country"), F.upper(F.substring("n_name", 1, 2)).alias("iso"))
+    """The code list has every country, some under another name."""
+    other = F.when(F.col("n_name").like("%A"), F.concat(F.lit("Republic of "), "n_name")).otherwise(F.col("n_name"))
+    codes = table(spark, d, "nation").select(other.alias("country"), F.upper(F.substring("n_name", 1, 2)).alias("iso"))
     return ob.country_code(stations(spark, d).select("sampling_point", "country"), codes)
 
 
@@ -433,9 +448,20 @@ def a43(spark, d):
     return nw.worst_band(nw.banded(last, bands(spark)), ["sampling_point"])
 
 
-@query("a44_reporting_calendar", f"WITH {SUBMISSIONS} SELECT flow, CAST(date_trunc('month', submitted) AS TIMESTAMP) AS month, COUNT(*) AS n FROM submissions GROUP BY ALL")
+@query("a44_reporting_calendar", f"""WITH {SUBMISSIONS}, c AS (SELECT flow, CAST(date_trunc('month', submitted) AS TIMESTAMP) AS month, COUNT(*) AS n FROM submissions GROUP BY ALL),
+  m AS (SELECT flow, unnest(generate_series(TIMESTAMP '1994-11-01', TIMESTAMP '2002-06-01', INTERVAL 1 MONTH)) AS month FROM (SELECT DISTINCT flow FROM submissions))
+  SELECT flow, month, coalesce(n, 0) AS n FROM m LEFT JOIN c USING (flow, month)""")
 def a44(spark, d):
-    return mo.calendar(submissions(spark, d)).withColumn("month", F.col("month").cast("timestamp_ntz"))
+    period = [F.lit(day).cast("timestamp") for day in ("1994-11-20", "2002-06-03")]
+    return mo.calendar(submissions(spark, d), *period).withColumn("month", F.col("month").cast("timestamp_ntz"))
+
+
+@query("a44_calendar_of_one_kind", f"""WITH {SUBMISSIONS}, s AS (SELECT * FROM submissions WHERE status = 'P' AND flow = '1-URGENT'), c AS (SELECT country AS flow, CAST(date_trunc('month', submitted) AS TIMESTAMP) AS month, COUNT(*) AS n FROM s GROUP BY ALL),
+  m AS (SELECT flow, unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS month FROM (SELECT flow, min(month) AS lo, max(month) AS hi FROM c GROUP BY flow))
+  SELECT flow, month, coalesce(n, 0) AS n FROM m LEFT JOIN c USING (flow, month)""")
+def a44_kind(spark, d):
+    """Deliveries of one kind by country, each from its first to its last; most months have none."""
+    return mo.calendar(submissions(spark, d).where("status = 'P' and flow = '1-URGENT'").withColumn("flow", F.col("country"))).withColumn("month", F.col("month").cast("timestamp_ntz"))
 
 
 # ---------------------------------------------------------------- windows, order, sets

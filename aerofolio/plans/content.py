@@ -13,7 +13,7 @@ from ..sources.files import table
 from .base import query
 from .portal import DOCS, PARTS, SITE, as_docs, page_docs
 
-ARTICLE = [("article", lambda e: is_open(e, "article"))]
+ARTICLE = ["article"]
 
 
 def _decoded(x: str) -> str:
@@ -88,7 +88,7 @@ def p80(spark, d):
   s AS (SELECT page_id, array_to_string(list_filter(list_transform(parts, lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> ''), ' ') AS t FROM t)
   SELECT page_id, replace(replace(t, '&quot;', chr(34)), '&amp;', '&') AS content FROM s""")
 def p80_article(spark, d):
-    found = ct.extract(ct.parsed(spread(table(spark, d, "pages"))), ARTICLE)
+    found = ct.extract(ct.parsed(spread(table(spark, d, "pages")), selectors=ARTICLE), ARTICLE)
     return found.select("page_id", text_of(F.col("content")).alias("content"))
 
 
@@ -134,7 +134,7 @@ def p84(spark, d):
 
 def with_body(rows: DataFrame) -> DataFrame:
     """Pages given as ``(doc_id, html)`` to ``(doc_id, body)``."""
-    parsed = ct.extract(ct.parsed(rows, carry=["doc_id"]), ARTICLE)
+    parsed = ct.extract(ct.parsed(rows, carry=["doc_id"], selectors=ARTICLE), ARTICLE)
     return ct.with_markdown(ct.prepared(parsed, SITE), SITE).select("doc_id", "body")
 
 
@@ -174,6 +174,36 @@ def p86_blocks(spark, d):
     return with_body(spread(table(spark, d, "part")).select(F.col("p_partkey").alias("doc_id"), html.alias("html")))
 
 
+@query("p80_selector_lists", r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS ws FROM documents)
+  SELECT doc_id, CASE WHEN len(ws) % 3 = 0 THEN 'section > div.lead, aside.box' WHEN len(ws) % 3 = 1 THEN 'div[data-k="b"] p#x.y' END AS matched_selector,
+    CASE len(ws) % 3 WHEN 0 THEN coalesce(ws[1], '') WHEN 1 THEN coalesce(ws[2], '') END AS content FROM w""")
+def p80_lists(spark, d):
+    """Selectors that the caller writes: children, descendants, attributes, classes, lists; some documents have a near miss only."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    one, two = (F.coalesce(F.get(words, i), F.lit("")) for i in (0, 1))
+    n = F.coalesce(F.size(words), F.lit(0)) % 3
+    html = F.when(n == 0, F.concat(F.lit("<section><em><div class=lead>no</div></em><div class='a lead'>"), one, F.lit("</div></section>"))).when(
+        n == 1, F.concat(F.lit("<p id=x class=y>no</p><div data-k=c><p id=x class=y>no</p></div><div data-k='b'><span><p class='z y' id=x>"), two, F.lit("</p></span></div>"))).otherwise(
+        F.lit("<section><em><div class=lead>no</div></em></section><aside class=boxes>no</aside>"))
+    chosen = ["section > div.lead, aside.box", 'div[data-k="b"] p#x.y']
+    rows = spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", html.alias("html"))
+    found = ct.extract(ct.parsed(rows, carry=["doc_id"], selectors=chosen), chosen)
+    return found.select("doc_id", "matched_selector", F.when(F.col("content").isNotNull(), text_of(F.col("content"))).alias("content"))
+
+
+@query("p86_untidy_markup", r"""SELECT p_partkey AS doc_id, array_to_string(['**' || p_name || '**', '', p_brand || ' ' || p_type, '', '[' || p_name || '](/a)[' || p_brand || '](/b)', '',
+  '*' || p_type || '*', '', '*in ' || p_brand || '* end', '', '- ' || p_name, '- ' || p_brand || ' **b**', '', '| **' || p_name || '** | ' || p_brand || ' |', '| --- | --- |', '| ' || p_type || ' | |', '', 'after'], chr(10)) AS body FROM part""")
+def p86_untidy(spark, d):
+    """Markup as pages have it: emphasis over a paragraph's end, links left open, stray ends, cells and items left open."""
+    name, brand, kind = F.col("p_name"), F.col("p_brand"), F.col("p_type")
+    html = F.concat(
+        F.lit("<article><b>"), name, F.lit("<p>"), brand, F.lit("</b> "), kind, F.lit("</p></p></section><p><a href=/a>"), name, F.lit("<a href='/b'>"), brand,
+        F.lit("</a></p><em><p>"), kind, F.lit("</em></p><div><i>in "), brand, F.lit("</i></u> end</div></span><ul><li><p>"), name, F.lit("<li>"), brand,
+        F.lit(" <b>b</b></ul><table><tr><th><b>"), name, F.lit("<th>"), brand, F.lit("<tr><td>"), kind, F.lit("<td><b></table></b>after</article>"),
+    )
+    return with_body(spread(table(spark, d, "part")).select(F.col("p_partkey").alias("doc_id"), html.alias("html")))
+
+
 def export(spark, d) -> DataFrame:
     """All steps in order: parse, embeds and widgets, images, links rewritten by join, Markdown, page.
 
@@ -231,6 +261,27 @@ def p53(spark, d):
     return corpus.report_counts(corpus.notes(corpus.with_placeholder(bodies, "body", F.lit("nothing here"))))
 
 
-@query("p87_pruned_nodes", f"WITH {KEPT} SELECT page_id, 'span' AS tag, 1 AS n_pruned FROM kept")
+@query("p53_notes_of_own_embeds", r"""WITH n AS (SELECT page_id, len(regexp_extract_all(html, '<p\b')) AS ps, len(regexp_extract_all(html, '<a\b')) AS links, len(regexp_extract_all(html, '<h[1-6]\b')) AS heads FROM pages)
+  SELECT CAST(page_id AS VARCHAR) AS docname, kind, CAST(c AS BIGINT) AS n FROM (SELECT page_id, 'frame' AS kind, ps AS c FROM n UNION ALL SELECT page_id, 'pdf', links FROM n UNION ALL SELECT page_id, 'dashboard', heads FROM n) WHERE c > 0
+  UNION ALL SELECT CAST(page_id AS VARCHAR), 'empty', 1 FROM n WHERE ps + links + heads = 0""")
+def p53_own(spark, d):
+    """A frame for each of the given page's paragraphs, a viewer for each link, a dashboard for each heading."""
+    marks = F.regexp_extract_all("html", F.lit(r"<(p|a|h[1-6])\b"), F.lit(1))
+    put = F.transform(marks, lambda m: F.when(m == "p", F.lit("<iframe src='/f'></iframe>")).when(m == "a", F.lit("<iframe src='/pdfjs-viewer-shortcode?file=/x.pdf'></iframe>")).otherwise(F.lit("<tableau-viz src='/v'></tableau-viz>")))
+    html = F.concat(F.lit('<div class="entry-content">'), F.array_join(put, "<p></p>"), F.lit("</div>"))
+    rows = spread(table(spark, d, "pages").select("page_id", "url", "html")).select(F.col("page_id").cast("string").alias("docname"), html.alias("html"))
+    ready = ct.prepared(ct.extract(ct.parsed(rows, carry=["docname"])), SITE)
+    bodies = ct.finished(ct.drafted(ready, SITE, keep=("embeds",)))
+    return corpus.report_counts(corpus.notes(corpus.with_placeholder(bodies, "body", F.lit("nothing here"))))
+
+
+@query("p87_pruned_nodes", r"""WITH t AS (SELECT page_id, regexp_extract_all(html, '<[ap]\b') AS tags FROM pages),
+  n AS (SELECT page_id, len(list_filter(tags, lambda x: x = '<p')) AS ps, len(list_filter(tags, lambda x: x = '<a')) AS links FROM t)
+  SELECT page_id, 'p' AS tag, ps AS n_pruned FROM n WHERE ps > 0 UNION ALL SELECT page_id, 'span', links FROM n WHERE links > 0 UNION ALL SELECT page_id, 'u', links FROM n WHERE links > 0""")
 def p87(spark, d):
-    return ct.prune_rows(prepared(spark, d))
+    """An empty paragraph for each of the given page's paragraphs, and empty and kept marks for each of its links."""
+    marks = F.regexp_extract_all("html", F.lit("<[ap]\\b"), F.lit(0))
+    put = F.transform(marks, lambda m: F.when(m == "<p", F.lit("<p> <br-less></br-less></p>")).otherwise(F.lit("<span> <u></u></span><span><img src='/k.png'></span><em>kept</em>")))
+    html = F.concat(F.lit('<div class="entry-content">'), F.array_join(put, "\n"), F.lit("</div>"))
+    rows = spread(table(spark, d, "pages").select("page_id", "url", "html")).select("page_id", "url", html.alias("html"))
+    return ct.prune_rows(ct.prepared(ct.extract(ct.parsed(rows)), SITE))

@@ -177,7 +177,15 @@ TEXT_DOCS = """SELECT doc_id, CASE WHEN lang = 'en' THEN 'pages' ELSE 'news' END
 def p05(spark, d):
     path = fresh_path(spark, "documents")
     files.write_documents(text_docs(spark, d), path)
-    return spark.read.parquet(path).select("doc_id", "folder", "file_name", "body")
+    return files.read_documents(spark, path).select("doc_id", "folder", "file_name", "body")
+
+
+@query("p05_document_files", f"WITH {DOCS} SELECT docname || '.md' AS name, html AS body FROM docs JOIN pages USING (page_id) WHERE html <> ''")
+def p05_files(spark, d):
+    """A file for every page, read back; files without a byte are there, but no reader's."""
+    path = fresh_path(spark, "files")
+    files.write_document_files(as_docs(table(spark, d, "pages"), "html"), path, "html")
+    return files.read_document_files(spark, path)
 
 
 @query("p06_full_refresh", f"SELECT folder, COUNT(*) AS n FROM ({TEXT_DOCS}) WHERE folder = 'pages' GROUP BY folder")
@@ -186,7 +194,7 @@ def p06(spark, d):
     docs = text_docs(spark, d)
     files.write_documents(docs, path)
     files.write_documents(docs.where(F.col("docname").startswith("pages/")), path)
-    return spark.read.parquet(path).groupBy("folder").agg(F.count("*").alias("n"))
+    return files.read_documents(spark, path).groupBy("folder").agg(F.count("*").alias("n"))
 
 
 @query("p07_block_upsert", """WITH t AS (SELECT page_id, url, CASE WHEN url LIKE '%#top' THEN replace(html, '</article>', '  ') ELSE html END AS h,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from . import document_files, versions
+
 APPLICATION = "id string, box string, name string, discontinued boolean, previously string, url string"
 
 
@@ -41,15 +43,45 @@ def write_catalogue(apps: DataFrame, path: str) -> None:
 
 
 def write_documents(docs: DataFrame, path: str) -> None:
-    """One row per document, foldered by kind; folders without new rows are cleared too."""
-    (
-        docs.withColumn("folder", F.split("docname", "/")[0])
-        .withColumn("file_name", F.concat(F.substring_index("docname", "/", -1), F.lit(".md")))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("folder")
-        .parquet(path)
-    )
+    """One row per document, foldered by kind, as the next version of the table at ``path``.
+
+    Until the version is whole and named, readers go on seeing the one before; folders without new rows are then gone.
+    """
+    rows = docs.withColumn("folder", F.split("docname", "/")[0]).withColumn("file_name", F.concat(F.substring_index("docname", "/", -1), F.lit(".md")))
+    versions.replace(rows, path, ("folder",))
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of the documents."""
+    return versions.read(spark, path)
+
+
+def write_document_files(docs: DataFrame, path: str, body: str = "body") -> None:
+    """A file of its own for every document, ``docname`` with ``.md``; the set of files is replaced as a whole.
+
+    Documents of one name are written over each other, the last one in no given order staying: names are the caller's to keep apart.
+    """
+    spark = docs.sparkSession
+    document_files.register(spark)
+    table = versions.Table(spark, path)
+    name = table.fresh("files")
+    rows = docs.select(F.concat("docname", F.lit(".md")).alias("name"), F.coalesce(F.col(body), F.lit("")).alias("body"))
+    rows.write.format(document_files.NAME).mode("append").save(f"{table.path}/{name}")
+    table.commit([name])
+
+
+def document_folder(spark: SparkSession, path: str) -> str:
+    """Where the files of the newest version are."""
+    return versions.Table(spark, path).paths()[-1]
+
+
+def read_document_files(spark: SparkSession, path: str) -> DataFrame:
+    """The files of the newest version as ``(name, body)``. Spark's readers pass over files without a byte, so empty documents aren't among them."""
+    folder = document_folder(spark, path)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").load(folder)
+    # the path as it is, not as a URL
+    at = F.substring_index("path", f"/{folder.rpartition('/')[2]}/", -1)
+    return found.select(at.alias("name"), F.decode("content", "UTF-8").alias("body"))
 
 
 def manifest(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from aerofolio.functions.numbers import exact_mean, exact_sum
 from aerofolio.operators.air import compliance as cp, exposure as ex, monitor as mo, now as nw, observations as ob, stats as st
+from aerofolio.session import fresh_path
+from aerofolio.sources import versions
 
 
 def ts(day, hour=0, year=2024):
@@ -157,3 +159,51 @@ def test_exposure_and_burden(spark):
     rows = {r.level_id: r for r in ex.burden(cities, scenario).collect()}
     assert set(rows) == {0, 1, 3, 7} and rows[7].cases == pytest.approx(100 * (1 - 2.718281828459045 ** -0.5), abs=1e-5)
     assert rows[0].years_lost == pytest.approx(2 * rows[0].cases, abs=1e-5)
+
+
+def scans(df):
+    """Files that each scan of a frame has read, and its partition filters, with the plan as it was first made."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark._jvm.scala.jdk.javaapi.CollectionConverters
+        again = df.select("*")
+        n = len(again.collect())
+        out = []
+        for leaf in rows.asJava(again._jdf.queryExecution().executedPlan().collectLeaves()):
+            if "numFiles" in set(rows.asJava(leaf.metrics()).keySet()):
+                out.append((leaf.metrics().apply("numFiles").value(), leaf.metadata().get("PartitionFilters").get()))
+        return n, out
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_a_laid_out_table_is_pruned(spark):
+    """By the years of the period when planned, by the chosen stations' countries when run."""
+    path = fresh_path(spark, "laid-out")
+    rows = [(p, "x", dt.datetime(y, 5, 1), float(y)) for p in range(40) for y in range(2010, 2020)] + [(99, "x", dt.datetime(2012, 1, 1), 0.0), (1, "x", None, 1.0)]
+    obs = spark.createDataFrame(rows, "sampling_point long, pollutant string, ts timestamp_ntz, conc double")
+    places = spark.createDataFrame([(p, f"c{p % 10}", p * 10) for p in range(40)], "sampling_point long, country string, population int")
+    for _ in range(2):
+        ob.lay_out(obs, places, path, files=2)
+    whole = versions.read(spark, path)
+    assert sorted(map(str, whole.select(*obs.columns).collect())) == sorted(map(str, obs.collect()))
+    settled = fresh_path(spark, "places")
+    places.write.parquet(settled)
+    chosen = spark.read.parquet(settled).where("population < 20")
+    got = ob.download({"E1a": whole}, chosen, start=dt.datetime(2012, 1, 1), end=dt.datetime(2014, 1, 1))
+    n, found = scans(got)
+    assert n == 4  # two stations, two years
+    files, filters = next((f, p) for f, p in found if "yr" in p)
+    assert "dynamicpruning" in filters and "yr" in filters and files <= 4 * 2 < len(whole.inputFiles()) // 4
+    assert {(r.sampling_point, r.yr) for r in got.collect()} == {(p, y) for p in (0, 1) for y in (2012, 2013)}
+
+
+def test_calendar_has_months_without_deliveries(spark):
+    day = dt.datetime
+    rows = spark.createDataFrame([("a", day(2020, 1, 31)), ("a", day(2020, 1, 1)), ("a", day(2020, 4, 30)), ("b", day(2020, 2, 5)), (None, day(2020, 3, 1)), ("c", None)], "flow string, submitted timestamp_ntz")
+    got = {(r.flow, r.month.month, r.n) for r in mo.calendar(rows).collect()}
+    assert got == {("a", 1, 2), ("a", 2, 0), ("a", 3, 0), ("a", 4, 1), ("b", 2, 1), (None, 3, 1)}
+    period = [F.lit(d).cast("timestamp") for d in ("2020-02-10", "2020-03-02")]
+    assert {(r.flow, r.month.month, r.n) for r in mo.calendar(rows, *period).collect()} == {("a", 2, 0), ("a", 3, 0), ("b", 2, 1), ("b", 3, 0), (None, 2, 0), (None, 3, 1)}
+    assert mo.calendar(rows.limit(0)).count() == 0

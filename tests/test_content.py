@@ -1,6 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
-from aerofolio.functions.html import plain_text
+from aerofolio.functions.html import Selector, plain_text, text_of
 from aerofolio.operators import content as ct, corpus
 
 SITE = "https://portal.example"
@@ -30,7 +31,7 @@ def test_selectors_in_order(spark):
         f'<article>{inner}</article>', inner, "<main>none</main>", None, wrap=None,
     )
     names = [r.matched_selector for r in got.orderBy("page_id").collect()]
-    assert names == [n for n, _ in ct.SELECTORS] + [None, None]
+    assert names == [*ct.SELECTORS, None, None]
 
 
 def test_embeds(spark):
@@ -134,6 +135,72 @@ def test_markdown(spark):
         assert body == want, html
 
 
+#: Untidy markup, and the tree that the exporter's parser builds of it, shown by what it becomes.
+UNTIDY = [
+    # a paragraph ends bold, italics and the like before it, and they are not opened again
+    ("<b>one<p>two</b>three</p>", "**one**\n\ntwothree"),
+    ("<p>a<b>x<p>y</b>z", "a**x**\n\nyz"),
+    ("<i>one<p>two</i></p>three", "*one*\n\ntwo\n\nthree"),
+    # other inline elements go around the paragraph, and end with it open
+    ("<em><p>x</em>y</p>z", "*x*\n\nyz"),
+    ("<span><p>x</span>y</p>z", "x\n\nyz"),
+    # an end looks past lighter elements only
+    ("<i>one<div>two</i>three</div>four</i>five", "*one\n\ntwothree\n\nfour*five"),
+    ("<div>a</div></div><p>b</p></section></b>c", "a"),
+    ("<div><p>a</section></b>b</div>c", "ab\n\nc"),
+    # links
+    ("<a href=/1>x<a href=/2>y</a> z", "[x](/1)[y](/2) z"),
+    ("<p><a href=/1>x<p>y</a>", "[x\n\ny](/1)"),
+    ("<div><a href=/1>x</div>y", "[x](/1)\n\ny"),
+    # lists, cells and headings left open
+    ("<ul><li>a<p>b<li>c</ul>d", "- a\n\n  b\n- c\n\nd"),
+    ("<ul><li>a<ul><li>b</ul><li>c</ul>d", "- a\n  - b\n- c\n\nd"),
+    ("<table><tr><td><b>a<td>b<tr><td>c<td>d</table>e", "| **a** | b |\n| --- | --- |\n| c | d |\n\ne"),
+    # blocks without anything are no breaks; what holds a line break is
+    ("a<p></p>b<div> <span></span><section></section></div>c", "ab c"),
+    ("a<p><br></p>b", "a\n\nb"),
+    ("<h2>A<p>b", "## A\n\nb"),
+    ("<p>a<h2>B</h2>c", "a\n\n## B\n\nc"),
+    ("<p>a</p></p>b", "a\n\nb"),
+    ("<p>a<section>b</section>c</p>d", "a\n\nb\n\nc\n\nd"),
+    # text within a table but in no cell stays where it stands
+    ("<table>t<tr><td>a</td></tr></table>", "t\n| a |\n| --- |"),
+]
+
+
+def test_untidy_markup(spark):
+    got = bodies(spark, *[html for html, _ in UNTIDY])
+    wrong = [(html, want, body) for (html, want), body in zip(UNTIDY, got) if body != want]
+    assert not wrong
+
+
+SELECTED = [
+    ("div p", "<p>0</p><div><em><p>1</p></em></div>", "1"),
+    ("div > p", "<div><em><p>0</p></em><p>1</p></div>", "1"),
+    ("div>em>p, h1", "<div><p>0</p><em><p>1</p></em></div><h1>2</h1>", "1"),
+    ("h1, div em p", "<p>0</p><h1>1</h1><div><em><p>2</p></em></div>", "1"),
+    ("em div p", "<div><em><p>0</p></em></div><em><div><p>1</p></div></em>", "1"),
+    ("#a.b.c", "<p id=a class=b>0</p><p id=a class='c x b'>1</p>", "1"),
+    ("*[lang] [data-k='v w']", "<p data-k='v w'>0</p><div lang><p data-k=v>0</p><p data-k='v w'>1</p></div>", "1"),
+    (".x .x .y", "<div class=x><p class=y>0</p><div class=x><p class=y>1</p></div></div>", "1"),
+    ("DIV.x", "<div class=X>0</div><DIV class=x>1</DIV>", "1"),
+    ("article .none", "<article><p class=nones>0</p></article>", None),
+]
+
+
+def test_selectors_as_text(spark):
+    for selector, html, want in SELECTED:
+        df = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+        got = ct.extract(ct.parsed(df, selectors=["h9", selector]), ["h9", selector]).select("matched_selector", text_of(F.col("content")).alias("t")).first()
+        assert tuple(got) == ((selector, want) if want else (None, None)), selector
+
+
+@pytest.mark.parametrize("text", ["", "> p", "a +b", "a[", "p:first", "a,,b"])
+def test_what_is_no_selector_is_refused(text):
+    with pytest.raises(ValueError):
+        Selector(text)
+
+
 def test_wide_and_deep_pages_are_whole(spark):
     wide = "".join(f"<p>line {i}</p>" for i in range(5000))
     deep = "<div>" * 300 + "core" + "</div>" * 300

@@ -1,13 +1,14 @@
 import datetime as dt
 import json
+import os
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from aerofolio.operators import catalogue as cat, content, corpus, links as lk
 from aerofolio.operators.deadlines import deadline_status
 from aerofolio.session import fresh_path
-from aerofolio.sources import files
+from aerofolio.sources import document_files, files, versions
 
 SITE = "https://portal.example"
 
@@ -192,11 +193,84 @@ def test_deadlines(spark, left, want):
     assert tuple(df.select(deadline_status(F.col("due"), F.col("now"))).first()[0]) == want
 
 
+def failing(spark, rows, schema):
+    """Rows of which the last one, met after the others have been written, ends its task."""
+    good = spark.createDataFrame(rows, schema)
+    bad = spark.range(1).select(*[F.expr(f"cast(if(id = 0, raise_error('killed'), null) as {f.dataType.simpleString()})").alias(f.name) for f in good.schema])
+    return good.coalesce(1).unionByName(bad)
+
+
 def test_refresh_clears_folders_without_new_rows(spark):
     path = fresh_path(spark, "docs")
     docs = spark.createDataFrame([("pages/a", "x"), ("news/b", "y")], "docname string, body string")
     files.write_documents(docs, path)
-    assert spark.read.parquet(path).count() == 2
+    assert files.read_documents(spark, path).count() == 2
     files.write_documents(docs.where("docname like 'news/%'"), path)
-    assert [(r.folder, r.file_name) for r in spark.read.parquet(path).collect()] == [("news", "b.md")]
-    assert {r.folder for r in files.manifest(spark, path).where("name like '%.parquet'").collect()} == {"folder=news"}
+    assert [(r.folder, r.file_name) for r in files.read_documents(spark, path).collect()] == [("news", "b.md")]
+
+
+def test_a_refresh_that_dies_leaves_the_old_rows(spark):
+    path, schema = fresh_path(spark, "docs"), "docname string, body string"
+    files.write_documents(spark.createDataFrame([("pages/a", "old")], schema), path)
+    open_reader = files.read_documents(spark, path)
+    with pytest.raises(Exception, match="killed"):
+        files.write_documents(failing(spark, [("pages/a", "new")], schema), path)
+    assert [r.body for r in files.read_documents(spark, path).collect()] == ["old"]
+    for body in ("new", "newer"):
+        files.write_documents(spark.createDataFrame([("pages/a", body)], schema), path)
+        if body == "new":  # a reader that began before goes on with its version
+            assert [r.body for r in open_reader.collect()] == ["old"]
+    assert [r.body for r in files.read_documents(spark, path).collect()] == ["newer"]
+    # what is left: the log and the folders of the last two versions
+    table = versions.Table(spark, path)
+    assert len(table.numbers()) == 2 and len([f for f in os.listdir(path) if not f.startswith(("_", "."))]) == 2
+    with pytest.raises(FileNotFoundError):
+        versions.read(spark, path + "-none")
+
+
+def test_two_writers_do_not_make_one_version(spark, monkeypatch):
+    path = fresh_path(spark, "docs")
+    table = versions.Table(spark, path)
+    assert table.commit(["a"]) == 1
+    monkeypatch.setattr(versions.Table, "numbers", lambda self: [])
+    with pytest.raises(RuntimeError, match="another writer"):
+        table.commit(["b"])
+
+
+def test_a_file_for_every_document(spark):
+    path, schema = fresh_path(spark, "files"), "docname string, body string"
+    docs = [("pages/x", "a\r\nb \n"), ("news/2024-ä +%20", "é\u2028"), ("news/empty", None), ("top", "t")]
+    files.write_document_files(spark.createDataFrame(docs, schema), path)
+    folder = files.document_folder(spark, path)
+    found = {os.path.relpath(os.path.join(at, f), folder): open(os.path.join(at, f), "rb").read() for at, _, names in os.walk(folder) for f in names if f.endswith(".md")}
+    assert found == {f"{n}.md": (b or "").encode() for n, b in docs}
+    assert {(r.name, r.body) for r in files.read_document_files(spark, path).collect()} == {(f"{n}.md", b) for n, b in docs if b}
+    # a second set of files replaces the first; one that dies doesn't
+    with pytest.raises(Exception, match="killed"):
+        files.write_document_files(failing(spark, [("pages/z", "z")], schema), path)
+    assert files.document_folder(spark, path) == folder
+    files.write_document_files(spark.createDataFrame([("pages/y", "y")], schema), path)
+    assert [r.name for r in files.read_document_files(spark, path).collect()] == ["pages/y.md"]
+    for name in ("../x", "a//b", "/x", ".x", "a/_b", None):
+        with pytest.raises(Exception, match="not a file name|null"):
+            files.write_document_files(spark.createDataFrame([(name, "x")], schema), path)
+    assert [r.name for r in files.read_document_files(spark, path).collect()] == ["pages/y.md"]
+
+
+def test_repeated_attempts_leave_one_file(tmp_path):
+    """A task whose attempt is run twice, and one that broke off before its file was whole."""
+    writer = document_files._Writer(str(tmp_path))
+    rows = [Row(name="pages/x.md", body="text"), Row(name="pages/y.md", body="more")]
+    done = [writer.write(iter(rows)), writer.write(iter(rows))]
+
+    def broken():
+        yield rows[0]
+        raise OSError("lost")
+
+    with pytest.raises(OSError):
+        writer.write(broken())
+    writer.commit([done[0], None])
+    assert sorted(os.listdir(tmp_path / "pages")) == ["x.md", "y.md"] and (tmp_path / "pages/x.md").read_bytes() == b"text"
+    assert (tmp_path / "_SUCCESS").read_text() == "2 files, 8 bytes\n"
+    writer.abort([])
+    assert os.listdir(tmp_path) == []

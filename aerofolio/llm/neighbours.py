@@ -5,7 +5,7 @@ A graph of each vector's nearest neighbours starts from leaves of random hyperpl
 link is new. Lists that hold nothing but links are saturated and may hide more, so they are enlarged to all members of their
 group of links, which is compared in blocks; and their vectors search again, among those of other groups only, until no two
 groups are found linked. A bounded sample is compared with all vectors; while the links found for it fall
-short, lists are made longer and the descent goes on.
+short, lists are made longer, new leaves are added and the descent goes on; if that doesn't help, the job ends with an error.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ from .components import components
 LEAF, BLOCK_ROWS = 1024, 128
 #: Members of one group that a search between groups begins from, about; its rounds at most, and the share of entries that changed when it ends.
 ENVOYS, ACROSS_ROUNDS, ACROSS_SETTLED = 64, 16, 0.01
-#: Compared with one byte for each component, scaled by the vector's largest, cosines are off by less than this, unless a few components outweigh thousands of others.
+#: Compared with one byte for each component of the rotated vectors, cosines are off by less than this: no component stands out after the rotation, so rounding
+#: moves a vector by less than a hundredth of its length.
 MARGIN = 0.02
 GRAPH = "id long, to long, sim float, fresh boolean"
 
@@ -62,6 +63,20 @@ def _by_length(column: pa.Array) -> list[np.ndarray]:
     return [np.flatnonzero(n == k) for k in np.unique(n)]
 
 
+def _rotated(x: np.ndarray) -> np.ndarray:
+    """Rows turned by random signs and a Hadamard transform, filled up to a power of two; this keeps cosines and spreads what single components hold."""
+    rows, width = x.shape
+    n = 1 << (width - 1).bit_length()
+    y = np.zeros((rows, n))
+    y[:, :width] = x * np.random.default_rng(width).choice([-1.0, 1.0], width)
+    step = 1
+    while step < n:
+        pairs = y.reshape(rows, n // (2 * step), 2, step)
+        y = np.stack([pairs[:, :, 0] + pairs[:, :, 1], pairs[:, :, 0] - pairs[:, :, 1]], axis=2).reshape(rows, n)
+        step *= 2
+    return y
+
+
 def _leaves(rounds: int, levels: int, seed: int):
     """Each vector ``(id, unit, group)`` once a round, with its side of some random hyperplanes, its place along another direction, and its bytes."""
 
@@ -69,7 +84,8 @@ def _leaves(rounds: int, levels: int, seed: int):
         for b in batches:
             for rows in _by_length(b.column(1)):
                 x, ids, groups = _matrix(b.column(1).take(pa.array(rows))), b.column(0).take(pa.array(rows)), b.column(2).take(pa.array(rows))
-                small = pa.array([r.tobytes() for r in np.rint(x * (127 / np.abs(x).max(1, keepdims=True))).astype(np.int8)], pa.binary())
+                turned = _rotated(x)
+                small = pa.array([r.tobytes() for r in np.rint(turned * (127 / np.abs(turned).max(1, keepdims=True))).astype(np.int8)], pa.binary())
                 for r in range(rounds):
                     g = np.random.default_rng([seed, r, x.shape[1]]).standard_normal((x.shape[1], levels + 1))
                     p = x @ g
@@ -314,9 +330,9 @@ def near_duplicates(
     Rows are linked if their cosine, in doubles, is at least ``threshold``. A null or zero vector, one with null or non-finite components, and
     one of another length link with nothing. Equal directions are one vertex that counts as many rows as it has, so repeated rows link with each other. ``component`` is the
     smallest id reachable, ``kept`` whether it is the row's own; a null id is never the smallest (``component`` null if no
-    row there has an id), and is not kept. All links returned are exact; links may be missed, and ``recall`` is the share of the links
-    of ``sample`` rows, taken by hash and compared with all, that were found. Lists of ``size`` double up to ``longer`` times
-    while it is below ``recall``. Other columns are ignored; an empty table gives no rows.
+    row there has an id), and is not kept. All links returned are exact; links may be missed, and ``recall`` is the share of their links that
+    was found for the vectors of a sample, ``sample`` of them taken by hash and compared with all, on average over those that have links. Lists of ``size`` and the
+    ``rounds`` double up to ``longer`` times while it is below ``recall``; an error ends the job if it still is then. Other columns are ignored; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     kind = dict(vectors.dtypes)[id_col]
@@ -330,13 +346,20 @@ def near_duplicates(
     sent = spark.sparkContext.broadcast((np.array([r["id"] for r in picked], np.int64), [bytes(r["unit"]) for r in picked]))
     truth = {r["id"]: r["n"] for r in classes.select("id", "unit", "copies").mapInArrow(_audit(sent, threshold), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()}
     for k in range(longer + 1):
-        graph = _descend(graph, small, size << k, threshold - MARGIN, rounds, settled)
-        parts_found = _links(_across(graph, classes, small, size << k, threshold - MARGIN, trees, seed), classes, threshold)
+        if k:
+            # longer lists, all of whose entries meet again, and leaves of other hyperplanes
+            _, more = _start(classes.withColumn("group", F.col("id")), trees, size << k, seed + k)
+            graph = settle(_top(graph.withColumn("fresh", F.lit(True)).union(more), size << k))
+        graph = _descend(graph, small, size << k, threshold - MARGIN, rounds << k, settled)
+        parts_found = _links(_across(graph, classes, small, size << k, threshold - MARGIN, trees, seed + k), classes, threshold)
         counts = settle(parts_found.groupBy("id").agg(F.sum("n").alias("n")))
         got = {r["id"]: r["n"] for r in counts.where(F.col("id").isin(list(truth)) & (F.col("n") > 0)).collect()} if truth else {}
-        reached = sum(got.get(i, 0) for i in truth) / sum(truth.values()) if truth else 1.0
+        # of each sampled vector by itself: a large group can't hide what is missing elsewhere
+        reached = sum(got.get(i, 0) / n for i, n in truth.items()) / len(truth) if truth else 1.0
         if reached >= recall:
             break
+    else:
+        raise RuntimeError(f"links of the sampled vectors found: {reached:.4f}, less than {recall}; longer lists, more trees or rounds are needed")
     found = components(parts_found.select(F.col("id").alias("src"), F.col("root").alias("dst")))
     grouped = settle(classes.select("id", "least", "copies").join(settle(found), "id", "left").withColumn("component", F.coalesce("component", "id")))
     least = settle(grouped.groupBy("component").agg(F.min("least").alias("smallest")))

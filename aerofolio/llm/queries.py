@@ -11,7 +11,7 @@ from . import decontaminate, filter_audit, html_text, language_models, licences,
 
 def embedding_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     found = neighbours.near_duplicates(table(spark, d, "embeddings"), threshold=0.95)
-    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept", "recall")
 
 
 def html_extraction(spark: SparkSession, d: str) -> DataFrame:

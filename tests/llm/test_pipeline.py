@@ -55,7 +55,7 @@ def test_query_equals_sql(spark, name):
 
 
 @pytest.mark.parametrize("name, columns", [
-    ("op1_embedding_near_dedup", "vec_id n_links component_id kept"), ("op2_html_extraction", "page_id url text n_chars"),
+    ("op1_embedding_near_dedup", "vec_id n_links component_id kept recall"), ("op2_html_extraction", "page_id url text n_chars"),
     ("op3_simhash_near_dedup", "doc_id fingerprint component_id"), ("op4_benchmark_decontamination", "doc_id n_words n_hit n_items items_sha256 contaminated"),
     ("op5_lm_scoring", "doc_id n_words score"), ("op6_substring_dedup", "doc_id n_words n_removed kept_sha256"),
     ("op7_warc_archives", "page_id payload_bytes payload_digest record_type refers_to problem"), ("op8_mixing_sources", "doc_id size source_size target taken"),

@@ -63,6 +63,47 @@ def test_bytes_of_wide_vectors_keep_the_margin(width):
     assert np.abs(neighbours._similar(small) - x @ x.T).max() < neighbours.MARGIN
 
 
+def outlying(rng, n, width, share):
+    """Pairs at cosine 0.951 whose first component holds a share of the energy."""
+    rows = []
+    for _ in range(n):
+        a, b = rng.standard_normal((2, width))
+        a[0] = b[0] = 0
+        a /= np.linalg.norm(a)
+        b -= (a @ b) * a
+        b /= np.linalg.norm(b)
+        rest = (0.951 - share) / (1 - share)
+        for v in (a, rest * a + np.sqrt(1 - rest**2) * b):
+            v = np.sqrt(1 - share) * v
+            v[0] = np.sqrt(share)
+            rows.append(v)
+    return rows
+
+
+@pytest.mark.parametrize("share", [0.0, 0.3, 0.6, 0.9])
+def test_bytes_of_vectors_with_an_outlying_component_keep_the_margin(share):
+    x = np.array(outlying(np.random.default_rng(7), 10, 8224, share))
+    ids = pa.array(range(20))
+    batch = pa.RecordBatch.from_arrays([ids, pa.array([r.tobytes() for r in x], pa.binary()), ids], names=["id", "unit", "group"])
+    small = next(neighbours._leaves(1, 0, 1)(iter([batch])))["small"]
+    assert np.abs(neighbours._similar(small) - x @ x.T).max() < neighbours.MARGIN / 4
+
+
+def test_links_of_vectors_with_an_outlying_component(spark):
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(outlying(np.random.default_rng(8), 30, 8224, 0.3) + outlying(np.random.default_rng(9), 30, 8224, 0.6))]
+    got = neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((tuple(r)[:4] for r in got), key=brute.key) == brute.vectors(rows) and sum(r["n_links"] for r in got) >= 120
+
+
+def test_a_search_that_stays_below_its_target_ends_with_an_error(spark, monkeypatch):
+    """Leaves of two vectors and no rounds: links are missed however often the lists are made longer."""
+    rng = np.random.default_rng(10)
+    rows = [(i, [float(x) for x in rng.standard_normal(3)]) for i in range(400)]
+    monkeypatch.setattr(neighbours, "_descend", lambda graph, *rest: graph.limit(3))
+    with pytest.raises(RuntimeError, match="links of the sampled vectors"):
+        neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), longer=1)
+
+
 COLUMNS = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
 PAGES = [
     (5, "u", "abc"), (3, "u\r\n x: y%41é", "abc"), (3, "z", "abc"), (None, "q", "abc"), (None, None, None), (7, None, ""), (8, "", ""), (9, "x", "é" * 100000),

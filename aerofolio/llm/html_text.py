@@ -13,7 +13,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 # HTML's elements by their kind, and names that sites give to what isn't the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -262,6 +262,6 @@ def extract(pages: DataFrame, share: float = 0.3, most: float = 0.9, html_col: s
     article, menus, forms, comments and the like go, by tag or by a class, id or role of a container (``NEVER``, ``ASIDE``, ``ASIDE_NAMES``); nothing else is dropped or capped. Rows don't depend on each other; columns named as a result are replaced.
     """
     others = [c for c in pages.columns if c not in ("text", "n_chars", html_col)]
-    schema = ", ".join([f"c{i} {pages.schema[c].dataType.simpleString()}" for i, c in enumerate(others)] + ["text string"])
+    schema = T.StructType([*(T.StructField(f"c{i}", pages.schema[c].dataType) for i, c in enumerate(others)), T.StructField("text", T.StringType())])
     rows = pages.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)], F.col(html_col).alias("html")).mapInArrow(_run(share, most), schema)
     return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(others)], "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .licence_texts import NOTICES, PHRASES
 from .tokens import ALNUM_LOWER, Words, pieces
@@ -224,7 +224,8 @@ def scan(docs: DataFrame, notices: dict[str, list[str]] = NOTICES, phrases: dict
     """
     results = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
     others = [c for c in docs.columns if c not in (*results, text_col)]
-    schema = ", ".join([f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(others)] + [
-        "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans array<struct<label:string,first:bigint,end:bigint,covered:double>>"])
+    span = T.StructType().add("label", "string").add("first", "long").add("end", "long").add("covered", "double")
+    kinds = [*[T.LongType()] * 4, *[T.StringType()] * 2, T.DoubleType(), T.ArrayType(span)]
+    schema = T.StructType([*(T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(others)), *map(T.StructField, results, kinds)])
     rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)], F.col(text_col).alias("text")).mapInArrow(_run(notices, phrases, least, gap, cover), schema)
     return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(others)], *results)

@@ -161,10 +161,10 @@ def vectors(rows, threshold=0.95):
 
 def extra(spark, rows, columns):
     """A table with columns of no concern that are named as the operators' own."""
-    clash = {"id": 1, "text_": None, "n_words": "x", "score": "y", "component": 2, "key": 3, "size": 4.5, "spans": "z"}
+    clash = {"id": 1, "text_": None, "n_words": "x", "score": "y", "component": 2, "key": 3, "size": 4.5, "spans": "z", "odd": (1,)}
     names = [c.split()[0] for c in columns.split(", ")]
     more = {k: v for k, v in clash.items() if k not in names}
-    kinds = {"id": "long", "text_": "string", "n_words": "string", "score": "string", "component": "int", "key": "int", "size": "double", "spans": "string"}
+    kinds = {"id": "long", "text_": "string", "n_words": "string", "score": "string", "component": "int", "key": "int", "size": "double", "spans": "string", "odd": "struct<`a b`:int>"}
     return spark.createDataFrame([(*r, *more.values()) for r in rows], columns + "".join(f", {k} {kinds[k]}" for k in more))
 
 

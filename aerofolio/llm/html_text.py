@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 # HTML's elements by their kind, and names that sites give to what isn't the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math object select".split())
+RAW = frozenset("script style textarea title noscript iframe template svg object select".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -28,7 +28,9 @@ ASIDE_NAMES = frozenset(
     "footer masthead cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe signup login share sharing social related "
     "recommended comment comments disqus reply replies pagination pager toolbar search contentinfo complementary".split())
 #: Words that may stand beside those names in a class or id; with any other word ("has-sidebar", "related-work") it says something else.
-BESIDE = frozenset("area bar block box button buttons container form icons inner links list main outer panel section site top bottom widget wrap wrapper".split())
+BESIDE = frozenset(
+    "area articles bar block bottom box button buttons container form icons inner items links list main outer panel policy post posts section site slot stories top "
+    "unit widget wrap wrapper".split())
 #: Only elements that hold blocks go by their names, never headings, paragraphs or articles.
 CONTAINERS = frozenset("div section ul ol dl table details fieldset center".split())
 #: An element with this share of the page's selected text or more is the page, whatever its tag or name.
@@ -151,9 +153,9 @@ def blocks(page: str) -> tuple[list[Block], list[tuple[int, str]], list[int]]:
             continue
         _, path, holder, aside, main, link = stack[-1]
         path = paths.setdefault((path, tag), len(paths) + 1)
-        if tag in NEVER or (tag == "article" and main and _in_article(stack)):
+        if tag in NEVER:
             aside = -1
-        elif aside >= 0 and _is_aside(tag, attributes, main):
+        elif aside >= 0 and (_is_aside(tag, attributes, main) or (tag == "article" and main and _in_article(stack))):
             asides.append(aside)
             aside = len(asides) - 1
         if tag in BLOCK and aside >= 0:
@@ -167,7 +169,7 @@ def blocks(page: str) -> tuple[list[Block], list[tuple[int, str]], list[int]]:
 
 
 def _in_article(stack: list) -> bool:
-    """An article within an article is a comment on it."""
+    """An article within an article is a comment on it, unless it holds most of the page's selected text."""
     return any(x[0] == "article" for x in stack)
 
 

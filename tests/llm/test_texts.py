@@ -286,9 +286,19 @@ NAMED = {
     f"<div class='layout has-sidebar'><article>{PROSE}{PROSE}</article></div>": 2,
     f"<body><form action=x><nav><a href=1>Home</a></nav><div>{PROSE * 3}</div></form></body>": 3,
     f"<div class=sidebar>{PROSE * 3}</div><footer>f</footer>": 3,
+    # what stands in the article but isn't of it, by the names of its container
+    f"<article>{PROSE * 8}<div class='related-posts'><p>Another, post.</p></div><section class='post-comments'>{PROSE}</section><div class=ad-slot>Buy.</div><div id=cookie-policy-banner>{PROSE}</div></article>": 8,
+    f"<article>{PROSE * 8}<article><p>Nice, this.</p></article><article>{PROSE}</article></article>": 8,
+    # an article within an article that is nearly all of it
+    f"<article><h1>T</h1><article>{PROSE * 10}</article></article>": 11,
+    f"<article>{PROSE}<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math>, and on.</p></article>": 2,
 }
 
 
+def test_formulas_are_text():
+    assert html_text.main_text("<article><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math>, and on.</p></article>") == "So x=1, and on."
+
+
 def test_names_of_elements_do_not_remove_the_article():
     assert [html_text.main_text(h).count("\n\n") + 1 if html_text.main_text(h) else 0 for h in NAMED] == list(NAMED.values())
 

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import settle
 from .tokens import MIX_A, MIX_B, PLAIN_LOWER, Words, mixed, pieces
 
-#: Entries a task holds before it sends them on; mean entries of a bucket; mean bytes of text of a shard.
-FLUSH, PER_BUCKET, PER_SHARD = 1 << 20, 1 << 20, 8 << 20
+#: Entries a task holds before it sends them on; mean entries of a bucket; mean bytes of text of a shard; entries weighed at once.
+FLUSH, PER_BUCKET, PER_SHARD, WEIGHED = 1 << 19, 1 << 20, 8 << 20, 1 << 16
 LEAST = 64
 #: Bytes of text of the sample that tells which words and pairs are common.
 SAMPLE = 32 << 20
@@ -180,12 +180,17 @@ def _answer(sent):
                 parts.append(got)
         if parts:
             texts, shards, length, keys, times = (np.concatenate(x) for x in zip(*parts))
+            parts.clear()
             target = np.repeat(shards & 1, length) == 1
-            kind, times = times & 1, (times >> 1).astype(np.int64)
             distinct, at = np.unique(keys, return_inverse=True)
-            n_t = np.bincount(at, weights=times * target, minlength=len(distinct))
-            n_b = np.bincount(at, weights=times, minlength=len(distinct)) - n_t
-            each = gain(n_b[at], n_t[at], times, target, kind) * times
+            del keys
+            n_t = np.bincount(at, weights=(times >> 1) * target, minlength=len(distinct))
+            n_b = np.bincount(at, weights=times >> 1, minlength=len(distinct)) - n_t
+            each = np.empty(len(at), np.int64)
+            for lo in range(0, len(at), WEIGHED):
+                some = slice(lo, lo + WEIGHED)
+                n = (times[some] >> 1).astype(np.int64)
+                each[some] = gain(n_b[at[some]], n_t[at[some]], n, target[some], times[some] & 1) * n
             _to_shards(shards >> 1, (texts, np.add.reduceat(each, np.cumsum(length) - length)), 0, out_s, out)
         return pa.table({"shard": pa.array(out_s, pa.int32()), "answer": pa.array(out, pa.binary())})
 

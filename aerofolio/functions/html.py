@@ -251,7 +251,8 @@ class Selector:
     """
 
     def __init__(self, text: str) -> None:
-        self.text, self.ways = text, [self._steps(part) for part in text.split(",")]
+        self.text = text
+        self.ways = [self._steps(part) for part in text.split(",")]
 
     def _steps(self, text: str) -> list[tuple[bool, str, list]]:
         steps, pos, text = [], 0, text.strip()

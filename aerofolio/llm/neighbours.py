@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import settle
 from .components import components
 
-LEAF, BLOCK_ROWS = 1024, 128
+#: Rows of a leaf and of a block; proposals, and sums of groups, that a task holds before it sends them on.
+LEAF, BLOCK_ROWS, PROPOSALS, SUMS = 1024, 128, 1 << 18, 1024
 #: Members of one group that a search between groups begins from, about; its rounds at most, and the share of entries that changed when it ends.
 ENVOYS, ACROSS_ROUNDS, ACROSS_SETTLED = 64, 16, 0.01
 #: Compared with one byte for each component of the rotated vectors, cosines are off by less than this: no component stands out after the rotation, so rounding
@@ -153,14 +154,35 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tup
         yield held.combine_chunks(), np.flatnonzero(np.append(True, (np.diff(k) != 0).any(0)))
 
 
+def _nearest(i: np.ndarray, to: np.ndarray, sim: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """Each pair once, and of each ``i`` its ``size`` nearest."""
+    order = np.lexsort((-sim, to, i))
+    i, to, sim = i[order], to[order], sim[order]
+    once = (np.diff(i, prepend=-1) != 0) | (np.diff(to, prepend=-1) != 0)
+    i, to, sim = i[once], to[once], sim[once]
+    order = np.lexsort((to, -sim, i))
+    i, to, sim = i[order], to[order], sim[order]
+    begin = np.flatnonzero(np.diff(i, prepend=-1))
+    keep = np.arange(len(i)) - np.repeat(begin, np.diff(np.append(begin, len(i)))) < size
+    return i[keep], to[keep], sim[keep]
+
+
 def _local_join(size: int):
-    """Members around one vector compare themselves, but those of one group; a pair without a fresh member has met before."""
+    """Members around one vector compare themselves, but those of one group; a pair without a fresh member has met before.
+
+    A task cuts what it proposes to each vector to the length of its list before it sends it.
+    """
+
+    def sent(out: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        a, b, s = _nearest(*(np.concatenate(x) for x in zip(*out)), size)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s, pa.float32()), pa.array(np.ones(len(a), bool))], names=["id", "to", "sim", "fresh"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[np.ndarray, ...]] = []
+        held = 0
         for t, begin in _grouped(batches, ["around"]):
             ids, group, fresh, last = (t[c].to_numpy() for c in ("id", "group", "fresh", "last"))
             raw = t["small"].combine_chunks() if isinstance(t["small"], pa.ChunkedArray) else t["small"]
-            out: list[tuple[np.ndarray, ...]] = []
             for lo, hi in zip(begin, np.append(begin[1:], len(ids))):
                 if hi - lo < 2 or not fresh[lo:hi].any():
                     continue
@@ -176,25 +198,29 @@ def _local_join(size: int):
                     a, b = np.nonzero(better)
                 if len(a):
                     out.append((i[a], i[b], sim[a, b]))
-            if out:
-                a, b, s = (np.concatenate(x) for x in zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s, pa.float32()), pa.array(np.ones(len(a), bool))], names=["id", "to", "sim", "fresh"])
+                    held += len(a)
+                if held >= PROPOSALS:
+                    yield sent(out)
+                    out, held = [], 0
+        if out:
+            yield sent(out)
 
     return run
 
 
-def _top(edges: DataFrame, size: int) -> DataFrame:
-    """The ``size`` nearest of each id; an entry that was there before is fresh no more."""
+def _top(edges: DataFrame, size: int, least: float) -> DataFrame:
+    """The ``size`` nearest of each id, with the list's number of links and what is needed to enter it; an entry that was there before is fresh no more."""
     once = edges.repartition("id").groupBy("id", "to").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
     lists = once.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("sim")).alias("far"), "to", "fresh"))), 1, size).alias("l"))
-    return lists.select("id", F.explode("l").alias("e")).select("id", "e.to", (-F.col("e.far")).cast("float").alias("sim"), "e.fresh")
+    far = F.when(F.size("l") < size, F.lit(-2.0)).otherwise(-F.element_at("l", -1)["far"]).cast("float")
+    links = F.size(F.filter("l", lambda e: -e["far"] >= least))
+    out = lists.select("id", far.alias("last"), links.alias("links"), F.posexplode("l").alias("place", "e"))
+    return out.select("id", "e.to", (-F.col("e.far")).cast("float").alias("sim"), "e.fresh", "place", "last", "links")
 
 
 def _new_links(graph: DataFrame, size: int, least: float) -> tuple[int, int]:
     """Links and new links in lists that aren't saturated; the others are enlarged to whole groups anyhow, whatever changes in them."""
-    link = F.col("sim") >= least
-    lists = graph.groupBy("id").agg(F.count_if(link).alias("links"), F.count_if(link & F.col("fresh")).alias("new"))
-    r = lists.where(F.col("links") < size).agg(F.coalesce(F.sum("links"), F.lit(0)).alias("links"), F.coalesce(F.sum("new"), F.lit(0)).alias("new")).first()
+    r = graph.where((F.col("links") < size) & (F.col("sim") >= least)).agg(F.count("*").alias("links"), F.count_if("fresh").alias("new")).first()
     return r["links"], r["new"]
 
 
@@ -205,37 +231,37 @@ def _descend(graph: DataFrame, small: DataFrame, size: int, least: float, rounds
     ones but enters no list, and entries of any nearness count as links do, since a nearer one may lie behind each.
     """
     for k in range(rounds):
-        nodes = graph.groupBy("id").agg(F.min("sim").alias("sim"), F.count("*").alias("n")).select("id", F.when(F.col("n") < size, F.lit(-2.0)).otherwise(F.col("sim")).cast("float").alias("last"))
+        nodes = graph.where("place = 0").select("id", "last")
         known = small.join(nodes, "id", "left").select("id", "group", "small", F.coalesce("last", F.lit(-2.0).cast("float")).alias("last"))
         # who has very many that list it meets a part of them, another one each round, so no group grows with its fame
         ways = graph.select("id", "to", "fresh")
         if walk is not None:
             ways = ways.union(walk.select("id", "to", F.lit(False)))
-        fame = settle(ways.groupBy("to").agg(F.count("*").alias("fame")))
+        fame = ways.groupBy("to").agg(F.count("*").alias("fame"))
         back = ways.join(fame, "to").where(F.pmod(F.xxhash64("id", "to", F.lit(k)), F.lit(1 << 30)) < F.lit(float(1 << 30)) * size / F.col("fame"))
         around = ways.select(F.col("id").alias("around"), F.col("to").alias("id"), "fresh").union(back.select(F.col("to").alias("around"), "id", "fresh"))
         met = around.groupBy("around", "id").agg(F.max("fresh").alias("fresh"))
         fields = met.join(known, "id").select("around", "id", "group", "fresh", "last", "small")
         found = fields.repartition("around").sortWithinPartitions("around").mapInArrow(_local_join(size), GRAPH)
-        graph = settle(_top(graph.withColumn("fresh", F.lit(False)).union(found), size))
+        graph = settle(_top(graph.select("id", "to", "sim", F.lit(False).alias("fresh")).union(found), size, least))
         links, new = _new_links(graph, size, least) if walk is None else graph.agg(F.count("*"), F.count_if("fresh")).first()
         if new <= settled * links:
             break
     return graph
 
 
-def _start(vectors: DataFrame, trees: int, size: int, seed: int) -> tuple[DataFrame, DataFrame]:
+def _start(vectors: DataFrame, trees: int, size: int, least: float, seed: int) -> tuple[DataFrame, DataFrame]:
     """``(id, group, small)`` of all ``vectors(id, unit, group)``, and the first lists, from leaves of random hyperplanes."""
     n = vectors.count()
     levels = max(0, int(np.ceil(np.log2(max(n, 1) / (LEAF / 2)))))
     leaves = settle(vectors.select("id", "unit", "group").mapInArrow(_leaves(trees, min(levels, 40), seed), "id long, group long, small binary, tree long, code long, along double"))
     parts = max(1, trees * n // (8 * LEAF))
     sorted_leaves = leaves.repartitionByRange(parts, "tree", "code", "along").sortWithinPartitions("tree", "code", "along")
-    return leaves.where(F.col("tree") < 1 << 20).select("id", "group", "small"), settle(_top(sorted_leaves.mapInArrow(_leaf_neighbours(size), GRAPH), size))
+    return leaves.where(F.col("tree") < 1 << 20).select("id", "group", "small"), settle(_top(sorted_leaves.mapInArrow(_leaf_neighbours(size), GRAPH), size, least))
 
 
 def _across(graph: DataFrame, classes: DataFrame, small: DataFrame, size: int, least: float, trees: int, seed: int) -> DataFrame:
-    """``(src, dst)``: the graph's links, and those between its groups that saturated lists had no room for.
+    """``(id, component)``: groups by the graph's links, and by those between its groups that saturated lists had no room for.
 
     A link is in the list of one of its ends unless both lists are saturated. So only vectors with saturated lists search
     again, for their nearest outside of their group: from some envoys of each group, along the lists of all. Groups found
@@ -243,22 +269,22 @@ def _across(graph: DataFrame, classes: DataFrame, small: DataFrame, size: int, l
     """
     near = graph.where(F.col("sim") >= least)
     edges = settle(near.select(F.col("id").alias("src"), F.col("to").alias("dst")))
-    full = settle(near.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") >= size).select("id"))
+    full = graph.where((F.col("place") == 0) & (F.col("links") >= size)).select("id")
     walk = settle(near.join(full, "id").join(full.withColumnRenamed("id", "to"), "to").select("id", "to"))
     while True:
-        groups = components(edges)
+        groups = settle(components(edges))
         mine = settle(full.join(groups, "id").select("id", F.col("component").alias("group")))
         sizes = settle(mine.groupBy("group").agg(F.count("*").alias("size")))
         if sizes.limit(2).count() < 2:
-            return edges
+            return groups
         envoy = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) < F.lit(float(1 << 30)) * ENVOYS / F.col("size")
         envoys = settle(mine.join(sizes, "group").where(envoy).join(classes.select("id", "unit"), "id").select("id", "unit", "group"))
-        _, first = _start(envoys, trees, size, seed)
+        _, first = _start(envoys, trees, size, least, seed)
         bytes_of = settle(small.select("id", "small").join(mine, "id").select("id", "group", "small"))
         found = _descend(first, bytes_of, size, least, ACROSS_ROUNDS, ACROSS_SETTLED, walk).where(F.col("sim") >= least)
         found = settle(found.select(F.col("id").alias("src"), F.col("to").alias("dst")))
         if found.isEmpty():
-            return edges
+            return groups
         edges = settle(edges.union(found))
 
 
@@ -291,16 +317,71 @@ def _count_links(threshold: float):
     return run
 
 
-def _links(edges: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """``(id, n, root)`` parts of exact links, from all members of each group that ``edges(src, dst)`` connect."""
-    groups = settle(components(edges))
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(group, total)`` of the unit vectors ``(group, unit)`` that a task has."""
+    held: dict[int, np.ndarray] = {}
+
+    def sent() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([x.tobytes() for x in held.values()], pa.binary())], names=["group", "total"])
+
+    for b in batches:
+        groups = b.column(0).to_numpy()
+        for g in np.unique(groups):
+            total = _matrix(b.column(1).take(pa.array(np.flatnonzero(groups == g)))).sum(0)
+            held[int(g)] = held[int(g)] + total if int(g) in held else total
+        if len(held) >= SUMS:
+            yield sent()
+            held.clear()
+    if held:
+        yield sent()
+
+
+def _total(key: tuple, sums: pa.Table) -> pa.Table:
+    return pa.table({"group": pa.array([key[0].as_py()], pa.int64()), "total": pa.array([_matrix(sums["total"].combine_chunks()).sum(0).tobytes()], pa.binary())})
+
+
+def _cores(threshold: float):
+    """Whether a member ``(id, unit, total)`` is so near to its group's centre that it is linked with all that are as near."""
+    half = (np.arccos(threshold) - 1e-6) / 2  # rounding stays far below this
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            core = np.zeros(len(b), bool)
+            for rows in _by_length(b.column(1)):
+                x, c = (_matrix(b.column(k).take(pa.array(rows))) for k in (1, 2))
+                core[rows] = (x * c).sum(1) > np.cos(half) * np.sqrt((c * c).sum(1))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(core)], names=["id", "core"])
+
+    return run
+
+
+def _links(groups: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """``(id, n, root)`` parts of exact links, from all members of each of the groups ``(id, component)``.
+
+    Members of one group meet in blocks, but not the core with itself: two vectors that are both within half of the
+    threshold's angle from the group's centre are linked, so the links of a core are its size, counted without a pair.
+    """
     sizes = settle(groups.groupBy("component").agg(F.count("*").alias("size")))
-    members = groups.join(sizes, "component").select("id", F.col("component").alias("group"), F.ceil(F.col("size") / BLOCK_ROWS).alias("blocks"))
-    rows = members.join(classes.select("id", "unit", "copies"), "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    members = groups.join(sizes, "component").select("id", F.col("component").alias("group"), (F.col("size") > BLOCK_ROWS).alias("many"))
+    members = settle(members.join(classes.select("id", "unit", "copies"), "id"))
+    large = members.where("many").select("id", "group", "unit")
+    centres = settle(large.select("group", "unit").mapInArrow(_sums, "group long, total binary").groupBy("group").applyInArrow(_total, "group long, total binary"))
+    cores = settle(large.join(centres, "group").select("id", "unit", "total").mapInArrow(_cores(threshold), "id long, core boolean").where("core").select("id"))
+    members = members.join(cores.withColumn("core", F.lit(True)), "id", "left").withColumn("core", F.coalesce("core", F.lit(False)))
+    of_core = F.when(F.col("core"), F.col("copies")).otherwise(0)
+    facts = members.groupBy("group").agg(
+        F.ceil(F.count_if(~F.col("core")) / BLOCK_ROWS).alias("outer"), F.ceil(F.count_if("core") / BLOCK_ROWS).alias("inner"),
+        F.sum(of_core).alias("total"), F.min(F.when(F.col("core"), F.col("id"))).alias("first"))
+    members = settle(members.join(settle(facts), "group"))
+    # blocks of the core are numbered after the others
+    block = F.when(F.col("core"), F.col("outer") + F.pmod(F.xxhash64("id"), F.col("inner"))).otherwise(F.pmod(F.xxhash64("id"), F.col("outer")))
+    meets = F.when(F.col("core"), F.col("outer")).otherwise(F.col("outer") + F.col("inner"))
+    rows = members.where(meets > 0).select("*", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), meets - 1)).alias("other"))
     rows = rows.select("group", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "id", "copies", "unit")
     rows = rows.repartition("group", "a", "b").sortWithinPartitions("group", "a", "b")
-    return settle(rows.mapInArrow(_count_links(threshold), "id long, n long, root long"))
+    met = rows.mapInArrow(_count_links(threshold), "id long, n long, root long")
+    within = members.where("core").select("id", (F.col("total") - F.col("copies")).alias("n"), F.col("first").alias("root"))
+    return settle(met.union(within))
 
 
 def _audit(sample, threshold: float):
@@ -339,7 +420,8 @@ def near_duplicates(
     rows = settle(vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v")).mapInArrow(_normalised, f"id {kind}, unit binary"))
     classes = rows.where("unit is not null").groupBy("unit").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
     classes = settle(classes.withColumn("id", F.monotonically_increasing_id()))
-    small, graph = _start(classes.withColumn("group", F.col("id")), trees, size, seed)
+    near = threshold - MARGIN
+    small, graph = _start(classes.withColumn("group", F.col("id")), trees, size, near, seed)
     # ids are chosen first: every task sends its own smallest, and they are small
     ids = [r["id"] for r in classes.select("id").orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample).collect()]
     picked = sorted(classes.where(F.col("id").isin(ids)).select("id", "unit").collect()) if ids else []
@@ -348,10 +430,11 @@ def near_duplicates(
     for k in range(longer + 1):
         if k:
             # longer lists, all of whose entries meet again, and leaves of other hyperplanes
-            _, more = _start(classes.withColumn("group", F.col("id")), trees, size << k, seed + k)
-            graph = settle(_top(graph.withColumn("fresh", F.lit(True)).union(more), size << k))
-        graph = _descend(graph, small, size << k, threshold - MARGIN, rounds << k, settled)
-        parts_found = _links(_across(graph, classes, small, size << k, threshold - MARGIN, trees, seed + k), classes, threshold)
+            _, more = _start(classes.withColumn("group", F.col("id")), trees, size << k, near, seed + k)
+            entries = ("id", "to", "sim", F.lit(True).alias("fresh"))
+            graph = settle(_top(graph.select(*entries).union(more.select(*entries)), size << k, near))
+        graph = _descend(graph, small, size << k, near, rounds << k, settled)
+        parts_found = _links(_across(graph, classes, small, size << k, near, trees, seed + k), classes, threshold)
         counts = settle(parts_found.groupBy("id").agg(F.sum("n").alias("n")))
         got = {r["id"]: r["n"] for r in counts.where(F.col("id").isin(list(truth)) & (F.col("n") > 0)).collect()} if truth else {}
         # of each sampled vector by itself: a large group can't hide what is missing elsewhere

@@ -1,27 +1,26 @@
 """Substring dedup: Rabin-Karp hashes of all fixed-length token windows, counted in Spark, merged into removal intervals.
 
-The windows are far more than the rows, so they travel as packed arrays. A task hashes its documents' windows
-and deals them to buckets by hash; a bucket, which holds all windows of its hashes, finds each one's smallest
-document and answers, per document, which of the windows it got are repeats; the answers go to shards of documents
-by document, where the windows are hashed again, the marks of a document merge into maximal intervals, and its
-words are cut. Buckets and shards grow in number with the input, not in size; documents, however many are alike, spread over all shards. Each
-document sends each of its windows, so the bucket of a window that a third of all documents share gets as many entries of some ten bytes.
+The windows are far more than the rows, so they travel as packed arrays. Documents are dealt to shards, and a shard sends each
+of its different windows once, with the smallest id that it has there, to a bucket by hash. A bucket, which gets all windows of its hashes, answers
+each shard with one bit per window: whether another shard has a smaller id. The shard, whose rows are still there, lists its
+windows again, takes the answers and what repeats within itself, merges the marks of a document into maximal intervals, and cuts its
+words. Buckets and shards grow in number with the input, not in size. Documents, however many are alike, spread over all shards, and a
+window that a third of them share reaches its bucket once for each shard of some 8 MB of text, however often it stands there.
 """
 
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .tokens import MIX_A, OTHER_BASE, PLAIN, Words, mixed, pieces, runs, window_hashes
+from .tokens import MIX_A, OTHER_BASE, PLAIN, Words, mixed, pieces, window_hashes
 
-#: Windows that a task holds before it sends them on; mean windows of a bucket; mean bytes of text of a shard.
-FLUSH, PER_BUCKET, PER_SHARD = 1 << 20, 2 << 20, 8 << 20
+#: Mean windows of a bucket; mean bytes of text of a shard.
+PER_BUCKET, PER_SHARD = 2 << 20, 8 << 20
 #: Least buckets and shards, so that small inputs spread over the cluster too.
 LEAST = 64
 NO_ID = np.iinfo(np.int64).max
@@ -36,123 +35,103 @@ def _windows(words: Words, size: int, buckets: int) -> tuple[np.ndarray, ...]:
     return first, keys, bucket.astype(np.int64), np.repeat(np.arange(len(n)), n)
 
 
-def _runs_of(row: np.ndarray, bucket: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sort windows by bucket, order kept: the order; where each run of one bucket and row begins; a checksum of each run's keys."""
-    order = np.argsort(bucket.astype(np.uint16) if len(bucket) and bucket.max() < 1 << 16 else bucket, kind="stable")
-    r, b, k = row[order], bucket[order], keys[order]
-    begin = np.flatnonzero((np.diff(r, prepend=-1) != 0) | (np.diff(b, prepend=-1) != 0))
-    place = np.arange(len(k)) - np.repeat(begin, np.diff(np.append(begin, len(k))))
-    check = np.add.reduceat(mixed(k + place.astype(np.uint64)), begin) if len(k) else k
-    return order, begin, check
+def _in_order(bucket: np.ndarray) -> np.ndarray:
+    """A stable order by bucket."""
+    return np.argsort(bucket.astype(np.uint16) if len(bucket) and bucket.max() < 1 << 16 else bucket, kind="stable")
+
+
+class Shard:
+    """The different windows of some documents, in an order that depends on the documents alone: by bucket, smallest id, key."""
+
+    def __init__(self, ids: np.ndarray, texts: pa.ChunkedArray, size: int, buckets: int):
+        found = []
+        for lo, hi, data, bounds in pieces(texts):
+            _, keys, bucket, row = _windows(Words(data, bounds, PLAIN), size, buckets)
+            found.append((keys, bucket, ids[lo:hi][row]))
+        keys, bucket, owner = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, t) for t in (np.uint64, np.int64, np.int64))
+        order = np.argsort(keys)
+        order = order[_in_order(bucket[order])]
+        keys, bucket, self.owner = keys[order], bucket[order], owner[order]
+        begin = np.flatnonzero(np.append(True, (np.diff(keys) != 0) | (np.diff(bucket) != 0))) if len(keys) else np.zeros(0, np.int64)
+        self.window, self.times = order, np.diff(np.append(begin, len(keys)))
+        least = np.minimum.reduceat(self.owner, begin) if len(begin) else self.owner
+        place = np.argsort(least, kind="stable")
+        self.place = place[_in_order(bucket[begin][place])]
+        self.least = least
+        self.keys, self.bucket, self.ids = keys[begin][self.place], bucket[begin][self.place], least[self.place]
+        self.cut = np.append(np.flatnonzero(np.diff(self.bucket, prepend=-1)), len(self.bucket))
+
+    def repeated(self, elsewhere: np.ndarray) -> np.ndarray:
+        """Of each window, in text order: whether a smaller id has it, in this shard or (a bit for each different window) in another."""
+        other = np.empty(len(elsewhere), bool)
+        other[self.place] = elsewhere
+        marks = np.empty(len(self.window), bool)
+        marks[self.window] = np.repeat(other, self.times) | (self.owner > np.repeat(self.least, self.times))
+        return marks
 
 
 def _send(size: int, buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-        count = rows = 0
-
-        def flush() -> pa.RecordBatch:
-            ids, shards, row, bucket, keys = (np.concatenate(x) for x in zip(*held))
-            order, begin, _ = _runs_of(row, bucket, keys)
-            keys, row, of = keys[order], row[order], bucket[order]
-            length = np.diff(np.append(begin, len(keys)))
-            cut = np.flatnonzero(np.diff(of[begin], prepend=-1))
-            out_b, out = [], []
-            for lo, hi in zip(cut, np.append(cut[1:], len(begin))):
-                docs = row[begin[lo:hi]]
-                k = keys[begin[lo] : begin[hi] if hi < len(begin) else len(keys)]
-                out_b.append(of[begin[lo]])
-                out.append(struct.pack("<qq", hi - lo, len(k)) + ids[docs].tobytes() + shards[docs].astype(np.int32).tobytes() + length[lo:hi].astype(np.int32).tobytes() + k.tobytes())
-            return pa.RecordBatch.from_arrays([pa.array(np.array(out_b, np.int64)), pa.array(out, pa.binary())], names=["bucket", "body"])
-
-        for b in batches:
-            all_ids = b.column(0).to_numpy()
-            all_shards = b.column(1).to_numpy()
-            for lo, hi, data, bounds in pieces(b.column(2)):
-                _, keys, bucket, row = _windows(Words(data, bounds, PLAIN), size, buckets)
-                if not len(keys):
-                    continue
-                held.append((all_ids[lo:hi], all_shards[lo:hi], row + rows, bucket, keys))
-                rows += hi - lo
-                count += len(keys)
-                if count >= FLUSH:
-                    yield flush()
-                    held, count, rows = [], 0, 0
-        if held:
-            yield flush()
+    """One row for each bucket: the shard, its smallest ids there, how many windows each has, and their keys."""
+
+    def run(key: tuple, docs: pa.Table) -> pa.Table:
+        s = Shard(docs["id"].to_numpy(), docs["text"], size, buckets)
+        out = []
+        for lo, hi in zip(s.cut[:-1], s.cut[1:]):
+            begin = np.append(np.flatnonzero(np.append(True, np.diff(s.ids[lo:hi]) != 0)), hi - lo)
+            out.append(struct.pack("<qqq", key[0].as_py(), len(begin) - 1, hi - lo) + s.ids[lo:hi][begin[:-1]].tobytes() + np.diff(begin).astype(np.int32).tobytes() + s.keys[lo:hi].tobytes())
+        return pa.table({"bucket": pa.array(s.bucket[s.cut[:-1]], pa.int64()), "body": pa.array(out, pa.binary())})
 
     return run
 
 
 def _judge(key: tuple, group: pa.Table) -> pa.Table:
-    """One bucket: mark every window whose hash has a smaller document; answer for documents with a mark."""
-    parts = []
+    """One bucket: of each shard's windows, in the order they came, whether another shard has a smaller id; shards without one get no answer."""
+    shards, sizes, parts = [], [], []
     for body in (x.as_buffer() for x in group["body"]):
-        n, k = struct.unpack_from("<qq", body)
-        at = 16 + np.cumsum([0, 8 * n, 4 * n, 4 * n])
-        parts.append([np.frombuffer(body, t, c, a) for t, c, a in zip((np.int64, np.int32, np.int32, np.uint64), (n, n, n, k), at)])
-    ids, shards, length, keys = (np.concatenate(x) for x in zip(*parts))
-    owner = np.repeat(ids, length)
+        shard, n, k = struct.unpack_from("<qqq", body)
+        ids, times = np.frombuffer(body, np.int64, n, 24), np.frombuffer(body, np.int32, n, 24 + 8 * n)
+        parts.append((np.repeat(ids, times), np.frombuffer(body, np.uint64, k, 24 + 12 * n)))
+        shards.append(shard)
+        sizes.append(k)
+    ids, keys = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(keys)
-    begin = np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]]))
-    sorted_ids = owner[order]
-    least = np.repeat(np.minimum.reduceat(sorted_ids, begin), np.diff(np.append(begin, len(keys))))
-    marks = np.zeros(len(keys), bool)
-    marks[order] = sorted_ids > least
-    starts = np.cumsum(length) - length
-    place = np.arange(len(keys)) - np.repeat(starts, length)
-    check = np.add.reduceat(mixed(keys + place.astype(np.uint64)), starts)
-    hit = np.flatnonzero(np.logical_or.reduceat(marks, starts))
-    hit = hit[np.argsort(shards[hit], kind="stable")]
-    cut = np.flatnonzero(np.diff(shards[hit], prepend=-1))
-    out_s, out = [], []
-    for lo, hi in zip(cut, np.append(cut[1:], len(hit))):
-        h = hit[lo:hi]
-        bits = marks[runs(starts[h], length[h])]
-        out_s.append(shards[h[0]])
-        out.append(struct.pack("<qqq", key[0].as_py(), len(h), len(bits)) + ids[h].tobytes() + check[h].tobytes() + length[h].tobytes() + np.packbits(bits).tobytes())
-    return pa.table({"shard": pa.array(np.array(out_s, np.int32)), "answer": pa.array(out, pa.binary())})
-
-
-def _lookup_key(ids: np.ndarray, bucket: np.ndarray | int, check: np.ndarray) -> np.ndarray:
-    return mixed(ids.astype(np.uint64) ^ mixed(check + np.asarray(bucket).astype(np.uint64)))
+    begin = np.flatnonzero(np.append(True, np.diff(keys[order]) != 0))
+    least = np.repeat(np.minimum.reduceat(ids[order], begin), np.diff(np.append(begin, len(keys))))
+    marks = np.empty(len(keys), bool)
+    marks[order] = ids[order] > least
+    out_s, out, at = [], [], 0
+    for shard, k in zip(shards, sizes):
+        if marks[at : at + k].any():
+            out_s.append(shard)
+            out.append(struct.pack("<qq", key[0].as_py(), k) + np.packbits(marks[at : at + k]).tobytes())
+        at += k
+    return pa.table({"shard": pa.array(out_s, pa.int32()), "answer": pa.array(out, pa.binary())})
 
 
 def _cut(size: int, buckets: int, with_text: bool):
     def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
-        known, starts, lengths, bits = [], [], [], []
-        total = 0
+        s = Shard(docs["id"].to_numpy(), docs["text"], size, buckets)
+        elsewhere = np.zeros(len(s.keys), bool)
         for a in (x.as_buffer() for x in answers["answer"]):
-            bucket, n, k = struct.unpack_from("<qqq", a)
-            ids, check = np.frombuffer(a, np.int64, n, 24), np.frombuffer(a, np.uint64, n, 24 + 8 * n)
-            length = np.frombuffer(a, np.int32, n, 24 + 16 * n)
-            known.append(_lookup_key(ids, bucket, check))
-            starts.append(total + np.cumsum(length) - length)
-            lengths.append(length)
-            bits.append(np.unpackbits(np.frombuffer(a, np.uint8, offset=24 + 20 * n), count=k).astype(bool))
-            total += k
-        if known:
-            known, starts, lengths, bits = (np.concatenate(x) for x in (known, starts, lengths, bits))
-            order = np.argsort(known)
-            known, starts = known[order], starts[order]
-        all_ids = docs["id"].to_numpy()
+            bucket, k = struct.unpack_from("<qq", a)
+            at = int(np.searchsorted(s.bucket, bucket))
+            if int(np.searchsorted(s.bucket, bucket, side="right")) - at != k:
+                raise ValueError("rows changed while they were read: a shard's windows aren't those that it sent")
+            elsewhere[at : at + k] = np.unpackbits(np.frombuffer(a, np.uint8, offset=16), count=k)
+        marks = s.repeated(elsewhere)
+        del s
         out = {"n_words": [], "n_removed": [], "kept_sha256": [], **{"kept": [] for _ in range(with_text)}}
+        done = 0
         for lo, hi, data, bounds in pieces(docs["text"]):
             words = Words(data, bounds, PLAIN)
-            keep = np.ones(len(words), bool)
-            first, keys, bucket, row = _windows(words, size, buckets)
-            if len(keys) and len(known):
-                order, begin, check = _runs_of(row, bucket, keys)
-                ask = _lookup_key(all_ids[lo:hi][row[order[begin]]], bucket[order[begin]], check)
-                at = np.minimum(np.searchsorted(known, ask), len(known) - 1)
-                found = np.flatnonzero(known[at] == ask)
-                n = np.diff(np.append(begin, len(keys)))[found]
-                marked = order[runs(begin[found], n)][bits[runs(starts[at[found]], n)]]
-                # maximal intervals: overlapping and touching windows merge where the running count is above zero
-                step = np.zeros(len(words) + 1, np.int32)
-                np.add.at(step, first[marked], 1)
-                np.add.at(step, first[marked] + size, -1)
-                keep = np.cumsum(step[:-1]) == 0
+            first, _ = words.windows(size)
+            marked = first[marks[done : done + len(first)]]
+            done += len(first)
+            # maximal intervals: overlapping and touching windows merge where the running count is above zero
+            step = np.zeros(len(words) + 1, np.int32)
+            np.add.at(step, marked, 1)
+            np.add.at(step, marked + size, -1)
+            keep = np.cumsum(step[:-1]) == 0
             text, ends = words.joined(keep)
             kept = [text[s : max(s, e - 1)] for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
             removed = np.diff(np.concatenate([[0], np.cumsum(~keep)])[words.first])
@@ -190,12 +169,13 @@ def remove_repeats(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text
     ident, text = F.coalesce(F.col(id_col).cast("long"), F.lit(int(NO_ID))), F.col(text_col)
     shard = F.pmod(F.xxhash64(ident, text), F.lit(shards)).cast("int")
     others = [c for c in docs.columns if c not in (*results, text_col)]
-    sent = docs.select(ident.alias("id"), shard.alias("shard"), text.alias("text")).mapInArrow(_send(size, buckets), "bucket long, body binary")
-    answers = sent.groupBy("bucket").applyInArrow(_judge, "shard int, answer binary")
     # other columns under names of their own, so that none clashes
     fields = [docs.schema[c] for c in others]
     plain = docs.select(ident.alias("id"), shard.alias("shard"), text.alias("text"), F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)]).alias("rest"))
     plain = plain.select("id", "shard", "text", *[F.col(f"rest.c{i}").alias(f"c{i}") for i in range(len(others))])
+    # of the same rows by shard as the cut reads, so they are exchanged once
+    sent = plain.groupBy("shard").applyInArrow(_send(size, buckets), "bucket long, body binary")
+    answers = sent.groupBy("bucket").applyInArrow(_judge, "shard int, answer binary")
     found = [T.StructField(c, T.LongType() if c.startswith("n_") else T.StringType()) for c in results]
     schema = T.StructType([*(T.StructField(f"c{i}", f.dataType) for i, f in enumerate(fields)), *found])
     cut = plain.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_cut(size, buckets, with_text), schema)

@@ -1,8 +1,10 @@
 """The text operators against plain versions, on odd rows and on the test tables."""
 
 import os
+import struct
 
 import brute
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -79,9 +81,10 @@ def test_simhash_on_documents(spark):
     assert sorted(((r.id, r.fp & (1 << 64) - 1, r.component) for r in got.collect()), key=brute.key) == brute.simhash(rows)
 
 
-@pytest.mark.parametrize("flush", [50, 1 << 20])
-def test_substrings(spark, texts, monkeypatch, flush):
-    monkeypatch.setattr(substrings, "FLUSH", flush)
+@pytest.mark.parametrize("least, per_shard", [(1, 1 << 20), (64, 1 << 20), (3, 50)])
+def test_substrings(spark, texts, monkeypatch, least, per_shard):
+    monkeypatch.setattr(substrings, "LEAST", least)
+    monkeypatch.setattr(substrings, "PER_SHARD", per_shard)
     df = brute.extra(spark, texts, "doc_id long, text string")
     got = substrings.remove_repeats(df, 4, with_text=True)
     assert rows_of(got, "doc_id", "n_words", "n_removed", "kept_sha256") == brute.repeats(texts, 4)
@@ -89,6 +92,24 @@ def test_substrings(spark, texts, monkeypatch, flush):
     assert {"id", "component", "key"} <= set(got.columns) and substrings.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_a_shard_sends_a_window_once_however_many_documents_have_it():
+    passage = " ".join(f"w{i}" for i in range(40))
+    docs = pa.table({"id": pa.array(range(500), pa.int64()), "text": pa.array([f"{passage} a{i}" for i in range(500)])})
+    sent = substrings._send(13, 1)((pa.scalar(7),), docs)
+    shard, n, k = struct.unpack_from("<qqq", sent["body"][0].as_py())
+    assert len(sent) == 1 and shard == 7 and k == 28 + 500 and n == 500
+    got = substrings._judge((pa.scalar(0),), pa.concat_tables([sent, substrings._send(13, 1)((pa.scalar(8),), docs.slice(400))]))
+    # of the second shard the passage and its documents' own windows are compared with the first; equal ids don't repeat each other
+    assert got["shard"].to_pylist() == [8] and np.unpackbits(np.frombuffer(got["answer"][0].as_py(), np.uint8, offset=16)).sum() == 28
+
+
+def test_a_hot_passage(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"{passage} x{i} y{i}" if i % 3 == 0 else " ".join(f"{i}z{k}" for k in range(15))) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(substrings.remove_repeats(df), "doc_id", "n_words", "n_removed", "kept_sha256") == brute.repeats(rows, 13)
+
+
 @tables
 def test_substrings_on_documents(spark):
     rows = [tuple(r) for r in documents(spark).select("doc_id", "text").collect()]

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import settle
 from .components import components
 
-#: Rows of a leaf and of a block; proposals, and sums of groups, that a task holds before it sends them on.
-LEAF, BLOCK_ROWS, PROPOSALS, SUMS = 1024, 128, 1 << 18, 1024
+#: Rows of a leaf and of a block; proposals, and sums of groups, that a task holds before it sends them on; cosines that the audit holds at once.
+LEAF, BLOCK_ROWS, PROPOSALS, SUMS, CELLS = 1024, 128, 1 << 18, 1024, 1 << 20
 #: Members of one group that a search between groups begins from, about; its rounds at most, and the share of entries that changed when it ends.
 ENVOYS, ACROSS_ROUNDS, ACROSS_SETTLED = 64, 16, 0.01
 #: Compared with one byte for each component of the rotated vectors, cosines are off by less than this: no component stands out after the rotation, so rounding
@@ -388,16 +388,20 @@ def _audit(sample, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, units = sample.value
         size = np.array([len(u) for u in units])
+        step = max(1, CELLS // max(1, len(ids)))
         for b in batches:
             mine, copies = b.column(0).to_numpy(), b.column(2).to_numpy()
             for rows in _by_length(b.column(1)):
-                x = _matrix(b.column(1).take(pa.array(rows)))
-                same = np.flatnonzero(size == 8 * x.shape[1])
-                if len(same):
-                    s = np.stack([np.frombuffer(units[i], np.float64) for i in same])
-                    linked = (s @ x.T >= threshold) & (ids[same][:, None] != mine[rows][None, :])
-                    n = linked @ copies[rows]
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[same][n > 0]), pa.array(n[n > 0])], names=["id", "n"])
+                same = np.flatnonzero(size == b.column(1)[rows[0]].as_buffer().size)
+                if not len(same):
+                    continue
+                s, n = np.stack([np.frombuffer(units[i], np.float64) for i in same]), np.zeros(len(same), np.int64)
+                # a batch against the whole sample is too much to hold
+                for part in np.split(rows, range(step, len(rows), step)):
+                    linked = (s @ _matrix(b.column(1).take(pa.array(part))).T >= threshold) & (ids[same][:, None] != mine[part][None, :])
+                    a, k = np.nonzero(linked)
+                    np.add.at(n, a, copies[part][k])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[same][n > 0]), pa.array(n[n > 0])], names=["id", "n"])
 
     return run
 

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import brute
@@ -111,6 +112,28 @@ PAGES = [
 ]
 
 
+def test_audit_holds_a_part_of_a_batch_at_a_time():
+    """Cosines of a batch of 10,000 vectors with a sample of 2,048 would take 164 MB, and as much again to count by copies."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((10_000, 4))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    units, copies = pa.array([r.tobytes() for r in x] + [x[0, :2].tobytes()], pa.binary()), np.arange(10_001) % 3 + 1
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10_001)), units, pa.array(copies)], names=["id", "unit", "copies"])
+
+    class Sample:
+        value = (np.arange(2048), [r.tobytes() for r in x[:2048]])
+
+    tracemalloc.start()
+    got = [r for b in neighbours._audit(Sample, 0.95)(iter([batch])) for r in b.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    linked = x[:2048] @ x.T >= 0.95
+    linked[range(2048), range(2048)] = False
+    want = (linked * copies[:10_000]).sum(1)
+    assert {r["id"]: r["n"] for r in got} == {i: n for i, n in enumerate(want.tolist()) if n}
+    assert peak < 60e6
+
+
 @pytest.mark.parametrize("least, size", [(0, 1 << 20), (4, 100), (0, 1)])
 def test_archives_come_back_whole(spark, least, size):
     df = brute.extra(spark, PAGES, "page_id long, url string, html string")

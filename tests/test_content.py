@@ -1,6 +1,8 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from aerofolio.functions import html
 from aerofolio.functions.html import Selector, plain_text, text_of
 from aerofolio.operators import content as ct, corpus
 
@@ -218,3 +220,16 @@ def test_placeholder(spark):
 def test_plain_title(one):
     assert one(corpus.plain_title, "A &amp;<b> B</b> \n &#8211; C") == "A & B – C"
     assert one(plain_text, "x<script>y</script>") == "x"
+
+
+def test_events_are_handed_on_in_bounded_parts():
+    """Whatever the pages of a batch hold, a task keeps a bounded number of events; parts have all pages in order, null ones too."""
+    page = "<p>" + "<b>x</b>" * 100 + "</p>"
+    batch = pa.array([None] + [page, None, "", "<i>y"] * 200 + [None] * 3)
+    parts = list(html.event_parser().func(iter([batch, batch.slice(0, 2), batch.slice(0, 0)])))
+    assert len(parts) > 2 and max(len(p.flatten()) for p in parts) < html.HELD + 302
+    got = [events for p in parts for events in p.to_pylist()]
+    want = {None: 0, page: 302, "": 0, "<i>y": 3}
+    given = batch.to_pylist() + batch.to_pylist()[:2]
+    assert [None if events is None else len(events) for events in got] == [None if h is None else want[h] for h in given]
+    assert all([e["i"] for e in events] == list(range(len(events))) and all(events[e["j"]]["j"] == e["i"] for e in events) for events in got if events)

@@ -92,15 +92,15 @@ def extract(pages: DataFrame, selectors: list[str] = SELECTORS) -> DataFrame:
 
 def prepared(pages: DataFrame, site: Column | str) -> DataFrame:
     """Adds what the later steps share, each computed once: ``embeds``, ``boxes`` and ``buttons``."""
-    content = F.col("content")
-    return pages.withColumns({
-        "embeds": embeds(content, site),
-        "boxes": F.transform(F.filter(content, lambda e: _is_widget(e, FLIP)), lambda e: flip_box(content, e)),
+    content, starts = F.col("content"), F.col("_starts")
+    return pages.withColumn("_starts", F.filter(content, _may_start)).withColumns({
+        "embeds": embeds(content, site, starts),
+        "boxes": F.transform(F.filter(starts, lambda e: _is_widget(e, FLIP)), lambda e: flip_box(content, e)),
         "buttons": F.filter(
-            F.transform(F.filter(content, lambda e: _is_widget(e, BUTTON)), lambda e: button(content, e)),
+            F.transform(F.filter(starts, lambda e: _is_widget(e, BUTTON)), lambda e: button(content, e)),
             lambda b: b["found"],
         ),
-    })
+    }).drop("_starts")
 
 
 # ---------------------------------------------------------------- embeds
@@ -112,6 +112,11 @@ def _embed(kind: str, label: Column, href: Column, note: str, e: Column) -> Colu
     )
 
 
+def _may_start(e: Column) -> Column:
+    """The few events that an embed or a widget can begin with, so that one pass looks at all the others."""
+    return (e["k"] == "o") & (e["tag"].isin("iframe", "tableau-viz", "object") | e["at"]["data-widget_type"].isNotNull())
+
+
 def _is_frame(e: Column) -> Column:
     return is_open(e, "iframe") & (attr(e, "src") != "")
 
@@ -150,14 +155,15 @@ def _legacy(e: Column, events: Column) -> Column:
     return let(inside(events, e), of)
 
 
-def embeds(content: Column, site: Column | str) -> Column:
-    """Array of embeds: frames first, then dashboards, then legacy objects, each in page order."""
-    frames = F.transform(F.filter(content, _is_frame), lambda e: _frame(e, site))
+def embeds(content: Column, site: Column | str, starts: Column | None = None) -> Column:
+    """Array of embeds: frames first, then dashboards, then legacy objects, each in page order. ``starts``: the events among which they begin."""
+    starts = content if starts is None else starts
+    frames = F.transform(F.filter(starts, _is_frame), lambda e: _frame(e, site))
     views = F.transform(
-        F.filter(content, lambda e: is_open(e, "tableau-viz")), lambda e: _dashboard("dashboard", attr(e, "src"), e)
+        F.filter(starts, lambda e: is_open(e, "tableau-viz")), lambda e: _dashboard("dashboard", attr(e, "src"), e)
     )
     legacy = F.filter(
-        F.transform(F.filter(content, _is_legacy), lambda e: _legacy(e, content)), lambda x: x["href"].isNotNull()
+        F.transform(F.filter(starts, _is_legacy), lambda e: _legacy(e, content)), lambda x: x["href"].isNotNull()
     )
     return F.concat(frames, views, legacy)
 
@@ -340,13 +346,16 @@ def prune_rows(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
 # ---------------------------------------------------------------- Markdown
 
-# Noncharacters stand for markup until whitespace is settled; they cannot occur in page text.
-BOLD, BOLD_END, ITALIC, ITALIC_END = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3"
-LINK, LINK_URL, LINK_END, LINK_CLOSE = "\ufdd4", "\ufdd5", "\ufdd6", "\ufddc"
-STRIKE, STRIKE_END = "\ufddd", "\ufdde"
-HEAD, KEPT_LINE, KEPT_BLANK = "\ufdd7", "\ufdda", "\ufddb"
-# a line that has a blank one above it; no such line here; a list item's marker ends; a list item ends
-APART, CLOSE_UP, ITEM, ITEM_END = "\ufddf", "\ufde0", "\ufde1", "\ufde2"
+# Noncharacters stand for markup until whitespace is settled; they cannot occur in page text. Those of one kind follow each other, as a regex
+# tests a range much faster than a list; ``INDENT`` and ``QUOTE`` are \ufdd8 and \ufdd9.
+BOLD, ITALIC, STRIKE, LINK = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3"
+BOLD_END, ITALIC_END, STRIKE_END, LINK_URL = "\ufdd4", "\ufdd5", "\ufdd6", "\ufdd7"
+# a line that has a blank one above it; a list item ends
+APART, ITEM_END = "\ufdda", "\ufddb"
+LINK_END, LINK_CLOSE = "\ufddc", "\ufddd"
+HEAD, KEPT_LINE, KEPT_BLANK = "\ufdde", "\ufddf", "\ufde0"
+# no blank line above this line; a list item's marker ends
+CLOSE_UP, ITEM = "\ufde1", "\ufde2"
 MARK_CHARS = "[\ufdd0-\ufde2]"
 BLOCKS = [
     "address", "article", "aside", "center", "dd", "div", "dl", "dt", "fieldset", "figure", "footer", "form", "header",
@@ -453,20 +462,20 @@ def _piece(e: Column, swap: Column, picture: Callable[[Column], Column]) -> Colu
 
 def _settled(raw: Column) -> Column:
     """Whitespace moved out of markup, runs of it made one space, one line or one blank line."""
-    ws = f"[ \n{APART}{INDENT}{QUOTE}]"
-    begin, end = f"[{BOLD}{ITALIC}{STRIKE}{LINK}]", f"(?:[{BOLD_END}{ITALIC_END}{STRIKE_END}]|{LINK_URL}[^{LINK_CLOSE}]*{LINK_CLOSE})"
+    ws, leads = f"[ \n{INDENT}-{APART}]", f"[{INDENT}-{QUOTE}]"
+    begin, end = f"[{BOLD}-{LINK}]", f"(?:[{BOLD_END}-{STRIKE_END}]|{LINK_URL}[^{LINK_CLOSE}]*{LINK_CLOSE})"
     # what stands after any of some starts goes before the first of them, whatever their number; the same for ends
-    out = F.regexp_replace(raw, f"((?:{begin}{ws}*)*{begin})({ws}+)", "$2$1$2")
+    out = F.regexp_replace(raw, f"(?={begin})((?:{begin}{ws}*)*{begin})({ws}+)", "$2$1$2")
     out = F.regexp_replace(out, f"(?<={begin}){ws}+", "")
     out = F.regexp_replace(out, f"({ws}+)({end}(?:{ws}*{end})*)", "$1$2$1")
     out = F.regexp_replace(out, f"{ws}+(?={end})", "")
     # an item begins beside its marker, and has no blank line between it and the one before
     out = F.regexp_replace(out, f"{ITEM}{ws}+", ITEM)
-    out = F.regexp_replace(out, f"[ \n{APART}{INDENT}{QUOTE}{ITEM_END}]*{CLOSE_UP}", "")
+    out = F.regexp_replace(out, f"[ \n{INDENT}-{ITEM_END}]*{CLOSE_UP}", "")
     out = F.regexp_replace(out, f"[{ITEM}{ITEM_END}]", "")
     # of a run of line ends, the last one's lead stays, and whether there was a blank line
-    out = F.regexp_replace(out, f"{ws}*{APART}{ws}*?([{INDENT}{QUOTE}]*) *(?!{ws})", f"\n{APART}$1")
-    out = F.regexp_replace(out, f" *\n(?!{APART})[ \n{INDENT}{QUOTE}]*?([{INDENT}{QUOTE}]*) *(?![ \n{INDENT}{QUOTE}])", "\n$1")
+    out = F.regexp_replace(out, f"{ws}*{APART}{ws}*?({leads}*) *(?!{ws})", f"\n{APART}$1")
+    out = F.regexp_replace(out, f" *\n(?!{APART})[ \n{INDENT}-{QUOTE}]*?({leads}*) *(?![ \n{INDENT}-{QUOTE}])", "\n$1")
     out = F.regexp_replace(out, " {2,}", " ")
     return F.regexp_replace(out, f"{HEAD}#+ *(?=\n|\\z)", "")
 
@@ -475,15 +484,16 @@ def _spaced(text: Column) -> Column:
     """Blank lines put in, each led in with what the lines above and below have in common."""
 
     def lead(line: Column) -> Column:
-        return F.regexp_extract(line, f"^{APART}?([{INDENT}{QUOTE}]*)", 1)
+        return F.regexp_extract(line, f"^{APART}?([{INDENT}-{QUOTE}]*)", 1)
 
     def joined(lines: Column) -> Column:
-        def one(line: Column, i: Column) -> Column:
-            here, above = lead(line), lead(F.coalesce(F.get(lines, i - 1), F.lit("")))
+        def one(line: Column, i: Column, leads: Column) -> Column:
+            here, above = F.get(leads, i), F.coalesce(F.get(leads, i - 1), F.lit(""))
             common = F.when(here.startswith(above), above).when(above.startswith(here), here).otherwise(F.lit(""))
             return F.when(line.startswith(APART), F.concat(common, F.lit("\n"), F.substring(line, 2, 1 << 30))).otherwise(line)
 
-        return F.array_join(F.transform(lines, one), "\n")
+        # leads are taken once a line
+        return let(F.transform(lines, lead), lambda leads: F.array_join(F.transform(lines, lambda line, i: one(line, i, leads)), "\n"))
 
     return let(F.split(text, "\n"), joined)
 

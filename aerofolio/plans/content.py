@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import text as tx, urls
 from ..functions.html import first, inside, is_open, let, text_of
 from ..operators import content as ct, corpus, links as lk
-from ..session import settle, spread
+from ..session import dealt, settle, spread
 from ..sources.files import table
 from .base import query
 from .portal import DOCS, PARTS, SITE, as_docs, page_docs
@@ -132,6 +132,10 @@ def p84(spark, d):
     return ct.link_rows(ct.parsed(table(spark, d, "pages"), only_links=True), "events", with_text=False)
 
 
+def _part(spark, d) -> DataFrame:
+    return table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+
+
 def with_body(rows: DataFrame) -> DataFrame:
     """Pages given as ``(doc_id, html)`` to ``(doc_id, body)``."""
     parsed = ct.extract(ct.parsed(rows, carry=["doc_id"], selectors=ARTICLE), ARTICLE)
@@ -144,7 +148,7 @@ def p85(spark, d):
         F.lit("<article><p><em>"), "p_name", F.lit(" <i>(<em>"), "p_brand", F.lit("</em>)</i> </em><b><strong>"), "p_type",
         F.lit(" </strong></b>"), F.col("p_size").cast("string"), F.lit("<u></u><b> </b></p></article>"),
     )
-    return with_body(spread(table(spark, d, "part")).select(F.col("p_partkey").alias("doc_id"), html.alias("html")))
+    return with_body(dealt(_part(spark, d)).select(F.col("p_partkey").alias("doc_id"), html.alias("html")))
 
 
 @query("p86_markdown", r"""WITH l AS (SELECT doc_id, source, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '[ \t\r\n]+', ' ', 'g'))), lambda x: x <> '') AS ls FROM documents)
@@ -171,7 +175,7 @@ def p86_blocks(spark, d):
         F.lit("<br>"), kind, F.lit('</p></blockquote><table><tr><th colspan="2">'), name, F.lit("</tr><tr><td>1<td>"), brand, F.lit('</tr></table><p><a href="/x" title="'), kind, F.lit('">'), name,
         F.lit("</a><s></s><b><i><a href='u'> </a></i></b></p><ul><li>a<pre>"), brand, F.lit("\n y</pre></li><li>b<ul><li>c</ul></ul></article>"),
     )
-    return with_body(spread(table(spark, d, "part")).select(F.col("p_partkey").alias("doc_id"), html.alias("html")))
+    return with_body(dealt(_part(spark, d)).select(F.col("p_partkey").alias("doc_id"), html.alias("html")))
 
 
 @query("p80_selector_lists", r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS ws FROM documents)
@@ -201,7 +205,7 @@ def p86_untidy(spark, d):
         F.lit("</a></p><em><p>"), kind, F.lit("</em></p><div><i>in "), brand, F.lit("</i></u> end</div></span><ul><li><p>"), name, F.lit("<li>"), brand,
         F.lit(" <b>b</b></ul><table><tr><th><b>"), name, F.lit("<th>"), brand, F.lit("<tr><td>"), kind, F.lit("<td><b></table></b>after</article>"),
     )
-    return with_body(spread(table(spark, d, "part")).select(F.col("p_partkey").alias("doc_id"), html.alias("html")))
+    return with_body(dealt(_part(spark, d)).select(F.col("p_partkey").alias("doc_id"), html.alias("html")))
 
 
 def export(spark, d) -> DataFrame:

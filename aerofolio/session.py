@@ -70,3 +70,17 @@ def spread(scan: DataFrame) -> DataFrame:
     """
     tasks = scan.sparkSession.conf.get("spark.aerofolio.spread", None)
     return scan.repartition(int(tasks)) if tasks else scan
+
+
+#: Tasks per slot that rows are dealt to where work per row outweighs the row.
+TASKS_PER_SLOT = 4
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """Narrow rows in equal parts for every slot, for work per row that takes far longer than sending the row; else few row groups would be few tasks.
+
+    The parts are as many as ``spark.aerofolio.spread`` says, or, without it, grow with the slots and ``spark.sql.shuffle.partitions``.
+    """
+    spark = rows.sparkSession
+    tasks = spark.conf.get("spark.aerofolio.spread", None)
+    return rows.repartition(int(tasks) if tasks else max(TASKS_PER_SLOT * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))

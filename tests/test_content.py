@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from aerofolio.functions import html
 from aerofolio.functions.html import Selector, plain_text, text_of
 from aerofolio.operators import content as ct, corpus
+from aerofolio.plans import catalog
 
 SITE = "https://portal.example"
 ENTRY = '<html><body><article><div class="x entry-content">{}</div></article></body></html>'
@@ -233,3 +234,12 @@ def test_events_are_handed_on_in_bounded_parts():
     given = batch.to_pylist() + batch.to_pylist()[:2]
     assert [None if events is None else len(events) for events in got] == [None if h is None else want[h] for h in given]
     assert all([e["i"] for e in events] == list(range(len(events))) and all(events[e["j"]]["j"] == e["i"] for e in events) for events in got if events)
+
+
+@pytest.mark.parametrize("name", ["p85_nested_emphasis", "p86_markdown_blocks", "p86_untidy_markup"])
+def test_rows_of_one_row_group_are_dealt_to_all_slots(spark, tmp_path, name):
+    rows = [(i, f"n{i}", "b", "t", 1) for i in range(64)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    got = catalog.QUERIES[name](spark, str(tmp_path))
+    sizes = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert got.count() == 64 and len(sizes) >= 4 * spark.sparkContext.defaultParallelism and max(r["count"] for r in sizes) <= 8
